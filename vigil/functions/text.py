@@ -83,15 +83,22 @@ def remove_stopwords(toks: Column, stopwords: Iterable[str] = ENGLISH_STOPWORDS)
 
 
 def ngrams(toks: Column, n: int, sep: str = " ") -> Column:
-    """Contiguous n-grams of a token array; empty when the array is shorter than n.
+    """Contiguous n-grams of a token array (pass a column reference); empty when shorter than n.
 
-    The guard matters: ``sequence(1, 0)`` would count down and yield two bogus elements.
+    Built from n shifted copies of the array joined element-wise with ``zip_with``: linear in the
+    number of tokens. (Taking ``slice(toks, i, n)`` for every position copies the whole array
+    each time, which is quadratic on long texts.)
     """
     if n < 1:
         raise ValueError("n must be >= 1")
+    if n == 1:
+        return toks
     size = F.size(toks)
-    grams = F.transform(F.sequence(F.lit(1), size - F.lit(n - 1)),
-                        lambda i: F.array_join(F.slice(toks, i, n), sep))
+    acc = toks
+    for j in range(1, n):
+        shifted = F.slice(toks, j + 1, F.greatest(size, F.lit(1)))
+        acc = F.zip_with(acc, shifted, lambda a, b: F.concat_ws(sep, a, b))
+    grams = F.slice(acc, 1, size - F.lit(n - 1))
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 

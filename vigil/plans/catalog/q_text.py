@@ -1 +1,197 @@
-"""Placeholder."""
+"""Text queries: cleaning rules, lengths, tokens, stop words, n-grams, sentiment, polarity
+(X-5..X-16, G-9, F-2, F-3, F-4, O-3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vigil.functions.stopwords import ENGLISH_STOPWORDS
+from vigil.functions.text import (clean_text, remove_colon, remove_hash, remove_links, remove_mentions,
+                                  remove_rt, remove_stopwords, sentiment_label, text_length, tokens, word_count)
+from vigil.operators.ngrams import ngram_counts, top_ngrams, with_ngrams
+from vigil.operators.sentiment import score_polarity, score_sentiment
+from vigil.plans.catalog.base import oracle, register
+from vigil.sources.tables import Inputs
+
+# ---- DuckDB spellings ---------------------------------------------------------------------------
+
+
+def clean_sql(col: str) -> str:
+    s = f"regexp_replace({col}, '@[A-Za-z0–9]+', '', 'g')"
+    s = f"replace(replace({s}, '#', ''), ':', '')"
+    s = f"regexp_replace({s}, 'RT[\\s]+', '', 'g')"
+    return f"regexp_replace({s}, 'https?//\\S+', '', 'g')"
+
+
+STOP_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOPWORDS) + "]"
+TOKENS_SQL = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
+FILTERED_SQL = "list_filter(" + TOKENS_SQL + ", lambda t: NOT list_contains(" + STOP_SQL + ", t))"
+
+
+def ngrams_sql(list_expr: str, n: int) -> str:
+    return (f"list_transform(range(1, len({list_expr}) - {n - 2}), "
+            f"lambda i: array_to_string({list_expr}[i:i + {n - 1}], ' '))")
+
+
+EN_POSTS = ("en_posts", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts "
+                        "WHERE language = 'en'")
+FILTERED = ("filtered", f"SELECT post_id, {FILTERED_SQL.format('text')} AS f FROM en_posts")
+
+# Test lexicon (a parameter of the scorer, not the published one): words that occur in the
+# driver's documents, with valences that are exact binary fractions.
+LEXICON = [("best", 3.0), ("great", 3.0), ("good", 1.75), ("free", 1.5), ("with", 0.5), ("for", 0.25),
+           ("this", -0.25), ("no", -1.0), ("worthless", -2.0), ("idiot", -2.5), ("stupid", -2.5)]
+POLARITY_LEXICON = [("best", 1.0, 0.25), ("great", 0.75, 0.75), ("with", 0.125, 0.25), ("this", 0.0, 0.5),
+                    ("no", -0.25, 0.5), ("worthless", -0.5, 0.75), ("idiot", -0.75, 1.0), ("stupid", -0.75, 1.0)]
+
+
+def lexicon_df(inp: Inputs) -> DataFrame:
+    return inp.spark.createDataFrame(LEXICON, "token string, valence double")
+
+
+def polarity_df(inp: Inputs) -> DataFrame:
+    return inp.spark.createDataFrame(POLARITY_LEXICON, "token string, polarity double, subjectivity double")
+
+
+LEX_CTE = ("lex", "SELECT token, CAST(valence AS DOUBLE) AS valence FROM (VALUES "
+           + ", ".join(f"('{t}', {v})" for t, v in LEXICON) + ") t(token, valence)")
+POL_CTE = ("pol", "SELECT token, CAST(polarity AS DOUBLE) AS polarity, CAST(subjectivity AS DOUBLE) AS subjectivity "
+           "FROM (VALUES " + ", ".join(f"('{t}', {p}, {q})" for t, p, q in POLARITY_LEXICON)
+           + ") t(token, polarity, subjectivity)")
+STRIP = "regexp_replace(w0, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
+WORDS_CTE = ("wds", f"""SELECT post_id, CASE WHEN length({STRIP}) <= 2 THEN w0 ELSE {STRIP} END AS tok
+FROM (SELECT post_id, unnest(regexp_extract_all(text, '\\S+')) AS w0 FROM en_posts) x""")
+SCORES_CTES = [
+    LEX_CTE, WORDS_CTE,
+    ("vals", "SELECT w.post_id, COALESCE(l.valence, 0.0) AS v FROM wds w LEFT JOIN lex l ON lower(w.tok) = l.token "
+             "WHERE length(w.tok) > 1"),
+    ("g", """SELECT post_id, COALESCE(SUM(CASE WHEN v > 0 THEN v + 1 END), 0.0) AS ps,
+       COALESCE(SUM(CASE WHEN v < 0 THEN v - 1 END), 0.0) AS ns,
+       CAST(COUNT(CASE WHEN v = 0 THEN 1 END) AS DOUBLE) AS nu, COALESCE(SUM(v), 0.0) AS s
+FROM vals GROUP BY post_id"""),
+    ("sc", """SELECT p.post_id, p.date, p.tweet, p.text, COALESCE(g.ps, 0.0) AS ps, COALESCE(g.ns, 0.0) AS ns,
+       COALESCE(g.nu, 0.0) AS nu, COALESCE(g.s, 0.0) AS s, COALESCE(g.ps, 0.0) + abs(COALESCE(g.ns, 0.0))
+       + COALESCE(g.nu, 0.0) AS tot
+FROM en_posts p LEFT JOIN g ON p.post_id = g.post_id"""),
+    ("scores", """SELECT post_id, date, tweet, text,
+       CASE WHEN tot > 0 THEN round(abs(ns / tot), 3) ELSE 0.0 END AS neg,
+       CASE WHEN tot > 0 THEN round(abs(nu / tot), 3) ELSE 0.0 END AS neu,
+       CASE WHEN tot > 0 THEN round(abs(ps / tot), 3) ELSE 0.0 END AS pos,
+       CASE WHEN s <> 0 THEN round(s / sqrt(s * s + 15.0), 4) ELSE 0.0 END AS compound
+FROM sc"""),
+    ("labelled", """SELECT *, CASE WHEN neg > pos THEN 'negative' WHEN pos > neg THEN 'positive' ELSE 'neutral' END
+       AS sentiment FROM scores"""),
+]
+
+
+def en_posts(inp: Inputs) -> DataFrame:
+    p = inp.view("v_posts").where(F.col("language") == "en")
+    return p.select("post_id", "date", "tweet", clean_text("tweet").alias("text"))
+
+
+# ---- cleaning rules, one query each -------------------------------------------------------------
+
+def _rule(name: str, fn, sql_expr: str):
+    @register(name, oracle(f"SELECT post_id, {sql_expr} AS text FROM v_posts", ["v_posts"]))
+    def q(inp: Inputs) -> DataFrame:
+        return inp.view("v_posts").select("post_id", fn("tweet").alias("text"))
+    return q
+
+
+_rule("clean_mentions", remove_mentions, "regexp_replace(tweet, '@[A-Za-z0–9]+', '', 'g')")
+_rule("clean_hash", remove_hash, "replace(tweet, '#', '')")
+_rule("clean_colon", remove_colon, "replace(tweet, ':', '')")
+_rule("clean_rt", remove_rt, "regexp_replace(tweet, 'RT[\\s]+', '', 'g')")
+_rule("clean_links", remove_links, "regexp_replace(tweet, 'https?//\\S+', '', 'g')")
+_rule("clean_text", clean_text, clean_sql("tweet"))
+
+
+# ---- lengths, tokens, n-grams -------------------------------------------------------------------
+
+@register("text_len", oracle("SELECT post_id, CAST(length(text) AS BIGINT) AS text_len FROM en_posts",
+                             ["v_posts"], [EN_POSTS]))
+def text_len(inp: Inputs) -> DataFrame:
+    return en_posts(inp).select("post_id", text_length("text").alias("text_len"))
+
+
+@register("text_word_count", oracle("SELECT post_id, CAST(len(regexp_extract_all(text, '\\S+')) AS BIGINT) "
+                                    "AS text_word_count FROM en_posts", ["v_posts"], [EN_POSTS]))
+def text_word_count(inp: Inputs) -> DataFrame:
+    return en_posts(inp).select("post_id", word_count("text").alias("text_word_count"))
+
+
+@register("tokens", oracle(f"SELECT post_id, array_to_string(t, ' ') AS tokens, CAST(len(t) AS BIGINT) AS n_tokens "
+                           f"FROM (SELECT post_id, {TOKENS_SQL.format('text')} AS t FROM en_posts) x",
+                           ["v_posts"], [EN_POSTS]))
+def tokens_q(inp: Inputs) -> DataFrame:
+    t = en_posts(inp).select("post_id", tokens("text").alias("t"))
+    return t.select("post_id", F.array_join("t", " ").alias("tokens"), F.size("t").cast("bigint").alias("n_tokens"))
+
+
+@register("stopwords", oracle("SELECT post_id, array_to_string(f, ' ') AS tokens, CAST(len(f) AS BIGINT) AS n_tokens "
+                              "FROM filtered", ["v_posts"], [EN_POSTS, FILTERED]))
+def stopwords_q(inp: Inputs) -> DataFrame:
+    t = en_posts(inp).select("post_id", remove_stopwords(tokens("text")).alias("f"))
+    return t.select("post_id", F.array_join("f", " ").alias("tokens"), F.size("f").cast("bigint").alias("n_tokens"))
+
+
+@register("ngrams_of_row", oracle(f"""
+SELECT post_id, CAST(unnest(range(1, len(g) + 1)) AS BIGINT) AS pos, unnest(g) AS ngram
+FROM (SELECT post_id, {ngrams_sql('f', 2)} AS g FROM filtered) x""", ["v_posts"], [EN_POSTS, FILTERED]))
+def ngrams_of_row(inp: Inputs) -> DataFrame:
+    g = with_ngrams(en_posts(inp), "text", 2, "g", keep=["post_id"])
+    g = g.select("post_id", F.posexplode("g").alias("pos", "ngram"))
+    return g.withColumn("pos", (F.col("pos") + 1).cast("bigint"))
+
+
+BIGRAM_COUNTS = ("bigram_counts", f"""SELECT words, COUNT(*) AS total
+FROM (SELECT unnest({ngrams_sql('f', 2)}) AS words FROM filtered) x GROUP BY words""")
+TRIGRAM_COUNTS = ("trigram_counts", f"""SELECT words, COUNT(*) AS total
+FROM (SELECT unnest({ngrams_sql('f', 3)}) AS words FROM filtered) x GROUP BY words""")
+
+
+@register("ngram_counts", oracle("SELECT words, total FROM bigram_counts", ["v_posts"],
+                                 [EN_POSTS, FILTERED, BIGRAM_COUNTS]))
+def ngram_counts_q(inp: Inputs) -> DataFrame:
+    return ngram_counts(en_posts(inp), "text", 2)
+
+
+@register("top_bigrams", oracle("SELECT words, total, DATE '2024-01-01' AS date FROM bigram_counts "
+                                "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
+                                [EN_POSTS, FILTERED, BIGRAM_COUNTS]))
+def top_bigrams(inp: Inputs) -> DataFrame:
+    return top_ngrams(en_posts(inp), "text", 2, 20, stamp="2024-01-01")
+
+
+@register("top_trigrams", oracle("SELECT words, total, DATE '2024-01-31' AS date FROM trigram_counts "
+                                 "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
+                                 [EN_POSTS, FILTERED, TRIGRAM_COUNTS]))
+def top_trigrams(inp: Inputs) -> DataFrame:
+    return top_ngrams(en_posts(inp), "text", 3, 20, stamp="2024-01-31")
+
+
+# ---- sentiment ----------------------------------------------------------------------------------
+
+@register("sentiment_scores", oracle("SELECT post_id, neg, neu, pos, compound, sentiment FROM labelled",
+                                     ["v_posts"], [EN_POSTS, *SCORES_CTES]))
+def sentiment_scores(inp: Inputs) -> DataFrame:
+    return score_sentiment(en_posts(inp), "post_id", "text", lexicon_df(inp))
+
+
+@register("sentiment_label", oracle("SELECT post_id, CASE WHEN neg > pos THEN 'negative' WHEN pos > neg THEN "
+                                    "'positive' ELSE 'neutral' END AS label FROM scores",
+                                    ["v_posts"], [EN_POSTS, *SCORES_CTES]))
+def sentiment_label_q(inp: Inputs) -> DataFrame:
+    s = score_sentiment(en_posts(inp), "post_id", "text", lexicon_df(inp))
+    return s.select("post_id", sentiment_label("neg", "pos").alias("label"))
+
+
+@register("polarity", oracle("""
+SELECT p.post_id, round(COALESCE(a.pp, 0.0), 4) AS polarity, round(COALESCE(a.qq, 0.0), 4) AS subjectivity
+FROM en_posts p LEFT JOIN (SELECT w.post_id, AVG(l.polarity) AS pp, AVG(l.subjectivity) AS qq
+                           FROM wds w JOIN pol l ON lower(w.tok) = l.token WHERE length(w.tok) > 1
+                           GROUP BY w.post_id) a ON p.post_id = a.post_id""",
+                             ["v_posts"], [EN_POSTS, WORDS_CTE, POL_CTE]))
+def polarity(inp: Inputs) -> DataFrame:
+    return score_polarity(en_posts(inp), "post_id", "text", polarity_df(inp))
