@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.aggregate import group_sum, unique_values
+from vigil.operators.forecast import (forecast_chart_data, forecast_changepoint, forecast_linear_weekly,
+                                      future_spine, to_series, z_value)
 from vigil.operators.lookup import attach_side_measure, semi_join_keys
+from vigil.operators.regress import ols, ols_fitted
 from vigil.plans.analysis import (METRICS, analysis_series, daily_country_sql, top_countries,
                                   top_country_series)
 from vigil.plans.catalog.base import oracle, register
@@ -107,3 +110,143 @@ def join_semi_topk(inp: Inputs) -> DataFrame:
                                       ANALYSIS_VIEWS, ANALYSIS_CTES + (TOP5, TOP5_SERIES)))
 def agg_unique_values(inp: Inputs) -> DataFrame:
     return unique_values(top_country_series(series(inp), 5), "country")
+
+
+# ---- forecasts (F-5, F-5a, F-5b, F-11) -----------------------------------------------------------
+
+Z95 = repr(z_value(0.95))
+
+
+def forecast_ctes(src: str, keys: list[str], horizon: int = 60, p: str = "f") -> list[tuple[str, str]]:
+    """DuckDB spelling of forecast_linear_weekly over a (keys..., ds, y) relation."""
+    k = ", ".join(keys)
+
+    def on(a: str, b: str) -> str:
+        return " AND ".join(f"{a}.{x} = {b}.{x}" for x in keys)
+
+    def q(a: str) -> str:
+        return ", ".join(f"{a}.{x}" for x in keys)
+
+    t = "CAST(date_diff('day', DATE '1970-01-01', {0}) AS DOUBLE)".format
+    return [
+        (f"{p}_s", f"SELECT {k}, ds, CAST(y AS DOUBLE) AS y, {t('ds')} AS t, isodow(ds) AS wd FROM {src}"),
+        (f"{p}_p", f"SELECT {k}, regr_slope(y, t) AS b, regr_intercept(y, t) AS a, max(ds) AS last_ds "
+                   f"FROM {p}_s GROUP BY {k}"),
+        (f"{p}_r", f"SELECT {q('s')}, s.wd, s.y - (p.a + p.b * s.t) AS r FROM {p}_s s JOIN {p}_p p ON {on('s', 'p')}"),
+        (f"{p}_se", f"SELECT {k}, wd, avg(r) AS sv FROM {p}_r GROUP BY {k}, wd"),
+        (f"{p}_sg", f"SELECT {q('r')}, stddev_samp(r.r - se.sv) AS sigma FROM {p}_r r JOIN {p}_se se "
+                    f"ON {on('r', 'se')} AND r.wd = se.wd GROUP BY {q('r')}"),
+        (f"{p}_spine", f"SELECT DISTINCT {k}, ds FROM {p}_s UNION ALL "
+                       f"SELECT {q('p')}, CAST(p.last_ds + CAST(i.i AS INTEGER) AS DATE) AS ds "
+                       f"FROM {p}_p p, range(1, {horizon + 1}) i(i)"),
+        (f"{p}_yh", f"SELECT {q('sp')}, sp.ds, p.a + p.b * {t('sp.ds')} + COALESCE(se.sv, 0.0) AS yh, sg.sigma "
+                    f"FROM {p}_spine sp JOIN {p}_p p ON {on('sp', 'p')} "
+                    f"LEFT JOIN {p}_se se ON {on('sp', 'se')} AND se.wd = isodow(sp.ds) "
+                    f"LEFT JOIN {p}_sg sg ON {on('sp', 'sg')}"),
+        (f"{p}_out", f"SELECT {k}, ds, round(yh, 4) AS yhat, round(yh - {Z95} * sigma, 4) AS yhat_lower, "
+                     f"round(yh + {Z95} * sigma, 4) AS yhat_upper FROM {p}_yh"),
+    ]
+
+
+def v_series(inp: Inputs) -> DataFrame:
+    return inp.view("v_series")
+
+
+@register("future_spine", oracle("""
+SELECT g, ds FROM (SELECT DISTINCT g, ds FROM v_series) h
+UNION ALL
+SELECT g, CAST(last_ds + CAST(i.i AS INTEGER) AS DATE) AS ds
+FROM (SELECT g, max(ds) AS last_ds FROM v_series GROUP BY g) p, range(1, 61) i(i)""", ["v_series"]))
+def future_spine_q(inp: Inputs) -> DataFrame:
+    return future_spine(v_series(inp), ["g"], "ds", 60)
+
+
+@register("forecast_linear_weekly", oracle("SELECT g, ds, yhat, yhat_lower, yhat_upper FROM f_out", ["v_series"],
+                                           forecast_ctes("v_series", ["g"])))
+def forecast_linear_weekly_q(inp: Inputs) -> DataFrame:
+    return forecast_linear_weekly(v_series(inp), ["g"], "ds", "y", 60, 0.95)
+
+
+@register("forecast_chart_data", oracle("""
+SELECT o.g, o.ds, o.yhat, o.yhat_lower, o.yhat_upper, CAST(v.y AS DOUBLE) AS y
+FROM f_out o LEFT JOIN v_series v ON o.g = v.g AND o.ds = v.ds""", ["v_series"], forecast_ctes("v_series", ["g"])))
+def forecast_chart_data_q(inp: Inputs) -> DataFrame:
+    s = v_series(inp)
+    return forecast_chart_data(s, forecast_linear_weekly(s, ["g"]), ["g"])
+
+
+UNPIVOTED = ("top5_long", """
+SELECT country, metric, date AS ds, CAST(y AS DOUBLE) AS y
+FROM (UNPIVOT (SELECT country, date, tt_cases, tt_deaths, tt_vaccine FROM top5_series)
+      ON tt_cases, tt_deaths, tt_vaccine INTO NAME metric VALUE y) u""")
+TOP5_CTES = ANALYSIS_CTES + (TOP5, TOP5_SERIES, UNPIVOTED)
+
+
+def top5_long(inp: Inputs) -> DataFrame:
+    return to_series(top_country_series(series(inp), 5), ["country"], "date", list(METRICS))
+
+
+@register("series_unpivot", oracle("SELECT country, metric, ds, y FROM top5_long", ANALYSIS_VIEWS, TOP5_CTES))
+def series_unpivot(inp: Inputs) -> DataFrame:
+    return top5_long(inp)
+
+
+@register("forecast_top_countries", oracle("SELECT country, metric, ds, yhat, yhat_lower, yhat_upper FROM f_out",
+                                           ANALYSIS_VIEWS,
+                                           TOP5_CTES + tuple(forecast_ctes("top5_long", ["country", "metric"]))))
+def forecast_top_countries(inp: Inputs) -> DataFrame:
+    return forecast_linear_weekly(top5_long(inp), ["country", "metric"], "ds", "y", 60, 0.95)
+
+
+@register("forecast_changepoint", note="per-series numpy fit in applyInPandas; rows-only check")
+def forecast_changepoint_q(inp: Inputs) -> DataFrame:
+    return forecast_changepoint(top5_long(inp), ["country", "metric"], "ds", "y", 60, 0.95)
+
+
+# ---- regressions (F-6, F-7, F-11) ----------------------------------------------------------------
+
+def _ols_sql(x: str) -> str:
+    return f"""
+SELECT country, round(regr_slope(CAST(tt_cases AS DOUBLE), CAST({x} AS DOUBLE)), 4) AS slope,
+       round(regr_intercept(CAST(tt_cases AS DOUBLE), CAST({x} AS DOUBLE)), 4) AS intercept,
+       round(regr_r2(CAST(tt_cases AS DOUBLE), CAST({x} AS DOUBLE)), 4) AS r2,
+       CAST(regr_count(CAST(tt_cases AS DOUBLE), CAST({x} AS DOUBLE)) AS BIGINT) AS n
+FROM top5_series GROUP BY country"""
+
+
+def _fitted_sql(x: str, label: str | None = None) -> str:
+    lab = f"'{label}' AS predictor, " if label else ""
+    return f"""
+SELECT {lab}s.country, s.date, CAST(s.{x} AS DOUBLE) AS x, CAST(s.tt_cases AS DOUBLE) AS y,
+       round(c.a + c.b * CAST(s.{x} AS DOUBLE), 4) AS y_hat
+FROM top5_series s JOIN (SELECT country, regr_slope(CAST(tt_cases AS DOUBLE), CAST({x} AS DOUBLE)) AS b,
+                                regr_intercept(CAST(tt_cases AS DOUBLE), CAST({x} AS DOUBLE)) AS a
+                         FROM top5_series GROUP BY country) c ON s.country = c.country"""
+
+
+REG_CTES = ANALYSIS_CTES + (TOP5, TOP5_SERIES)
+
+
+@register("ols_cases_deaths", oracle(_ols_sql("tt_deaths"), ANALYSIS_VIEWS, REG_CTES))
+def ols_cases_deaths(inp: Inputs) -> DataFrame:
+    return ols(top_country_series(series(inp), 5), ["country"], "tt_cases", "tt_deaths")
+
+
+@register("ols_cases_vaccine", oracle(_ols_sql("tt_vaccine"), ANALYSIS_VIEWS, REG_CTES))
+def ols_cases_vaccine(inp: Inputs) -> DataFrame:
+    return ols(top_country_series(series(inp), 5), ["country"], "tt_cases", "tt_vaccine")
+
+
+@register("ols_fitted", oracle(_fitted_sql("tt_deaths"), ANALYSIS_VIEWS, REG_CTES))
+def ols_fitted_q(inp: Inputs) -> DataFrame:
+    return ols_fitted(top_country_series(series(inp), 5), ["country"], "tt_cases", "tt_deaths", keep=["date"])
+
+
+@register("ols_chart_data", oracle(_fitted_sql("tt_deaths", "deaths") + "\nUNION ALL\n"
+                                   + _fitted_sql("tt_vaccine", "vaccines"), ANALYSIS_VIEWS, REG_CTES))
+def ols_chart_data(inp: Inputs) -> DataFrame:
+    top = top_country_series(series(inp), 5)
+    deaths = ols_fitted(top, ["country"], "tt_cases", "tt_deaths", keep=["date"])
+    vacc = ols_fitted(top, ["country"], "tt_cases", "tt_vaccine", keep=["date"])
+    return (deaths.select(F.lit("deaths").alias("predictor"), "*")
+            .unionByName(vacc.select(F.lit("vaccines").alias("predictor"), "*")))
