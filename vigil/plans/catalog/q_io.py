@@ -1 +1,143 @@
-"""Placeholder."""
+"""Sources and sinks as round trips through the shared folder (S-1..S-5, S-8, K-1..K-4, K-6, K-7).
+
+Each query lands data derived from the driver's tables in the format the reader/writer handles,
+reads it back with the library and is compared with the SQL of the data it started from.
+Every call writes to a new folder under ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vigil.plans.catalog.base import oracle, register
+from vigil.plans.catalog.q_posts import MART_SQL, posts_outputs
+from vigil.plans.catalog.q_text import BIGRAM_COUNTS, EN_POSTS, FILTERED, TRIGRAM_COUNTS
+from vigil.session import scratch_path
+from vigil.sinks.tables import export, write_daily, write_fact
+from vigil.sources.files import (read_cases, read_long_outbreak, read_vaccinations, read_wide_outbreak,
+                                 read_wordlist)
+from vigil.sources.tables import Inputs
+
+D = "CAST({0} AS DOUBLE) AS {0}".format
+
+
+def _write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8") -> None:
+    df.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
+
+
+@register("src_cases_csv", oracle("SELECT id, date, country AS location, continent, "
+                                  "CAST(tt_cases AS DOUBLE) AS new_cases, CAST(tt_deaths AS DOUBLE) AS new_deaths "
+                                  "FROM v_cases", ["v_cases"]))
+def src_cases_csv(inp: Inputs) -> DataFrame:
+    """Source layout: iso code first, then date, location, continent, the measures and a column
+    the reader ignores."""
+    path = scratch_path(inp.spark, "cases-csv")
+    c = inp.view("v_cases")
+    _write_csv(c.select(F.col("id").alias("iso_code"), "date", F.col("country").alias("location"), "continent",
+                        F.col("tt_cases").alias("new_cases"), F.col("tt_deaths").alias("new_deaths"),
+                        F.lit("x").alias("tests_units")), path)
+    return read_cases(inp.spark, path)
+
+
+@register("src_vaccinations_csv", oracle(f"SELECT iso_code, date, {D('people_fully_vaccinated')} FROM v_side",
+                                         ["v_side"]))
+def src_vaccinations_csv(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "vacc-csv")
+    s = inp.view("v_side")
+    _write_csv(s.select(F.concat(F.lit("place "), "iso_code").alias("location"), "iso_code", "date",
+                        F.lit(1).alias("total_vaccinations"), "people_fully_vaccinated"), path)
+    return read_vaccinations(inp.spark, path)
+
+
+@register("src_long_csv", oracle(f"SELECT indicator, country, date, {D('value')} FROM v_long", ["v_long"]))
+def src_long_csv(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "long-csv")
+    lg = inp.view("v_long").toDF("Indicator", "Country", "Date", "Value")
+    _write_csv(lg, path, sep=";")
+    return read_long_outbreak(inp.spark, path, sep=";")
+
+
+@register("src_encoded_csv", oracle("SELECT replace(country, 'NATION', 'NAÇÃO') AS country, "
+                                    f"{D('tt_cases')}, {D('tt_deaths')}, date FROM v_wide_a", ["v_wide_a"]))
+def src_encoded_csv(inp: Inputs) -> DataFrame:
+    """A Latin-1 file with accented names, decoded with the file's encoding."""
+    path = scratch_path(inp.spark, "latin1-csv")
+    w = inp.view("v_wide_a").withColumn("country", F.replace("country", F.lit("NATION"), F.lit("NAÇÃO")))
+    _write_csv(w, path, encoding="ISO-8859-1")
+    return read_wide_outbreak(inp.spark, path, ["country", "tt_cases", "tt_deaths", "date"], encoding="ISO-8859-1")
+
+
+@register("src_positional_csv", oracle(f"SELECT date, country, {D('tt_cases')}, {D('tt_deaths')}, "
+                                       f"{D('tt_recovery')} FROM v_wide_b", ["v_wide_b"]))
+def src_positional_csv(inp: Inputs) -> DataFrame:
+    """Header names differ from ours; columns are taken by position."""
+    path = scratch_path(inp.spark, "positional-csv")
+    _write_csv(inp.view("v_wide_b").toDF("Date", "Country/Region", "Cases", "Deaths", "Recovered"), path)
+    return read_wide_outbreak(inp.spark, path, ["date", "country", "tt_cases", "tt_deaths", "tt_recovery"])
+
+
+@register("src_wordlist", oracle("SELECT DISTINCT lower(source) AS token FROM documents"))
+def src_wordlist(inp: Inputs) -> DataFrame:
+    """One word per line with case variants, padding and blank lines."""
+    path = scratch_path(inp.spark, "wordlist")
+    d = inp.table("documents")
+    lines = d.select(F.concat(F.lit("  "), F.upper("source")).alias("value")).unionByName(
+        d.select(F.lit("").alias("value")))
+    lines.write.mode("overwrite").text(path)
+    return read_wordlist(inp.spark, path)
+
+
+@register("sink_fact_roundtrip", oracle(f"SELECT id, category, date, country, continent, {D('tt_cases')}, "
+                                        f"{D('tt_deaths')} FROM v_cases", ["v_cases"]))
+def sink_fact_roundtrip(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "fact")
+    write_fact(inp.view("v_cases"), path)
+    write_fact(inp.view("v_cases"), path)  # replace, not append
+    return inp.spark.read.parquet(path)
+
+
+@register("sink_posts_roundtrip", MART_SQL)
+def sink_posts_roundtrip(inp: Inputs) -> DataFrame:
+    """Daily mart written twice: dynamic partition overwrite keeps one copy of each day."""
+    path = scratch_path(inp.spark, "posts-mart")
+    mart = posts_outputs(inp)[0]
+    write_daily(mart, path, "date")
+    write_daily(mart, path, "date")
+    return inp.spark.read.parquet(path)
+
+
+@register("sink_bigrams_roundtrip", oracle("SELECT words, total, DATE '2024-01-01' AS date FROM bigram_counts "
+                                           "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
+                                           [EN_POSTS, FILTERED, BIGRAM_COUNTS]))
+def sink_bigrams_roundtrip(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "bigrams")
+    bigrams = posts_outputs(inp)[1]
+    write_daily(bigrams, path, "date")
+    write_daily(bigrams, path, "date")
+    return inp.spark.read.parquet(path)
+
+
+@register("sink_trigrams_roundtrip", oracle("SELECT words, total, DATE '2024-01-31' AS date FROM trigram_counts "
+                                            "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
+                                            [EN_POSTS, FILTERED, TRIGRAM_COUNTS]))
+def sink_trigrams_roundtrip(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "trigrams")
+    trigrams = posts_outputs(inp)[2]
+    write_daily(trigrams, path, "date")
+    return inp.spark.read.parquet(path)
+
+
+@register("sink_csv_roundtrip", oracle("SELECT post_id, username FROM v_posts", ["v_posts"]))
+def sink_csv_roundtrip(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "export-csv")
+    export(inp.view("v_posts"), path, "csv", ["post_id", "username"])
+    back = inp.spark.read.option("header", True).csv(path)
+    return back.select(F.col("post_id").cast("bigint").alias("post_id"), "username")
+
+
+@register("sink_json_roundtrip", oracle("SELECT post_id, username FROM v_posts", ["v_posts"]))
+def sink_json_roundtrip(inp: Inputs) -> DataFrame:
+    path = scratch_path(inp.spark, "export-json")
+    export(inp.view("v_posts"), path, "json", ["post_id", "username"])
+    return inp.spark.read.schema("post_id bigint, username string").json(path)
