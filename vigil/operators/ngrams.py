@@ -35,10 +35,22 @@ def with_ngrams(df: DataFrame, text: str, n: int, out: str = "ngrams", keep: Seq
 
 def ngram_counts(df: DataFrame, text: str, n: int, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> DataFrame:
     """(words, total) over the whole corpus; n-grams never cross texts."""
-    grams = with_ngrams(df, text, n, "__g", (), stopwords).select(F.explode("__g").alias("words"))
+    grams = explode_ngrams(with_ngrams(df, text, n, "__g", (), stopwords), "__g", "words")
     return grams.groupBy("words").agg(F.count(F.lit(1)).alias("total"))
 
 
+def explode_ngrams(df: DataFrame, column: str, out: str, position: str | None = None) -> DataFrame:
+    """One row per n-gram. ``explode_outer`` + a null filter instead of ``explode``: for an inner
+    explode Catalyst infers ``size(array) > 0`` below the generator and inlines the whole token
+    expression into that filter, tokenizing every text twice."""
+    keep = [c for c in df.columns if c != column]
+    if position:
+        x = df.select(*keep, F.posexplode_outer(column).alias(position, out))
+    else:
+        x = df.select(*keep, F.explode_outer(column).alias(out))
+    return x.where(F.col(out).isNotNull())
+
+
 def top_ngrams(df: DataFrame, text: str, n: int, k: int | None = 20,
                stopwords: Iterable[str] = ENGLISH_STOPWORDS, stamp=None) -> DataFrame:
     """The k most frequent n-grams (all when k is None), ties by n-gram; optional date stamp."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import (clean_text, remove_colon, remove_hash, remove_links, remove_mentions,
                                   remove_rt, remove_stopwords, sentiment_label, text_length, tokens, word_count)
-from vigil.operators.ngrams import ngram_counts, top_ngrams, with_ngrams
+from vigil.operators.ngrams import explode_ngrams, ngram_counts, top_ngrams, with_ngrams
 from vigil.operators.sentiment import score_polarity, score_sentiment
 from vigil.plans.catalog.base import oracle, register
 from vigil.sources.tables import Inputs
@@ -141,7 +141,7 @@ SELECT post_id, CAST(unnest(range(1, len(g) + 1)) AS BIGINT) AS pos, unnest(g) A
 FROM (SELECT post_id, {ngrams_sql('f', 2)} AS g FROM filtered) x""", ["v_posts"], [EN_POSTS, FILTERED]))
 def ngrams_of_row(inp: Inputs) -> DataFrame:
     g = with_ngrams(en_posts(inp), "text", 2, "g", keep=["post_id"])
-    g = g.select("post_id", F.posexplode("g").alias("pos", "ngram"))
+    g = explode_ngrams(g, "g", "ngram", position="pos")
     return g.withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
 
