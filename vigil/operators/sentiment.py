@@ -49,12 +49,13 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     """id, kept columns, neg, neu, pos, compound, sentiment (label)."""
     lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
     lex = broadcast_if_bounded(lex, max_lexicon_rows)
-    x = _exploded(df, id_col, text, keep)
+    keep = [c for c in keep if c != id_col]
+    # Only (id, word) rides through the explode: carrying wide columns would copy each text once
+    # per word. Kept columns are joined back to the per-id scores (one row per text).
+    x = _exploded(df, id_col, text, ())
     x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
     v = F.when(F.col("__w").isNotNull(), F.coalesce(F.col("__v"), F.lit(0.0)))
-    aggs = [F.first(c).alias(c) for c in keep if c != id_col]
     g = x.groupBy(id_col).agg(
-        *aggs,
         F.coalesce(F.sum(F.when(v > 0, v + 1)), F.lit(0.0)).alias("__pos"),
         F.coalesce(F.sum(F.when(v < 0, v - 1)), F.lit(0.0)).alias("__neg"),
         F.count(F.when(v == 0, F.lit(1))).cast("double").alias("__neu"),
@@ -67,10 +68,13 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 
     s = F.col("__s")
     compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
-    out = g.select(id_col, *[c for c in keep if c != id_col],
-                   share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
+    out = g.select(id_col, share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
                    compound.alias("compound"))
-    return out.withColumn("sentiment", sentiment_label("neg", "pos"))
+    out = out.withColumn("sentiment", sentiment_label("neg", "pos"))
+    if keep:
+        out = df.select(id_col, *keep).join(out, id_col, "left")
+        out = out.select(id_col, *keep, "neg", "neu", "pos", "compound", "sentiment")
+    return out
 
 
 def score_polarity(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, token_col: str = "token",
