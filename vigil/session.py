@@ -63,3 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d if "://" in d else os.path.abspath(d))
     return d
+
+
+def materialize(df, eager: bool = True):
+    """Cut the lineage of a DataFrame that several branches reuse: a reliable checkpoint into the
+    shared ``spark.checkpoint.dir`` (it survives the loss of executors, unlike a local one)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
