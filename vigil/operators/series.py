@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 from vigil.operators.shape import clamp0
+from vigil.session import materialize
 
 
 def lag_days(df: DataFrame, keys: Sequence[str], date: str, columns: Sequence[str], days: int = 7,
@@ -77,7 +79,15 @@ def day_counter_table(df: DataFrame, date: str, order_by: Sequence[str] | None =
 
 
 def day_counter(df: DataFrame, date: str, order_by: Sequence[str] | None = None,
-                mode: str = "first_seen", name: str = "contador_dia") -> DataFrame:
-    """Attach the day counter by date (null dates get null)."""
+                mode: str = "first_seen", name: str = "contador_dia", stage: bool = True,
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Attach the day counter by date (null dates get null).
+
+    With ``stage`` the counter table (one row per distinct date) is checkpointed once and, when
+    its row count is within the bound, broadcast: the data side is then never shuffled on the
+    date, so a date holding a large share of the rows cannot skew a join partition.
+    """
     counter = day_counter_table(df, date, order_by, mode, name)
+    if stage:
+        counter = broadcast_if_bounded(materialize(counter), max_broadcast_rows)
     return df.join(counter, on=date, how="left")

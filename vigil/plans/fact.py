@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.aggregate import group_sum, unify
+from vigil.operators.joins import broadcast_if_bounded
 from vigil.operators.lookup import attach_side_measure, prefix_dimension, prefix_lookup
 from vigil.operators.series import day_counter, repair_negatives
 from vigil.operators.shape import (drop_keys_with_null, drop_value, indicator_columns, normalise_values, tag)
@@ -83,7 +84,8 @@ def covid_part(cases: DataFrame, vaccinations: DataFrame, p: FactParams) -> tupl
         # the cleaned cases feed the dimension (used by three other datasets), the counter, both
         # sides of the repair join and the vaccination join: compute them once
         c = materialize(c)
-    dim = prefix_dimension(c, "country", "continent", p.prefix_length)
+    # distinct (prefix, continent) pairs: broadcast to the three lookups behind a row-count check
+    dim = broadcast_if_bounded(prefix_dimension(c, "country", "continent", p.prefix_length))
     c = _counter(c, p.cases_order)
     c = repair_negatives(c, ["country"], "date", ["tt_cases", "tt_deaths"], days=p.repair_days)
     c = attach_side_measure(c, vaccinations, ["date", "id"], ["date", "iso_code"], ["people_fully_vaccinated"])
