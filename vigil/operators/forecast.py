@@ -91,6 +91,7 @@ def _changepoint_fit(pdf: pd.DataFrame, keys: list[str], ds: str, y: str, horizo
     pdf = pdf.sort_values(ds)
     d = pd.to_datetime(pdf[ds]).to_numpy(dtype="datetime64[D]").astype(np.int64).astype(float)
     yy = pdf[y].astype(float).to_numpy()
+    wts = pdf["__n"].astype(float).to_numpy()   # observations behind each daily mean
     n = len(d)
     future = np.arange(d[-1] + 1, d[-1] + horizon + 1, dtype=float)
     allt = np.concatenate([d, future])
@@ -107,9 +108,12 @@ def _changepoint_fit(pdf: pd.DataFrame, keys: list[str], ds: str, y: str, horizo
     Xh = X[:n]
     pen = np.full(X.shape[1], ridge)
     pen[:2] = 0.0
-    beta = np.linalg.solve(Xh.T @ Xh + np.diag(pen) + 1e-9 * np.eye(X.shape[1]), Xh.T @ yy)
+    xtw = Xh.T * wts
+    beta = np.linalg.solve(xtw @ Xh + np.diag(pen) + 1e-9 * np.eye(X.shape[1]), xtw @ yy)
     fit = X @ beta
-    sigma = float(np.std(yy - fit[:n], ddof=1)) if n > 1 else float("nan")
+    res = yy - fit[:n]
+    dof = wts.sum() - 1.0
+    sigma = float(np.sqrt((wts * res * res).sum() / dof)) if dof > 0 else float("nan")
     out = pd.DataFrame({ds: pd.to_datetime(allt, unit="D").date,
                         "yhat": fit, "yhat_lower": fit - z * sigma, "yhat_upper": fit + z * sigma})
     for key in keys:
@@ -124,7 +128,9 @@ def forecast_changepoint(series: DataFrame, keys: Sequence[str], ds: str = "ds",
     z = z_value(level)
     schema_keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema.fields if f.name in keys)
     schema = f"{schema_keys}, {ds} date, yhat double, yhat_lower double, yhat_upper double"
-    s = series.select(*keys, ds, F.col(y).cast("double").alias(y))
+    # one row per (series, day) before grouping: a group holds at most the days of its calendar,
+    # whatever the number of raw rows behind them (daily mean, weighted by its count)
+    s = series.groupBy(*keys, ds).agg(F.avg(F.col(y).cast("double")).alias(y), F.count(F.lit(1)).alias("__n"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return _changepoint_fit(pdf, keys, ds, y, horizon, z, n_changepoints, fourier_order, ridge)
