@@ -120,3 +120,44 @@ def test_date_text_layouts(spark):
 def test_period_stamps():
     run = PostsRun.daily(D(2021, 5, 10))
     assert (run.since, run.until) == (D(2021, 5, 9), D(2021, 5, 10))
+
+
+def _rules(spark, text, lexicon):
+    from vigil.operators.sentiment import score_sentiment_rules
+    df = spark.createDataFrame([(1, text)], "id long, t string")
+    lex = spark.createDataFrame(list(lexicon.items()), "token string, valence double")
+    return score_sentiment_rules(df, "id", "t", lex).first()
+
+
+def _expected(vals, n_neutral, amp=0.0):
+    s = sum(vals)
+    s = s + amp if s > 0 else (s - amp if s < 0 else s)
+    ps = sum(v + 1 for v in vals if v > 0)
+    ns = sum(v - 1 for v in vals if v < 0)
+    if ps > abs(ns):
+        ps += amp
+    elif ps < abs(ns):
+        ns -= amp
+    tot = ps + abs(ns) + n_neutral
+    return (round(abs(ns / tot), 3), round(n_neutral / tot, 3), round(ps / tot, 3),
+            round(s / (s * s + 15) ** 0.5, 4))
+
+
+def test_sentiment_rules(spark):
+    lex = {"good": 2.0, "bad": -2.0}
+    cases = {
+        "not good": ([2.0 * -0.74], 1),                 # negation one word before
+        "very good": ([2.0 + 0.293], 1),                # booster
+        "very, very good": ([2.0 + 0.293 + 0.293 * 0.95], 2),
+        "GOOD day": ([2.0 + 0.733], 1),                 # capitals in a mixed-case text
+        "GOOD": ([2.0], 0),                             # all caps text: no emphasis
+        "good but bad": ([2.0 * 0.5, -2.0 * 1.5], 1),  # 'but'
+        "just plain good": ([2.0], 2),
+    }
+    for text, (vals, neu) in cases.items():
+        r = _rules(spark, text, lex)
+        assert (r.neg, r.neu, r.pos, r.compound) == _expected(vals, neu), text
+    r = _rules(spark, "good!!", lex)
+    assert (r.neg, r.neu, r.pos, r.compound) == _expected([2.0], 0, amp=2 * 0.292)
+    r = _rules(spark, "", lex)
+    assert (r.neg, r.neu, r.pos, r.compound, r.sentiment) == (0.0, 0.0, 0.0, 0.0, "neutral")

@@ -29,6 +29,38 @@ from vigil.operators.joins import broadcast_if_bounded
 ALPHA = 15.0  # fixed value: normalisation constant of the compound score
 PUNCT_EDGES = r"^\p{Punct}+|\p{Punct}+$"
 
+# Constants and single-word lists of the published rule-based valence scorer.
+B_INCR = 0.293
+B_DECR = -0.293
+C_INCR = 0.733
+N_SCALAR = -0.74
+BOOSTER_DISTANCE_SCALE = (1.0, 0.95, 0.9)
+BUT_BEFORE, BUT_AFTER = 0.5, 1.5
+EXCLAMATION_STEP, EXCLAMATION_MAX = 0.292, 4
+QUESTION_STEP, QUESTION_CAP = 0.18, 0.96
+NEGATIONS = (
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "ain't", "aren't", "can't",
+    "couldn't", "daren't", "didn't", "doesn't", "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt",
+    "neither", "don't", "hadn't", "hasn't", "haven't", "isn't", "mightn't", "mustn't", "neednt", "needn't",
+    "never", "none", "nope", "nor", "not", "nothing", "nowhere", "oughtnt", "shant", "shouldnt", "uhuh",
+    "wasnt", "werent", "oughtn't", "shan't", "shouldn't", "uh-uh", "wasn't", "weren't", "without", "wont",
+    "wouldnt", "won't", "wouldn't", "rarely", "seldom", "despite",
+)
+BOOST_UP = (
+    "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably", "decidedly", "deeply",
+    "effing", "enormous", "enormously", "entirely", "especially", "exceptional", "exceptionally", "extreme",
+    "extremely", "fabulously", "flipping", "flippin", "frackin", "fracking", "fricking", "frickin", "frigging",
+    "friggin", "fully", "fuckin", "fucking", "fuggin", "fugging", "greatly", "hella", "highly", "hugely",
+    "incredible", "incredibly", "intensely", "major", "majorly", "more", "most", "particularly", "purely",
+    "quite", "really", "remarkably", "so", "substantially", "thoroughly", "total", "totally", "tremendous",
+    "tremendously", "uber", "unbelievably", "unusually", "utter", "utterly", "very",
+)
+BOOST_DOWN = (
+    "almost", "barely", "hardly", "kinda", "kindof", "kind-of", "less", "little", "marginal", "marginally",
+    "occasional", "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta",
+    "sortof", "sort-of",
+)
+
 
 def scorer_words(text: Column | str) -> Column:
     """Words of a text as the scorer sees them (see module doc)."""
@@ -77,6 +109,107 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     return out
 
 
+def _is_upper(w: Column) -> Column:
+    """All cased characters upper-case, and at least one cased character."""
+    return (w == F.upper(w)) & (w != F.lower(w))
+
+
+def _count_char(text: Column, ch: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
+
+
+def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
+                          keep: Sequence[str] = (), token_col: str = "token", valence_col: str = "valence",
+                          max_lexicon_rows: int = 1_000_000) -> DataFrame:
+    """The scorer with its positional rules, applied to every word found in the lexicon:
+
+    * capitals: an all-caps word in a text that is not all caps moves by C_INCR away from 0;
+    * for each of the three preceding words that is not itself in the lexicon: a booster adds
+      +-B_INCR (sign of the valence, x0.95 / x0.9 at distance 2 / 3, +-C_INCR when in capitals),
+      then a negation word (or one containing "n't") multiplies the valence by N_SCALAR;
+    * 'but': valences before the first 'but' x0.5, after it x1.5;
+    * '!' (up to 4) and '?' (more than one) amplify the sum and the dominant share.
+
+    Plan: the three predecessors of every word come from array positions before the explode (no
+    per-text window, so no shuffle of words); four broadcast joins with the size-checked lexicon;
+    then the same per-text partial + final aggregation as the base form.
+    """
+    t = F.col(text)
+    lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
+    lex = broadcast_if_bounded(lex, max_lexicon_rows)
+    keep = [c for c in keep if c != id_col]
+    base = df.select(id_col, scorer_words(t).alias("__ws"), _count_char(t, "!").alias("__excl"),
+                     _count_char(t, "?").alias("__qm"))
+    ws = F.col("__ws")
+    n_upper = F.size(F.filter(ws, _is_upper))
+    units = F.transform(ws, lambda w, i: F.struct(
+        w.alias("w"), (i + 1).alias("pos"),
+        F.when(i >= 1, F.element_at(ws, i)).alias("p1"),
+        F.when(i >= 2, F.element_at(ws, i - 1)).alias("p2"),
+        F.when(i >= 3, F.element_at(ws, i - 2)).alias("p3")))
+    # per-text flags first, so that the explode carries only scalars besides the generated
+    # struct (an array column next to an explode would be copied into every word's row)
+    flags = base.select(id_col, "__excl", "__qm", "__ws",
+                        ((n_upper > 0) & (n_upper < F.size(ws))).alias("__cd"),
+                        F.array_position(F.transform(ws, F.lower), "but").alias("__bp"))
+    x = flags.select(id_col, "__excl", "__qm", "__cd", "__bp", F.explode_outer(units).alias("__u"))
+    x = x.select(id_col, "__excl", "__qm", "__cd", "__bp", F.col("__u.w").alias("__w"),
+                 F.col("__u.pos").alias("__pos"), *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)])
+    x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left").drop("__t")
+    for k in (1, 2, 3):
+        lk = lex.select(F.col("__t").alias(f"__t{k}"))
+        x = x.join(lk, F.lower(F.col(f"__p{k}")) == F.col(f"__t{k}"), "left")
+    cd = F.col("__cd")
+    v = F.col("__v")
+    x = x.withColumn("__v", F.when(_is_upper(F.col("__w")) & cd,
+                                   F.when(v > 0, v + C_INCR).otherwise(v - C_INCR)).otherwise(v))
+    for k, scale in zip((1, 2, 3), BOOSTER_DISTANCE_SCALE):
+        p, v = F.col(f"__p{k}"), F.col("__v")
+        low = F.lower(p)
+        applies = p.isNotNull() & F.col(f"__t{k}").isNull() & v.isNotNull()
+        raw = F.when(low.isin(*BOOST_UP), F.lit(B_INCR)).when(low.isin(*BOOST_DOWN), F.lit(B_DECR)) \
+            .otherwise(F.lit(0.0))
+        signed = F.when(v < 0, -raw).otherwise(raw)
+        capped = F.when((signed != 0) & _is_upper(p) & cd,
+                        F.when(v > 0, signed + C_INCR).otherwise(signed - C_INCR)).otherwise(signed)
+        x = x.withColumn("__v", F.when(applies, v + capped * F.lit(scale)).otherwise(v))
+        v = F.col("__v")
+        negated = low.isin(*NEGATIONS) | low.contains("n't")
+        x = x.withColumn("__v", F.when(applies & negated, v * F.lit(N_SCALAR)).otherwise(v))
+    v, bp, pos = F.col("__v"), F.col("__bp"), F.col("__pos")
+    x = x.withColumn("__v", F.when((bp > 0) & (pos < bp), v * F.lit(BUT_BEFORE))
+                     .when((bp > 0) & (pos > bp), v * F.lit(BUT_AFTER)).otherwise(v))
+    val = F.when(F.col("__w").isNotNull(), F.coalesce(F.col("__v"), F.lit(0.0)))
+    g = x.groupBy(id_col).agg(
+        F.coalesce(F.sum(F.when(val > 0, val + 1)), F.lit(0.0)).alias("__pos"),
+        F.coalesce(F.sum(F.when(val < 0, val - 1)), F.lit(0.0)).alias("__neg"),
+        F.count(F.when(val == 0, F.lit(1))).cast("double").alias("__neu"),
+        F.coalesce(F.sum(val), F.lit(0.0)).alias("__s"),
+        F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"))
+    qm = F.col("__qm")
+    amp = (F.least(F.col("__excl"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
+           + F.when(qm > 3, F.lit(QUESTION_CAP)).when(qm > 1, qm * F.lit(QUESTION_STEP)).otherwise(F.lit(0.0)))
+    s0, p0, n0 = F.col("__s"), F.col("__pos"), F.col("__neg")
+    g = g.select(id_col, F.col("__neu"),
+                 F.when(s0 > 0, s0 + amp).when(s0 < 0, s0 - amp).otherwise(s0).alias("__s"),
+                 F.when(p0 > F.abs(n0), p0 + amp).otherwise(p0).alias("__pos"),
+                 F.when(p0 < F.abs(n0), n0 - amp).otherwise(n0).alias("__neg"))
+    total = F.col("__pos") + F.abs(F.col("__neg")) + F.col("__neu")
+
+    def share(c: str) -> Column:
+        return F.when(total > 0, F.round(F.abs(F.col(c) / total), 3)).otherwise(F.lit(0.0))
+
+    s = F.col("__s")
+    compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
+    out = g.select(id_col, share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
+                   compound.alias("compound"))
+    out = out.withColumn("sentiment", sentiment_label("neg", "pos"))
+    if keep:
+        out = df.select(id_col, *keep).join(out, id_col, "left")
+        out = out.select(id_col, *keep, "neg", "neu", "pos", "compound", "sentiment")
+    return out
+
+
 def score_polarity(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, token_col: str = "token",
                    polarity_col: str = "polarity", subjectivity_col: str = "subjectivity",
                    max_lexicon_rows: int = 1_000_000) -> DataFrame:

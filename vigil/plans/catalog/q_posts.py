@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vigil.functions.dates import date_text, epoch_seconds
 from vigil.operators.search import PostFilter, search_posts
 from vigil.plans.catalog.base import oracle, register
-from vigil.plans.catalog.q_text import SCORES_CTES, clean_sql, lexicon_df
+from vigil.plans.catalog.q_text import RULES_CTES, clean_sql, lexicon_df
 from vigil.plans.posts import PostsRun, build_posts
 from vigil.session import scratch_path
 from vigil.sinks.tables import write_daily
@@ -124,8 +124,8 @@ def src_posts_window(inp: Inputs) -> DataFrame:
 WINDOW_POSTS = ("en_posts", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts "
                             "WHERE language = 'en' AND ts >= TIMESTAMP '2024-01-01 00:00:00' "
                             "AND ts < TIMESTAMP '2024-01-31 00:00:00'")
-MART_SQL = oracle("SELECT post_id, date, tweet, text, sentiment FROM labelled", ["v_posts"],
-                  [WINDOW_POSTS, *SCORES_CTES])
+MART_SQL = oracle("SELECT p.post_id, p.date, p.tweet, p.text, r.sentiment FROM en_posts p "
+                  "JOIN rlabelled r ON p.post_id = r.post_id", ["v_posts"], [WINDOW_POSTS, *RULES_CTES])
 
 
 def posts_outputs(inp: Inputs):

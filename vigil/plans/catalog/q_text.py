@@ -10,7 +10,7 @@ from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import (clean_text, remove_colon, remove_hash, remove_links, remove_mentions,
                                   remove_rt, remove_stopwords, sentiment_label, text_length, tokens, word_count)
 from vigil.operators.ngrams import explode_ngrams, ngram_counts, top_ngrams, with_ngrams
-from vigil.operators.sentiment import score_polarity, score_sentiment
+from vigil.operators.sentiment import score_polarity, score_sentiment, score_sentiment_rules
 from vigil.plans.catalog.base import oracle, register
 from vigil.sources.tables import Inputs
 
@@ -195,3 +195,92 @@ FROM en_posts p LEFT JOIN (SELECT w.post_id, AVG(l.polarity) AS pp, AVG(l.subjec
                              ["v_posts"], [EN_POSTS, WORDS_CTE, POL_CTE]))
 def polarity(inp: Inputs) -> DataFrame:
     return score_polarity(en_posts(inp), "post_id", "text", polarity_df(inp))
+
+
+# ---- sentiment with the positional rules ----------------------------------------------------------
+
+def _dbl(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _in_list(col: str, words) -> str:
+    return f"{col} IN (" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+
+
+def _upper(col: str) -> str:
+    return f"({col} = upper({col}) AND {col} <> lower({col}))"
+
+
+def _rules_ctes() -> list[tuple[str, str]]:
+    from vigil.operators import sentiment as S
+    strip = STRIP.replace("w0", "x")
+    ctes = [
+        ("rw", f"""SELECT post_id,
+       list_filter(list_transform(regexp_extract_all(text, '\\S+'),
+                                  lambda x: CASE WHEN length({strip}) <= 2 THEN x ELSE {strip} END),
+                   lambda t: length(t) > 1) AS ws,
+       length(text) - length(replace(text, '!', '')) AS excl, length(text) - length(replace(text, '?', '')) AS qm
+FROM en_posts"""),
+        ("rp", f"""SELECT post_id, excl, qm, ws, len(list_filter(ws, lambda w: {_upper('w')})) AS n_up, len(ws) AS n_w,
+       COALESCE(list_position(list_transform(ws, lambda w: lower(w)), 'but'), 0) AS bp FROM rw"""),
+        ("ru", "SELECT post_id, excl, qm, (n_up > 0 AND n_up < n_w) AS cd, bp, unnest(ws) AS w, "
+               "unnest(range(1, n_w + 1)) AS pos FROM rp"),
+        ("rl", "SELECT *, lag(w, 1) OVER win AS p1, lag(w, 2) OVER win AS p2, lag(w, 3) OVER win AS p3 FROM ru "
+               "WINDOW win AS (PARTITION BY post_id ORDER BY pos)"),
+        ("r0", f"""SELECT r.*, l1.token IS NULL AS out1, l2.token IS NULL AS out2, l3.token IS NULL AS out3,
+       CASE WHEN {_upper('r.w')} AND r.cd THEN (CASE WHEN l.valence > 0 THEN l.valence + {_dbl(S.C_INCR)}
+            ELSE l.valence - {_dbl(S.C_INCR)} END) ELSE l.valence END AS v
+FROM rl r LEFT JOIN lex l ON lower(r.w) = l.token LEFT JOIN lex l1 ON lower(r.p1) = l1.token
+LEFT JOIN lex l2 ON lower(r.p2) = l2.token LEFT JOIN lex l3 ON lower(r.p3) = l3.token"""),
+    ]
+    prev = "r0"
+    for k, scale in zip((1, 2, 3), S.BOOSTER_DISTANCE_SCALE):
+        p = f"p{k}"
+        applies = f"({p} IS NOT NULL AND out{k} AND v IS NOT NULL)"
+        raw = (f"(CASE WHEN {_in_list(f'lower({p})', S.BOOST_UP)} THEN {_dbl(S.B_INCR)} "
+               f"WHEN {_in_list(f'lower({p})', S.BOOST_DOWN)} THEN {_dbl(S.B_DECR)} ELSE {_dbl(0.0)} END)")
+        signed = f"(CASE WHEN v < 0 THEN -{raw} ELSE {raw} END)"
+        capped = (f"(CASE WHEN {signed} <> 0 AND {_upper(p)} AND cd THEN (CASE WHEN v > 0 THEN {signed} + "
+                  f"{_dbl(S.C_INCR)} ELSE {signed} - {_dbl(S.C_INCR)} END) ELSE {signed} END)")
+        ctes.append((f"rb{k}", f"SELECT * REPLACE (CASE WHEN {applies} THEN v + {capped} * {_dbl(scale)} "
+                               f"ELSE v END AS v) FROM {prev}"))
+        negated = f"({_in_list(f'lower({p})', S.NEGATIONS)} OR contains(lower({p}), 'n''t'))"
+        ctes.append((f"rn{k}", f"SELECT * REPLACE (CASE WHEN {applies} AND {negated} THEN v * {_dbl(S.N_SCALAR)} "
+                               f"ELSE v END AS v) FROM rb{k}"))
+        prev = f"rn{k}"
+    ctes += [
+        ("rbut", f"""SELECT * REPLACE (CASE WHEN bp > 0 AND pos < bp THEN v * {_dbl(S.BUT_BEFORE)}
+       WHEN bp > 0 AND pos > bp THEN v * {_dbl(S.BUT_AFTER)} ELSE v END AS v) FROM {prev}"""),
+        ("rg", """SELECT post_id, COALESCE(SUM(CASE WHEN val > 0 THEN val + 1 END), 0.0) AS ps,
+       COALESCE(SUM(CASE WHEN val < 0 THEN val - 1 END), 0.0) AS ns,
+       CAST(COUNT(CASE WHEN val = 0 THEN 1 END) AS DOUBLE) AS nu, COALESCE(SUM(val), 0.0) AS s,
+       MAX(excl) AS excl, MAX(qm) AS qm
+FROM (SELECT *, COALESCE(v, 0.0) AS val FROM rbut) z GROUP BY post_id"""),
+        ("ra", f"""SELECT *, least(excl, {S.EXCLAMATION_MAX}) * {_dbl(S.EXCLAMATION_STEP)}
+       + CASE WHEN qm > 3 THEN {_dbl(S.QUESTION_CAP)} WHEN qm > 1 THEN qm * {_dbl(S.QUESTION_STEP)}
+              ELSE {_dbl(0.0)} END AS amp FROM rg"""),
+        ("rs", """SELECT p.post_id,
+       COALESCE(CASE WHEN a.s > 0 THEN a.s + a.amp WHEN a.s < 0 THEN a.s - a.amp ELSE a.s END, 0.0) AS s,
+       COALESCE(CASE WHEN a.ps > abs(a.ns) THEN a.ps + a.amp ELSE a.ps END, 0.0) AS ps,
+       COALESCE(CASE WHEN a.ps < abs(a.ns) THEN a.ns - a.amp ELSE a.ns END, 0.0) AS ns,
+       COALESCE(a.nu, 0.0) AS nu
+FROM en_posts p LEFT JOIN ra a ON p.post_id = a.post_id"""),
+        ("rscores", """SELECT post_id,
+       CASE WHEN ps + abs(ns) + nu > 0 THEN round(abs(ns / (ps + abs(ns) + nu)), 3) ELSE 0.0 END AS neg,
+       CASE WHEN ps + abs(ns) + nu > 0 THEN round(abs(nu / (ps + abs(ns) + nu)), 3) ELSE 0.0 END AS neu,
+       CASE WHEN ps + abs(ns) + nu > 0 THEN round(abs(ps / (ps + abs(ns) + nu)), 3) ELSE 0.0 END AS pos,
+       CASE WHEN s <> 0 THEN round(s / sqrt(s * s + 15.0), 4) ELSE 0.0 END AS compound
+FROM rs"""),
+        ("rlabelled", "SELECT *, CASE WHEN neg > pos THEN 'negative' WHEN pos > neg THEN 'positive' "
+                      "ELSE 'neutral' END AS sentiment FROM rscores"),
+    ]
+    return ctes
+
+
+RULES_CTES = [LEX_CTE, *_rules_ctes()]
+
+
+@register("sentiment_rules", oracle("SELECT post_id, neg, neu, pos, compound, sentiment FROM rlabelled",
+                                    ["v_posts"], [EN_POSTS, *RULES_CTES]))
+def sentiment_rules(inp: Inputs) -> DataFrame:
+    return score_sentiment_rules(en_posts(inp), "post_id", "text", lexicon_df(inp))

@@ -18,7 +18,7 @@ from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import clean_text, text_length, word_count
 from vigil.operators.ngrams import top_ngrams
 from vigil.operators.search import PostFilter, search_posts
-from vigil.operators.sentiment import score_sentiment
+from vigil.operators.sentiment import score_sentiment, score_sentiment_rules
 
 MART_COLUMNS = ["date", "tweet", "text", "sentiment"]
 TOP_K = 20  # fixed value: n-grams kept per run
@@ -52,8 +52,10 @@ def with_lengths(df: DataFrame) -> DataFrame:
     return df.withColumns({"text_len": text_length("text"), "text_word_count": word_count("text")})
 
 
-def posts_mart(clean: DataFrame, lexicon: DataFrame) -> DataFrame:
-    scored = score_sentiment(clean, "post_id", "text", lexicon, keep=["date", "tweet", "text"])
+def posts_mart(clean: DataFrame, lexicon: DataFrame, rules: bool = True) -> DataFrame:
+    """date, tweet, text and the sentiment label (with the positional rules by default)."""
+    score = score_sentiment_rules if rules else score_sentiment
+    scored = score(clean, "post_id", "text", lexicon, keep=["date", "tweet", "text"])
     return scored.select("post_id", *MART_COLUMNS)
 
 
