@@ -131,8 +131,10 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     * '!' (up to 4) and '?' (more than one) amplify the sum and the dominant share.
 
     Plan: the three predecessors of every word come from array positions before the explode (no
-    per-text window, so no shuffle of words); four broadcast joins with the size-checked lexicon;
-    then the same per-text partial + final aggregation as the base form.
+    per-text window, so no shuffle of words); one broadcast join with the size-checked lexicon keeps
+    only the words found in it (plus one carrier row per text), and three more lookups flag
+    predecessors that are lexicon words; then the same per-text partial + final aggregation as the
+    base form, with the neutral count taken from the number of words.
     """
     t = F.col(text)
     lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
@@ -149,13 +151,16 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
         F.when(i >= 3, F.element_at(ws, i - 2)).alias("p3")))
     # per-text flags first, so that the explode carries only scalars besides the generated
     # struct (an array column next to an explode would be copied into every word's row)
-    flags = base.select(id_col, "__excl", "__qm", "__ws",
+    flags = base.select(id_col, "__excl", "__qm", "__ws", F.size(ws).alias("__nw"),
                         ((n_upper > 0) & (n_upper < F.size(ws))).alias("__cd"),
                         F.array_position(F.transform(ws, F.lower), "but").alias("__bp"))
-    x = flags.select(id_col, "__excl", "__qm", "__cd", "__bp", F.explode_outer(units).alias("__u"))
-    x = x.select(id_col, "__excl", "__qm", "__cd", "__bp", F.col("__u.w").alias("__w"),
+    x = flags.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp", F.explode_outer(units).alias("__u"))
+    x = x.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
                  F.col("__u.pos").alias("__pos"), *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)])
     x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left").drop("__t")
+    # only words found in the lexicon can score; keep those plus one carrier row per text (its
+    # first word, or the null row of an empty text). Neutral words are counted from the length.
+    x = x.where(F.col("__v").isNotNull() | (F.col("__pos") == 1) | F.col("__w").isNull())
     for k in (1, 2, 3):
         lk = lex.select(F.col("__t").alias(f"__t{k}"))
         x = x.join(lk, F.lower(F.col(f"__p{k}")) == F.col(f"__t{k}"), "left")
@@ -179,11 +184,11 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     v, bp, pos = F.col("__v"), F.col("__bp"), F.col("__pos")
     x = x.withColumn("__v", F.when((bp > 0) & (pos < bp), v * F.lit(BUT_BEFORE))
                      .when((bp > 0) & (pos > bp), v * F.lit(BUT_AFTER)).otherwise(v))
-    val = F.when(F.col("__w").isNotNull(), F.coalesce(F.col("__v"), F.lit(0.0)))
+    val = F.col("__v")
     g = x.groupBy(id_col).agg(
         F.coalesce(F.sum(F.when(val > 0, val + 1)), F.lit(0.0)).alias("__pos"),
         F.coalesce(F.sum(F.when(val < 0, val - 1)), F.lit(0.0)).alias("__neg"),
-        F.count(F.when(val == 0, F.lit(1))).cast("double").alias("__neu"),
+        (F.max("__nw") - F.count(val) + F.count(F.when(val == 0, F.lit(1)))).cast("double").alias("__neu"),
         F.coalesce(F.sum(val), F.lit(0.0)).alias("__s"),
         F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"))
     qm = F.col("__qm")
