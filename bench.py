@@ -30,7 +30,8 @@ HEADLINE = [
     "top_bigrams",              # tokens -> stop words -> bigrams -> counts -> top 20
     "top_trigrams",
     "sentiment_scores",         # lexicon scoring per post
-    "posts_mart",               # posts job (search, clean, score)
+    "sentiment_rules",          # lexicon scoring with the positional rules
+    "posts_mart",               # posts job (search, clean, score with rules)
     "forecast_top_countries",   # 15 series x (trend, weekly effect, band) + 60-day spine
     "ols_chart_data",           # per-country regressions and fitted values
 ]

@@ -62,3 +62,27 @@ def test_posts_scan_prunes_partitions(spark, tmp_dir):
     p = plan(q)
     assert "PartitionFilters: [isnotnull(date" in p
     assert "EqualTo(language,en)" in p
+
+
+def test_repair_join_spreads_a_hot_country(spark):
+    # the self-join is keyed on (country, date): one country with a third of the rows still
+    # spreads over its dates
+    p = plan(REGISTRY["repair_negatives"].build(Inputs(spark, SF_SMALL)))
+    exchanges = [line for line in p.splitlines() if "hashpartitioning(" in line]
+    assert any("country" in line and "date" in line for line in exchanges)
+    assert not any("hashpartitioning(country" in line and "date" not in line for line in exchanges)
+
+
+def test_day_counter_is_broadcast_not_shuffled_on_date(spark):
+    p = plan(REGISTRY["join_day_counter"].build(Inputs(spark, SF_SMALL)))
+    assert "BroadcastHashJoin" in p
+    assert not any("hashpartitioning(date" in line for line in p.splitlines())
+
+
+def test_sentiment_explode_carries_no_text(spark):
+    p = plan(REGISTRY["posts_mart"].build(Inputs(spark, SF_SMALL)))
+    gen = [line for line in p.splitlines() if line.strip().startswith("Arguments: explode")]
+    assert gen
+    for line in gen:
+        carried = line.rsplit("], true, [", 1)[0].rsplit("[", 1)[-1]
+        assert "tweet" not in carried and "text" not in carried and "__ws" not in carried
