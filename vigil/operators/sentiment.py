@@ -143,21 +143,26 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     base = df.select(id_col, scorer_words(t).alias("__ws"), _count_char(t, "!").alias("__excl"),
                      _count_char(t, "?").alias("__qm"))
     ws = F.col("__ws")
+    n = F.size(ws)
     n_upper = F.size(F.filter(ws, _is_upper))
-    units = F.transform(ws, lambda w, i: F.struct(
-        w.alias("w"), (i + 1).alias("pos"),
-        F.when(i >= 1, F.element_at(ws, i)).alias("p1"),
-        F.when(i >= 2, F.element_at(ws, i - 1)).alias("p2"),
-        F.when(i >= 3, F.element_at(ws, i - 2)).alias("p3")))
-    # per-text flags first, so that the explode carries only scalars besides the generated
-    # struct (an array column next to an explode would be copied into every word's row)
-    flags = base.select(id_col, "__excl", "__qm", "__ws", F.size(ws).alias("__nw"),
-                        ((n_upper > 0) & (n_upper < F.size(ws))).alias("__cd"),
-                        F.array_position(F.transform(ws, F.lower), "but").alias("__bp"))
-    x = flags.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp", F.explode_outer(units).alias("__u"))
+
+    def shifted(k: int) -> Column:
+        # element i holds word i-k (null for the first k): built natively, same length as ws
+        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), k), ws), 1, n)
+
+    # per-text flags and the aligned arrays first, so that the explode carries only scalars besides
+    # the generated struct (an array column next to an explode is copied into every word's row)
+    flags = base.select(id_col, "__excl", "__qm", n.alias("__nw"),
+                        ((n_upper > 0) & (n_upper < n)).alias("__cd"),
+                        ws.alias("w"), F.transform(ws, F.lower).alias("lw"),
+                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)])
+    flags = flags.withColumn("__bp", F.array_position("lw", "but"))
+    x = flags.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp",
+                     F.posexplode_outer(F.arrays_zip("w", "lw", "p1", "p2", "p3")).alias("__i", "__u"))
     x = x.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
-                 F.col("__u.pos").alias("__pos"), *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)])
-    x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left").drop("__t")
+                 F.col("__u.lw").alias("__lw"), (F.col("__i") + 1).alias("__pos"),
+                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)])
+    x = x.join(lex, F.col("__lw") == F.col("__t"), "left").drop("__t")
     # only words found in the lexicon can score; keep those plus one carrier row per text (its
     # first word, or the null row of an empty text). Neutral words are counted from the length.
     x = x.where(F.col("__v").isNotNull() | (F.col("__pos") == 1) | F.col("__w").isNull())
