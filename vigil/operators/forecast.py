@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigil.session import ship_package
+
 HORIZON = 60     # fixed value: days forecast after the last observation
 LEVEL = 0.95     # fixed value: width of the interval
 
@@ -126,6 +128,7 @@ def forecast_changepoint(series: DataFrame, keys: Sequence[str], ds: str = "ds",
                          fourier_order: int = 3, ridge: float = 1.0) -> DataFrame:
     keys = list(keys)
     z = z_value(level)
+    ship_package(series.sparkSession)   # the per-series fit runs in the Python workers
     schema_keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema.fields if f.name in keys)
     schema = f"{schema_keys}, {ds} date, yhat double, yhat_lower double, yhat_upper double"
     # one row per (series, day) before grouping: a group holds at most the days of its calendar,
