@@ -28,7 +28,7 @@ def load_days(spark: SparkSession, landing: str, schema: StructType, out: str, l
     posts = spark.read.schema(schema).parquet(landing)
     for day in sorted(days):
         run = PostsRun.daily(day + timedelta(days=1), lang=lang)   # the run on D+1 loads the posts of D
-        mart, bigrams, trigrams = build_posts(posts, run, lexicon)
+        mart, bigrams, trigrams = build_posts(posts, run, lexicon, stage=True)
         write_daily(mart, f"{out}/posts")
         write_daily(bigrams, f"{out}/bigrams")
         write_daily(trigrams, f"{out}/trigrams")
