@@ -50,10 +50,14 @@ def coverage(df: DataFrame, group: str, date: str) -> DataFrame:
     return df.groupBy(group).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"))
 
 
-def unique_values(df: DataFrame, column: str, name: str | None = None, sep: str = ",") -> DataFrame:
-    """Sorted distinct values as one list (only for columns with a bounded number of values)."""
+def unique_values(df: DataFrame, column: str, name: str | None = None, sep: str = ",",
+                  max_values: int = 10_000) -> DataFrame:
+    """Sorted distinct values as one list. The list is one row, so the number of distinct values is
+    checked first (bounded count) and a column with more than ``max_values`` is refused."""
     name = name or f"{column}_values"
     vals = df.select(column).distinct()
+    if vals.limit(max_values + 1).count() > max_values:
+        raise ValueError(f"{column} has more than {max_values} distinct values; not collecting them into one row")
     return vals.agg(F.array_join(F.sort_array(F.collect_list(column)), sep).alias(name))
 
 
