@@ -102,6 +102,22 @@ def ngrams(toks: Column, n: int, sep: str = " ") -> Column:
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+def ngrams_of_words(toks: Column, n: int) -> Column:
+    """Contiguous n-grams of an array of white-space-free tokens (as ``tokens`` produces).
+
+    The tokens are joined by single spaces and one regex pass takes, at every token start, the n
+    tokens ahead of it (a look-ahead capture, so matches overlap). It is a single built-in
+    expression, faster than the element-wise lambdas of ``ngrams``; do not use it for tokens that
+    may contain white space.
+    """
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    if n == 1:
+        return toks
+    pattern = "(?=(" + " ".join([r"\S+"] * n) + r"))\S+"
+    return F.regexp_extract_all(F.array_join(toks, " "), F.lit(pattern), F.lit(1))
+
+
 def sentiment_label(neg: Column | str, pos: Column | str) -> Column:
     """negative if neg > pos, positive if pos > neg, neutral otherwise (also when null)."""
     neg, pos = _c(neg), _c(pos)

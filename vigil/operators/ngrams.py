@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
-from vigil.functions.text import ngrams, remove_stopwords, tokens
+from vigil.functions.text import ngrams_of_words, remove_stopwords, tokens
 
 
 def content_tokens(text: Column | str, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> Column:
@@ -26,11 +26,12 @@ def with_ngrams(df: DataFrame, text: str, n: int, out: str = "ngrams", keep: Seq
                 stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> DataFrame:
     """``keep`` columns plus the n-gram array of ``text``.
 
-    The token array is projected first and the n-grams are built over that column, so the regex
-    runs once per text; inlining it into the n-gram lambda would re-run it for every position.
+    The token array is projected first and the n-grams are built over that column, so the token
+    regex runs once per text.
     """
     toks = df.select(*keep, content_tokens(text, stopwords).alias("__toks"))
-    return toks.select(*keep, ngrams(F.col("__toks"), n).alias(out))
+    # tokens are runs of word characters, so the single-regex n-gram builder applies
+    return toks.select(*keep, ngrams_of_words(F.col("__toks"), n).alias(out))
 
 
 def ngram_counts(df: DataFrame, text: str, n: int, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> DataFrame:
