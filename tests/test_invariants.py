@@ -69,3 +69,15 @@ def test_topk_series_has_k_countries(spark):
     s = REGISTRY["topk_series"].build(_inp(spark))
     assert s.select("country").distinct().count() == 5
     assert sorted(r.contador for r in s.select("contador").distinct().collect()) == [1, 2, 3, 4, 5]
+
+
+def test_bucketed_window_lag_equals_join_across_bucket_edges(spark):
+    import datetime as dt
+    start = dt.date(2020, 1, 1)
+    rows = [(c, start + dt.timedelta(days=i), float(i * (3 if c == "A" else -2)))
+            for c in ("A", "B") for i in range(100) if not (c == "B" and i % 9 == 4)]
+    df = spark.createDataFrame(rows, "country string, date date, v double")
+    a = lag_days(df, ["country"], "date", ["v"], 7, how="join")
+    for bucket in (8, 10, 64):
+        b = lag_days(df, ["country"], "date", ["v"], 7, how="window", bucket_days=bucket)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, bucket

@@ -1,8 +1,8 @@
 """Daily series operators: value N days earlier, day counter, negative repair (J-2, W-1, W-3, F-1).
 
 The default lag is a self equi-join on (keys, date): it hash-partitions on both keys, so a country
-holding a third of all rows still spreads over its dates. The window form partitions by the keys
-only and is kept as a cross-check.
+holding a third of all rows still spreads over its dates. The window form (a cross-check) is
+partitioned by (keys, date bucket) with look-back copies at bucket edges, for the same reason.
 """
 
 from __future__ import annotations
@@ -18,17 +18,30 @@ from vigil.session import materialize
 
 
 def lag_days(df: DataFrame, keys: Sequence[str], date: str, columns: Sequence[str], days: int = 7,
-             how: str = "join", prefix: str = "lag_") -> DataFrame:
+             how: str = "join", prefix: str = "lag_", bucket_days: int = 64) -> DataFrame:
     """Add ``prefix + c``: the value of ``c`` for the same keys exactly ``days`` days earlier.
 
     Keys match null-safely. When (keys, date) repeats on the right, the join form fans out like a
     left join; the window form then takes one of them.
+
+    The window form does not partition by the keys alone (one hot key would be one task): rows are
+    bucketed by ``bucket_days``-day periods, and the rows of a bucket's last ``days`` days are also
+    emitted (one ``explode``, no second scan) as look-back copies into the next bucket. Each window
+    partition is then (keys, bucket), a key's history spreads over its buckets, and the copies are
+    dropped after the window.
     """
     keys, columns = list(keys), list(columns)
     if how == "window":
-        w = (Window.partitionBy(*keys).orderBy(F.unix_date(F.col(date)))
-             .rangeBetween(-days, -days))
-        return df.withColumns({prefix + c: F.first(F.col(c)).over(w) for c in columns})
+        if bucket_days <= days:
+            raise ValueError("bucket_days must exceed days")
+        d = F.unix_date(F.col(date))
+        copies = F.when(F.pmod(d, F.lit(bucket_days)) >= bucket_days - days, F.array(F.lit(0), F.lit(1))) \
+            .otherwise(F.array(F.lit(0)))
+        u = df.select("*", F.explode(copies).alias("__copy"))
+        u = u.withColumn("__bucket", F.floor(d / F.lit(bucket_days)) + F.col("__copy"))
+        w = Window.partitionBy(*keys, "__bucket").orderBy(d).rangeBetween(-days, -days)
+        out = u.withColumns({prefix + c: F.first(F.col(c)).over(w) for c in columns})
+        return out.where(F.col("__copy") == 0).drop("__copy", "__bucket")
     if how != "join":
         raise ValueError(how)
     right = df.select(*[F.col(k).alias(f"__lk{i}") for i, k in enumerate(keys)],
