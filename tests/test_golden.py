@@ -161,3 +161,12 @@ def test_sentiment_rules(spark):
     assert (r.neg, r.neu, r.pos, r.compound) == _expected([2.0], 0, amp=2 * 0.292)
     r = _rules(spark, "", lex)
     assert (r.neg, r.neu, r.pos, r.compound, r.sentiment) == (0.0, 0.0, 0.0, 0.0, "neutral")
+
+
+def test_sentiment_rules_keeps_columns_without_join(spark):
+    from vigil.operators.sentiment import score_sentiment_rules
+    df = spark.createDataFrame([(1, "good day", "a"), (2, "", "b"), (3, "x", "c")], "id long, t string, tag string")
+    lex = spark.createDataFrame([("good", 2.0)], "token string, valence double")
+    out = {r.id: r for r in score_sentiment_rules(df, "id", "t", lex, keep=["t", "tag"]).collect()}
+    assert {i: (r.t, r.tag) for i, r in out.items()} == {1: ("good day", "a"), 2: ("", "b"), 3: ("x", "c")}
+    assert out[1].sentiment == "positive" and out[2].compound == 0.0 and out[3].neu == 0.0

@@ -141,7 +141,8 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     lex = broadcast_if_bounded(lex, max_lexicon_rows)
     keep = [c for c in keep if c != id_col]
     base = df.select(id_col, scorer_words(t).alias("__ws"), _count_char(t, "!").alias("__excl"),
-                     _count_char(t, "?").alias("__qm"))
+                     _count_char(t, "?").alias("__qm"),
+                     *([F.struct(*[F.col(c) for c in keep]).alias("__keep")] if keep else []))
     ws = F.col("__ws")
     n = F.size(ws)
     n_upper = F.size(F.filter(ws, _is_upper))
@@ -152,16 +153,25 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
 
     # per-text flags and the aligned arrays first, so that the explode carries only scalars besides
     # the generated struct (an array column next to an explode is copied into every word's row)
+    # kept columns ride on the first position only (one copy per text, also for an empty text),
+    # so they reach the per-text aggregate without a join back to the input
+    carry = []
+    if keep:
+        keep_type = base.schema["__keep"].dataType.simpleString()
+        carry = [F.concat(F.array(F.col("__keep")),
+                          F.array_repeat(F.lit(None).cast(keep_type), F.greatest(n - 1, F.lit(0)))).alias("k")]
     flags = base.select(id_col, "__excl", "__qm", n.alias("__nw"),
                         ((n_upper > 0) & (n_upper < n)).alias("__cd"),
                         ws.alias("w"), F.transform(ws, F.lower).alias("lw"),
-                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)])
+                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)], *carry)
     flags = flags.withColumn("__bp", F.array_position("lw", "but"))
+    zipped = F.arrays_zip("w", "lw", "p1", "p2", "p3", *(["k"] if keep else []))
     x = flags.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp",
-                     F.posexplode_outer(F.arrays_zip("w", "lw", "p1", "p2", "p3")).alias("__i", "__u"))
+                     F.posexplode_outer(zipped).alias("__i", "__u"))
     x = x.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
                  F.col("__u.lw").alias("__lw"), (F.col("__i") + 1).alias("__pos"),
-                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)])
+                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)],
+                 *([F.col("__u.k").alias("__keep")] if keep else []))
     x = x.join(lex, F.col("__lw") == F.col("__t"), "left").drop("__t")
     # only words found in the lexicon can score; keep those plus one carrier row per text (its
     # first word, or the null row of an empty text). Neutral words are counted from the length.
@@ -195,12 +205,13 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
         F.coalesce(F.sum(F.when(val < 0, val - 1)), F.lit(0.0)).alias("__neg"),
         (F.max("__nw") - F.count(val) + F.count(F.when(val == 0, F.lit(1)))).cast("double").alias("__neu"),
         F.coalesce(F.sum(val), F.lit(0.0)).alias("__s"),
-        F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"))
+        F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"),
+        *([F.first("__keep", ignorenulls=True).alias("__keep")] if keep else []))
     qm = F.col("__qm")
     amp = (F.least(F.col("__excl"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
            + F.when(qm > 3, F.lit(QUESTION_CAP)).when(qm > 1, qm * F.lit(QUESTION_STEP)).otherwise(F.lit(0.0)))
     s0, p0, n0 = F.col("__s"), F.col("__pos"), F.col("__neg")
-    g = g.select(id_col, F.col("__neu"),
+    g = g.select(id_col, F.col("__neu"), *(["__keep"] if keep else []),
                  F.when(s0 > 0, s0 + amp).when(s0 < 0, s0 - amp).otherwise(s0).alias("__s"),
                  F.when(p0 > F.abs(n0), p0 + amp).otherwise(p0).alias("__pos"),
                  F.when(p0 < F.abs(n0), n0 - amp).otherwise(n0).alias("__neg"))
@@ -211,13 +222,10 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
 
     s = F.col("__s")
     compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
-    out = g.select(id_col, share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
+    out = g.select(id_col, *[F.col(f"__keep.{c}").alias(c) for c in keep],
+                   share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
                    compound.alias("compound"))
-    out = out.withColumn("sentiment", sentiment_label("neg", "pos"))
-    if keep:
-        out = df.select(id_col, *keep).join(out, id_col, "left")
-        out = out.select(id_col, *keep, "neg", "neu", "pos", "compound", "sentiment")
-    return out
+    return out.withColumn("sentiment", sentiment_label("neg", "pos"))
 
 
 def score_polarity(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, token_col: str = "token",
