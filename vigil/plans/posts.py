@@ -2,8 +2,8 @@
 
 One scan with pushed filters feeds two branches: the posts mart (sentiment label per post) and the
 two n-gram marts (top bigrams stamped with the first day of the period, top trigrams with the
-day after it, as in the daily run). Persist the cleaned posts when both branches are written in
-one job.
+day after it, as in the daily run). ``build_posts(stage=True)`` checkpoints the cleaned posts once
+when all three marts are written.
 """
 
 from __future__ import annotations
