@@ -165,8 +165,24 @@ def test_sentiment_rules(spark):
 
 def test_sentiment_rules_keeps_columns_without_join(spark):
     from vigil.operators.sentiment import score_sentiment_rules
-    df = spark.createDataFrame([(1, "good day", "a"), (2, "", "b"), (3, "x", "c")], "id long, t string, tag string")
+    df = spark.createDataFrame([(1, "good day", "a"), (2, "", "b"), (3, "x", "c"), (4, None, "d")],
+                               "id long, t string, tag string")
     lex = spark.createDataFrame([("good", 2.0)], "token string, valence double")
     out = {r.id: r for r in score_sentiment_rules(df, "id", "t", lex, keep=["t", "tag"]).collect()}
-    assert {i: (r.t, r.tag) for i, r in out.items()} == {1: ("good day", "a"), 2: ("", "b"), 3: ("x", "c")}
+    assert {i: (r.t, r.tag) for i, r in out.items()} == {1: ("good day", "a"), 2: ("", "b"), 3: ("x", "c"),
+                                                         4: (None, "d")}
     assert out[1].sentiment == "positive" and out[2].compound == 0.0 and out[3].neu == 0.0
+
+
+def test_sentiment_base_keeps_columns_without_join(spark):
+    from vigil.operators.sentiment import score_sentiment
+    df = spark.createDataFrame([(1, "good day", "a"), (2, "", "b"), (3, "x", "c"), (4, None, "d")],
+                               "id long, t string, tag string")
+    lex = spark.createDataFrame([("good", 2.0)], "token string, valence double")
+    got = {r.id: r for r in score_sentiment(df, "id", "t", lex, keep=["t", "tag"]).collect()}
+    plain = {r.id: r for r in score_sentiment(df, "id", "t", lex).collect()}
+    assert {i: (r.t, r.tag) for i, r in got.items()} == {1: ("good day", "a"), 2: ("", "b"), 3: ("x", "c"),
+                                                         4: (None, "d")}
+    for i in (1, 2, 3, 4):
+        assert (got[i].neg, got[i].neu, got[i].pos, got[i].compound) == \
+            (plain[i].neg, plain[i].neu, plain[i].pos, plain[i].compound)

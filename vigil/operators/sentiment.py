@@ -82,12 +82,24 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
     lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
     lex = broadcast_if_bounded(lex, max_lexicon_rows)
     keep = [c for c in keep if c != id_col]
-    # Only (id, word) rides through the explode: carrying wide columns would copy each text once
-    # per word. Kept columns are joined back to the per-id scores (one row per text).
-    x = _exploded(df, id_col, text, ())
+    # Wide columns must not ride through the explode (one copy of the text per word): kept columns
+    # go on each text's first word only (one carrier per text, also for an empty text) and come
+    # out of the per-text aggregate, so the input is read once and nothing is joined back.
+    if keep:
+        ws = F.coalesce(scorer_words(F.col(text)), F.array().cast("array<string>"))   # null text: no words
+        base = df.select(id_col, ws.alias("w"), F.struct(*[F.col(c) for c in keep]).alias("__keep"))
+        keep_type = base.schema["__keep"].dataType.simpleString()
+        n = F.size(F.col("w"))
+        carry = F.concat(F.array(F.col("__keep")),
+                         F.array_repeat(F.lit(None).cast(keep_type), F.greatest(n - 1, F.lit(0))))
+        x = base.select(id_col, F.explode(F.arrays_zip(F.col("w"), carry.alias("k"))).alias("__u"))
+        x = x.select(id_col, F.col("__u.w").alias("__w"), F.col("__u.k").alias("__keep"))
+    else:
+        x = _exploded(df, id_col, text, ())
     x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
     v = F.when(F.col("__w").isNotNull(), F.coalesce(F.col("__v"), F.lit(0.0)))
     g = x.groupBy(id_col).agg(
+        *([F.first("__keep", ignorenulls=True).alias("__keep")] if keep else []),
         F.coalesce(F.sum(F.when(v > 0, v + 1)), F.lit(0.0)).alias("__pos"),
         F.coalesce(F.sum(F.when(v < 0, v - 1)), F.lit(0.0)).alias("__neg"),
         F.count(F.when(v == 0, F.lit(1))).cast("double").alias("__neu"),
@@ -100,13 +112,10 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 
     s = F.col("__s")
     compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
-    out = g.select(id_col, share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
+    out = g.select(id_col, *[F.col(f"__keep.{c}").alias(c) for c in keep],
+                   share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
                    compound.alias("compound"))
-    out = out.withColumn("sentiment", sentiment_label("neg", "pos"))
-    if keep:
-        out = df.select(id_col, *keep).join(out, id_col, "left")
-        out = out.select(id_col, *keep, "neg", "neu", "pos", "compound", "sentiment")
-    return out
+    return out.withColumn("sentiment", sentiment_label("neg", "pos"))
 
 
 def _is_upper(w: Column) -> Column:
@@ -140,8 +149,9 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
     lex = broadcast_if_bounded(lex, max_lexicon_rows)
     keep = [c for c in keep if c != id_col]
-    base = df.select(id_col, scorer_words(t).alias("__ws"), _count_char(t, "!").alias("__excl"),
-                     _count_char(t, "?").alias("__qm"),
+    base = df.select(id_col, F.coalesce(scorer_words(t), F.array().cast("array<string>")).alias("__ws"),
+                     F.coalesce(_count_char(t, "!"), F.lit(0)).alias("__excl"),
+                     F.coalesce(_count_char(t, "?"), F.lit(0)).alias("__qm"),
                      *([F.struct(*[F.col(c) for c in keep]).alias("__keep")] if keep else []))
     ws = F.col("__ws")
     n = F.size(ws)
