@@ -12,9 +12,9 @@ classes.
    is missed with (1 - s**depth)**trees at most: 0.2 % at s = 0.8 when every node stays large, under 1e-6
    in the usual case of one or two levels; ``trees`` sets the recall.
 3. Nodes still large at the last level (a big family, a passage most of a text consists of): every class
-   is compared with the node's two leaders, and, after components are known, all classes outside the
-   node's largest component with all classes of the node, in blocks of ``BLOCK_ROWS`` classes. So no pair
-   of a node is dropped, and no pair inside a component already found is made.
+   is compared with the node's ``LEADERS`` leaders; once components are known, the classes outside the
+   node's largest component meet all classes of the node, in blocks of ``BLOCK_ROWS`` classes, and only
+   links leave a block. So no pair of a node is dropped, and pairs inside a component aren't looked at.
 4. Verification: sketch estimates only rank pairs and discard those four deviations below the threshold;
    pairs are confirmed on full sets recomputed from the texts. First a spanning forest of each leaf,
    then, among classes still in different components, all other candidates.
@@ -40,6 +40,7 @@ from vigil.llm._text import mix, text_sets
 
 SKETCH = 128
 BLOCK_ROWS = 256
+LEADERS = 6
 _RNG = np.random.Generator(np.random.PCG64(7))
 _MULT = (_RNG.integers(0, 2**32, SKETCH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _RNG.integers(0, 2**32, SKETCH, dtype=np.uint64).astype(np.uint32)
@@ -185,20 +186,42 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(m, pa.int32())], ["cls", "leader", "m"])
 
 
-def _block_pairs(least: int):
-    """(node, block, outside, cls, comp, s8) sorted: pairs of each outside class with the block's own."""
+def _linked(u: np.ndarray, v: np.ndarray, num: int, den: int) -> bool:
+    """Whether two ascending sets reach the threshold."""
+    u, v = (u, v) if len(u) <= len(v) else (v, u)
+    common = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+    return den * common >= num * (len(u) + len(v) - common)
+
+
+def _block_links(least: int, num: int, den: int):
+    """Sorted (node, block, outside, cls, comp, s8, members), a block's own classes before the outside ones:
+    links of each outside class with the block's own, one for each component it meets there. Only the
+    block's own classes are held; the outside ones stream by."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _whole_groups(batches, 2):
-            node, block = t.column(0).to_numpy(), t.column(1).to_numpy()
-            outside, sig = t.column(2).to_numpy(zero_copy_only=False), _rows(t.column(5).combine_chunks(), np.uint8)
-            cls, comp, out = t.column(3).to_pylist(), t.column(4).to_pylist(), []
-            cuts = np.flatnonzero((node[1:] != node[:-1]) | (block[1:] != block[:-1])) + 1
-            for at in np.split(np.arange(len(node)), cuts):
-                own, far = at[~outside[at]], at[outside[at]]
-                for i in far if len(own) else ():
-                    m = (sig[own] == sig[i]).sum(1)
-                    out += [(*_pair(cls[i], cls[j]), 2) for j in own[m >= least] if comp[i] != comp[j]]
-            yield _pairs_out(out)
+        at, cls, comp, sigs, sets, matrix = None, [], [], [], [], None
+        for b in batches:
+            a_out, b_out, sig = [], [], _rows(b.column(5), np.uint8)
+            nodes, blocks, outside = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            for i, here in enumerate(zip(nodes, blocks)):
+                if here != at:
+                    at, cls, comp, sigs, sets, matrix = here, [], [], [], [], None
+                c, k, members = b.column(3)[i].as_py(), b.column(4)[i].as_py(), np.frombuffer(b.column(6)[i].as_py(), np.uint64)
+                if not outside[i]:
+                    cls.append(c)
+                    comp.append(k)
+                    sigs.append(sig[i])
+                    sets.append(members)
+                elif cls:
+                    matrix = np.stack(sigs) if matrix is None else matrix
+                    m, met = (matrix == sig[i]).sum(1), {k}
+                    for j in np.argsort(-m, kind="stable").tolist():
+                        if m[j] < least:
+                            break
+                        if comp[j] not in met and _linked(members, sets[j], num, den):
+                            met.add(comp[j])
+                            a_out.append(c)
+                            b_out.append(cls[j])
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.binary()), pa.array(b_out, pa.binary())], ["a", "b"])
     return run
 
 
@@ -215,13 +238,8 @@ def _confirm(num: int, den: int):
     """(a, b, set of a, set of b) -> the linked pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                u, v = (u, v) if len(u) <= len(v) else (v, u)
-                at = np.minimum(np.searchsorted(v, u), len(v) - 1)
-                common = int((v[at] == u).sum())
-                keep.append(den * common >= num * (len(u) + len(v) - common))
+            keep = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), num, den)
+                    for x, y in zip(b.column(2), b.column(3))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -268,62 +286,65 @@ class _Join:
         small = (leaves.join(self.packed, "cls").select("node", "cls", "s8")
                  .repartition("node").sortWithinPartitions("node", "cls")
                  .mapInArrow(_leaf_pairs(self.least, self.leaf), PAIRS))
-        heads = large.groupBy("node").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
-        heads = heads.select("node", F.explode(F.array("low", "high")).alias("leader"))
+        order = [F.min(F.struct(F.xxhash64("cls", F.lit(i)), "cls")).alias(f"l{i}") for i in range(LEADERS)]
+        heads = large.groupBy("node").agg(*order).select("node", F.explode(F.array(*(F.col(f"l{i}.cls") for i in range(LEADERS)))).alias("leader"))
         led = (large.select("node", "cls").join(heads, "node").filter("cls <> leader").select("cls", "leader").distinct()
                .join(self.packed, "cls").withColumnRenamed("s8", "own")
                .join(self.packed.select(F.col("cls").alias("leader"), "s8"), "leader")
                .select("cls", "own", "leader", "s8").mapInArrow(_agreements, "cls binary, leader binary, m int")
                .filter(F.col("m") >= self.least))
-        led = stored(led, "leaders")
         best = led.groupBy("cls").agg(F.max(F.struct("m", "leader")).alias("best")).select("cls", F.col("best.leader"), F.lit(1).alias("tier"))
-        star = (best.unionByName(led.select("cls", "leader", F.lit(2).alias("tier")))
-                .select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b"), "tier"))
+        star = best.select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b"), "tier")
         pairs = small.unionByName(star).groupBy("a", "b").agg(F.min("tier").alias("tier"))
         return stored(pairs, "candidates"), large
 
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(cls, members): full sets of the classes (cls, rep), recomputed from the texts."""
+        found = (self.texts.join(wanted.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
+                 .select("text").mapInArrow(_set_batches(self.k), "cls binary, members binary")
+                 .join(wanted.select("cls"), "cls", "left_semi"))
+        return stored(found.groupBy("cls").agg(F.first("members").alias("members")), "sets")
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets, recomputed from the texts, reach the threshold."""
+        """The pairs (a, b) whose full sets reach the threshold."""
         used = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes.select("cls", "rep"), "cls")
-        used = stored(used, "used")
-        sets = (self.texts.join(used.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
-                .select("text").mapInArrow(_set_batches(self.k), "cls binary, members binary")
-                .join(used.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("members").alias("members")))
-        sets = stored(sets, "sets")
+        sets = self.sets(stored(used, "used"))
         both = (pairs.select("a", "b").join(sets.select(F.col("cls").alias("a"), F.col("members").alias("x")), "a")
                 .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y"))
         return stored(both.mapInArrow(_confirm(self.num, self.den), "a binary, b binary"), "links")
 
     def rest(self, pairs: DataFrame, large: DataFrame, links: DataFrame) -> DataFrame:
-        """Candidates whose classes aren't in one component yet."""
+        """Links between classes that ``links`` leave in different components."""
         label = components(links)
 
         def labelled(df: DataFrame, col: str, to: str) -> DataFrame:
             near = label.select(F.col("node").alias(col), F.col("label").alias("found"))
             return df.join(near, col, "left").withColumn(to, F.coalesce("found", col)).drop("found")
 
-        open_pairs = labelled(labelled(pairs.filter("tier = 2"), "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
+        more = self.confirmed(stored(labelled(labelled(pairs.filter("tier = 2"), "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b"), "open"))
         if large.isEmpty():
-            return open_pairs
+            return more
         known = stored(labelled(large, "cls", "comp"), "large")
         main = (known.groupBy("node", "comp").agg(F.count("*").alias("c")).groupBy("node")
                 .agg(F.max(F.struct("c", "comp")).alias("m")).select("node", F.col("m.comp").alias("main")))
         mixed = known.join(main, "node").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
         outer = mixed.filter("comp <> main")
         held = mixed.join(outer.select("node").distinct(), "node", "left_semi")
+        used = held.select("cls").distinct().join(self.classes.select("cls", "rep"), "cls")
+        full = self.sets(stored(used, "used")).join(self.packed, "cls")
         cols = ["node", "block", "outside", "cls", "comp"]
         blocks = (held.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("outside", F.lit(False)).select(cols)
                   .unionByName(outer.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                                .withColumn("outside", F.lit(True)).select(cols)))
-        crossed = (blocks.join(self.packed, "cls").select(*cols, "s8").repartition("node", "block")
-                   .sortWithinPartitions("node", "block", "outside").mapInArrow(_block_pairs(self.least), PAIRS))
-        return open_pairs.unionByName(crossed.select("a", "b").join(pairs.filter("tier = 1").select("a", "b"), ["a", "b"], "left_anti")).distinct()
+        crossed = (blocks.join(full, "cls").select(*cols, "s8", "members").repartition("node", "block")
+                   .sortWithinPartitions("node", "block", "outside").mapInArrow(_block_links(self.least, self.num, self.den), "a binary, b binary"))
+        return more.unionByName(stored(crossed, "crossed"))
 
     def labels(self) -> DataFrame:
         """(cls, component_id) of every class."""
         pairs, large = self.candidates()
         links = self.confirmed(pairs.filter("tier = 1"))
-        links = links.unionByName(self.confirmed(stored(self.rest(pairs, large, links), "open")))
+        links = links.unionByName(self.rest(pairs, large, links))
         label = components(links).select(F.col("node").alias("cls"), "label")
         named = stored(self.classes.select("cls", "rep").join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "named")
         least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
