@@ -1,0 +1,42 @@
+"""Texts cut into the pieces that byte-level tokenizers merge within, with their ids remembered."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+
+#: Letters and numbers up to U+024F; fixed values, as the pattern's classes have them.
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+#: The usual pattern over such texts, without the need for Unicode tables. Its first alternative can't match
+#: where the contractions do, so it may stand before them.
+_NEAR = re.compile(rf" ?[{_LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
+#: Other letters, and controls that classes of white space treat differently.
+_FAR = re.compile("[^\0-\x1b\x20-ɏ]")
+USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def near_pieces(text: str) -> list[str] | None:
+    """The pieces of a text of letters up to U+024F; None for others."""
+    return None if _FAR.search(text) else _NEAR.findall(text)
+
+
+class Remembered:
+    """Ids of pieces, as bytes, remembered in a dictionary of a bounded size (a full one is emptied)."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int) -> None:
+        self.encode, self.size, self.known = encode, size, {}
+
+    def join(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of each text, given as its pieces."""
+        known = self.known
+        if len(known) >= self.size:
+            known.clear()
+        rows = [list(map(known.get, t)) for t in texts]
+        holes = [i for i, r in enumerate(rows) if None in r]
+        new = {p for i in holes for p, ids in zip(texts[i], rows[i]) if ids is None}
+        if new:
+            new = list(new)
+            known.update(zip(new, self.encode(new)))
+            for i in holes:
+                rows[i] = map(known.__getitem__, texts[i])
+        return [b"".join(r) for r in rows]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chosen_path, containment
+from vigil.llm import chosen_path, containment, id_codec, prefix_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_id_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text in Simple-8b shards, in ascending doc_id order, read back."""
+    import public_tokenizers
+
+    return id_codec.encoded_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query()
+def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by the table of last tokens, and the bytes decoded from them."""
+    import public_tokenizers
+
+    return prefix_bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                   public_tokenizers.PATTERN, keep=["doc_id"], ids=False)
+
+
 @query("""
 WITH RECURSIVE s AS (SELECT doc_id, unnest(g) AS g FROM (SELECT doc_id, %s AS g FROM (SELECT doc_id, %s AS w FROM documents))),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
