@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chosen_path, containment, id_codec, prefix_bpe
+from vigil.llm import chosen_path, containment, id_codec, langid, line_quality, prefix_bpe, pseudo_lm, roles, site_lines, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,6 +15,7 @@ ORACLE: dict[str, str] = {}
 # DuckDB: words are runs outside 0x20 and 0x09-0x0D, A-Z as a-z.
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _SHINGLES = """CASE WHEN len(w) >= {k} THEN list_distinct([list_aggregate(w[i:i + {k} - 1], 'string_agg', ' ') FOR i IN range(1, len(w) - {k} + 2)])
   WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END"""
 
@@ -40,6 +41,68 @@ def op1_id_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_codec.encoded_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+@query()
+def op2_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's url: the longest rule's, else by trust and distrust over the host graph."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("url")
+
+
+@query()
+def op3_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from documents whose crc32(doc_id) mod 4 isn't 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = langid.train(docs.filter(~held_out))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"], spans=False)
+
+
+@query()
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The masked pseudo-likelihood of every text under a network trained on this corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_lm.score(docs, *pseudo_lm.train(docs))
+
+
+@query(f"""
+WITH l AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+h AS (SELECT DISTINCT doc_id, source, trim(x, {_BLANK}) AS t FROM (SELECT doc_id, source, unnest(ls) AS x FROM l) WHERE trim(x, {_BLANK}) <> ''),
+n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+bad AS (SELECT source, list(t) AS bad FROM (SELECT source, t, count(*) AS c FROM h GROUP BY 1, 2) JOIN n USING (source) WHERE c >= 5 AND c > 0.08 * n GROUP BY 1),
+k AS (SELECT doc_id, text, ls, list_filter(ls, lambda x: NOT list_contains(coalesce(bad, []), trim(x, {_BLANK}))) AS ks FROM l LEFT JOIN bad USING (source))
+SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(ks, chr(10)) END AS text, coalesce(len(ls) - len(ks), 0) AS n_dropped FROM k
+""")
+def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their site's boilerplate: lines on more than 0.08 of the site's documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return site_lines.drop_site_lines(docs, dropped_col="n_dropped").select("doc_id", "text", "n_dropped")
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+g AS (SELECT doc_id, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g) WHERE c > 1) GROUP BY 1),
+x AS (SELECT doc_id, source, x, regexp_replace({_LOW.replace("coalesce(text, '')", f"trim(x, {_BLANK})")}, '[\x20\x09-\x0D]+', ' ', 'g') AS t
+  FROM (SELECT doc_id, source, unnest(ls) AS x FROM d) WHERE trim(x, {_BLANK}) <> ''),
+n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+bad AS (SELECT source, t FROM (SELECT source, t, count(DISTINCT doc_id) AS c FROM x GROUP BY 1, 2) JOIN n USING (source) WHERE c >= 10 AND c > 0.1 * n),
+lost AS (SELECT doc_id, sum(len({_WORDS.format("x")})) AS n FROM x JOIN bad USING (source, t) GROUP BY 1),
+m AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(list_filter(ls, lambda x: trim(x, {_BLANK}) <> '')) - len(list_distinct(list_filter(ls, lambda x: trim(x, {_BLANK}) <> ''))) AS n_dup_lines,
+  coalesce(r.n, 0) AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS words_lost FROM d LEFT JOIN r USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND words_lost <= 0.7 * n_words AS kept FROM m
+""")
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and a verdict for every text; documents of frequent lines of their site are rejected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_quality.judged(docs).drop("text", "source")
+
+
+@query()
+def op9_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its repaired role and its segment of the rendered conversation."""
+    return roles.repair_roles(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by the table of last tokens, and the bytes decoded from them."""
