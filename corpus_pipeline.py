@@ -1,17 +1,31 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, byte-pair encoding.
 
-``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.
-``run`` chains them over ``documents``; each stage's rows are written as Parquet and read again.
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame; all
+but the last return the columns of ``documents``. ``run`` chains them over ``documents``; each stage's rows are
+written as Parquet and read again as the next one's input.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vigil.llm import chosen_path, containment
+from vigil.llm import chosen_path, containment, line_quality, prefix_bpe, site_lines
 from vigil.llm._jobs import stored
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return line_quality.keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are boilerplate of their source go; n_chars follows the text."""
+    clean = site_lines.drop_site_lines(docs, dropped_col="gone_")
+    return clean.withColumn("n_chars", F.when(F.col("gone_") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).drop("gone_")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (5-word shingles, similarity of 0.8 or more)."""
     return chosen_path.keep_one(docs)
@@ -22,7 +36,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return containment.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("near_dedup", near_dedup), ("decontaminate", decontaminate)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, the token ids, and digests of the ids and of the text decoded from them."""
+    return prefix_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"])
+
+
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("encode", encode)]
 
 #: No SQL expresses the last stage; the tests hold the pipeline against a plain Python version.
 ORACLE_SQL = None
@@ -31,6 +50,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
