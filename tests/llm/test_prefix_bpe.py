@@ -67,12 +67,20 @@ def test_appends_and_edits_stay_exact(coder):
     assert long.replace(100, 101, b"x") < 1000
 
 
-def test_vocabulary_whose_ranks_do_not_rise():
-    v = prefix_bpe.Vocabulary({b"a": 5, b"b": 6, b"c": 7, b"bc": 4, b"ab": 3, b"abc": 1, b"ca": 0})
+def test_small_vocabularies():
     rng = random.Random(4)
-    for _ in range(300):
-        data = bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 12)))
-        assert prefix_bpe.PrefixTable(v, data).tokens() == [v.ranks[t] for t in v.merged(data)], data
+    for _ in range(60):
+        ranks = {b"a": 0, b"b": 1, b"c": 2}
+        for i in range(3, 12):  # each new token joins two older ones that stand side by side
+            x, y = rng.choice(sorted(ranks)), rng.choice(sorted(ranks))
+            if prefix_bpe.Vocabulary(ranks).merged(x + y) == [x, y]:
+                ranks[x + y] = i
+        v = prefix_bpe.Vocabulary(ranks).check()
+        for _ in range(20):
+            data = bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 14)))
+            assert prefix_bpe.PrefixTable(v, data).tokens() == [v.ranks[t] for t in v.merged(data)], (ranks, data)
+    with pytest.raises(ValueError):
+        prefix_bpe.Vocabulary({b"a": 5, b"b": 6, b"c": 7, b"ab": 3, b"abc": 1}).check()
 
 
 def test_odd_rows(spark, library):

@@ -34,7 +34,7 @@ def least_cost(given):
 def fewest_inserts(turns):
     """Breadth first over (turns used, open role)."""
     front, seen, n = {(0, None)}, set(), 0
-    while True:
+    while front:
         stack = list(front)
         while stack:
             i, p = stack.pop()
@@ -46,6 +46,7 @@ def fewest_inserts(turns):
         seen |= front
         front = {(i, q) for i, p in front for q in LEGAL_NEXT[p]} - seen
         n += 1
+    return 10**6  # such turns follow no legal state
 
 
 def test_cost_is_least():

@@ -361,11 +361,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
-def _keyed_batches(k: int, names: list[str], text_at: int):
+def _keyed_batches(k: int):
+    """(row, text) -> (row, cls)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = pa.array([set_key(s) for s in text_sets(b.column(text_at).cast(pa.string()), k)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, keys], [*names, "cls_"])
+            keys = pa.array([set_key(s) for s in text_sets(b.column(1), k)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), keys], ["row", "cls"])
     return run
 
 
@@ -373,12 +374,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The rows of ``docs``, all columns, with one row of each component: that of the least id (of
     repeated rows with that id one stays). Rows without words all stay."""
     job = _Join(docs, id_col, text_col, **{"k": 5, "num": 80, "den": 100, "trees": 12, "depth": 4, "leaf": 32, **options})
-    names = docs.columns
-    keyed = docs.mapInArrow(_keyed_batches(job.k, names, names.index(text_col)), T.StructType([*docs.schema.fields, T.StructField("cls_", T.BinaryType())]))
-    labels = job.labels().select(F.col("cls").alias("cls_"), F.col("component_id").alias("component_"), F.col("label").alias("label_"))
-    chosen = labels.join(job.rows.filter("n > 0").select(F.col("cls").alias("cls_"), F.col("id").alias("id_")).distinct(), "cls_")
-    chosen = chosen.filter(F.col("id_").eqNullSafe(F.col("component_"))).select("cls_", "id_", "label_")
-    found = (keyed.join(chosen, (keyed["cls_"] == chosen["cls_"]) & keyed[id_col].eqNullSafe(chosen["id_"]), "left")
-             .drop(chosen["cls_"]).filter("cls_ is null or label_ is not null"))
-    some = found.filter("cls_ is not null").dropDuplicates(["label_"])
-    return some.unionByName(found.filter("cls_ is null")).select(*names)
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).cast("string").alias("text"))
+    keyed = packed.mapInArrow(_keyed_batches(job.k), T.StructType([packed.schema["row"], T.StructField("cls", T.BinaryType())]))
+    ids = job.rows.filter("n > 0").select("cls", "id").distinct()
+    chosen = ids.join(job.labels(), "cls").filter(F.col("id").eqNullSafe(F.col("component_id")))
+    chosen = chosen.select(F.col("cls").alias("of"), F.col("id").alias("least"), "label")
+    found = keyed.filter("cls is not null").join(chosen, (F.col("cls") == F.col("of")) & F.col("row")[id_col].eqNullSafe(F.col("least")))
+    kept = found.dropDuplicates(["label"]).select("row").unionByName(keyed.filter("cls is null").select("row"))
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

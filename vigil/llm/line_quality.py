@@ -36,68 +36,84 @@ def _normal(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(low, BLANKS, " "))
 
 
-def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns of MEASURES (long) and ``text_`` (the text, null as empty)."""
-    df = docs.withColumn("text_", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    df = df.withColumn("words_", _words(F.col("text_"))).withColumn("m_", F.greatest(F.size("words_") - 2, F.lit(0)))
-    df = df.withColumn("bits_", F.length(F.bin("m_")))  # positions 0 to m - 1 fit into so many bits
-    bits, words = F.col("bits_"), F.col("words_")
-
-    def window(i: Column) -> Column:
-        h = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-        return F.call_function("shiftleft", F.call_function("shiftright", h, bits), bits).bitwiseOR(i.cast("long"))
-
-    keys = F.when(F.col("m_") > 0, F.transform(F.sequence(F.lit(0), F.col("m_") - 1), window)).otherwise(F.array().cast("array<bigint>"))
-    df = df.withColumn("keys_", keys).withColumn("keys_", F.sort_array(F.transform("keys_", lambda x: F.coalesce(x, F.lit(0).cast("long")))))
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-
-    def place(x: Column) -> Column:
-        return x.bitwiseAND(mask).cast("int")
-
-    def same(x: Column, y: Column) -> Column:
-        p, q = place(x), place(y)
-        near = F.call_function("shiftright", x, bits) == F.call_function("shiftright", y, bits)
-        for k in range(3):
-            near = near & (F.get(words, p + k) == F.get(words, q + k))
-        return near
-
-    keyed = F.col("keys_")
-    twice = F.filter(keyed, lambda x, i: ((i > 0) & same(x, F.get(keyed, i - 1))) | ((i < F.col("m_") - 1) & same(x, F.get(keyed, i + 1))))
-    df = df.withColumn("places_", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask))))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last"))
-    covered = F.aggregate("places_", start, lambda a, x: F.struct((a["n"] + F.least(F.lit(3).cast("long"), x - a["last"])).alias("n"), x.alias("last")),
-                          lambda a: a["n"])
-    held = F.filter(lines(F.col("text_")), lambda x: trimmed(x) != "")
-    df = df.withColumn("held_", held)
-    chars = F.length("text_")
-    return (df.withColumn("n_words", F.size("words_").cast("long"))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once. (A column used within a lambda may be inlined into it by
+    the optimiser and computed for every element; a lambda's own variable can't.)"""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _counted(words: Column) -> Column:
+    """(n, repeated): words, and words in 3-word windows that occur twice or more."""
+    nothing = F.array().cast("array<bigint>")
+
+    def keys(w: Column, m: Column, bits: Column) -> Column:
+        """Each window's hash over its place: sorting puts equal windows side by side."""
+        def key(i: Column) -> Column:
+            h = F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+            high = F.call_function("shiftleft", F.call_function("shiftright", h, bits), bits)
+            return F.coalesce(high.bitwiseOR(i.cast("long")), F.lit(0).cast("long"))
+        return F.sort_array(F.when(m > 0, F.transform(F.sequence(F.lit(0), m - 1), key)).otherwise(nothing))
+
+    def places(w: Column, m: Column, bits: Column, mask: Column, s: Column) -> Column:
+        def same(x: Column, y: Column) -> Column:
+            p, q = x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int")
+            near = F.call_function("shiftright", x, bits) == F.call_function("shiftright", y, bits)
+            for k in range(3):
+                near = near & (F.get(w, p + k) == F.get(w, q + k))
+            return near
+
+        twice = F.filter(s, lambda x, i: ((i > 0) & same(x, F.get(s, i - 1))) | ((i < m - 1) & same(x, F.get(s, i + 1))))
+        return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask)))
+
+    def covered(at: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last"))
+        return F.aggregate(at, start, lambda a, x: F.struct((a["n"] + F.least(F.lit(3).cast("long"), x - a["last"])).alias("n"), x.alias("last")),
+                           lambda a: a["n"])
+
+    def repeated(w: Column) -> Column:
+        def with_bits(m: Column, bits: Column) -> Column:  # places 0 to m - 1 fit into so many bits
+            mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+            return _let(mask, lambda k: _let(keys(w, m, bits), lambda s: covered(places(w, m, bits, k, s))))
+        return _let(F.greatest(F.size(w) - 2, F.lit(0)), lambda m: _let(F.length(F.bin(m)), lambda bits: with_bits(m, bits)))
+
+    return _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated(w).alias("repeated")))
+
+
+def with_measures(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with the columns of MEASURES (long) and held_ (the lines with words)."""
+    df = docs.withColumn("text_", F.coalesce(text.cast("string"), F.lit("")))
+    df = df.withColumn("counted_", _counted(_words(F.col("text_"))))
+    df = df.withColumn("held_", F.filter(lines(F.col("text_")), lambda x: trimmed(x) != ""))
+    return (df.withColumn("n_words", F.col("counted_")["n"])
             .withColumn("word_chars", F.length(F.translate("text_", BLANK, "")).cast("long"))
-            .withColumn("n_symbols", (chars - F.length(F.translate("text_", SYMBOLS, ""))).cast("long"))
+            .withColumn("n_symbols", (F.length("text_") - F.length(F.translate("text_", SYMBOLS, ""))).cast("long"))
             .withColumn("n_dup_lines", (F.size("held_") - F.size(F.array_distinct("held_"))).cast("long"))
-            .withColumn("n_repeat_words", covered)
-            .drop("words_", "m_", "bits_", "keys_", "places_"))
+            .withColumn("n_repeat_words", F.col("counted_")["repeated"])
+            .drop("text_", "counted_"))
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least: int = 10,
-           max_share: float = 0.1, max_lost: float = 0.7) -> DataFrame:
-    """``docs`` with MEASURES, words_lost (words in removed lines), base_failed and kept."""
-    clash = {*MEASURES, "words_lost", "base_failed", "kept"}
-    keep = [c for c in docs.columns if c not in clash]
+           max_share: float = 0.1, max_lost: float = 0.7, whole_rows: bool = False) -> DataFrame:
+    """``docs`` with MEASURES, words_lost (words in removed lines), base_failed and kept (columns of ``docs`` with
+    these names are left out); with ``whole_rows`` the kept rows as they are in ``docs``."""
     doc = F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
     bad = frequent_lines(docs, site_key(site_col), F.col(text_col), _normal, doc, least, max_share)
-    rows = look_up(docs.select(*keep).withColumn("site_", site_key(site_col)), bad, "site_", F.col(text_col), SITE_BYTES)
-    rows = with_measures(rows, text_col)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), site_key(site_col).alias("site_"))
+    text = F.col("row_")[text_col]
+    rows = with_measures(look_up(rows, bad, "site_", text, SITE_BYTES), text)
     removed = F.filter("held_", lambda x: F.array_contains("bad_", _normal(x)))
     lost = F.when(F.col("bad_").isNull(), F.lit(0)).otherwise(
         F.aggregate(removed, F.lit(0), lambda n, x: n + F.size(F.split(trimmed(x), BLANKS))))
     rows = rows.withColumn("words_lost", lost.cast("long"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (rows.withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("words_lost") <= F.col("n_words") * max_lost))
-            .select(*keep, *MEASURES, "words_lost", "base_failed", "kept"))
+    made = [*MEASURES, "words_lost", "base_failed", "kept"]
+    keep = docs.columns if whole_rows else [c for c in docs.columns if c not in made]
+    rows = (rows.withColumn("base_failed", failed)
+            .withColumn("kept", ~F.col("base_failed") & (F.col("words_lost") <= F.col("n_words") * max_lost)))
+    rows = rows.filter("kept") if whole_rows else rows
+    return rows.select(*(F.col("row_")[c].alias(c) for c in keep), *([] if whole_rows else made))
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``."""
-    marked = judged(docs.withColumn("row_", F.struct(*docs.columns)), **options)
-    return marked.filter("kept").select(*(F.col("row_")[c].alias(c) for c in docs.columns))
+    return judged(docs, whole_rows=True, **options)

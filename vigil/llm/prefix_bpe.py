@@ -70,6 +70,14 @@ class Vocabulary:
             self._parts[token] = tuple(self.merged(token, self.ranks[token]))
         return self._parts[token]
 
+    def check(self) -> Vocabulary:
+        """Refuse ranks under which the table's entries wouldn't be unique: a token that plain merging makes,
+        but only through merges of higher ranks than its own."""
+        for token in self.ranks:
+            if len(self.parts(token)) > 2 and self.merged(token) == [token]:
+                raise ValueError(f"the rank of {token!r} is below those of the merges that make it")
+        return self
+
     def _spine(self, token: bytes, right: bool) -> tuple[list[bytes], list[int]] | None:
         """What stands at the token's right (left) end as its merges go on, and the ranks at which that
         changes; None if the ranks don't rise."""
@@ -241,6 +249,7 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, text_col: str =
     python_ready(docs.sparkSession)
     with open(rank_file, "rb") as f:
         raw = f.read()
+    Vocabulary.parse(raw).check()
     made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()), *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if ids else [])]
     keep = [c for c in docs.columns if c != text_col and c not in {f.name for f in made}] if keep is None else keep

@@ -29,12 +29,12 @@ def drop_site_lines(pages: DataFrame, host_col: str = "source", text_col: str =
         return F.xxhash64(trimmed(x))
 
     bad = frequent_lines(pages, site_key(host_col), F.col(text_col), line_hash, None, min_pages, max_ratio)
-    names = pages.columns
-    found = look_up(pages.withColumn("site_", site_key(host_col)), bad, "site_", F.col(text_col), SITE_BYTES)
-    found = found.withColumn("lines_", lines(F.col(text_col)))
-    clean = F.filter("lines_", lambda x: (trimmed(x) == "") | ~F.array_contains("bad_", line_hash(x)))
-    found = found.withColumn("clean_", F.when(F.col("bad_").isNull(), F.col("lines_")).otherwise(clean))
-    gone = F.size("lines_") - F.size("clean_")
-    text = F.when(gone > 0, F.array_join("clean_", "\n")).otherwise(F.col(text_col))
-    return found.select(*(text.alias(c) if c == text_col else F.col(c) for c in names),
+    rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("row"), site_key(host_col).alias("site_"))
+    was = F.col("row")[text_col]
+    found = look_up(rows, bad, "site_", was, SITE_BYTES).withColumn("lines", lines(was))
+    clean = F.filter("lines", lambda x: (trimmed(x) == "") | ~F.array_contains("bad_", line_hash(x)))
+    found = found.withColumn("clean", F.when(F.col("bad_").isNull(), F.col("lines")).otherwise(clean))
+    gone = F.size("lines") - F.size("clean")
+    text = F.when(gone > 0, F.array_join("clean", "\n")).otherwise(was)
+    return found.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in pages.columns),
                         *([gone.cast("long").alias(dropped_col)] if dropped_col else []))

@@ -104,18 +104,18 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame = RULE
     """``pages`` (without ``html_col``) with host, path, rule, verdict, trust and distrust."""
     if not isinstance(rules, DataFrame):
         rules = pages.sparkSession.createDataFrame(rules, "verdict string, rule string")
-    made = {"host", "path", "rule", "verdict", "trust", "distrust"}
+    made = ["host", "path", "rule", "verdict", "trust", "distrust"]
     keep = [c for c in pages.columns if c not in made and c != html_col]
-    placed = with_host_path(pages, url_col)
+    placed = with_host_path(pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
     hosts = stored(placed.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
     fitting = stored(hosts.select("host").join(host_rules(hosts, rules), "host", "left"), "host_rules")
     ruled = look_up(placed.select("host", "path"), fitting, "host", F.col("path"), HOST_BYTES).select("host", best_rule()["verdict"].alias("v"))
     seeds = ruled.groupBy("host").agg(*(F.avg(F.when(F.col("v") == v, 1.0).otherwise(0.0)).alias(c) for v, c in (("allow", "trust"), ("block", "distrust"))))
-    edges = stored(host_edges(placed, hosts, html_col), "host_edges")
+    edges = stored(host_edges(placed, hosts, "html"), "host_edges")
     scores = propagated(stored(seeds, "host_seeds"), edges, damping, tolerance, most)
     facts = stored(fitting.join(scores, "host", "left"), "host_facts")
-    found = look_up(placed.select(*keep, "host", "path"), facts, "host", F.col(url_col), HOST_BYTES).withColumn("best_", best_rule())
+    found = look_up(placed.select("row", "url", "host", "path"), facts, "host", F.col("url"), HOST_BYTES).withColumn("best", best_rule())
     trust, distrust = F.round(F.coalesce("trust", F.lit(0.0)), 9), F.round(F.coalesce("distrust", F.lit(0.0)), 9)
     own = F.when((distrust >= threshold) & (distrust > trust), "block").otherwise("allow")
-    return found.select(*keep, "host", "path", F.col("best_")["rule"].alias("rule"), F.coalesce(F.col("best_")["verdict"], own).alias("verdict"),
-                        trust.alias("trust"), distrust.alias("distrust"))
+    return found.select(*(F.col("row")[c].alias(c) for c in keep), "host", "path", F.col("best")["rule"].alias("rule"),
+                        F.coalesce(F.col("best")["verdict"], own).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"))
