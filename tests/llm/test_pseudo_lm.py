@@ -28,7 +28,7 @@ def test_document_scores_equal_loops():
     lexicon, net = lm.Lexicon(frequent), net_of(2)
     n, total = lm.document_scores(lexicon, net, pa.array(texts))
     for t, k, got in zip(texts, n, total):
-        ids = lexicon.ids(lm.words_of(pa.array([t]))[0])
+        ids = lexicon.ids(lm.words_of(pa.array([t], pa.string()))[0])
         assert k == len(words(t)) == len(ids)
         assert abs(got - sum(plain_log_prob(net, ids, i) for i in range(len(ids)))) < 1e-3
     assert len({int(i) for i in lexicon.ids(frequent)}) == 9 and max(lexicon.ids(frequent)) < lm.FREQUENT
