@@ -50,26 +50,26 @@ def coverage(df: DataFrame, group: str, date: str) -> DataFrame:
     return df.groupBy(group).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"))
 
 
-def unique_values(df: DataFrame, column: str, name: str | None = None, sep: str = ",",
-                  max_values: int = 10_000) -> DataFrame:
-    """Sorted distinct values as one list. The list is one row, so the number of distinct values is
-    checked first (bounded count) and a column with more than ``max_values`` is refused."""
-    name = name or f"{column}_values"
-    vals = df.select(column).distinct()
-    if vals.limit(max_values + 1).count() > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values; not collecting them into one row")
-    return vals.agg(F.array_join(F.sort_array(F.collect_list(column)), sep).alias(name))
+def unique_values(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
+    """Sorted distinct non-null values, one row each."""
+    name = name or column
+    return df.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct().orderBy(name)
+
+
+def joined_values(df: DataFrame, column: str, name: str | None = None, sep: str = ",") -> DataFrame:
+    """Sorted distinct non-null values as one text, for inputs with few of them by construction (a top-k)."""
+    return df.agg(F.array_join(F.sort_array(F.collect_set(column)), sep).alias(name or f"{column}_values"))
 
 
 def top_k(df: DataFrame, key: str, measure: str, k: int, rank_name: str = "contador",
           total_name: str | None = None) -> DataFrame:
-    """k keys with the largest total, ranked 1..k (ties broken by key).
+    """k keys with the largest total, ranked 1..k (ties broken by key); rows without a key don't count.
 
     Totals are a partial+final aggregate; the k rows come from TakeOrderedAndProject (per-task
     top-k, then a merge of k rows per task); the ranking window only sees those k rows.
     """
     total_name = total_name or measure
-    totals = df.groupBy(key).agg(F.sum(measure).alias(total_name))
+    totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).alias(total_name))
     order = [F.desc(total_name), F.asc(key)]
     top = totals.orderBy(*order).limit(k)
     return top.withColumn(rank_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

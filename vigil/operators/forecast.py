@@ -6,7 +6,7 @@ band from the standard deviation of what is left. Every series is one group of g
 aggregations, so thousands of series cost the same few passes as one; nothing is collected.
 
 ``forecast_changepoint`` is the heavier decomposable model (piecewise-linear trend with change
-points plus weekly Fourier terms, ridge least squares); it runs per series in ``applyInPandas``.
+points plus weekly and, over two years, yearly Fourier terms, ridge least squares); it runs per series in ``applyInPandas``.
 A series is one row per day, so a group is bounded by the length of its calendar, not by the size
 of the data behind it.
 """
@@ -25,6 +25,7 @@ from vigil.session import ship_package
 
 HORIZON = 60     # fixed value: days forecast after the last observation
 LEVEL = 0.95     # fixed value: width of the interval
+YEARLY_FROM = 730  # fixed value: days of history from which a yearly season is fitted
 
 
 def z_value(level: float) -> float:
@@ -56,21 +57,23 @@ def future_spine(series: DataFrame, keys: Sequence[str], ds: str = "ds", periods
 
 
 def forecast_linear_weekly(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y",
-                           horizon: int = HORIZON, level: float = LEVEL, digits: int = 4) -> DataFrame:
-    """(keys..., ds, yhat, yhat_lower, yhat_upper) for the history and ``horizon`` future days."""
+                           horizon: int = HORIZON, level: float = LEVEL, digits: int = 4, few_series: bool = False) -> DataFrame:
+    """(keys..., ds, yhat, yhat_lower, yhat_upper) for the history and ``horizon`` future days. ``few_series``
+    (a top-k) sends the parameters to the rows instead of shuffling them."""
     keys = list(keys)
+    small = F.broadcast if few_series else (lambda df: df)
     z = z_value(level)
     s = series.select(*keys, ds, F.col(y).cast("double").alias("__y"))
     t = F.unix_date(F.col(ds)).cast("double")
     params = s.groupBy(*keys).agg(F.regr_slope("__y", t).alias("__b"), F.regr_intercept("__y", t).alias("__a"))
-    resid = (s.join(params, keys)
+    resid = (s.join(small(params), keys)
              .select(*keys, iso_weekday(ds).alias("__wd"), (F.col("__y") - (F.col("__a") + F.col("__b") * t))
                      .alias("__r")))
     season = resid.groupBy(*keys, "__wd").agg(F.avg("__r").alias("__s"))
-    sigma = (resid.join(season, [*keys, "__wd"])
+    sigma = (resid.join(small(season), [*keys, "__wd"])
              .groupBy(*keys).agg(F.stddev_samp(F.col("__r") - F.col("__s")).alias("__sigma")))
     spine = future_spine(s, keys, ds, horizon).withColumn("__wd", iso_weekday(ds))
-    out = (spine.join(params, keys).join(season, [*keys, "__wd"], "left").join(sigma, keys, "left"))
+    out = (spine.join(small(params), keys).join(small(season), [*keys, "__wd"], "left").join(small(sigma), keys, "left"))
     yhat = F.col("__a") + F.col("__b") * F.unix_date(F.col(ds)).cast("double") + F.coalesce(F.col("__s"), F.lit(0.0))
     band = F.lit(z) * F.col("__sigma")
     return out.select(*keys, ds, F.round(yhat, digits).alias("yhat"),
@@ -89,7 +92,7 @@ def forecast_chart_data(series: DataFrame, forecast: DataFrame, keys: Sequence[s
 # ---- change-point model (per series, applyInPandas) ---------------------------------------------
 
 def _changepoint_fit(pdf: pd.DataFrame, keys: list[str], ds: str, y: str, horizon: int, z: float,
-                     n_changepoints: int, fourier_order: int, ridge: float) -> pd.DataFrame:
+                     n_changepoints: int, fourier_order: int, ridge: float, yearly_order: int) -> pd.DataFrame:
     pdf = pdf.sort_values(ds)
     d = pd.to_datetime(pdf[ds]).to_numpy(dtype="datetime64[D]").astype(np.int64).astype(float)
     yy = pdf[y].astype(float).to_numpy()
@@ -106,6 +109,10 @@ def _changepoint_fit(pdf: pd.DataFrame, keys: list[str], ds: str, y: str, horizo
     for j in range(1, fourier_order + 1):
         ang = 2 * np.pi * j * allt / 7.0
         cols += [np.sin(ang), np.cos(ang)]
+    if d[-1] - d[0] >= YEARLY_FROM:
+        for j in range(1, yearly_order + 1):
+            ang = 2 * np.pi * j * allt / 365.25
+            cols += [np.sin(ang), np.cos(ang)]
     X = np.column_stack(cols)
     Xh = X[:n]
     pen = np.full(X.shape[1], ridge)
@@ -125,7 +132,9 @@ def _changepoint_fit(pdf: pd.DataFrame, keys: list[str], ds: str, y: str, horizo
 
 def forecast_changepoint(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y",
                          horizon: int = HORIZON, level: float = LEVEL, n_changepoints: int = 25,
-                         fourier_order: int = 3, ridge: float = 1.0) -> DataFrame:
+                         fourier_order: int = 3, ridge: float = 1.0, yearly_order: int = 10) -> DataFrame:
+    """Like ``forecast_linear_weekly``, with change points in the trend and, for series of two years or more,
+    a yearly season."""
     keys = list(keys)
     z = z_value(level)
     ship_package(series.sparkSession)   # the per-series fit runs in the Python workers
@@ -136,6 +145,6 @@ def forecast_changepoint(series: DataFrame, keys: Sequence[str], ds: str = "ds",
     s = series.groupBy(*keys, ds).agg(F.avg(F.col(y).cast("double")).alias(y), F.count(F.lit(1)).alias("__n"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _changepoint_fit(pdf, keys, ds, y, horizon, z, n_changepoints, fourier_order, ridge)
+        return _changepoint_fit(pdf, keys, ds, y, horizon, z, n_changepoints, fourier_order, ridge, yearly_order)
 
     return s.groupBy(*keys).applyInPandas(fit, schema=schema)

@@ -1,26 +1,34 @@
 """Join helpers: broadcast only behind a size check.
 
 Sides that are small by construction (the k rows of a top-k, a fixed word list) are broadcast
-directly. User-supplied side tables (lexicon, membership lists, dimensions) are counted first with
-a bounded count; beyond the bound they are joined by shuffle, and AQE can still convert the join at
-run time once the real size is known.
+directly. Other side tables (lexicon, membership lists, dimensions) are measured in bytes first; they
+must be cheap to read again (a table, or a result that was checkpointed), since measuring reads them.
+Beyond the bound they are joined by shuffle, with the same result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+def row_bytes(df: DataFrame) -> Column:
+    """A row's approximate size: the length of its texts, 16 bytes for every column."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    total = F.lit(16 * max(1, len(df.columns))).cast("long")
+    for t in texts:
+        total = total + t
+    return total
 
-    The count reads at most ``max_rows + 1`` rows of the (already reduced) side table.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its measured rows have at most ``max_bytes`` bytes, else ``df`` unchanged."""
+    n = df.agg(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if n <= max_bytes else df
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
@@ -52,6 +52,15 @@ def explode_ngrams(df: DataFrame, column: str, out: str, position: str | None =
     return x.where(F.col(out).isNotNull())
 
 
+def top_ngrams_by(df: DataFrame, by: str, text: str, n: int, k: int = 20, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> DataFrame:
+    """(by, words, total): the k most frequent n-grams of each value of ``by``, ties by n-gram. Counts are
+    summed by (by, words); the rank filter keeps k rows of each value per task before they meet."""
+    grams = explode_ngrams(with_ngrams(df, text, n, "__g", [by], stopwords), "__g", "words")
+    counts = grams.groupBy(by, "words").agg(F.count(F.lit(1)).alias("total"))
+    place = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("total"), F.asc("words")))
+    return counts.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")
+
+
 def top_ngrams(df: DataFrame, text: str, n: int, k: int | None = 20,
                stopwords: Iterable[str] = ENGLISH_STOPWORDS, stamp=None) -> DataFrame:
     """The k most frequent n-grams (all when k is None), ties by n-gram; optional date stamp."""

@@ -20,11 +20,12 @@ def ols(df: DataFrame, group: Sequence[str], y: str, x: str, digits: int = 4) ->
 
 
 def ols_fitted(df: DataFrame, group: Sequence[str], y: str, x: str, keep: Sequence[str] = (),
-               digits: int = 4) -> DataFrame:
-    """Rows with x, y and the fitted y_hat of their group's line."""
+               digits: int = 4, few_groups: bool = False) -> DataFrame:
+    """Rows with x, y and the fitted y_hat of their group's line. ``few_groups`` (a top-k) sends the
+    coefficients to the rows instead of shuffling them."""
     group = list(group)
     yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
     coef = df.groupBy(*group).agg(F.regr_slope(yy, xx).alias("__b"), F.regr_intercept(yy, xx).alias("__a"))
     rows = df.select(*group, *keep, xx.alias("x"), yy.alias("y"))
-    j = rows.join(coef, group)
+    j = rows.join(F.broadcast(coef) if few_groups else coef, group)
     return j.select(*group, *keep, "x", "y", F.round(F.col("__a") + F.col("__b") * F.col("x"), digits).alias("y_hat"))

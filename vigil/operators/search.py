@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from vigil.functions.dates import parse_param
 from vigil.functions.geo import within_km
@@ -46,6 +47,7 @@ class PostColumns:
     replies: str = "replies"
     source: str = "source"
     language: str = "language"
+    date: str = "date"  # the day of ``ts``, if the table has it: partition pruning by since and until
 
 
 @dataclass
@@ -111,6 +113,11 @@ def predicate(f: PostFilter, schema=None) -> Column | None:
         return F.expr(f.custom_query)
     parts: list[Column] = []
     col = F.col
+    if schema is not None and c.date in schema.names and isinstance(schema[c.date].dataType, DateType):
+        if f.since:
+            parts.append(col(c.date) >= F.lit(parse_param(f.since).date()))
+        if f.until:
+            parts.append(col(c.date) <= F.lit(parse_param(f.until).date()))
     if f.keyword:
         low = F.lower(col(c.text))
         parts += [low.contains(t.lower()) for t in f.keyword.split()]

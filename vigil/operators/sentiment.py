@@ -1,8 +1,9 @@
 """Lexicon sentiment of short texts (F-3, F-4, X-16).
 
-Base form of the published rule-based valence scorer: words are white-space split, surrounding
-ASCII punctuation is stripped when at least three characters remain, one-character words are
-dropped, and each word's valence is looked up lower-cased (0 when absent). Then
+Base form of the published rule-based valence scorer: words are white-space split, one-character words
+are dropped, one listed punctuation mark (or run of '!' and '?') is stripped from the front or the end of
+a word that has no other punctuation and two characters left, and each word's valence is looked up
+lower-cased (0 when absent; a token listed twice counts once, with its largest values). Then
 
     pos = sum(v + 1 | v > 0), neg = sum(v - 1 | v < 0), neu = count(v == 0)
     shares = |x| / (pos + |neg| + neu), rounded to 3 places
@@ -11,9 +12,10 @@ dropped, and each word's valence is looked up lower-cased (0 when absent). Then
 and a text without words scores 0 everywhere. Negation, booster, capitals and 'but' rules are not
 part of the base form.
 
-Plan: ``explode_outer`` of the words (all words of a text stay in one task), a broadcast hash join
-with the lexicon (size-checked), and one ``groupBy`` on the text id whose partial aggregation
-reduces every text to one row before the shuffle. The lexicon is never collected to the driver.
+Each input row is scored on its own, whatever its id (ids may repeat or be null): rows are numbered, the
+id and the kept columns ride on a text's first word, and one ``groupBy`` on the row number, whose partial
+aggregation reduces every text to one row before the shuffle, puts a text's words together again. The
+lexicon is joined by a broadcast of checked size and never collected to the driver.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import sentiment_label, words
-from vigil.operators.joins import broadcast_if_bounded
+from vigil.operators.joins import BROADCAST_BYTES, broadcast_if_bounded
 
 ALPHA = 15.0  # fixed value: normalisation constant of the compound score
-PUNCT_EDGES = r"^\p{Punct}+|\p{Punct}+$"
+# Punctuation that is stripped from one end of a word.
+PUNCT = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:\-'\"])"
+PUNCT_EDGE = rf"^{PUNCT}([^\p{{Punct}}]{{2,}})$|^([^\p{{Punct}}]{{2,}}){PUNCT}$"
 
 # Constants and single-word lists of the published rule-based valence scorer.
 B_INCR = 0.293
@@ -63,48 +67,26 @@ BOOST_DOWN = (
 
 
 def scorer_words(text: Column | str) -> Column:
-    """Words of a text as the scorer sees them (see module doc)."""
-    def strip(w):
-        s = F.regexp_replace(w, PUNCT_EDGES, "")
-        return F.when(F.length(s) <= 2, w).otherwise(s)
-    return F.filter(F.transform(words(text), strip), lambda w: F.length(w) > 1)
+    """Words of a text as the scorer sees them (see module doc); null text: none."""
+    long = F.filter(words(text), lambda w: F.length(w) > 1)
+    return F.coalesce(F.transform(long, lambda w: F.regexp_replace(w, PUNCT_EDGE, "$1$2")), F.array().cast("array<string>"))
 
 
-def _exploded(df: DataFrame, id_col: str, text: str, keep: Sequence[str]) -> DataFrame:
-    cols = [id_col] + [c for c in keep if c != id_col]
-    return df.select(*cols, F.explode_outer(scorer_words(text)).alias("__w"))
+def one_per_token(lexicon: DataFrame, token_col: str, values: dict[str, str], max_bytes: int) -> DataFrame:
+    """The lexicon with a row a token (``__t``) and the named values, broadcast if it's small enough."""
+    lex = lexicon.where(F.col(token_col).isNotNull()).groupBy(F.col(token_col).alias("__t"))
+    return broadcast_if_bounded(lex.agg(*[F.max(F.col(c).cast("double")).alias(n) for n, c in values.items()]), max_bytes)
 
 
-def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
-                    keep: Sequence[str] = (), token_col: str = "token", valence_col: str = "valence",
-                    max_lexicon_rows: int = 1_000_000) -> DataFrame:
-    """id, kept columns, neg, neu, pos, compound, sentiment (label)."""
-    lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
-    lex = broadcast_if_bounded(lex, max_lexicon_rows)
-    keep = [c for c in keep if c != id_col]
-    # Wide columns must not ride through the explode (one copy of the text per word): kept columns
-    # go on each text's first word only (one carrier per text, also for an empty text) and come
-    # out of the per-text aggregate, so the input is read once and nothing is joined back.
-    if keep:
-        ws = F.coalesce(scorer_words(F.col(text)), F.array().cast("array<string>"))   # null text: no words
-        base = df.select(id_col, ws.alias("w"), F.struct(*[F.col(c) for c in keep]).alias("__keep"))
-        keep_type = base.schema["__keep"].dataType.simpleString()
-        n = F.size(F.col("w"))
-        carry = F.concat(F.array(F.col("__keep")),
-                         F.array_repeat(F.lit(None).cast(keep_type), F.greatest(n - 1, F.lit(0))))
-        x = base.select(id_col, F.explode(F.arrays_zip(F.col("w"), carry.alias("k"))).alias("__u"))
-        x = x.select(id_col, F.col("__u.w").alias("__w"), F.col("__u.k").alias("__keep"))
-    else:
-        x = _exploded(df, id_col, text, ())
-    x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
-    v = F.when(F.col("__w").isNotNull(), F.coalesce(F.col("__v"), F.lit(0.0)))
-    g = x.groupBy(id_col).agg(
-        *([F.first("__keep", ignorenulls=True).alias("__keep")] if keep else []),
-        F.coalesce(F.sum(F.when(v > 0, v + 1)), F.lit(0.0)).alias("__pos"),
-        F.coalesce(F.sum(F.when(v < 0, v - 1)), F.lit(0.0)).alias("__neg"),
-        F.count(F.when(v == 0, F.lit(1))).cast("double").alias("__neu"),
-        F.coalesce(F.sum(v), F.lit(0.0)).alias("__s"),
-    )
+def _carried(df: DataFrame, columns: Sequence[str], size: Column) -> Column:
+    """The columns as a struct in the first of ``size`` places (at least one), null in the others."""
+    held = F.struct(*[F.col(c) for c in columns])
+    kind = df.select(held.alias("k")).schema["k"].dataType.simpleString()
+    return F.concat(F.array(held), F.array_repeat(F.lit(None).cast(kind), F.greatest(size - 1, F.lit(0))))
+
+
+def _shares(g: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The result columns from a text's sums ``__pos``, ``__neg``, ``__neu``, ``__s`` and carried ``__keep``."""
     total = F.col("__pos") + F.abs(F.col("__neg")) + F.col("__neu")
 
     def share(c: str) -> Column:
@@ -112,12 +94,37 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
 
     s = F.col("__s")
     compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
-    out = g.select(id_col, *[F.col(f"__keep.{c}").alias(c) for c in keep],
-                   share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
-                   compound.alias("compound"))
+    out = g.select(*[F.col(f"__keep.{c}").alias(c) for c in columns], share("__neg").alias("neg"), share("__neu").alias("neu"),
+                   share("__pos").alias("pos"), compound.alias("compound"))
     return out.withColumn("sentiment", sentiment_label("neg", "pos"))
 
 
+def _sums(val: Column) -> list[Column]:
+    return [F.coalesce(F.sum(F.when(val > 0, val + 1)), F.lit(0.0)).alias("__pos"),
+            F.coalesce(F.sum(F.when(val < 0, val - 1)), F.lit(0.0)).alias("__neg"),
+            F.coalesce(F.sum(val), F.lit(0.0)).alias("__s"), F.first("__keep", ignorenulls=True).alias("__keep")]
+
+
+def _word_rows(df: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
+    """(__rid, __w, __keep): a row a word, and one for a text without words."""
+    base = df.select(F.monotonically_increasing_id().alias("__rid"), scorer_words(F.col(text)).alias("w"), *columns,
+                     *([] if text in columns else [text]))
+    x = base.select("__rid", F.explode(F.arrays_zip("w", _carried(base, columns, F.size("w")).alias("k"))).alias("__u"))
+    return x.select("__rid", F.col("__u.w").alias("__w"), F.col("__u.k").alias("__keep"))
+
+
+def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
+                    keep: Sequence[str] = (), token_col: str = "token", valence_col: str = "valence",
+                    max_lexicon_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """id, kept columns, neg, neu, pos, compound, sentiment (label) for every row of ``df``."""
+    lex = one_per_token(lexicon, token_col, {"__v": valence_col}, max_lexicon_bytes)
+    columns = [id_col, *[c for c in keep if c != id_col]]
+    x = _word_rows(df, columns, text).join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
+    v = F.when(F.col("__w").isNotNull(), F.when(F.lower("__w").isin(*BOOST_UP, *BOOST_DOWN), 0.0).otherwise(F.coalesce(F.col("__v"), F.lit(0.0))))
+    g = x.groupBy("__rid").agg(*_sums(v), F.count(F.when(v == 0, F.lit(1))).cast("double").alias("__neu"))
+    return _shares(g, columns)
+
+
 def _is_upper(w: Column) -> Column:
     """All cased characters upper-case, and at least one cased character."""
     return (w == F.upper(w)) & (w != F.lower(w))
@@ -129,9 +136,10 @@ def _count_char(text: Column, ch: str) -> Column:
 
 def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                           keep: Sequence[str] = (), token_col: str = "token", valence_col: str = "valence",
-                          max_lexicon_rows: int = 1_000_000) -> DataFrame:
+                          max_lexicon_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The scorer with its positional rules, applied to every word found in the lexicon:
 
+    * a booster word scores 0 itself, also where the lexicon has it;
     * capitals: an all-caps word in a text that is not all caps moves by C_INCR away from 0;
     * for each of the three preceding words that is not itself in the lexicon: a booster adds
       +-B_INCR (sign of the valence, x0.95 / x0.9 at distance 2 / 3, +-C_INCR when in capitals),
@@ -146,13 +154,11 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     base form, with the neutral count taken from the number of words.
     """
     t = F.col(text)
-    lex = lexicon.select(F.col(token_col).alias("__t"), F.col(valence_col).cast("double").alias("__v"))
-    lex = broadcast_if_bounded(lex, max_lexicon_rows)
-    keep = [c for c in keep if c != id_col]
-    base = df.select(id_col, F.coalesce(scorer_words(t), F.array().cast("array<string>")).alias("__ws"),
+    lex = one_per_token(lexicon, token_col, {"__v": valence_col}, max_lexicon_bytes)
+    columns = [id_col, *[c for c in keep if c != id_col]]
+    base = df.select(F.monotonically_increasing_id().alias("__rid"), scorer_words(t).alias("__ws"),
                      F.coalesce(_count_char(t, "!"), F.lit(0)).alias("__excl"),
-                     F.coalesce(_count_char(t, "?"), F.lit(0)).alias("__qm"),
-                     *([F.struct(*[F.col(c) for c in keep]).alias("__keep")] if keep else []))
+                     F.coalesce(_count_char(t, "?"), F.lit(0)).alias("__qm"), *columns)
     ws = F.col("__ws")
     n = F.size(ws)
     n_upper = F.size(F.filter(ws, _is_upper))
@@ -163,26 +169,18 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
 
     # per-text flags and the aligned arrays first, so that the explode carries only scalars besides
     # the generated struct (an array column next to an explode is copied into every word's row)
-    # kept columns ride on the first position only (one copy per text, also for an empty text),
-    # so they reach the per-text aggregate without a join back to the input
-    carry = []
-    if keep:
-        keep_type = base.schema["__keep"].dataType.simpleString()
-        carry = [F.concat(F.array(F.col("__keep")),
-                          F.array_repeat(F.lit(None).cast(keep_type), F.greatest(n - 1, F.lit(0)))).alias("k")]
-    flags = base.select(id_col, "__excl", "__qm", n.alias("__nw"),
+    flags = base.select("__rid", "__excl", "__qm", n.alias("__nw"),
                         ((n_upper > 0) & (n_upper < n)).alias("__cd"),
                         ws.alias("w"), F.transform(ws, F.lower).alias("lw"),
-                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)], *carry)
+                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)], _carried(base, columns, n).alias("k"))
     flags = flags.withColumn("__bp", F.array_position("lw", "but"))
-    zipped = F.arrays_zip("w", "lw", "p1", "p2", "p3", *(["k"] if keep else []))
-    x = flags.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp",
-                     F.posexplode_outer(zipped).alias("__i", "__u"))
-    x = x.select(id_col, "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
+    x = flags.select("__rid", "__excl", "__qm", "__nw", "__cd", "__bp",
+                     F.posexplode_outer(F.arrays_zip("w", "lw", "p1", "p2", "p3", "k")).alias("__i", "__u"))
+    x = x.select("__rid", "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
                  F.col("__u.lw").alias("__lw"), (F.col("__i") + 1).alias("__pos"),
-                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)],
-                 *([F.col("__u.k").alias("__keep")] if keep else []))
+                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)], F.col("__u.k").alias("__keep"))
     x = x.join(lex, F.col("__lw") == F.col("__t"), "left").drop("__t")
+    x = x.withColumn("__v", F.when(F.col("__v").isNotNull() & F.col("__lw").isin(*BOOST_UP, *BOOST_DOWN), F.lit(None)).otherwise(F.col("__v")))
     # only words found in the lexicon can score; keep those plus one carrier row per text (its
     # first word, or the null row of an empty text). Neutral words are counted from the length.
     x = x.where(F.col("__v").isNotNull() | (F.col("__pos") == 1) | F.col("__w").isNull())
@@ -210,43 +208,26 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     x = x.withColumn("__v", F.when((bp > 0) & (pos < bp), v * F.lit(BUT_BEFORE))
                      .when((bp > 0) & (pos > bp), v * F.lit(BUT_AFTER)).otherwise(v))
     val = F.col("__v")
-    g = x.groupBy(id_col).agg(
-        F.coalesce(F.sum(F.when(val > 0, val + 1)), F.lit(0.0)).alias("__pos"),
-        F.coalesce(F.sum(F.when(val < 0, val - 1)), F.lit(0.0)).alias("__neg"),
+    g = x.groupBy("__rid").agg(*_sums(val),
         (F.max("__nw") - F.count(val) + F.count(F.when(val == 0, F.lit(1)))).cast("double").alias("__neu"),
-        F.coalesce(F.sum(val), F.lit(0.0)).alias("__s"),
-        F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"),
-        *([F.first("__keep", ignorenulls=True).alias("__keep")] if keep else []))
+        F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"))
     qm = F.col("__qm")
     amp = (F.least(F.col("__excl"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
            + F.when(qm > 3, F.lit(QUESTION_CAP)).when(qm > 1, qm * F.lit(QUESTION_STEP)).otherwise(F.lit(0.0)))
     s0, p0, n0 = F.col("__s"), F.col("__pos"), F.col("__neg")
-    g = g.select(id_col, F.col("__neu"), *(["__keep"] if keep else []),
+    g = g.select("__neu", "__keep",
                  F.when(s0 > 0, s0 + amp).when(s0 < 0, s0 - amp).otherwise(s0).alias("__s"),
                  F.when(p0 > F.abs(n0), p0 + amp).otherwise(p0).alias("__pos"),
                  F.when(p0 < F.abs(n0), n0 - amp).otherwise(n0).alias("__neg"))
-    total = F.col("__pos") + F.abs(F.col("__neg")) + F.col("__neu")
-
-    def share(c: str) -> Column:
-        return F.when(total > 0, F.round(F.abs(F.col(c) / total), 3)).otherwise(F.lit(0.0))
-
-    s = F.col("__s")
-    compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
-    out = g.select(id_col, *[F.col(f"__keep.{c}").alias(c) for c in keep],
-                   share("__neg").alias("neg"), share("__neu").alias("neu"), share("__pos").alias("pos"),
-                   compound.alias("compound"))
-    return out.withColumn("sentiment", sentiment_label("neg", "pos"))
+    return _shares(g, columns)
 
 
 def score_polarity(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, token_col: str = "token",
                    polarity_col: str = "polarity", subjectivity_col: str = "subjectivity",
-                   max_lexicon_rows: int = 1_000_000) -> DataFrame:
-    """id, polarity, subjectivity: averages over the words found in the lexicon (0 when none)."""
-    lex = lexicon.select(F.col(token_col).alias("__t"), F.col(polarity_col).cast("double").alias("__p"),
-                         F.col(subjectivity_col).cast("double").alias("__q"))
-    lex = broadcast_if_bounded(lex, max_lexicon_rows)
-    x = _exploded(df, id_col, text, ())
-    x = x.join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
-    g = x.groupBy(id_col).agg(F.avg("__p").alias("__p"), F.avg("__q").alias("__q"))
-    return g.select(id_col, F.round(F.coalesce(F.col("__p"), F.lit(0.0)), 4).alias("polarity"),
+                   max_lexicon_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """id, polarity, subjectivity for every row: averages over the words found in the lexicon (0 when none)."""
+    lex = one_per_token(lexicon, token_col, {"__p": polarity_col, "__q": subjectivity_col}, max_lexicon_bytes)
+    x = _word_rows(df, [id_col], text).join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
+    g = x.groupBy("__rid").agg(F.avg("__p").alias("__p"), F.avg("__q").alias("__q"), F.first("__keep", ignorenulls=True).alias("__keep"))
+    return g.select(F.col(f"__keep.{id_col}").alias(id_col), F.round(F.coalesce(F.col("__p"), F.lit(0.0)), 4).alias("polarity"),
                     F.round(F.coalesce(F.col("__q"), F.lit(0.0)), 4).alias("subjectivity"))

@@ -9,20 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vigil.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from vigil.operators.joins import BROADCAST_BYTES, broadcast_if_bounded
 from vigil.operators.shape import clamp0
 from vigil.session import materialize
 
 
 def lag_days(df: DataFrame, keys: Sequence[str], date: str, columns: Sequence[str], days: int = 7,
-             how: str = "join", prefix: str = "lag_", bucket_days: int = 64) -> DataFrame:
+             how: str = "join", prefix: str = "lag_", bucket_days: int = 64, take=F.first) -> DataFrame:
     """Add ``prefix + c``: the value of ``c`` for the same keys exactly ``days`` days earlier.
 
     Keys match null-safely. When (keys, date) repeats on the right, the join form fans out like a
-    left join; the window form then takes one of them.
+    left join; the window form then takes one value of them (``take``: an aggregate function).
 
     The window form does not partition by the keys alone (one hot key would be one task): rows are
     bucketed by ``bucket_days``-day periods, and the rows of a bucket's last ``days`` days are also
@@ -40,7 +41,7 @@ def lag_days(df: DataFrame, keys: Sequence[str], date: str, columns: Sequence[st
         u = df.select("*", F.explode(copies).alias("__copy"))
         u = u.withColumn("__bucket", F.floor(d / F.lit(bucket_days)) + F.col("__copy"))
         w = Window.partitionBy(*keys, "__bucket").orderBy(d).rangeBetween(-days, -days)
-        out = u.withColumns({prefix + c: F.first(F.col(c)).over(w) for c in columns})
+        out = u.withColumns({prefix + c: take(F.col(c)).over(w) for c in columns})
         return out.where(F.col("__copy") == 0).drop("__copy", "__bucket")
     if how != "join":
         raise ValueError(how)
@@ -53,19 +54,47 @@ def lag_days(df: DataFrame, keys: Sequence[str], date: str, columns: Sequence[st
     return out.drop(*[f"__lk{i}" for i in range(len(keys))], "__ld")
 
 
+def _number(df: DataFrame, c: str) -> Column:
+    """A measure with NaN as null."""
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c), F.col(c))
+    return F.col(c)
+
+
 def repair_negatives(df: DataFrame, keys: Sequence[str], date: str, measures: Sequence[str],
                      days: int = 7, how: str = "join") -> DataFrame:
     """Negative measure -> its original value ``days`` earlier (negative -> 0, missing -> 0);
-    every other null -> 0. Not recursive: the earlier value is the unrepaired one.
+    every other null or NaN -> 0. Not recursive: the earlier value is the unrepaired one. Each input row
+    gives one row: where (keys, date) repeats, the largest of the earlier values counts. Keys and dates
+    match null-safely (a null date has no earlier day).
 
-    One self-join and one projection; no outlier tables, so no duplicate can arise.
+    The join form shuffles only rows with a negative measure and the rows they look back to; all others
+    pass through a projection. The input is read up to three times, so stage it if it's costly.
     """
-    measures = list(measures)
-    lagged = lag_days(df, keys, date, measures, days, how=how, prefix="__lag_")
-    fixed = {m: F.when(F.col(m) < 0, F.coalesce(clamp0(F.col("__lag_" + m)), F.lit(0)))
-                 .otherwise(F.coalesce(F.col(m), F.lit(0)))
-             for m in measures}
-    return lagged.withColumns(fixed).drop(*["__lag_" + m for m in measures])
+    keys, measures = list(keys), list(measures)
+    clean = df.withColumns({m: _number(df, m) for m in measures})
+    zeroed = {m: F.coalesce(F.col(m), F.lit(0)) for m in measures}
+
+    def fixed(lag: str) -> dict[str, Column]:
+        return {m: F.when(F.col(m) < 0, F.coalesce(clamp0(F.col(lag + m)), F.lit(0))).otherwise(zeroed[m]) for m in measures}
+
+    if how == "window":
+        bucket = max(64, 4 * days)
+        lagged = lag_days(clean, keys, date, measures, days, how="window", prefix="__lag_", bucket_days=bucket, take=F.max)
+        return lagged.withColumns(fixed("__lag_")).drop(*["__lag_" + m for m in measures])
+    if how != "join":
+        raise ValueError(how)
+    negative = F.lit(False)
+    for m in measures:
+        negative = negative | F.coalesce(F.col(m) < 0, F.lit(False))
+    wanted = clean.where(negative).select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)],
+                                          F.date_sub(date, days).alias("__wd")).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__w{i}")) for i, k in enumerate(keys)] + [F.col(date) == F.col("__wd")]
+    earlier = (clean.join(wanted, same, "left_semi").groupBy(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.col(date).alias("__wd"))
+               .agg(*[F.max(m).alias("__lag_" + m) for m in measures]))
+    back = same[:-1] + [F.date_sub(date, days) == F.col("__wd")]
+    repaired = clean.where(negative).join(earlier, back, "left").withColumns(fixed("__lag_"))
+    return clean.where(~negative).withColumns(zeroed).select(*df.columns).unionByName(repaired.select(*df.columns))
 
 
 def day_counter_table(df: DataFrame, date: str, order_by: Sequence[str] | None = None,
@@ -93,14 +122,14 @@ def day_counter_table(df: DataFrame, date: str, order_by: Sequence[str] | None =
 
 def day_counter(df: DataFrame, date: str, order_by: Sequence[str] | None = None,
                 mode: str = "first_seen", name: str = "contador_dia", stage: bool = True,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach the day counter by date (null dates get null).
 
     With ``stage`` the counter table (one row per distinct date) is checkpointed once and, when
-    its row count is within the bound, broadcast: the data side is then never shuffled on the
+    its bytes are within the bound, broadcast: the data side is then never shuffled on the
     date, so a date holding a large share of the rows cannot skew a join partition.
     """
     counter = day_counter_table(df, date, order_by, mode, name)
     if stage:
-        counter = broadcast_if_bounded(materialize(counter), max_broadcast_rows)
+        counter = broadcast_if_bounded(materialize(counter), max_broadcast_bytes)
     return df.join(counter, on=date, how="left")

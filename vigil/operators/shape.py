@@ -11,7 +11,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from vigil.operators.joins import BROADCAST_BYTES, broadcast_if_bounded
+from vigil.session import materialize
 
 
 def tag(df: DataFrame, value: str, name: str = "category") -> DataFrame:
@@ -76,16 +77,16 @@ def zero_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_keys_with_null(df: DataFrame, key: str, attr: str,
-                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                        max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Remove every row of a key that has at least one null ``attr`` (not only the null rows).
 
     The bad keys come from a map-side-combined distinct over (key, attr) with ``attr IS NULL``
-    pushed to the scan, so a hot key costs one row per task. Their number is bounded by the number
-    of keys; when the bounded count confirms it, the null-safe anti-join is a broadcast and the data
+    pushed to the scan, so a hot key costs one row per task. They are checkpointed (computed once);
+    when their measured bytes are within the bound, the null-safe anti-join is a broadcast and the data
     side is never shuffled. Otherwise it is a shuffled anti-join, where AQE splits a dominant key.
     """
     bad = (df.where(F.col(attr).isNull()).select(F.col(key).alias("__bad_key")).distinct())
-    bad = broadcast_if_bounded(bad, max_broadcast_rows)
+    bad = broadcast_if_bounded(materialize(bad), max_broadcast_bytes)
     return df.join(bad, F.col(key).eqNullSafe(F.col("__bad_key")), "left_anti")
 
 

@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.aggregate import group_sum, unique_values
+from vigil.operators.aggregate import group_sum, joined_values, unique_values
 from vigil.operators.forecast import (forecast_chart_data, forecast_changepoint, forecast_linear_weekly,
                                       future_spine, to_series, z_value)
 from vigil.operators.lookup import attach_side_measure, semi_join_keys
 from vigil.operators.regress import ols, ols_fitted
-from vigil.plans.analysis import (METRICS, analysis_series, daily_country_sql, top_countries,
-                                  top_country_series)
+from vigil.plans.analysis import METRICS, analysis_series, top_countries, top_country_series
 from vigil.plans.catalog.base import oracle, register
+from vigil.sources.sql import read_sql
 from vigil.sources.tables import Inputs
 
 # ---- shared oracle CTEs -------------------------------------------------------------------------
@@ -43,8 +43,9 @@ def covid_fact(inp: Inputs) -> DataFrame:
                                ["date", "iso_code"], ["people_fully_vaccinated"])
 
 
-def series(inp: Inputs) -> DataFrame:
-    return analysis_series(inp.spark, covid_fact(inp))
+def series(inp: Inputs, stage: bool = True) -> DataFrame:
+    """Staged where a query draws on it more than once."""
+    return analysis_series(covid_fact(inp), stage)
 
 
 @register("src_sql_query", oracle("""
@@ -52,18 +53,23 @@ SELECT date, country, CAST(SUM(tt_cases) AS DOUBLE) AS tt_cases, CAST(SUM(tt_dea
        CAST(SUM(people_fully_vaccinated) AS DOUBLE) AS people_fully_vaccinated
 FROM covid_fact WHERE category = 'covid' GROUP BY 1, 2 ORDER BY 1, 2""", ANALYSIS_VIEWS, [COVID_FACT]))
 def src_sql_query(inp: Inputs) -> DataFrame:
-    return daily_country_sql(inp.spark, covid_fact(inp))
+    """SQL text of a user's own over a fact table."""
+    return read_sql(inp.spark, """
+        SELECT f.date, f.country, sum(f.tt_cases) AS tt_cases, sum(f.tt_deaths) AS tt_deaths,
+               sum(f.people_fully_vaccinated) AS people_fully_vaccinated
+        FROM {fact} f WHERE f.category = 'covid' GROUP BY f.date, f.country ORDER BY f.date, f.country""",
+                    fact=covid_fact(inp))
 
 
 @register("agg_daily_country", oracle(f"SELECT {SERIES_COLS} FROM series", ANALYSIS_VIEWS, ANALYSIS_CTES))
 def agg_daily_country(inp: Inputs) -> DataFrame:
-    return series(inp)
+    return series(inp, stage=False)
 
 
 @register("sort_daily", oracle(f"SELECT {SERIES_COLS} FROM series ORDER BY date, country",
                                ANALYSIS_VIEWS, ANALYSIS_CTES))
 def sort_daily(inp: Inputs) -> DataFrame:
-    return series(inp).orderBy("date", "country")
+    return series(inp, stage=False).orderBy("date", "country")
 
 
 @register("agg_country_total", oracle("""
@@ -71,19 +77,19 @@ SELECT country, CAST(SUM(tt_cases) AS DOUBLE) AS tt_cases, CAST(SUM(tt_deaths) A
        CAST(SUM(tt_vaccine) AS DOUBLE) AS tt_vaccine
 FROM series GROUP BY country""", ANALYSIS_VIEWS, ANALYSIS_CTES))
 def agg_country_total(inp: Inputs) -> DataFrame:
-    return group_sum(series(inp), ["country"], list(METRICS))
+    return group_sum(series(inp, stage=False), ["country"], list(METRICS))
 
 
 @register("topk_countries", oracle("SELECT country, CAST(total AS DOUBLE) AS total FROM top5",
                                    ANALYSIS_VIEWS, ANALYSIS_CTES + (TOP5,)))
 def topk_countries(inp: Inputs) -> DataFrame:
-    return top_countries(series(inp), 5).select("country", "total")
+    return top_countries(series(inp, stage=False), 5).select("country", "total")
 
 
 @register("topk_rank", oracle("SELECT country, CAST(total AS DOUBLE) AS total, CAST(contador AS BIGINT) AS contador "
                               "FROM top5", ANALYSIS_VIEWS, ANALYSIS_CTES + (TOP5,)))
 def topk_rank(inp: Inputs) -> DataFrame:
-    return top_countries(series(inp), 5)
+    return top_countries(series(inp, stage=False), 5)
 
 
 @register("topk_series", oracle(f"SELECT {SERIES_COLS}, CAST(contador AS BIGINT) AS contador FROM top5_series",
@@ -105,11 +111,16 @@ def join_semi_topk(inp: Inputs) -> DataFrame:
     return semi_join_keys(s, top_countries(s, 5).select("country"), "country", bounded=True)
 
 
-@register("agg_unique_values", oracle("SELECT string_agg(country, ',' ORDER BY country) AS country_values "
+@register("agg_unique_values", oracle("SELECT DISTINCT country FROM series WHERE country IS NOT NULL", ANALYSIS_VIEWS, ANALYSIS_CTES))
+def agg_unique_values(inp: Inputs) -> DataFrame:
+    return unique_values(series(inp, stage=False), "country")
+
+
+@register("agg_joined_values", oracle("SELECT string_agg(country, ',' ORDER BY country) AS country_values "
                                       "FROM (SELECT DISTINCT country FROM top5_series) t",
                                       ANALYSIS_VIEWS, ANALYSIS_CTES + (TOP5, TOP5_SERIES)))
-def agg_unique_values(inp: Inputs) -> DataFrame:
-    return unique_values(top_country_series(series(inp), 5), "country")
+def agg_joined_values(inp: Inputs) -> DataFrame:
+    return joined_values(top_country_series(series(inp), 5), "country")
 
 
 # ---- forecasts (F-5, F-5a, F-5b, F-11) -----------------------------------------------------------
@@ -195,7 +206,7 @@ def series_unpivot(inp: Inputs) -> DataFrame:
                                            ANALYSIS_VIEWS,
                                            TOP5_CTES + tuple(forecast_ctes("top5_long", ["country", "metric"]))))
 def forecast_top_countries(inp: Inputs) -> DataFrame:
-    return forecast_linear_weekly(top5_long(inp), ["country", "metric"], "ds", "y", 60, 0.95)
+    return forecast_linear_weekly(top5_long(inp), ["country", "metric"], "ds", "y", 60, 0.95, few_series=True)
 
 
 @register("forecast_changepoint", note="per-series numpy fit in applyInPandas; rows-only check")
@@ -239,14 +250,14 @@ def ols_cases_vaccine(inp: Inputs) -> DataFrame:
 
 @register("ols_fitted", oracle(_fitted_sql("tt_deaths"), ANALYSIS_VIEWS, REG_CTES))
 def ols_fitted_q(inp: Inputs) -> DataFrame:
-    return ols_fitted(top_country_series(series(inp), 5), ["country"], "tt_cases", "tt_deaths", keep=["date"])
+    return ols_fitted(top_country_series(series(inp), 5), ["country"], "tt_cases", "tt_deaths", keep=["date"], few_groups=True)
 
 
 @register("ols_chart_data", oracle(_fitted_sql("tt_deaths", "deaths") + "\nUNION ALL\n"
                                    + _fitted_sql("tt_vaccine", "vaccines"), ANALYSIS_VIEWS, REG_CTES))
 def ols_chart_data(inp: Inputs) -> DataFrame:
     top = top_country_series(series(inp), 5)
-    deaths = ols_fitted(top, ["country"], "tt_cases", "tt_deaths", keep=["date"])
-    vacc = ols_fitted(top, ["country"], "tt_cases", "tt_vaccine", keep=["date"])
+    deaths = ols_fitted(top, ["country"], "tt_cases", "tt_deaths", keep=["date"], few_groups=True)
+    vacc = ols_fitted(top, ["country"], "tt_cases", "tt_vaccine", keep=["date"], few_groups=True)
     return (deaths.select(F.lit("deaths").alias("predictor"), "*")
             .unionByName(vacc.select(F.lit("vaccines").alias("predictor"), "*")))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.plans.catalog.base import oracle, register
-from vigil.plans.catalog.q_posts import MART_SQL, posts_outputs
-from vigil.plans.catalog.q_text import BIGRAM_COUNTS, EN_POSTS, FILTERED, TRIGRAM_COUNTS
+from vigil.plans.catalog.q_posts import MART_SQL, WINDOW_POSTS, posts_outputs
+from vigil.plans.catalog.q_text import BIGRAM_COUNTS, FILTERED, TRIGRAM_COUNTS
 from vigil.session import scratch_path
 from vigil.sinks.tables import export, write_daily, write_fact
 from vigil.sources.files import (read_cases, read_long_outbreak, read_vaccinations, read_wide_outbreak,
@@ -63,7 +63,7 @@ def src_long_csv(inp: Inputs) -> DataFrame:
 def src_encoded_csv(inp: Inputs) -> DataFrame:
     """A Latin-1 file with accented names, decoded with the file's encoding."""
     path = scratch_path(inp.spark, "latin1-csv")
-    w = inp.view("v_wide_a").withColumn("country", F.replace("country", F.lit("NATION"), F.lit("NAÇÃO")))
+    w = inp.view("v_wide_a").drop("source_ordinal").withColumn("country", F.replace("country", F.lit("NATION"), F.lit("NAÇÃO")))
     _write_csv(w, path, encoding="ISO-8859-1")
     return read_wide_outbreak(inp.spark, path, ["country", "tt_cases", "tt_deaths", "date"], encoding="ISO-8859-1")
 
@@ -73,7 +73,7 @@ def src_encoded_csv(inp: Inputs) -> DataFrame:
 def src_positional_csv(inp: Inputs) -> DataFrame:
     """Header names differ from ours; columns are taken by position."""
     path = scratch_path(inp.spark, "positional-csv")
-    _write_csv(inp.view("v_wide_b").toDF("Date", "Country/Region", "Cases", "Deaths", "Recovered"), path)
+    _write_csv(inp.view("v_wide_b").drop("source_ordinal").toDF("Date", "Country/Region", "Cases", "Deaths", "Recovered"), path)
     return read_wide_outbreak(inp.spark, path, ["date", "country", "tt_cases", "tt_deaths", "tt_recovery"])
 
 
@@ -109,7 +109,7 @@ def sink_posts_roundtrip(inp: Inputs) -> DataFrame:
 
 @register("sink_bigrams_roundtrip", oracle("SELECT words, total, DATE '2024-01-01' AS date FROM bigram_counts "
                                            "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
-                                           [EN_POSTS, FILTERED, BIGRAM_COUNTS]))
+                                           [WINDOW_POSTS, FILTERED, BIGRAM_COUNTS]))
 def sink_bigrams_roundtrip(inp: Inputs) -> DataFrame:
     path = scratch_path(inp.spark, "bigrams")
     bigrams = posts_outputs(inp)[1]
@@ -120,7 +120,7 @@ def sink_bigrams_roundtrip(inp: Inputs) -> DataFrame:
 
 @register("sink_trigrams_roundtrip", oracle("SELECT words, total, DATE '2024-01-31' AS date FROM trigram_counts "
                                             "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
-                                            [EN_POSTS, FILTERED, TRIGRAM_COUNTS]))
+                                            [WINDOW_POSTS, FILTERED, TRIGRAM_COUNTS]))
 def sink_trigrams_roundtrip(inp: Inputs) -> DataFrame:
     path = scratch_path(inp.spark, "trigrams")
     trigrams = posts_outputs(inp)[2]

@@ -29,7 +29,7 @@ PREDICATES: dict[str, tuple[PostFilter, str]] = {
     "post_from": (PostFilter(username="src3"), "username = 'src3'"),
     "post_since": (PostFilter(since="2024-01-02"), "ts >= TIMESTAMP '2024-01-02 00:00:00'"),
     "post_until": (PostFilter(until="2024-1-2 12:00:00"), "ts < TIMESTAMP '2024-01-02 12:00:00'"),
-    "post_year": (PostFilter(year=2025), "ts < TIMESTAMP '2025-01-01 00:00:00'"),
+    "post_year": (PostFilter(year=2024), "ts < TIMESTAMP '2024-01-01 00:00:00'"),
     "post_geo": (PostFilter(geo="10, 20, 3000km"), HAVERSINE_SQL),
     "post_near": (PostFilter(near="NATION_7"), "place = 'NATION_7'"),
     "post_email": (PostFilter(email=True), "(contains(lower(tweet), 'mail') OR contains(lower(tweet), 'email') "
@@ -121,10 +121,10 @@ def src_posts_window(inp: Inputs) -> DataFrame:
     return scan_posts(inp.spark, path, f).select(*OUT)
 
 
-WINDOW_POSTS = ("en_posts", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts "
+WINDOW_POSTS = ("posts_in", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts "
                             "WHERE language = 'en' AND ts >= TIMESTAMP '2024-01-01 00:00:00' "
                             "AND ts < TIMESTAMP '2024-01-31 00:00:00'")
-MART_SQL = oracle("SELECT p.post_id, p.date, p.tweet, p.text, r.sentiment FROM en_posts p "
+MART_SQL = oracle("SELECT p.post_id, p.date, p.tweet, p.text, r.sentiment FROM posts_in p "
                   "JOIN rlabelled r ON p.post_id = r.post_id", ["v_posts"], [WINDOW_POSTS, *RULES_CTES])
 
 

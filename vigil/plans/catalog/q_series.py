@@ -133,8 +133,8 @@ def _map_sql(col: str, mapping: dict[str, str]) -> str:
 
 
 def _counter_sql(src: str, order: str = "date") -> str:
-    return (f"SELECT date, row_number() OVER (ORDER BY {order}) AS contador_dia FROM "
-            f"(SELECT DISTINCT date FROM {src} WHERE date IS NOT NULL) d")
+    """By date, or by the dates' first appearance in ``MIN(column)`` order."""
+    return f"SELECT date, row_number() OVER (ORDER BY {order}, date) AS contador_dia FROM {src} WHERE date IS NOT NULL GROUP BY date"
 
 
 FACT_CTES = [
@@ -159,17 +159,17 @@ FROM (SELECT 'ebola' AS category, date, country, 'null' AS continent,
     ("ebola_j", "SELECT e.category, e.date, e.country, d.pv AS continent, e.tt_cases, e.tt_deaths FROM ebola_g e "
                 "LEFT JOIN dim d ON substring(e.country, 1, 8) IS NOT DISTINCT FROM d.pk"),
     ("ebola", f"SELECT e.*, c.contador_dia FROM ebola_j e LEFT JOIN ({_counter_sql('ebola_j')}) c ON e.date = c.date"),
-    ("h1n1_j", f"""SELECT 'h1n1' AS category, w.date, w.country, d.pv AS continent, w.tt_cases, w.tt_deaths
-FROM (SELECT date, {_map_sql('country', FIXTURE_PARAMS['wide_a_renames'])} AS country, tt_cases, tt_deaths
+    ("h1n1_j", f"""SELECT 'h1n1' AS category, w.date, w.country, d.pv AS continent, w.tt_cases, w.tt_deaths, w.source_ordinal
+FROM (SELECT date, {_map_sql('country', FIXTURE_PARAMS['wide_a_renames'])} AS country, tt_cases, tt_deaths, source_ordinal
       FROM v_wide_a) w
 LEFT JOIN dim d ON substring(w.country, 1, 8) IS NOT DISTINCT FROM d.pk
 WHERE w.country IS DISTINCT FROM 'Grand Total'"""),
-    ("h1n1", f"SELECT e.*, c.contador_dia FROM h1n1_j e LEFT JOIN ({_counter_sql('h1n1_j')}) c ON e.date = c.date"),
-    ("sars_j", f"""SELECT 'sars' AS category, w.date, w.country, d.pv AS continent, w.tt_cases, w.tt_deaths
-FROM (SELECT date, {_map_sql('country', FIXTURE_PARAMS['wide_b_renames'])} AS country, tt_cases, tt_deaths
+    ("h1n1", f"SELECT e.*, c.contador_dia FROM h1n1_j e LEFT JOIN ({_counter_sql('h1n1_j', 'MIN(source_ordinal)')}) c ON e.date = c.date"),
+    ("sars_j", f"""SELECT 'sars' AS category, w.date, w.country, d.pv AS continent, w.tt_cases, w.tt_deaths, w.source_ordinal
+FROM (SELECT date, {_map_sql('country', FIXTURE_PARAMS['wide_b_renames'])} AS country, tt_cases, tt_deaths, source_ordinal
       FROM v_wide_b) w
 LEFT JOIN dim d ON substring(w.country, 1, 8) IS NOT DISTINCT FROM d.pk"""),
-    ("sars", f"SELECT e.*, c.contador_dia FROM sars_j e LEFT JOIN ({_counter_sql('sars_j')}) c ON e.date = c.date"),
+    ("sars", f"SELECT e.*, c.contador_dia FROM sars_j e LEFT JOIN ({_counter_sql('sars_j', 'MIN(source_ordinal)')}) c ON e.date = c.date"),
 ]
 FACT_BODY = """
 SELECT id, category, date, country, continent, CAST(tt_cases AS DOUBLE) AS tt_cases,

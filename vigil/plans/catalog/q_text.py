@@ -34,9 +34,9 @@ def ngrams_sql(list_expr: str, n: int) -> str:
             f"lambda i: array_to_string({list_expr}[i:i + {n - 1}], ' '))")
 
 
-EN_POSTS = ("en_posts", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts "
-                        "WHERE language = 'en'")
-FILTERED = ("filtered", f"SELECT post_id, {FILTERED_SQL.format('text')} AS f FROM en_posts")
+ALL_POSTS = ("posts_in", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts")
+EN_POSTS = ("posts_in", ALL_POSTS[1] + " WHERE language = 'en'")
+FILTERED = ("filtered", f"SELECT post_id, {FILTERED_SQL.format('text')} AS f FROM posts_in")
 
 # Test lexicon (a parameter of the scorer, not the published one): words that occur in the
 # driver's documents, with valences that are exact binary fractions.
@@ -54,17 +54,20 @@ def polarity_df(inp: Inputs) -> DataFrame:
     return inp.spark.createDataFrame(POLARITY_LEXICON, "token string, polarity double, subjectivity double")
 
 
+# "so" is a booster: it scores 0 itself although the lexicon has it
+LEXICON.append(("so", 1.0))
 LEX_CTE = ("lex", "SELECT token, CAST(valence AS DOUBLE) AS valence FROM (VALUES "
            + ", ".join(f"('{t}', {v})" for t, v in LEXICON) + ") t(token, valence)")
 POL_CTE = ("pol", "SELECT token, CAST(polarity AS DOUBLE) AS polarity, CAST(subjectivity AS DOUBLE) AS subjectivity "
            "FROM (VALUES " + ", ".join(f"('{t}', {p}, {q})" for t, p, q in POLARITY_LEXICON)
            + ") t(token, polarity, subjectivity)")
-STRIP = "regexp_replace(w0, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')"
-WORDS_CTE = ("wds", f"""SELECT post_id, CASE WHEN length({STRIP}) <= 2 THEN w0 ELSE {STRIP} END AS tok
-FROM (SELECT post_id, unnest(regexp_extract_all(text, '\\S+')) AS w0 FROM en_posts) x""")
+_PUNCT = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:\-''\"])"
+STRIP = f"regexp_replace(w0, '^{_PUNCT}([^[:punct:]]{{2,}})$|^([^[:punct:]]{{2,}}){_PUNCT}$', '\\1\\2')"
+WORDS_CTE = ("wds", f"""SELECT post_id, CASE WHEN length(w0) > 1 THEN {STRIP} ELSE w0 END AS tok
+FROM (SELECT post_id, unnest(regexp_extract_all(text, '\\S+')) AS w0 FROM posts_in) x""")
 SCORES_CTES = [
     LEX_CTE, WORDS_CTE,
-    ("vals", "SELECT w.post_id, COALESCE(l.valence, 0.0) AS v FROM wds w LEFT JOIN lex l ON lower(w.tok) = l.token "
+    ("vals", "SELECT w.post_id, CASE WHEN lower(w.tok) = 'so' THEN 0.0 ELSE COALESCE(l.valence, 0.0) END AS v FROM wds w LEFT JOIN lex l ON lower(w.tok) = l.token "
              "WHERE length(w.tok) > 1"),
     ("g", """SELECT post_id, COALESCE(SUM(CASE WHEN v > 0 THEN v + 1 END), 0.0) AS ps,
        COALESCE(SUM(CASE WHEN v < 0 THEN v - 1 END), 0.0) AS ns,
@@ -73,7 +76,7 @@ FROM vals GROUP BY post_id"""),
     ("sc", """SELECT p.post_id, p.date, p.tweet, p.text, COALESCE(g.ps, 0.0) AS ps, COALESCE(g.ns, 0.0) AS ns,
        COALESCE(g.nu, 0.0) AS nu, COALESCE(g.s, 0.0) AS s, COALESCE(g.ps, 0.0) + abs(COALESCE(g.ns, 0.0))
        + COALESCE(g.nu, 0.0) AS tot
-FROM en_posts p LEFT JOIN g ON p.post_id = g.post_id"""),
+FROM posts_in p LEFT JOIN g ON p.post_id = g.post_id"""),
     ("scores", """SELECT post_id, date, tweet, text,
        CASE WHEN tot > 0 THEN round(abs(ns / tot), 3) ELSE 0.0 END AS neg,
        CASE WHEN tot > 0 THEN round(abs(nu / tot), 3) ELSE 0.0 END AS neu,
@@ -85,9 +88,12 @@ FROM sc"""),
 ]
 
 
+def all_posts(inp: Inputs) -> DataFrame:
+    return inp.view("v_posts").select("post_id", "date", "tweet", "language", clean_text("tweet").alias("text"))
+
+
 def en_posts(inp: Inputs) -> DataFrame:
-    p = inp.view("v_posts").where(F.col("language") == "en")
-    return p.select("post_id", "date", "tweet", clean_text("tweet").alias("text"))
+    return all_posts(inp).where(F.col("language") == "en")
 
 
 # ---- cleaning rules, one query each -------------------------------------------------------------
@@ -109,38 +115,38 @@ _rule("clean_text", clean_text, clean_sql("tweet"))
 
 # ---- lengths, tokens, n-grams -------------------------------------------------------------------
 
-@register("text_len", oracle("SELECT post_id, CAST(length(text) AS BIGINT) AS text_len FROM en_posts",
-                             ["v_posts"], [EN_POSTS]))
+@register("text_len", oracle("SELECT post_id, CAST(length(text) AS BIGINT) AS text_len FROM posts_in",
+                             ["v_posts"], [ALL_POSTS]))
 def text_len(inp: Inputs) -> DataFrame:
-    return en_posts(inp).select("post_id", text_length("text").alias("text_len"))
+    return all_posts(inp).select("post_id", text_length("text").alias("text_len"))
 
 
 @register("text_word_count", oracle("SELECT post_id, CAST(len(regexp_extract_all(text, '\\S+')) AS BIGINT) "
-                                    "AS text_word_count FROM en_posts", ["v_posts"], [EN_POSTS]))
+                                    "AS text_word_count FROM posts_in", ["v_posts"], [ALL_POSTS]))
 def text_word_count(inp: Inputs) -> DataFrame:
-    return en_posts(inp).select("post_id", word_count("text").alias("text_word_count"))
+    return all_posts(inp).select("post_id", word_count("text").alias("text_word_count"))
 
 
 @register("tokens", oracle(f"SELECT post_id, array_to_string(t, ' ') AS tokens, CAST(len(t) AS BIGINT) AS n_tokens "
-                           f"FROM (SELECT post_id, {TOKENS_SQL.format('text')} AS t FROM en_posts) x",
-                           ["v_posts"], [EN_POSTS]))
+                           f"FROM (SELECT post_id, {TOKENS_SQL.format('text')} AS t FROM posts_in) x",
+                           ["v_posts"], [ALL_POSTS]))
 def tokens_q(inp: Inputs) -> DataFrame:
-    t = en_posts(inp).select("post_id", tokens("text").alias("t"))
+    t = all_posts(inp).select("post_id", tokens("text").alias("t"))
     return t.select("post_id", F.array_join("t", " ").alias("tokens"), F.size("t").cast("bigint").alias("n_tokens"))
 
 
 @register("stopwords", oracle("SELECT post_id, array_to_string(f, ' ') AS tokens, CAST(len(f) AS BIGINT) AS n_tokens "
-                              "FROM filtered", ["v_posts"], [EN_POSTS, FILTERED]))
+                              "FROM filtered", ["v_posts"], [ALL_POSTS, FILTERED]))
 def stopwords_q(inp: Inputs) -> DataFrame:
-    t = en_posts(inp).select("post_id", remove_stopwords(tokens("text")).alias("f"))
+    t = all_posts(inp).select("post_id", remove_stopwords(tokens("text")).alias("f"))
     return t.select("post_id", F.array_join("f", " ").alias("tokens"), F.size("f").cast("bigint").alias("n_tokens"))
 
 
 @register("ngrams_of_row", oracle(f"""
 SELECT post_id, CAST(unnest(range(1, len(g) + 1)) AS BIGINT) AS pos, unnest(g) AS ngram
-FROM (SELECT post_id, {ngrams_sql('f', 2)} AS g FROM filtered) x""", ["v_posts"], [EN_POSTS, FILTERED]))
+FROM (SELECT post_id, {ngrams_sql('f', 2)} AS g FROM filtered) x""", ["v_posts"], [ALL_POSTS, FILTERED]))
 def ngrams_of_row(inp: Inputs) -> DataFrame:
-    g = with_ngrams(en_posts(inp), "text", 2, "g", keep=["post_id"])
+    g = with_ngrams(all_posts(inp), "text", 2, "g", keep=["post_id"])
     g = explode_ngrams(g, "g", "ngram", position="pos")
     return g.withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
@@ -152,9 +158,9 @@ FROM (SELECT unnest({ngrams_sql('f', 3)}) AS words FROM filtered) x GROUP BY wor
 
 
 @register("ngram_counts", oracle("SELECT words, total FROM bigram_counts", ["v_posts"],
-                                 [EN_POSTS, FILTERED, BIGRAM_COUNTS]))
+                                 [ALL_POSTS, FILTERED, BIGRAM_COUNTS]))
 def ngram_counts_q(inp: Inputs) -> DataFrame:
-    return ngram_counts(en_posts(inp), "text", 2)
+    return ngram_counts(all_posts(inp), "text", 2)
 
 
 @register("top_bigrams", oracle("SELECT words, total, DATE '2024-01-01' AS date FROM bigram_counts "
@@ -174,27 +180,27 @@ def top_trigrams(inp: Inputs) -> DataFrame:
 # ---- sentiment ----------------------------------------------------------------------------------
 
 @register("sentiment_scores", oracle("SELECT post_id, neg, neu, pos, compound, sentiment FROM labelled",
-                                     ["v_posts"], [EN_POSTS, *SCORES_CTES]))
+                                     ["v_posts"], [ALL_POSTS, *SCORES_CTES]))
 def sentiment_scores(inp: Inputs) -> DataFrame:
-    return score_sentiment(en_posts(inp), "post_id", "text", lexicon_df(inp))
+    return score_sentiment(all_posts(inp), "post_id", "text", lexicon_df(inp))
 
 
 @register("sentiment_label", oracle("SELECT post_id, CASE WHEN neg > pos THEN 'negative' WHEN pos > neg THEN "
                                     "'positive' ELSE 'neutral' END AS label FROM scores",
-                                    ["v_posts"], [EN_POSTS, *SCORES_CTES]))
+                                    ["v_posts"], [ALL_POSTS, *SCORES_CTES]))
 def sentiment_label_q(inp: Inputs) -> DataFrame:
-    s = score_sentiment(en_posts(inp), "post_id", "text", lexicon_df(inp))
+    s = score_sentiment(all_posts(inp), "post_id", "text", lexicon_df(inp))
     return s.select("post_id", sentiment_label("neg", "pos").alias("label"))
 
 
 @register("polarity", oracle("""
 SELECT p.post_id, round(COALESCE(a.pp, 0.0), 4) AS polarity, round(COALESCE(a.qq, 0.0), 4) AS subjectivity
-FROM en_posts p LEFT JOIN (SELECT w.post_id, AVG(l.polarity) AS pp, AVG(l.subjectivity) AS qq
+FROM posts_in p LEFT JOIN (SELECT w.post_id, AVG(l.polarity) AS pp, AVG(l.subjectivity) AS qq
                            FROM wds w JOIN pol l ON lower(w.tok) = l.token WHERE length(w.tok) > 1
                            GROUP BY w.post_id) a ON p.post_id = a.post_id""",
-                             ["v_posts"], [EN_POSTS, WORDS_CTE, POL_CTE]))
+                             ["v_posts"], [ALL_POSTS, WORDS_CTE, POL_CTE]))
 def polarity(inp: Inputs) -> DataFrame:
-    return score_polarity(en_posts(inp), "post_id", "text", polarity_df(inp))
+    return score_polarity(all_posts(inp), "post_id", "text", polarity_df(inp))
 
 
 # ---- sentiment with the positional rules ----------------------------------------------------------
@@ -211,16 +217,33 @@ def _upper(col: str) -> str:
     return f"({col} = upper({col}) AND {col} <> lower({col}))"
 
 
+class S:
+    """The published constants and word lists, written out here so that the oracle shares none with the operator."""
+
+    C_INCR, B_INCR, B_DECR, N_SCALAR = 0.733, 0.293, -0.293, -0.74
+    BOOSTER_DISTANCE_SCALE = (1.0, 0.95, 0.9)
+    BUT_BEFORE, BUT_AFTER = 0.5, 1.5
+    EXCLAMATION_MAX, EXCLAMATION_STEP, QUESTION_CAP, QUESTION_STEP = 4, 0.292, 0.96, 0.18
+    NEGATIONS = ("aint arent cannot cant couldnt darent didnt doesnt ain't aren't can't couldn't daren't didn't doesn't dont hadnt hasnt havent isnt "
+                 "mightnt mustnt neither don't hadn't hasn't haven't isn't mightn't mustn't neednt needn't never none nope nor not nothing nowhere "
+                 "oughtnt shant shouldnt uhuh wasnt werent oughtn't shan't shouldn't uh-uh wasn't weren't without wont wouldnt won't wouldn't rarely "
+                 "seldom despite").split()
+    BOOST_UP = ("absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous enormously entirely especially "
+                "exceptional exceptionally extreme extremely fabulously flipping flippin frackin fracking fricking frickin frigging friggin fully "
+                "fuckin fucking fuggin fugging greatly hella highly hugely incredible incredibly intensely major majorly more most particularly "
+                "purely quite really remarkably so substantially thoroughly total totally tremendous tremendously uber unbelievably unusually utter "
+                "utterly very").split()
+    BOOST_DOWN = ("almost barely hardly kinda kindof kind-of less little marginal marginally occasional occasionally partly scarce scarcely slight "
+                  "slightly somewhat sorta sortof sort-of").split()
+
+
 def _rules_ctes() -> list[tuple[str, str]]:
-    from vigil.operators import sentiment as S
     strip = STRIP.replace("w0", "x")
     ctes = [
         ("rw", f"""SELECT post_id,
-       list_filter(list_transform(regexp_extract_all(text, '\\S+'),
-                                  lambda x: CASE WHEN length({strip}) <= 2 THEN x ELSE {strip} END),
-                   lambda t: length(t) > 1) AS ws,
+       list_transform(list_filter(regexp_extract_all(text, '\\S+'), lambda t: length(t) > 1), lambda x: {strip}) AS ws,
        length(text) - length(replace(text, '!', '')) AS excl, length(text) - length(replace(text, '?', '')) AS qm
-FROM en_posts"""),
+FROM posts_in"""),
         ("rp", f"""SELECT post_id, excl, qm, ws, len(list_filter(ws, lambda w: {_upper('w')})) AS n_up, len(ws) AS n_w,
        COALESCE(list_position(list_transform(ws, lambda w: lower(w)), 'but'), 0) AS bp FROM rw"""),
         ("ru", "SELECT post_id, excl, qm, (n_up > 0 AND n_up < n_w) AS cd, bp, unnest(ws) AS w, "
@@ -228,7 +251,7 @@ FROM en_posts"""),
         ("rl", "SELECT *, lag(w, 1) OVER win AS p1, lag(w, 2) OVER win AS p2, lag(w, 3) OVER win AS p3 FROM ru "
                "WINDOW win AS (PARTITION BY post_id ORDER BY pos)"),
         ("r0", f"""SELECT r.*, l1.token IS NULL AS out1, l2.token IS NULL AS out2, l3.token IS NULL AS out3,
-       CASE WHEN {_upper('r.w')} AND r.cd THEN (CASE WHEN l.valence > 0 THEN l.valence + {_dbl(S.C_INCR)}
+       CASE WHEN {_in_list('lower(r.w)', [*S.BOOST_UP, *S.BOOST_DOWN])} THEN NULL WHEN {_upper('r.w')} AND r.cd THEN (CASE WHEN l.valence > 0 THEN l.valence + {_dbl(S.C_INCR)}
             ELSE l.valence - {_dbl(S.C_INCR)} END) ELSE l.valence END AS v
 FROM rl r LEFT JOIN lex l ON lower(r.w) = l.token LEFT JOIN lex l1 ON lower(r.p1) = l1.token
 LEFT JOIN lex l2 ON lower(r.p2) = l2.token LEFT JOIN lex l3 ON lower(r.p3) = l3.token"""),
@@ -264,7 +287,7 @@ FROM (SELECT *, COALESCE(v, 0.0) AS val FROM rbut) z GROUP BY post_id"""),
        COALESCE(CASE WHEN a.ps > abs(a.ns) THEN a.ps + a.amp ELSE a.ps END, 0.0) AS ps,
        COALESCE(CASE WHEN a.ps < abs(a.ns) THEN a.ns - a.amp ELSE a.ns END, 0.0) AS ns,
        COALESCE(a.nu, 0.0) AS nu
-FROM en_posts p LEFT JOIN ra a ON p.post_id = a.post_id"""),
+FROM posts_in p LEFT JOIN ra a ON p.post_id = a.post_id"""),
         ("rscores", """SELECT post_id,
        CASE WHEN ps + abs(ns) + nu > 0 THEN round(abs(ns / (ps + abs(ns) + nu)), 3) ELSE 0.0 END AS neg,
        CASE WHEN ps + abs(ns) + nu > 0 THEN round(abs(nu / (ps + abs(ns) + nu)), 3) ELSE 0.0 END AS neu,
@@ -281,6 +304,6 @@ RULES_CTES = [LEX_CTE, *_rules_ctes()]
 
 
 @register("sentiment_rules", oracle("SELECT post_id, neg, neu, pos, compound, sentiment FROM rlabelled",
-                                    ["v_posts"], [EN_POSTS, *RULES_CTES]))
+                                    ["v_posts"], [ALL_POSTS, *RULES_CTES]))
 def sentiment_rules(inp: Inputs) -> DataFrame:
-    return score_sentiment_rules(en_posts(inp), "post_id", "text", lexicon_df(inp))
+    return score_sentiment_rules(all_posts(inp), "post_id", "text", lexicon_df(inp))

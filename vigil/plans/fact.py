@@ -7,9 +7,9 @@ wide outbreak A: name map -> prefix lookup -> drop 'Grand Total' -> day counter
 wide outbreak B: name map -> prefix lookup -> day counter
 then a union by column name (missing columns null). Dates are DATE everywhere.
 
-The plan is lazy except for one reliable checkpoint of the cleaned cases (into the shared
-``spark.checkpoint.dir``), which four consumers read instead of re-running the source scan and the
-anti-join each time. The day counters number distinct dates only (a calendar-sized window).
+Each source is read once: cases and the other cleaned sources are checkpointed (into the shared
+``spark.checkpoint.dir``), and their counters, the dimension and the rows come from there. The day counters
+number distinct dates only (a calendar-sized window).
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from vigil.operators.lookup import attach_side_measure, prefix_dimension, prefix
 from vigil.operators.series import day_counter, repair_negatives
 from vigil.operators.shape import (drop_keys_with_null, drop_value, indicator_columns, normalise_values, tag)
 from vigil.session import materialize
+from vigil.sources.files import ORDINAL
 
 # Fixed values (the reference's rules for its real datasets).
 EBOLA_INDICATORS = {
@@ -61,14 +62,20 @@ class FactParams:
     total_label: str = TOTAL_ROW_LABEL
     prefix_length: int = PREFIX_LENGTH
     repair_days: int = REPAIR_DAYS
-    # first-appearance order of each source (columns giving file order); None -> chronological
+    # columns that order a source's rows, for counters by first appearance; None: by date. The CSV
+    # readers give the order of the file as ``source_ordinal``
     cases_order: Sequence[str] | None = ("id", "date")
-    wide_a_order: Sequence[str] | None = None
-    wide_b_order: Sequence[str] | None = None
+    wide_a_order: Sequence[str] | None = (ORDINAL,)
+    wide_b_order: Sequence[str] | None = (ORDINAL,)
     on_multi: str = "fanout"
     materialize: bool = True
 
 
+def _staged(df: DataFrame, p: FactParams) -> DataFrame:
+    """Checkpointed once, for its counter and its rows."""
+    return materialize(df) if p.materialize else df
+
+
 def _counter(df: DataFrame, order: Sequence[str] | None) -> DataFrame:
     if order:
         return day_counter(df, "date", list(order), mode="first_seen")
@@ -79,13 +86,11 @@ def covid_part(cases: DataFrame, vaccinations: DataFrame, p: FactParams) -> tupl
     """cases(id, date, location, continent, new_cases, new_deaths) -> (covid rows, prefix dimension)."""
     c = cases.select("id", F.lit("covid").alias("category"), "date", F.col("location").alias("country"),
                      "continent", F.col("new_cases").alias("tt_cases"), F.col("new_deaths").alias("tt_deaths"))
-    c = drop_keys_with_null(c, "id", "continent")
-    if p.materialize:
-        # the cleaned cases feed the dimension (used by three other datasets), the counter, both
-        # sides of the repair join and the vaccination join: compute them once
-        c = materialize(c)
-    # distinct (prefix, continent) pairs: broadcast to the three lookups behind a row-count check
-    dim = broadcast_if_bounded(prefix_dimension(c, "country", "continent", p.prefix_length))
+    # the cases feed the bad keys, the dimension (used by three other datasets), the counter, the repair
+    # and the vaccination join: the source is read once, and the anti-join is a broadcast of few keys
+    c = drop_keys_with_null(_staged(c, p), "id", "continent")
+    # distinct (prefix, continent) pairs: broadcast to the three lookups behind a size check
+    dim = broadcast_if_bounded(_staged(prefix_dimension(c, "country", "continent", p.prefix_length), p))
     c = _counter(c, p.cases_order)
     c = repair_negatives(c, ["country"], "date", ["tt_cases", "tt_deaths"], days=p.repair_days)
     c = attach_side_measure(c, vaccinations, ["date", "id"], ["date", "iso_code"], ["people_fully_vaccinated"])
@@ -99,7 +104,7 @@ def long_part(long_df: DataFrame, dim: DataFrame, p: FactParams, category: str =
     d = group_sum(d, ["category", "date", "country", "continent"], ["tt_cases", "tt_deaths"])
     d = normalise_values(d, "country", p.long_renames)
     d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi)
-    return _counter(d.select(*OTHER_COLUMNS), None)
+    return _counter(_staged(d.select(*OTHER_COLUMNS), p), None)
 
 
 def wide_a_part(wide: DataFrame, dim: DataFrame, p: FactParams, category: str = "h1n1") -> DataFrame:
@@ -107,8 +112,8 @@ def wide_a_part(wide: DataFrame, dim: DataFrame, p: FactParams, category: str =
     d = tag(wide, category)
     d = normalise_values(d, "country", p.wide_a_renames)
     d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi)
-    d = drop_value(d.select(*OTHER_COLUMNS), "country", p.total_label)
-    return _counter(d, p.wide_a_order)
+    d = drop_value(d.select(*OTHER_COLUMNS, *(p.wide_a_order or ())), "country", p.total_label)
+    return _counter(_staged(d, p), p.wide_a_order)
 
 
 def wide_b_part(wide: DataFrame, dim: DataFrame, p: FactParams, category: str = "sars") -> DataFrame:
@@ -116,7 +121,7 @@ def wide_b_part(wide: DataFrame, dim: DataFrame, p: FactParams, category: str =
     d = tag(wide, category)
     d = normalise_values(d, "country", p.wide_b_renames)
     d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi)
-    return _counter(d.select(*OTHER_COLUMNS), p.wide_b_order)
+    return _counter(_staged(d.select(*OTHER_COLUMNS, *(p.wide_b_order or ())), p), p.wide_b_order)
 
 
 def build_fact(cases: DataFrame, vaccinations: DataFrame, long_df: DataFrame, wide_a: DataFrame,
@@ -124,4 +129,4 @@ def build_fact(cases: DataFrame, vaccinations: DataFrame, long_df: DataFrame, wi
     p = params or FactParams()
     covid, dim = covid_part(cases, vaccinations, p)
     parts = [covid, long_part(long_df, dim, p), wide_a_part(wide_a, dim, p), wide_b_part(wide_b, dim, p)]
-    return unify(*parts).select(*FACT_COLUMNS)
+    return unify(*(d.select(*[c for c in FACT_COLUMNS if c in d.columns]) for d in parts)).select(*FACT_COLUMNS)

@@ -40,13 +40,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a fresh folder is made and registered, so that
-    ``DataFrame.checkpoint`` and the scratch tables below work the same way everywhere.
+    In local mode a session without one gets a fresh folder, so that ``DataFrame.checkpoint`` and the scratch
+    tables below work the same way everywhere; on a cluster the setting is required. What a job writes
+    there stays until the folder is cleared between runs (``spark.cleaner.referenceTracking.cleanCheckpoints``
+    removes checkpoints whose DataFrames are gone; a lifetime rule on the folder covers the rest).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)

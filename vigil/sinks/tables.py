@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_fact(df: DataFrame, path: str | None = None, table: str | None = None, fmt: str = "parquet") -> None:
@@ -24,15 +26,33 @@ def write_fact(df: DataFrame, path: str | None = None, table: str | None = None,
 
 def write_daily(df: DataFrame, path: str | None = None, date_col: str = "date", table: str | None = None,
                 fmt: str = "parquet") -> None:
-    """Idempotent daily load: only the partitions present in ``df`` are replaced."""
-    w = (df.write.mode("overwrite").format(fmt).partitionBy(date_col)
-         .option("partitionOverwriteMode", "dynamic"))
-    if table:
-        w.saveAsTable(table)
-    elif path:
-        w.save(path)
-    else:
+    """Idempotent daily load: only the days present in ``df`` are replaced, in a path or a catalog table
+    (made on the first load; later loads match its columns by name).
+
+    Rows are dealt out by date before the write with a rebalance, which splits a large day into files of
+    the advisory size and puts small days together, so a load of many days doesn't write a file for
+    each task and day.
+    """
+    rows = df.hint("rebalance", F.col(date_col))
+    spark = df.sparkSession
+    if path:
+        (rows.write.mode("overwrite").format(fmt).partitionBy(date_col)
+         .option("partitionOverwriteMode", "dynamic").save(path))
+    elif not table:
         raise ValueError("give a path or a table")
+    elif not spark.catalog.tableExists(table):
+        rows.write.format(fmt).partitionBy(date_col).saveAsTable(table)
+    else:
+        names = spark.table(table).columns
+        if set(names) != set(df.columns):
+            raise ValueError(f"columns {df.columns} don't fit the table's {names}")
+        key = "spark.sql.sources.partitionOverwriteMode"
+        was = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")  # an insert takes it from the session only
+        try:
+            rows.select(*names).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, was)
 
 
 def jdbc_write_options(url: str, table: str, user: str | None = None, password: str | None = None,
@@ -56,13 +76,23 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **kw)
     df.write.format("jdbc").mode(mode).options(**jdbc_write_options(url, table, **kw)).save()
 
 
+#: A quote within a text is doubled; texts keep their line breaks and outer blanks.
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_exported_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """What ``export`` wrote as CSV."""
+    return spark.read.schema(schema).options(header=True, multiLine=True, **CSV_TEXT).csv(path)
+
+
 def export(df: DataFrame, path: str, fmt: str = "csv", columns: Sequence[str] | None = None,
            mode: str = "overwrite") -> None:
-    """Export chosen columns as CSV (with header) or JSON lines."""
+    """Export chosen columns as CSV (with header; texts with line breaks or quotes are quoted, quotes doubled;
+    read it with ``read_exported_csv``) or JSON lines."""
     out = df.select(*columns) if columns else df
     w = out.write.mode(mode)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(header=True, **CSV_TEXT).csv(path)
     elif fmt == "json":
         w.json(path)
     else:

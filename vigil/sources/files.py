@@ -9,28 +9,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.dates import to_date
 
 
-def _csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    return (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
-            .option("mode", "PERMISSIVE").csv(path))
+# Texts that stand for a missing value.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+           "n/a", "nan", "null"]
+ORDINAL = "source_ordinal"
+_ESCAPE = r"(?s)\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\[nrt\\'\"]|."
 
 
-def _num(col: str):
+def decode_escapes(c: Column) -> Column:
+    """``\\xHH``, ``\\uHHHH`` and the escapes of line feed, return, tab, backslash and quotes, decoded."""
+    def one(p: Column) -> Column:
+        code = F.decode(F.unhex(F.lpad(F.substring(p, 3, 4), 4, "0")), "UTF-16BE")
+        plain = F.translate(F.substring(p, 2, 1), "nrt", "\n\r\t")
+        return F.when(F.length(p) > 2, code).when(F.length(p) == 2, plain).otherwise(p)
+
+    pieces = F.regexp_extract_all(c, F.lit(_ESCAPE), F.lit(0))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(pieces, one), "")).otherwise(c)
+
+
+def _csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True, names: Sequence[str] | None = None) -> DataFrame:
+    """Every column as text (missing values as null), and ``source_ordinal``: a struct that orders rows as
+    they stand in the files (file path, place of the split in the file, row in the split)."""
+    escaped = encoding == "unicode_escape"
+    raw = (spark.read.option("header", header).option("sep", sep).option("encoding", "ISO-8859-1" if escaped else encoding)
+           .option("mode", "PERMISSIVE").csv(path))
+    ordinal = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+    def text(c: str) -> Column:
+        t = decode_escapes(F.col(f"`{c}`")) if escaped else F.col(f"`{c}`")
+        return F.when(~t.isin(*MISSING), t)
+
+    names = list(names or raw.columns)
+    if len(names) != len(raw.columns):
+        raise ValueError(f"expected {len(names)} columns, got {len(raw.columns)}")
+    return raw.select(*(text(c).alias(n) for c, n in zip(raw.columns, names)), ordinal.alias(ORDINAL))
+
+
+def _num(col: str) -> Column:
     return F.col(col).try_cast("double")
 
 
-def read_cases(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_cases(spark: SparkSession, path: str, sep: str = ",", ordinal: bool = False) -> DataFrame:
     """Cases CSV: first column (whatever its name) -> ``id``; date, location, continent,
-    new_cases, new_deaths typed; other columns ignored."""
+    new_cases, new_deaths typed; other columns ignored. ``ordinal`` (here and below) adds the rows' order."""
     raw = _csv(spark, path, sep)
     first = raw.columns[0]
     return raw.select(F.col(first).alias("id"), to_date("date").alias("date"), "location", "continent",
-                      _num("new_cases").alias("new_cases"), _num("new_deaths").alias("new_deaths"))
+                      _num("new_cases").alias("new_cases"), _num("new_deaths").alias("new_deaths"), *([ORDINAL] if ordinal else []))
 
 
 def read_vaccinations(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -41,17 +72,20 @@ def read_vaccinations(spark: SparkSession, path: str, sep: str = ",") -> DataFra
 
 
 def read_long_outbreak(spark: SparkSession, path: str, sep: str = ",",
-                       columns: Sequence[str] = ("indicator", "country", "date", "value")) -> DataFrame:
+                       columns: Sequence[str] = ("indicator", "country", "date", "value"), encoding: str = "UTF-8",
+                       ordinal: bool = False) -> DataFrame:
     """Long CSV (indicator, country, date, value), renamed by position."""
-    raw = _csv(spark, path, sep).toDF(*columns)
-    return raw.select("indicator", "country", to_date("date").alias("date"), _num("value").alias("value"))
+    raw = _csv(spark, path, sep, encoding, names=columns)
+    return raw.select("indicator", "country", to_date("date").alias("date"), _num("value").alias("value"), *([ORDINAL] if ordinal else []))
 
 
 def read_wide_outbreak(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
-                       encoding: str = "UTF-8", measures: Sequence[str] = ("tt_cases", "tt_deaths")) -> DataFrame:
-    """Wide CSV renamed by position (e.g. country, tt_cases, tt_deaths, date); non-UTF-8 files
-    are decoded with ``encoding`` (e.g. ISO-8859-1)."""
-    raw = _csv(spark, path, sep, encoding).toDF(*columns)
+                       encoding: str = "UTF-8", measures: Sequence[str] = ("tt_cases", "tt_deaths"),
+                       ordinal: bool = False) -> DataFrame:
+    """Wide CSV renamed by position (e.g. country, tt_cases, tt_deaths, date); non-UTF-8 files are decoded
+    with ``encoding`` (e.g. ISO-8859-1, or unicode_escape for Latin-1 text with backslash escapes)."""
+    raw = _csv(spark, path, sep, encoding, names=columns)
+    raw = raw if ordinal else raw.drop(ORDINAL)
     typed = {m: _num(m) for m in raw.columns if m.startswith("tt_") or m in measures}
     typed["date"] = to_date("date")
     return raw.withColumns(typed)

@@ -61,11 +61,11 @@ FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
     # short daily series for forecasts (g, ds, y)
     "v_series": """
 SELECT event_type AS g, CAST(ts AS DATE) AS ds, SUM(CAST(value AS DECIMAL(18,2))) AS y FROM {events} GROUP BY 1, 2""",
-    # posts with the markers that cleaning removes and the attributes the predicates need
+    # posts (one a document, over some ten weeks) with the markers that cleaning removes and the attributes the predicates need
     "v_posts": """
-SELECT d.doc_id AS post_id, e.ts AS ts, CAST(e.ts AS DATE) AS date,
-       concat('RT @', d.source, ': #', d.text, CASE WHEN d.doc_id % 2 = 0 THEN concat(' https://t.co/', CAST(d.doc_id AS STRING)) ELSE '' END) AS tweet,
-       d.lang AS language, d.source AS username, e.event_type AS source,
+SELECT d.doc_id AS post_id, d.ts AS ts, CAST(d.ts AS DATE) AS date,
+       concat('RT @', d.source, ': #', d.text, CASE WHEN d.doc_id % 13 = 0 THEN ' Phone 555' ELSE '' END, CASE WHEN d.doc_id % 2 = 0 THEN concat(' https://t.co/', CAST(d.doc_id AS STRING)) ELSE '' END) AS tweet,
+       d.lang AS language, d.source AS username, CASE d.doc_id % 3 WHEN 0 THEN 'click' WHEN 1 THEN 'view' ELSE 'purchase' END AS source,
        CASE WHEN d.doc_id % 6 = 0 THEN concat('src', CAST(d.doc_id % 20 AS STRING)) ELSE NULL END AS to_user,
        split(concat(d.source, ',src', CAST(d.doc_id % 9 AS STRING)), ',') AS mentions,
        concat('NATION_', CAST(d.doc_id % 25 AS STRING)) AS place,
@@ -73,26 +73,26 @@ SELECT d.doc_id AS post_id, e.ts AS ts, CAST(e.ts AS DATE) AS date,
        d.doc_id % 3 AS n_images, d.doc_id % 4 AS n_videos, CASE WHEN d.doc_id % 2 = 0 THEN 1 ELSE 0 END AS n_urls,
        d.doc_id % 7 = 0 AS verified, d.doc_id % 5 = 0 AS is_retweet, d.doc_id % 8 = 0 AS is_reply,
        d.n_chars % 100 AS likes, d.doc_id % 37 AS retweets, d.doc_id % 11 AS replies
-FROM {documents} d JOIN {events} e ON d.doc_id = e.event_id""",
+FROM (SELECT *, CAST('2023-12-15 00:00:00' AS TIMESTAMP) + INTERVAL '1' MINUTE * (doc_id * 9973 % 100000) AS ts FROM {documents}) d""",
     # list membership for the semi-join predicate
     "v_list": """
 SELECT DISTINCT source AS username, 'list_a' AS list_id FROM {documents} WHERE source < 'src15'""",
     # wide outbreak A (country, tt_cases, tt_deaths, date) with one 'Grand Total' row per date
     "v_wide_a": """
 SELECT n.n_name AS country, SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS tt_cases,
-       SUM(CAST(l.l_tax AS DECIMAL(18,2))) AS tt_deaths, CAST(l.l_shipdate AS DATE) AS date
+       SUM(CAST(l.l_tax AS DECIMAL(18,2))) AS tt_deaths, CAST(l.l_shipdate AS DATE) AS date, MIN(l.l_orderkey) AS source_ordinal
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey
 GROUP BY n.n_name, CAST(l.l_shipdate AS DATE)
 UNION ALL
 SELECT 'Grand Total' AS country, SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS tt_cases,
-       SUM(CAST(l.l_tax AS DECIMAL(18,2))) AS tt_deaths, CAST(l.l_shipdate AS DATE) AS date
+       SUM(CAST(l.l_tax AS DECIMAL(18,2))) AS tt_deaths, CAST(l.l_shipdate AS DATE) AS date, MIN(l.l_orderkey) AS source_ordinal
 FROM {lineitem} l GROUP BY CAST(l.l_shipdate AS DATE)""",
     # wide outbreak B (date, country, tt_cases, tt_deaths, tt_recovery)
     "v_wide_b": """
 SELECT CAST(l.l_shipdate AS DATE) AS date, n.n_name AS country,
        SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS tt_cases,
        SUM(CAST(l.l_discount AS DECIMAL(18,2))) AS tt_deaths,
-       SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS tt_recovery
+       SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS tt_recovery, MIN(l.l_orderkey) AS source_ordinal
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 GROUP BY 1, 2""",

@@ -1,37 +1,56 @@
 """The daily posts load (F-10 + K-2..K-4) as an incremental Structured Streaming job.
 
 New files landing in the posts folder trigger a micro-batch. A micro-batch only tells which days
-received posts; each touched day is then recomputed from the whole landed table (a batch read
-that prunes to that day) and written with dynamic partition overwrite. Top-k n-grams of a day are
-therefore always computed over the complete day, never over a fragment of it, and a replayed
+received posts; the touched days are then recomputed together from the landed table (one read, which
+prunes to their range where the table is partitioned by date) and written with dynamic partition
+overwrite. Top-k n-grams of a day are therefore always computed over the complete day, never over a fragment of it, and a replayed
 batch (after a failure) rewrites the same partitions: the sink is idempotent. The stream's
 progress lives in a checkpoint under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from vigil.plans.posts import PostsRun, build_posts
-from vigil.session import scratch_path
+from vigil.functions.stopwords import ENGLISH_STOPWORDS
+from vigil.functions.text import clean_text
+from vigil.operators.ngrams import top_ngrams_by
+from vigil.plans.posts import TOP_K, posts_mart
+from vigil.session import materialize, scratch_path
 from vigil.sinks.tables import write_daily
 
 
+def recompute(posts: DataFrame, out: str, lexicon: DataFrame, lang: str = "en", k: int = TOP_K, stopwords=ENGLISH_STOPWORDS) -> None:
+    """Write the marts of all days that ``posts`` holds, in one job for each mart. Bigrams carry the posts'
+    day, trigrams the day after it (the daily run's stamps)."""
+    clean = posts.where(F.col("language") == lang).withColumn("text", clean_text("tweet"))
+    clean = materialize(clean.select("post_id", "date", "tweet", "text"))
+    write_daily(posts_mart(clean, lexicon), f"{out}/posts")
+    write_daily(top_ngrams_by(clean, "date", "text", 2, k, stopwords), f"{out}/bigrams")
+    write_daily(top_ngrams_by(clean, "date", "text", 3, k, stopwords).withColumn("date", F.date_add("date", 1)), f"{out}/trigrams")
+
+
 def load_days(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame,
               days: list[date], lang: str = "en") -> None:
     """Recompute and replace the marts of the given posting days."""
     posts = spark.read.schema(schema).parquet(landing)
-    for day in sorted(days):
-        run = PostsRun.daily(day + timedelta(days=1), lang=lang)   # the run on D+1 loads the posts of D
-        mart, bigrams, trigrams = build_posts(posts, run, lexicon, stage=True)
-        write_daily(mart, f"{out}/posts")
-        write_daily(bigrams, f"{out}/bigrams")
-        write_daily(trigrams, f"{out}/trigrams")
+    recompute(posts.where(F.col("date").isin(days)), out, lexicon, lang)
+
+
+def load_touched(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame, batch: DataFrame,
+                 lang: str = "en") -> None:
+    """Recompute the days that a batch of posts touches, over everything that has landed for them. The days'
+    range, one row, prunes a landing table that is partitioned by date; the days themselves stay a table."""
+    days = batch.select(F.to_date("ts").alias("date")).where(F.col("date").isNotNull()).distinct()
+    span = days.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    if span["first"] is not None:
+        posts = spark.read.schema(schema).parquet(landing).where(F.col("date").between(span["first"], span["last"]))
+        recompute(posts.join(days, "date", "left_semi"), out, lexicon, lang)
 
 
 def start(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame,
@@ -41,11 +60,7 @@ def start(spark: SparkSession, landing: str, schema: StructType, out: str, lexic
     checkpoint = checkpoint or scratch_path(spark, "posts-stream")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # the touched days of one micro-batch: a handful of rows
-        days = [r.date for r in batch.select(F.to_date("ts").alias("date")).distinct().collect()
-                if r.date is not None]
-        if days:
-            load_days(spark, landing, schema, out, lexicon, days, lang)
+        load_touched(spark, landing, schema, out, lexicon, batch, lang)
 
     writer = (spark.readStream.schema(schema).parquet(landing)
               .writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
