@@ -3,10 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import regex
 from llm_data import no_docs, odd_docs
 from tokenizers import Tokenizer
 
-from vigil.llm import id_codec
+from vigil.llm import _cuts, id_codec
+from vigil.llm._text import buffer
 from vigil.session import scratch_path
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,7 +44,32 @@ def test_library_ids():
     rng = random.Random(3)
     texts = [None, "", " ", "a  b ", "\t x\x1c\x1dy", "Ünï ß²½ 漢字 <|endoftext|>"] + ["".join(rng.choice("ab '\n\t éЖ漢1!?s") for _ in range(50)) for _ in range(500)]
     want = [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-    assert coder.usual and [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == want
+    flat, cuts = coder.encode(pa.array(texts))
+    assert coder.usual and [flat[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == want
+    flat, cuts = id_codec.with_end(flat, cuts, 2)
+    assert [flat[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [x + [2] for x in want]
+
+
+def test_cuts_equal_the_pattern():
+    rng = random.Random(5)
+    texts = ["", "it's  'll x", "don't I'LL 's 'sound '' ''s 'lx a'", "x\x85 y", "x\xa0\xa0y \xa0z", "12½ ²x", "a \n b\n\n", "!'s"]
+    texts += ["".join(rng.choice("ab '\n\t é1!?stmdrevl\xa0\x85ñ") for _ in range(rng.randrange(40))) for _ in range(3000)]
+    raw, offs = buffer(pa.array(texts))
+    start = _cuts.pieces(raw, _cuts.classes(raw), offs)
+    got = [[] for _ in texts]
+    for a, b, i in zip(start, np.append(start[1:], len(raw)), np.searchsorted(offs, start, "right") - 1):
+        got[i].append(raw[a:b].tobytes().decode())
+    find = regex.compile(_cuts.USUAL).findall
+    assert got == [find(t) for t in texts]
+
+
+def test_forgetting_changes_nothing():
+    with open(FILE, "rb") as f:
+        coder = id_codec.LibraryCoder(f.read())
+    coder.pieces.size = 3
+    for t in ("the quick brown fox", "jumps over", "the lazy dog", "漢字", None):
+        flat, _ = coder.encode(pa.array([t], pa.string()))
+        assert flat.tolist() == coder.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
 def by_hand(rows, end_id):

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import python_ready, scratch_path
-from vigil.llm._pieces import Remembered, near_pieces
+from vigil.llm._cuts import PieceIds
 
 #: How many ids a word of selector 0 to 15 holds, and of how many bits (15: the escape).
 COUNTS = [240, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1]
@@ -137,12 +137,13 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
 
 
 #: Pieces whose ids a Python worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 1_000_000
 
 
 class LibraryCoder:
     """Ids of whole texts by a tokenizer file. Where the file cuts texts by the usual pattern, pieces of
-    texts in letters up to U+024F are cut here and encoded by the library once; other texts are encoded whole."""
+    texts in code points up to U+024F are cut here and encoded by the library once; other texts are
+    encoded whole."""
 
     def __init__(self, raw: bytes) -> None:
         import os
@@ -156,19 +157,17 @@ class LibraryCoder:
         cutter = file["pre_tokenizer"] or {}
         self.usual = (cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
                       and not file["normalizer"] and all(t["special"] for t in file["added_tokens"]))
-        self.pieces = Remembered(self._ids, REMEMBERED)
+        self.pieces = PieceIds(self._ids, self._ids, REMEMBERED)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        cut = [near_pieces(t or "") if self.usual else None for t in texts]
-        out = self.pieces.join([c or [] for c in cut])
-        whole = [i for i, c in enumerate(cut) if c is None]
-        for i, ids in zip(whole, self._ids([texts[i] or "" for i in whole])):
-            out[i] = ids
-        return out
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, n + 1 offsets of the texts in them)."""
+        if self.usual:
+            return self.pieces.of(column)
+        got = self._ids(column.to_pylist())
+        return np.array([i for ids in got for i in ids], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
 
 
 _CODERS: dict[bytes, LibraryCoder] = {}
@@ -181,30 +180,38 @@ def library_coder(raw: bytes) -> LibraryCoder:
     return _CODERS[key]
 
 
-def _write_batches(raw: bytes, end_id: int, id_type: pa.DataType):
-    end = np.array([end_id], "<u4").tobytes()
+def with_end(flat: np.ndarray, cuts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with an end id behind every text."""
+    n = len(cuts) - 1
+    out = np.full(len(flat) + n, end_id, np.uint32)
+    out[np.arange(len(flat)) + np.repeat(np.arange(n), np.diff(cuts))] = flat
+    return out, cuts + np.arange(n + 1)
+
 
+def _write_batches(raw: bytes, end_id: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard = library_coder(raw), TaskContext.get().partitionId()
-        docs, held, seen = [], [], 0
+        docs, lengths, held, seen = [], [], [], 0
 
         def chunk() -> pa.RecordBatch:
-            nonlocal docs, held, seen
-            lengths = [len(x) // 4 for x in held]
+            nonlocal docs, lengths, held, seen
+            n = sum(lengths)
             row = pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([seen], pa.int64()), pa.array([sum(lengths)], pa.int64()),
-                 pa.array([docs], pa.list_(id_type)), pa.array([lengths], pa.list_(pa.int64())),
-                 pa.array([pack(np.frombuffer(b"".join(held), "<u4"))], pa.binary())],
+                [pa.array([shard], pa.int32()), pa.array([seen], pa.int64()), pa.array([n], pa.int64()), pa.array([docs], pa.list_(id_type)),
+                 pa.array([lengths], pa.list_(pa.int64())), pa.array([pack(np.concatenate(held))], pa.binary())],
                 ["shard", "first", "n_ids", "doc_ids", "lengths", "words"])
-            docs, held, seen = [], [], seen + sum(lengths)
+            docs, lengths, held, seen = [], [], [], seen + n
             return row
 
-        size = 0
         for b in batches:
-            for i, ids in zip(b.column(0).to_pylist(), coder.encode(b.column(1).to_pylist())):
-                docs.append(i)
-                held.append(ids + end)
-                size += len(ids) // 4 + 1
+            flat, cuts = with_end(*coder.encode(b.column(1)), end_id)
+            ids, at, size = b.column(0).to_pylist(), 0, sum(lengths)
+            while at < len(ids):
+                to = min(len(ids), max(at + 1, int(np.searchsorted(cuts, cuts[at] + CHUNK_IDS - size))))
+                docs += ids[at:to]
+                lengths += np.diff(cuts[at:to + 1]).tolist()
+                held.append(flat[cuts[at]:cuts[to]])
+                at, size = to, sum(lengths)
                 if size >= CHUNK_IDS:
                     yield chunk()
                     size = 0
