@@ -98,6 +98,16 @@ def topk_series(inp: Inputs) -> DataFrame:
     return top_country_series(series(inp), 5)
 
 
+@register("topk_null_key", oracle("""
+SELECT country, CAST(SUM(tt_cases) AS DOUBLE) AS total, row_number() OVER (ORDER BY SUM(tt_cases) DESC, country) AS contador
+FROM (SELECT CASE WHEN country = 'NATION_3' THEN NULL ELSE country END AS country, tt_cases FROM series) s
+WHERE country IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 24""", ANALYSIS_VIEWS, ANALYSIS_CTES))
+def topk_null_key(inp: Inputs) -> DataFrame:
+    """One country's name is missing: its rows take no rank."""
+    s = series(inp, stage=False).withColumn("country", F.when(F.col("country") != "NATION_3", F.col("country")))
+    return top_countries(s, 24)
+
+
 @register("filter_rank", oracle(f"SELECT {SERIES_COLS}, CAST(contador AS BIGINT) AS contador FROM top5_series "
                                 "WHERE contador = 3", ANALYSIS_VIEWS, ANALYSIS_CTES + (TOP5, TOP5_SERIES)))
 def filter_rank(inp: Inputs) -> DataFrame:

@@ -87,6 +87,37 @@ def repair_negatives_window(inp: Inputs) -> DataFrame:
     return repair_negatives(inp.view("v_daily"), ["country"], "date", ["tt_cases", "tt_deaths"], 7, how="window")
 
 
+# rows that repeat (country, date), with other values, and rows without a country
+REPEATED = ("v_rep", """
+SELECT country, date, tt_cases, tt_deaths FROM v_daily
+UNION ALL
+SELECT CASE WHEN day(date) % 3 = 0 THEN NULL ELSE country END AS country, date, tt_cases - 1000 AS tt_cases, tt_deaths
+FROM v_daily WHERE day(date) % 5 = 0""")
+REPEATED_SQL = oracle(f"""
+SELECT a.country, a.date, CAST({_repair_expr('tt_cases')} AS DOUBLE) AS tt_cases,
+       CAST({_repair_expr('tt_deaths')} AS DOUBLE) AS tt_deaths
+FROM v_rep a LEFT JOIN (SELECT country, date, MAX(tt_cases) AS tt_cases, MAX(tt_deaths) AS tt_deaths FROM v_rep GROUP BY 1, 2) b
+  ON a.country IS NOT DISTINCT FROM b.country AND a.date - 7 = b.date""", ["v_daily"], [REPEATED])
+
+
+def repeated_rows(inp: Inputs) -> DataFrame:
+    daily = inp.view("v_daily").select("country", "date", "tt_cases", "tt_deaths")
+    day = F.dayofmonth("date")
+    again = daily.where(day % 5 == 0).select(F.when(day % 3 != 0, F.col("country")).alias("country"), "date",
+                                             (F.col("tt_cases") - 1000).alias("tt_cases"), "tt_deaths")
+    return daily.unionByName(again)
+
+
+@register("repair_repeated", REPEATED_SQL)
+def repair_repeated(inp: Inputs) -> DataFrame:
+    return repair_negatives(repeated_rows(inp), ["country"], "date", ["tt_cases", "tt_deaths"], 7)
+
+
+@register("repair_repeated_window", REPEATED_SQL)
+def repair_repeated_window(inp: Inputs) -> DataFrame:
+    return repair_negatives(repeated_rows(inp), ["country"], "date", ["tt_cases", "tt_deaths"], 7, how="window")
+
+
 # ---- lookups ------------------------------------------------------------------------------------
 
 @register("join_vaccinations", oracle(f"""
