@@ -2,8 +2,6 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from pyspark.sql import functions as F
-
 from llm_data import BASE, LOW, WORD, no_docs, no_python, odd_docs
 
 from vigil.llm import _lines, line_quality, site_lines
@@ -107,6 +105,6 @@ def test_odd_rows(spark):
 
 def test_windows_of_a_long_repetitive_text(spark):
     text = " ".join(["x y z"] * 20_000 + [f"w{i}" for i in range(20_000)])
-    got = line_quality.with_measures(spark.createDataFrame([(text,)], "text string"), F.col("text")).first()
-    assert (got.n_words, got.n_repeat_words) == (80_000, 60_000)
+    got = line_quality.judged(spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")).first()
+    assert (got.n_words, got.n_repeat_words, got.kept) == (80_000, 60_000, False)
     assert _lines.BLANK == BLANK

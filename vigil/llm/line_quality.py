@@ -79,17 +79,30 @@ def _counted(words: Column) -> Column:
     return _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated(w).alias("repeated")))
 
 
-def with_measures(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with the columns of MEASURES (long) and held_ (the lines with words)."""
-    df = docs.withColumn("text_", F.coalesce(text.cast("string"), F.lit("")))
-    df = df.withColumn("counted_", _counted(_words(F.col("text_"))))
-    df = df.withColumn("held_", F.filter(lines(F.col("text_")), lambda x: trimmed(x) != ""))
-    return (df.withColumn("n_words", F.col("counted_")["n"])
-            .withColumn("word_chars", F.length(F.translate("text_", BLANK, "")).cast("long"))
-            .withColumn("n_symbols", (F.length("text_") - F.length(F.translate("text_", SYMBOLS, ""))).cast("long"))
-            .withColumn("n_dup_lines", (F.size("held_") - F.size(F.array_distinct("held_"))).cast("long"))
-            .withColumn("n_repeat_words", F.col("counted_")["repeated"])
-            .drop("text_", "counted_"))
+def _judgement(text: Column, bad: Column, max_lost: float) -> Column:
+    """A struct of MEASURES, words_lost, base_failed and kept, computed once."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+
+    def lost(held: Column) -> Column:
+        removed = F.filter(held, lambda x: F.array_contains(bad, _normal(x)))
+        n = F.aggregate(removed, F.lit(0), lambda n, x: n + F.size(F.split(trimmed(x), BLANKS)))
+        return F.when(bad.isNull(), F.lit(0)).otherwise(n).cast("long")
+
+    def of_lines(held: Column) -> Column:
+        return F.struct((F.size(held) - F.size(F.array_distinct(held))).cast("long").alias("dup"), lost(held).alias("lost"))
+
+    def measures(counted: Column, held: Column) -> Column:
+        return F.struct(counted["n"].alias("n_words"), F.length(F.translate(text, BLANK, "")).cast("long").alias("word_chars"),
+                        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+                        held["dup"].alias("n_dup_lines"), counted["repeated"].alias("n_repeat_words"), held["lost"].alias("words_lost"))
+
+    def verdict(m: Column) -> Column:
+        failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+        return F.struct(*(m[c].alias(c) for c in [*MEASURES, "words_lost"]), failed.alias("base_failed"),
+                        (~failed & (m["words_lost"] <= m["n_words"] * max_lost)).alias("kept"))
+
+    held = F.filter(lines(text), lambda x: trimmed(x) != "")
+    return _let(_let(_counted(_words(text)), lambda c: _let(_let(held, of_lines), lambda h: measures(c, h))), verdict)
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least: int = 10,
@@ -100,18 +113,11 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site
     bad = frequent_lines(docs, site_key(site_col), F.col(text_col), _normal, doc, least, max_share)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), site_key(site_col).alias("site_"))
     text = F.col("row_")[text_col]
-    rows = with_measures(look_up(rows, bad, "site_", text, SITE_BYTES), text)
-    removed = F.filter("held_", lambda x: F.array_contains("bad_", _normal(x)))
-    lost = F.when(F.col("bad_").isNull(), F.lit(0)).otherwise(
-        F.aggregate(removed, F.lit(0), lambda n, x: n + F.size(F.split(trimmed(x), BLANKS))))
-    rows = rows.withColumn("words_lost", lost.cast("long"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rows = look_up(rows, bad, "site_", text, SITE_BYTES).withColumn("found_", _judgement(text, F.col("bad_"), max_lost))
+    if whole_rows:
+        return rows.filter(F.col("found_")["kept"]).select(*(F.col("row_")[c].alias(c) for c in docs.columns))
     made = [*MEASURES, "words_lost", "base_failed", "kept"]
-    keep = docs.columns if whole_rows else [c for c in docs.columns if c not in made]
-    rows = (rows.withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("words_lost") <= F.col("n_words") * max_lost)))
-    rows = rows.filter("kept") if whole_rows else rows
-    return rows.select(*(F.col("row_")[c].alias(c) for c in keep), *([] if whole_rows else made))
+    return rows.select(*(F.col("row_")[c].alias(c) for c in docs.columns if c not in made), *(F.col("found_")[c].alias(c) for c in made))
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
