@@ -2,14 +2,15 @@ import base64
 import hashlib
 import random
 
-import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm_data import no_docs, odd_docs
 
 from vigil.llm import prefix_bpe
-from vigil.llm._pieces import USUAL
+from vigil.llm._cuts import USUAL
+from vigil.llm._text import small
 
 FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -38,9 +39,14 @@ def texts():
 
 def test_ids_equal_the_library(coder, library):
     assert public_tokenizers.PATTERN == USUAL
-    for t, ids in zip(texts(), coder.encode(texts())):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(t), repr(t)
-        assert coder.decode(ids) == t.encode()
+    flat, cuts = coder.encode(pa.array(texts()))
+    for t, a, b in zip(texts(), cuts[:-1], cuts[1:]):
+        ids = flat[a:b].tolist()
+        assert ids == library.encode_ordinary(t), repr(t)
+        assert coder.decode(ids) == t.encode() and coder.joined(ids) == ",".join(map(str, ids))
+    other = prefix_bpe.TextCoder(coder.vocabulary, r"\S+|\s+")  # another pattern: no shortcut for usual pieces
+    flat, cuts = other.encode(pa.array(["ab  cd", None]))
+    assert other.decode(flat.tolist()) == b"ab  cd" and cuts.tolist()[1:] == [len(flat)] * 2
 
 
 def test_pairs_by_merging(coder):
@@ -94,3 +100,10 @@ def test_odd_rows(spark, library):
     rows = [(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, r.ids) for r in got.collect()]
     assert sorted(rows, key=str) == sorted(want, key=str)
     assert prefix_bpe.encode_texts(no_docs(spark), FILE, public_tokenizers.PATTERN, keep=["doc_id"], ids=False).collect() == []
+
+
+def test_batches_of_bounded_texts():
+    b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["ab", None, "x" * 50, "", "cd", "ef"])], ["i", "t"])
+    cut = list(small(iter([b]), 1, 4))
+    assert [x.column(0).to_pylist() for x in cut] == [[0, 1], [2], [3, 4, 5]]
+    assert [t for x in cut for t in x.column(1).to_pylist()] == b.column(1).to_pylist()

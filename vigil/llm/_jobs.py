@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.session import materialize, scratch_path, ship_package
+from vigil.session import scratch_path, ship_package
 
 #: Rows of an Arrow batch: with texts of up to some 100 KB a batch stays at some tens of MB.
 BATCH_ROWS = 512
@@ -32,11 +32,6 @@ def fits(df: DataFrame, row_bytes: int) -> bool:
     return df.count() * row_bytes <= BROADCAST_BYTES
 
 
-def key_of(*columns: str):
-    """One 64-bit key of some columns, null counted as a value of its own."""
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in columns])
-
-
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): connected components of an undirected edge table, by the least node.
 
@@ -60,5 +55,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", "label")
 
 
-__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "components", "fits", "key_of", "materialize", "python_ready",
-           "scratch_path", "stored"]
+__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "components", "fits", "python_ready", "scratch_path", "stored"]

@@ -7,6 +7,8 @@ runs over words. Two different words or shingles collide with a chance near 2**-
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,7 +21,7 @@ _FOLDED = _PLAIN.copy()
 _FOLDED[65:91] = _FOLDED[97:123]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-BLOCK = 1 << 22
+BLOCK = 1 << 18
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -60,6 +62,18 @@ def buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def small(batches: Iterator[pa.RecordBatch], at: int, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts (column ``at``) have at most ``limit`` bytes; a longer text is a
+    batch of its own. So what a task holds is bounded by the limit or by its longest text."""
+    for b in batches:
+        _, offs = buffer(b.column(at))
+        i = 0
+        while i < b.num_rows:
+            to = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
+            yield b.slice(i, to - i)
+            i = to
+
+
 def word_spans(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word; a row's end always ends a word."""
     if not len(raw):

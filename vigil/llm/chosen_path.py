@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import components, python_ready, stored
-from vigil.llm._text import mix, text_sets
+from vigil.llm._text import mix, small, text_sets
 
 SKETCH = 128
 BLOCK_ROWS = 256
@@ -81,7 +81,7 @@ def _rows(column: pa.Array, kind) -> np.ndarray:
 
 def _sketch_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 1):
             sets = text_sets(b.column(1), k)
             full = [i for i, s in enumerate(sets) if len(s)]
             sig: list[bytes | None] = [None] * len(sets)
@@ -227,7 +227,7 @@ def _block_links(least: int, num: int, den: int):
 
 def _set_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 0):
             sets = text_sets(b.column(0), k)
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "members"])
@@ -364,7 +364,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _keyed_batches(k: int):
     """(row, text) -> (row, cls)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 1):
             keys = pa.array([set_key(s) for s in text_sets(b.column(1), k)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), keys], ["row", "cls"])
     return run

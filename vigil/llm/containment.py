@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import python_ready, stored
-from vigil.llm._text import mix, text_sets
+from vigil.llm._text import mix, small, text_sets
 
 BLOCK_BYTES = 16 << 20
 SPARE = 2  # bits: 2**2 bins for each shingle of the largest set of a class
@@ -101,7 +101,7 @@ class ItemIndex:
 
 def _item_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 1):
             sets = text_sets(b.column(1), k)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["item", "members"])
     return run
@@ -110,7 +110,7 @@ def _item_sets(k: int):
 def _search(ids: list, sets: list[bytes], id_type: pa.DataType, k: int, threshold: float, miss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = ItemIndex([np.frombuffer(s, np.uint64) for s in sets], threshold, miss)
-        for b in batches:
+        for b in small(batches, 1):
             rows = [(i, j, shared) for i, s in enumerate(text_sets(b.column(1), k)) for j, shared in index.matches(s)]
             at, item, shared = zip(*rows) if rows else ((), (), ())
             size = [len(index.sets[j]) for j in item]
@@ -163,7 +163,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 def _clean(sets: list[bytes], at: int, k: int, threshold: float, miss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = ItemIndex([np.frombuffer(s, np.uint64) for s in sets], threshold, miss)
-        for b in batches:
+        for b in small(batches, at):
             keep = [not index.matches(s) for s in text_sets(b.column(at).cast(pa.string()), k)]
             yield b.filter(pa.array(keep, pa.bool_()))
     return run

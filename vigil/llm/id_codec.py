@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import python_ready, scratch_path
+from vigil.llm._text import small
 from vigil.llm._cuts import PieceIds
 
 #: How many ids a word of selector 0 to 15 holds, and of how many bits (15: the escape).
@@ -203,7 +204,7 @@ def _write_batches(raw: bytes, end_id: int, id_type: pa.DataType):
             docs, lengths, held, seen = [], [], [], seen + n
             return row
 
-        for b in batches:
+        for b in small(batches, 1):
             flat, cuts = with_end(*coder.encode(b.column(1)), end_id)
             ids, at, size = b.column(0).to_pylist(), 0, sum(lengths)
             while at < len(ids):

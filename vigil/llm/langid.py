@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import python_ready, stored
+from vigil.llm._text import small
 
 BUCKETS = 1 << 16
 #: First and last code point of some blocks, by script.
@@ -165,7 +166,7 @@ def viterbi(scores: np.ndarray, offs: np.ndarray, penalty: float) -> np.ndarray:
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> (lang, feature, n): n-gram counts; features from 3 * BUCKETS on count letters by script."""
     counts: dict[str, np.ndarray] = {}
-    for b in batches:
+    for b in small(batches, 1, TEXT_BYTES):
         langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
         for lang in set(langs):
             w = words_of([t for k, t in zip(langs, texts) if k == lang])
@@ -200,7 +201,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     return Model(langs, weight.astype(np.float32), candidate)
 
 
-GATHER = 4  # batches whose texts go through Viterbi together
+GATHER = 1 << 20  # words from which on texts go through Viterbi together
+TEXT_BYTES = 1 << 21  # of texts whose n-grams are held at once
 
 
 def _predict(model, penalty: float, keep: int, spans: bool):
@@ -235,14 +237,16 @@ def _predict(model, penalty: float, keep: int, spans: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[pa.RecordBatch, Words, np.ndarray]] = []
-        for b in batches:
+        n = 0
+        for b in small(batches, keep, TEXT_BYTES):
             w = words_of(b.column(keep).to_pylist())
             score = model.value.scores(w)
             w.feature = w.feature[:, :0]
             held.append((b, w, score))
-            if len(held) == GATHER:
+            n += len(w.doc)
+            if n >= GATHER:
                 yield from solved(held)
-                held = []
+                held, n = [], 0
         if held:
             yield from solved(held)
     return run

@@ -7,7 +7,7 @@ encoding is read off the table backwards. So bytes can be appended with the enco
 edit needs new entries only from the edited place to where the table agrees with the old one again.
 
 Texts are first cut by a pattern into pieces; a piece that is itself a token is that token. Encodings of
-pieces are remembered per Python worker, in a dictionary of a bounded size.
+pieces are remembered per Python worker, a bounded number of them.
 
 Rules: a null text is an empty one, without tokens. Any text round-trips byte by byte. Very long texts and
 pieces take time in proportion to their length; rows are independent, so order, ties, repeated rows and
@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import python_ready
-from vigil.llm._pieces import USUAL, Remembered, near_pieces
+from vigil.llm._text import small
+from vigil.llm._cuts import USUAL, PieceIds
 
-#: Encodings and token pairs that a Python worker remembers.
-REMEMBERED = 800_000
+#: Pieces and token pairs that a Python worker remembers.
+REMEMBERED, PAIRS = 1_000_000, 200_000
 _NONE = 1 << 62
 
 
@@ -92,7 +93,7 @@ class Vocabulary:
 
     def side_by_side(self, a: bytes, b: bytes) -> bool:
         """Whether a + b encodes as the tokens a, b."""
-        if len(self._pairs) >= REMEMBERED:
+        if len(self._pairs) >= PAIRS:
             self._pairs.clear()
         left, right = self._spine(a, True), self._spine(b, False)
         known = self.merged(a + b) == [a, b] if left is None or right is None else self._apart(left, right)
@@ -187,29 +188,34 @@ class TextCoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         import regex
 
-        self.vocabulary, self.find, self.usual = vocabulary, regex.compile(pattern).findall, pattern == USUAL
+        self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.decimal = {i: str(i) for i in vocabulary.bytes_of}
-        self.pieces = Remembered(lambda new: [self.piece(p) for p in new], REMEMBERED)
+        self.pieces = PieceIds(lambda new: [self.piece(p) for p in new], self.whole, REMEMBERED) if pattern == USUAL else None
 
-    def piece(self, text: str) -> bytes:
+    def piece(self, text: str) -> list[int]:
         data = text.encode()
         whole = self.vocabulary.ranks.get(data)
-        return np.array([whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens(), "<u4").tobytes()
+        return [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
 
-    def cut(self, text: str) -> list[str]:
-        near = near_pieces(text) if self.usual else None
-        return self.find(text) if near is None else near
+    def whole(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of texts cut by the pattern as it stands; each different piece of them is encoded once."""
+        cut = [self.find(t or "") for t in texts]
+        known = {p: self.piece(p) for p in set().union(*cut)}
+        return [[i for p in pieces for i in known[p]] for pieces in cut]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as 32-bit integers."""
-        return self.pieces.join([self.cut(t or "") for t in texts])
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, n + 1 offsets of the texts in them)."""
+        if self.pieces is not None:
+            return self.pieces.of(column)
+        got = self.whole(column.to_pylist())
+        return np.array([i for ids in got for i in ids], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
 
-    def joined(self, ids: bytes) -> str:
+    def joined(self, ids: list[int]) -> str:
         """Ids in decimal, joined by commas."""
-        return ",".join(map(self.decimal.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return ",".join(map(self.decimal.__getitem__, ids))
 
 
 _CODERS: dict[bytes, TextCoder] = {}
@@ -226,15 +232,16 @@ def coder(raw: bytes, pattern: str) -> TextCoder:
 def _batches(raw: bytes, pattern: str, keep: list[int], text_at: int, names: list[str], ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(raw, pattern)
-        for b in batches:
-            rows = []
-            for data in c.encode(b.column(text_at).cast(pa.string()).to_pylist()):
-                rows.append((len(data) // 4, hashlib.sha256(c.joined(data).encode()).hexdigest(),
-                             hashlib.sha256(c.decode(data)).hexdigest(), data))
-            n, sha, back, packed = zip(*rows) if rows else ((), (), (), ())
-            out = [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
+        for b in small(batches, text_at):
+            flat, cuts = c.encode(b.column(text_at).cast(pa.string()))
+            sha, back = [], []
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                own = flat[x:y].tolist()
+                sha.append(hashlib.sha256(c.joined(own).encode()).hexdigest())
+                back.append(hashlib.sha256(c.decode(own)).hexdigest())
+            out = [pa.array(np.diff(cuts), pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
             if ids:
-                out.append(pa.array([np.frombuffer(x, "<i4") for x in packed], pa.list_(pa.int32())))
+                out.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat.view(np.int32))))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), *out], names)
     return run
 

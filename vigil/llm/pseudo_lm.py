@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.llm._jobs import python_ready, stored
-from vigil.llm._text import mix, words_of
+from vigil.llm._text import mix, small, words_of
 
 FREQUENT, OTHERS = 512, 512
 CLASSES = 32
@@ -147,7 +147,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(words[0].view(np.int64)), pa.array(counts[0])], ["word", "n"])
 
-    for b in batches:
+    for b in small(batches, 0):
         u, n = np.unique(words_of(b.column(0))[0], return_counts=True)
         words.append(u)
         counts.append(n)
@@ -187,7 +187,7 @@ class Lexicon:
 
 def _window_batches(lexicon, chance: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 0):
             words, offs = words_of(b.column(0))
             if not len(words):
                 continue
@@ -263,7 +263,7 @@ def document_scores(lexicon: Lexicon, net: Net, column) -> tuple[np.ndarray, np.
 def _score_batches(model, keep: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, net = model.value
-        for b in batches:
+        for b in small(batches, keep):
             n, total = document_scores(lexicon, net, b.column(keep))
             mean = np.divide(total, n, out=np.zeros(len(n)), where=n > 0)
             empty = n == 0
