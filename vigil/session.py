@@ -82,10 +82,10 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``vigil`` importable in the Python workers (what ``--py-files`` does at submit time).
 
-    Needed only by operators that run Python inside tasks (``applyInPandas``). The zip is written
-    once per application, into the shared folder when it is a local path, and distributed by
-    Spark with every task.
+    Needed only by operators that run Python inside tasks. The zip is written once per application, into
+    the shared folder through Spark's own file system layer, and distributed by Spark with every task.
     """
+    import io
     import zipfile
 
     import vigil
@@ -95,17 +95,16 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg_dir = os.path.dirname(os.path.abspath(vigil.__file__))
     root = os.path.dirname(pkg_dir)
-    base = shared_dir(spark)
-    local = base[len("file:"):] if base.startswith("file:") else (base if "://" not in base else None)
-    out_dir = os.path.join(local, "vigil", f"pyfiles-{uuid.uuid4().hex}") if local else \
-        tempfile.mkdtemp(prefix="vigil-pyfiles-")
-    os.makedirs(out_dir, exist_ok=True)
-    zpath = os.path.join(out_dir, "vigil.zip")
-    with zipfile.ZipFile(zpath, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for dirpath, _, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(zpath)
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/vigil/pyfiles-{uuid.uuid4().hex}/vigil.zip")
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(target.toString())
     _SHIPPED.add(sc.applicationId)
