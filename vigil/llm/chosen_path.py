@@ -269,11 +269,13 @@ class _Join:
         return self.classes.select("cls", "sig").mapInArrow(_path_batches(self.trees, self.depth), kind)
 
     def nodes(self) -> tuple[DataFrame, DataFrame]:
-        """(node, cls) of the small nodes, (node, cls, n) of those still large at the last level."""
-        rows, leaves = self.paths(), None
+        """(node, cls) of the small nodes, (node, cls, n) of those still large at the last level. Counts are
+        stored before they are joined, here and below: so the join deals its rows anew, and Spark can split
+        a node that holds many of them."""
+        rows, leaves = stored(self.paths(), "paths"), None
         for i in range(self.depth):
             p = f"p{i}"
-            many = rows.groupBy(p).agg(F.count("*").alias("n")).filter("n > 1")
+            many = stored(rows.groupBy(p).agg(F.count("*").alias("n")).filter("n > 1"), "counts")
             rows = stored(rows.drop("n").join(many, p), f"level{i}")
             new = rows.filter(F.col("n") <= self.leaf).select(F.col(p).alias("node"), "cls")
             leaves = new if leaves is None else leaves.unionByName(new)
@@ -288,7 +290,7 @@ class _Join:
                  .mapInArrow(_leaf_pairs(self.least, self.leaf), PAIRS))
         order = [F.min(F.struct(F.xxhash64("cls", F.lit(i)), "cls")).alias(f"l{i}") for i in range(LEADERS)]
         heads = large.groupBy("node").agg(*order).select("node", F.explode(F.array(*(F.col(f"l{i}.cls") for i in range(LEADERS)))).alias("leader"))
-        led = (large.select("node", "cls").join(heads, "node").filter("cls <> leader").select("cls", "leader").distinct()
+        led = (large.select("node", "cls").join(stored(heads, "heads"), "node").filter("cls <> leader").select("cls", "leader").distinct()
                .join(self.packed, "cls").withColumnRenamed("s8", "own")
                .join(self.packed.select(F.col("cls").alias("leader"), "s8"), "leader")
                .select("cls", "own", "leader", "s8").mapInArrow(_agreements, "cls binary, leader binary, m int")
@@ -327,9 +329,9 @@ class _Join:
         known = stored(labelled(large, "cls", "comp"), "large")
         main = (known.groupBy("node", "comp").agg(F.count("*").alias("c")).groupBy("node")
                 .agg(F.max(F.struct("c", "comp")).alias("m")).select("node", F.col("m.comp").alias("main")))
-        mixed = known.join(main, "node").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+        mixed = known.join(stored(main, "main"), "node").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
         outer = mixed.filter("comp <> main")
-        held = mixed.join(outer.select("node").distinct(), "node", "left_semi")
+        held = mixed.join(stored(outer.select("node").distinct(), "mixed"), "node", "left_semi")
         used = held.select("cls").distinct().join(self.classes.select("cls", "rep"), "cls")
         full = self.sets(stored(used, "used")).join(self.packed, "cls")
         cols = ["node", "block", "outside", "cls", "comp"]
@@ -347,7 +349,7 @@ class _Join:
         links = links.unionByName(self.rest(pairs, large, links))
         label = components(links).select(F.col("node").alias("cls"), "label")
         named = stored(self.classes.select("cls", "rep").join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "named")
-        least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+        least = stored(named.groupBy("label").agg(F.min("rep").alias("component_id")), "least")
         return stored(named.join(least, "label").select("cls", "component_id", "label"), "components")
 
 
