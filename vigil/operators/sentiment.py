@@ -31,7 +31,8 @@ from vigil.operators.joins import BROADCAST_BYTES, broadcast_if_bounded
 ALPHA = 15.0  # fixed value: normalisation constant of the compound score
 # Punctuation that is stripped from one end of a word.
 PUNCT = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:\-'\"])"
-PUNCT_EDGE = rf"^{PUNCT}([^\p{{Punct}}]{{2,}})$|^([^\p{{Punct}}]{{2,}}){PUNCT}$"
+_BARE = r"([^!-/:-@\[-`{-~\s]{2,})"  # two characters or more, none of them ASCII punctuation
+PUNCT_EDGE = rf"(?U)(?<!\S)(?:{PUNCT}{_BARE}|{_BARE}{PUNCT})(?!\S)"
 
 # Constants and single-word lists of the published rule-based valence scorer.
 B_INCR = 0.293
@@ -68,8 +69,9 @@ BOOST_DOWN = (
 
 def scorer_words(text: Column | str) -> Column:
     """Words of a text as the scorer sees them (see module doc); null text: none."""
-    long = F.filter(words(text), lambda w: F.length(w) > 1)
-    return F.coalesce(F.transform(long, lambda w: F.regexp_replace(w, PUNCT_EDGE, "$1$2")), F.array().cast("array<string>"))
+    text = F.col(text) if isinstance(text, str) else text
+    bare = words(F.regexp_replace(text, PUNCT_EDGE, "$1$2"))  # one pass over the text, not one a word
+    return F.coalesce(F.filter(bare, lambda w: F.length(w) > 1), F.array().cast("array<string>"))
 
 
 def one_per_token(lexicon: DataFrame, token_col: str, values: dict[str, str], max_bytes: int) -> DataFrame:
