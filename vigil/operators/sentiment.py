@@ -87,7 +87,7 @@ def _carried(df: DataFrame, columns: Sequence[str], size: Column) -> Column:
     return F.concat(F.array(held), F.array_repeat(F.lit(None).cast(kind), F.greatest(size - 1, F.lit(0))))
 
 
-def _shares(g: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _shares(g: DataFrame, id_col: str, keep: Sequence[str]) -> DataFrame:
     """The result columns from a text's sums ``__pos``, ``__neg``, ``__neu``, ``__s`` and carried ``__keep``."""
     total = F.col("__pos") + F.abs(F.col("__neg")) + F.col("__neu")
 
@@ -96,7 +96,7 @@ def _shares(g: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     s = F.col("__s")
     compound = F.when(s != 0, F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).otherwise(F.lit(0.0))
-    out = g.select(*[F.col(f"__keep.{c}").alias(c) for c in columns], share("__neg").alias("neg"), share("__neu").alias("neu"),
+    out = g.select(F.col("__id").alias(id_col), *[F.col(f"__keep.{c}").alias(c) for c in keep], share("__neg").alias("neg"), share("__neu").alias("neu"),
                    share("__pos").alias("pos"), compound.alias("compound"))
     return out.withColumn("sentiment", sentiment_label("neg", "pos"))
 
@@ -104,15 +104,21 @@ def _shares(g: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _sums(val: Column) -> list[Column]:
     return [F.coalesce(F.sum(F.when(val > 0, val + 1)), F.lit(0.0)).alias("__pos"),
             F.coalesce(F.sum(F.when(val < 0, val - 1)), F.lit(0.0)).alias("__neg"),
-            F.coalesce(F.sum(val), F.lit(0.0)).alias("__s"), F.first("__keep", ignorenulls=True).alias("__keep")]
+            F.coalesce(F.sum(val), F.lit(0.0)).alias("__s")]
 
 
-def _word_rows(df: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
-    """(__rid, __w, __keep): a row a word, and one for a text without words."""
-    base = df.select(F.monotonically_increasing_id().alias("__rid"), scorer_words(F.col(text)).alias("w"), *columns,
-                     *([] if text in columns else [text]))
-    x = base.select("__rid", F.explode(F.arrays_zip("w", _carried(base, columns, F.size("w")).alias("k"))).alias("__u"))
-    return x.select("__rid", F.col("__u.w").alias("__w"), F.col("__u.k").alias("__keep"))
+def _kept(keep: Sequence[str]) -> list[Column]:
+    return [F.first("__keep", ignorenulls=True).alias("__keep")] if keep else []
+
+
+def _word_rows(df: DataFrame, id_col: str, keep: Sequence[str], text: str) -> DataFrame:
+    """(__rid, __id, __w, __keep): a row a word, and one for a text without words; the id goes with every
+    word (as a grouping column, so that sums stay in a hash aggregate), kept columns with the first one."""
+    base = df.select(F.monotonically_increasing_id().alias("__rid"), F.col(id_col).alias("__id"), scorer_words(F.col(text)).alias("__ws"), *keep)
+    if not keep:
+        return base.select("__rid", "__id", F.explode_outer("__ws").alias("__w"))
+    x = base.select("__rid", "__id", F.explode(F.arrays_zip(F.col("__ws").alias("w"), _carried(base, keep, F.size("__ws")).alias("k"))).alias("__u"))
+    return x.select("__rid", "__id", F.col("__u.w").alias("__w"), F.col("__u.k").alias("__keep"))
 
 
 def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
@@ -120,11 +126,11 @@ def score_sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame,
                     max_lexicon_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """id, kept columns, neg, neu, pos, compound, sentiment (label) for every row of ``df``."""
     lex = one_per_token(lexicon, token_col, {"__v": valence_col}, max_lexicon_bytes)
-    columns = [id_col, *[c for c in keep if c != id_col]]
-    x = _word_rows(df, columns, text).join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
+    keep = [c for c in keep if c != id_col]
+    x = _word_rows(df, id_col, keep, text).join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
     v = F.when(F.col("__w").isNotNull(), F.when(F.lower("__w").isin(*BOOST_UP, *BOOST_DOWN), 0.0).otherwise(F.coalesce(F.col("__v"), F.lit(0.0))))
-    g = x.groupBy("__rid").agg(*_sums(v), F.count(F.when(v == 0, F.lit(1))).cast("double").alias("__neu"))
-    return _shares(g, columns)
+    g = x.groupBy("__rid", "__id").agg(*_sums(v), *_kept(keep), F.count(F.when(v == 0, F.lit(1))).cast("double").alias("__neu"))
+    return _shares(g, id_col, keep)
 
 
 def _is_upper(w: Column) -> Column:
@@ -157,10 +163,10 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     """
     t = F.col(text)
     lex = one_per_token(lexicon, token_col, {"__v": valence_col}, max_lexicon_bytes)
-    columns = [id_col, *[c for c in keep if c != id_col]]
-    base = df.select(F.monotonically_increasing_id().alias("__rid"), scorer_words(t).alias("__ws"),
+    keep = [c for c in keep if c != id_col]
+    base = df.select(F.monotonically_increasing_id().alias("__rid"), F.col(id_col).alias("__id"), scorer_words(t).alias("__ws"),
                      F.coalesce(_count_char(t, "!"), F.lit(0)).alias("__excl"),
-                     F.coalesce(_count_char(t, "?"), F.lit(0)).alias("__qm"), *columns)
+                     F.coalesce(_count_char(t, "?"), F.lit(0)).alias("__qm"), *keep)
     ws = F.col("__ws")
     n = F.size(ws)
     n_upper = F.size(F.filter(ws, _is_upper))
@@ -171,16 +177,16 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
 
     # per-text flags and the aligned arrays first, so that the explode carries only scalars besides
     # the generated struct (an array column next to an explode is copied into every word's row)
-    flags = base.select("__rid", "__excl", "__qm", n.alias("__nw"),
+    flags = base.select("__rid", "__id", "__excl", "__qm", n.alias("__nw"),
                         ((n_upper > 0) & (n_upper < n)).alias("__cd"),
                         ws.alias("w"), F.transform(ws, F.lower).alias("lw"),
-                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)], _carried(base, columns, n).alias("k"))
+                        *[shifted(k).alias(f"p{k}") for k in (1, 2, 3)], *([_carried(base, keep, n).alias("k")] if keep else []))
     flags = flags.withColumn("__bp", F.array_position("lw", "but"))
-    x = flags.select("__rid", "__excl", "__qm", "__nw", "__cd", "__bp",
-                     F.posexplode_outer(F.arrays_zip("w", "lw", "p1", "p2", "p3", "k")).alias("__i", "__u"))
-    x = x.select("__rid", "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
+    x = flags.select("__rid", "__id", "__excl", "__qm", "__nw", "__cd", "__bp",
+                     F.posexplode_outer(F.arrays_zip("w", "lw", "p1", "p2", "p3", *(["k"] if keep else []))).alias("__i", "__u"))
+    x = x.select("__rid", "__id", "__excl", "__qm", "__nw", "__cd", "__bp", F.col("__u.w").alias("__w"),
                  F.col("__u.lw").alias("__lw"), (F.col("__i") + 1).alias("__pos"),
-                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)], F.col("__u.k").alias("__keep"))
+                 *[F.col(f"__u.p{k}").alias(f"__p{k}") for k in (1, 2, 3)], *([F.col("__u.k").alias("__keep")] if keep else []))
     x = x.join(lex, F.col("__lw") == F.col("__t"), "left").drop("__t")
     x = x.withColumn("__v", F.when(F.col("__v").isNotNull() & F.col("__lw").isin(*BOOST_UP, *BOOST_DOWN), F.lit(None)).otherwise(F.col("__v")))
     # only words found in the lexicon can score; keep those plus one carrier row per text (its
@@ -210,18 +216,18 @@ def score_sentiment_rules(df: DataFrame, id_col: str, text: str, lexicon: DataFr
     x = x.withColumn("__v", F.when((bp > 0) & (pos < bp), v * F.lit(BUT_BEFORE))
                      .when((bp > 0) & (pos > bp), v * F.lit(BUT_AFTER)).otherwise(v))
     val = F.col("__v")
-    g = x.groupBy("__rid").agg(*_sums(val),
+    g = x.groupBy("__rid", "__id").agg(*_sums(val), *_kept(keep),
         (F.max("__nw") - F.count(val) + F.count(F.when(val == 0, F.lit(1)))).cast("double").alias("__neu"),
         F.max("__excl").alias("__excl"), F.max("__qm").alias("__qm"))
     qm = F.col("__qm")
     amp = (F.least(F.col("__excl"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
            + F.when(qm > 3, F.lit(QUESTION_CAP)).when(qm > 1, qm * F.lit(QUESTION_STEP)).otherwise(F.lit(0.0)))
     s0, p0, n0 = F.col("__s"), F.col("__pos"), F.col("__neg")
-    g = g.select("__neu", "__keep",
+    g = g.select("__id", "__neu", *(["__keep"] if keep else []),
                  F.when(s0 > 0, s0 + amp).when(s0 < 0, s0 - amp).otherwise(s0).alias("__s"),
                  F.when(p0 > F.abs(n0), p0 + amp).otherwise(p0).alias("__pos"),
                  F.when(p0 < F.abs(n0), n0 - amp).otherwise(n0).alias("__neg"))
-    return _shares(g, columns)
+    return _shares(g, id_col, keep)
 
 
 def score_polarity(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, token_col: str = "token",
@@ -229,7 +235,7 @@ def score_polarity(df: DataFrame, id_col: str, text: str, lexicon: DataFrame, to
                    max_lexicon_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """id, polarity, subjectivity for every row: averages over the words found in the lexicon (0 when none)."""
     lex = one_per_token(lexicon, token_col, {"__p": polarity_col, "__q": subjectivity_col}, max_lexicon_bytes)
-    x = _word_rows(df, [id_col], text).join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
-    g = x.groupBy("__rid").agg(F.avg("__p").alias("__p"), F.avg("__q").alias("__q"), F.first("__keep", ignorenulls=True).alias("__keep"))
-    return g.select(F.col(f"__keep.{id_col}").alias(id_col), F.round(F.coalesce(F.col("__p"), F.lit(0.0)), 4).alias("polarity"),
+    x = _word_rows(df, id_col, (), text).join(lex, F.lower(F.col("__w")) == F.col("__t"), "left")
+    g = x.groupBy("__rid", "__id").agg(F.avg("__p").alias("__p"), F.avg("__q").alias("__q"))
+    return g.select(F.col("__id").alias(id_col), F.round(F.coalesce(F.col("__p"), F.lit(0.0)), 4).alias("polarity"),
                     F.round(F.coalesce(F.col("__q"), F.lit(0.0)), 4).alias("subjectivity"))
