@@ -15,15 +15,19 @@ from vigil.llm import chosen_path, containment, line_quality, prefix_bpe, site_l
 from vigil.llm._jobs import stored
 
 
+def _new_length(clean: DataFrame, docs: DataFrame) -> DataFrame:
+    """n_chars of the texts that lost something, which ``gone_`` counts."""
+    return clean.withColumn("n_chars", F.when(F.col("gone_") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).drop("gone_")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return line_quality.keep_good(docs)
+    """Lines that are frequent on their source go, and documents that the quality rules reject; n_chars follows the text."""
+    return _new_length(line_quality.keep_good(docs, lost_col="gone_"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are boilerplate of their source go; n_chars follows the text."""
-    clean = site_lines.drop_site_lines(docs, dropped_col="gone_")
-    return clean.withColumn("n_chars", F.when(F.col("gone_") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).drop("gone_")
+    return _new_length(site_lines.drop_site_lines(docs, dropped_col="gone_"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

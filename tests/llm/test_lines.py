@@ -108,3 +108,44 @@ def test_windows_of_a_long_repetitive_text(spark):
     got = line_quality.judged(spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")).first()
     assert (got.n_words, got.n_repeat_words, got.kept) == (80_000, 60_000, False)
     assert _lines.BLANK == BLANK
+
+
+def test_frequent_lines_leave_the_text(spark, monkeypatch):
+    rows, docs = corpus(spark, 3)
+    want, bad = verdicts_by_hand(rows, 5, 0.1, 0.2)
+
+    def clean(r):
+        full = (r[1] or "").split("\n")
+        left = [x for x in full if not x.strip(BLANK) or (r[3], normal(x)) not in bad]
+        return r[1] if len(left) == len(full) else "\n".join(left)
+
+    texts = [(r[0], clean(r), w[-1]) for r, w in zip(rows, want)]
+    assert sum(t != r[1] for r, (_, t, kept) in zip(rows, texts) if kept) > 10
+    for limit in (1 << 25, 0):
+        monkeypatch.setattr("vigil.llm._jobs.BROADCAST_BYTES", limit)
+        got = line_quality.judged(docs, least=5, max_share=0.1, max_lost=0.2).select("doc_id", "text", "kept")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(texts, key=str)
+        kept = line_quality.keep_good(docs, least=5, max_share=0.1, max_lost=0.2)
+        assert no_python(kept) and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted((t[:2] for t in texts if t[2]), key=str)
+
+
+def test_a_depleted_document_at_the_production_parameters(spark):
+    """60 documents of a site, 12 of them with a shared passage of 90 words; one has hardly more than that."""
+    rng = random.Random(4)
+
+    def text(n):
+        return " ".join(rng.choice(BASE) + str(rng.randrange(10**6)) for _ in range(n))
+
+    shared = [text(30) for _ in range(3)]
+    rows = [(i, "\n".join([text(20), *(shared if i < 12 else []), text(200 if i else 10)]), "a", 7) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    got = {r.doc_id: r for r in line_quality.judged(docs).collect()}
+    assert (got[0].words_lost, got[0].n_words, got[0].base_failed, got[0].kept) == (90, 120, False, False)
+    assert all(r.kept for r in got.values() if r.doc_id)
+    from corpus_pipeline import quality
+
+    left = {r.doc_id: r for r in quality(spark, docs, "").collect()}
+    assert sorted(left) == list(range(1, 60))
+    for i, t, _, n in rows[1:]:
+        mine = "\n".join(x for x in t.split("\n") if x not in shared)
+        assert (left[i].text, left[i].n_chars) == (mine, len(mine) if i < 12 else n)

@@ -3,7 +3,8 @@
 Within a text: words, symbols, repeated lines, and words in repeated 3-word windows. Across documents:
 lines are normalised (A-Z as a-z, white space collapsed), hashed, and counted by distinct documents of
 their site. Lines that more than ``max_share`` of a site's documents (and at least ``least``) hold are
-removed, and a document that loses more than ``max_lost`` of its words that way is depleted and rejected.
+removed from the text, and a document that loses more than ``max_lost`` of its words that way is depleted
+and rejected. Measures and base rules are those of the text as it came.
 
 Everything within a text is computed in its row. Counts of lines are taken before the shuffle; what comes
 back is one bounded array of hashes a site, by a broadcast of checked size or a salted join. Repeated
@@ -12,7 +13,8 @@ agree, so time is n log n in a text's words.
 
 Rules: a null text has no words, so it fails the base rules. A null site is a site of its own. Rows of
 the same id (for null ids: the same text) are one document in counts; each row gets its own verdict.
-Other columns are kept. An empty table gives an empty result.
+Lines without text stay; a text that loses no line stays as it is. Other columns are kept. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -105,21 +107,33 @@ def _judgement(text: Column, bad: Column, max_lost: float) -> Column:
     return _let(_let(_counted(_words(text)), lambda c: _let(_let(held, of_lines), lambda h: measures(c, h))), verdict)
 
 
+def _without(text: Column, bad: Column) -> Column:
+    return F.array_join(F.filter(lines(text), lambda x: (trimmed(x) == "") | ~F.array_contains(bad, _normal(x))), "\n")
+
+
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least: int = 10,
-           max_share: float = 0.1, max_lost: float = 0.7, whole_rows: bool = False) -> DataFrame:
-    """``docs`` with MEASURES, words_lost (words in removed lines), base_failed and kept (columns of ``docs`` with
-    these names are left out); with ``whole_rows`` the kept rows as they are in ``docs``."""
+           max_share: float = 0.1, max_lost: float = 0.7, whole_rows: bool = False, lost_col: str | None = None) -> DataFrame:
+    """``docs``, its texts without the removed lines, with MEASURES, words_lost (words in removed lines), base_failed
+    and kept (columns of ``docs`` with these names are left out); with ``whole_rows`` only the kept rows, with the
+    columns of ``docs`` and, if named, ``lost_col`` (words_lost)."""
     doc = F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
     bad = frequent_lines(docs, site_key(site_col), F.col(text_col), _normal, doc, least, max_share)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), site_key(site_col).alias("site_"))
-    text = F.col("row_")[text_col]
-    rows = look_up(rows, bad, "site_", text, SITE_BYTES).withColumn("found_", _judgement(text, F.col("bad_"), max_lost))
-    if whole_rows:
-        return rows.filter(F.col("found_")["kept"]).select(*(F.col("row_")[c].alias(c) for c in docs.columns))
+    was, found = F.col("row_")[text_col], F.col("found_")
+    rows = look_up(rows, bad, "site_", was, SITE_BYTES)
+    judgement = _judgement(was, F.col("bad_"), max_lost)
+    text = F.when(found["words_lost"] > 0, _without(was, F.col("bad_"))).otherwise(was)
+
+    def column(c: str) -> Column:
+        return (text if c == text_col else F.col("row_")[c]).alias(c)
+
+    if whole_rows:  # a generated value can't be computed again by a filter on it
+        kept = rows.select("row_", "bad_", F.explode_outer(F.array(judgement)).alias("found_")).filter(found["kept"])
+        return kept.select(*map(column, docs.columns), *([found["words_lost"].alias(lost_col)] if lost_col else []))
     made = [*MEASURES, "words_lost", "base_failed", "kept"]
-    return rows.select(*(F.col("row_")[c].alias(c) for c in docs.columns if c not in made), *(F.col("found_")[c].alias(c) for c in made))
+    return rows.withColumn("found_", judgement).select(*(column(c) for c in docs.columns if c not in made), *(found[c].alias(c) for c in made))
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the columns of ``docs``."""
+    """The rows of ``docs`` that are kept, without the removed lines, with the columns of ``docs``."""
     return judged(docs, whole_rows=True, **options)
