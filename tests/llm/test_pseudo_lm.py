@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -80,3 +81,36 @@ def test_odd_rows(spark):
         assert (r.mean_log_prob is None) == (r.perplexity is None) == (r.n_tokens == 0) and (r.log_prob < 0 or r.n_tokens == 0)
     empty = lm.train(no_docs(spark))
     assert lm.score(no_docs(spark), *empty).collect() == [] and lm.score(docs, *empty).count() == docs.count()
+
+
+def test_words_of_a_bucket_have_their_share(spark, monkeypatch):
+    """Some 3,000 words in 512 buckets: rare words score below frequent ones of their bucket, and a bucket's words and
+    one unseen word share its probability."""
+    rng = random.Random(7)
+    pool = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(pool[min(int(rng.expovariate(0.002)), 2999)] for _ in range(rng.randrange(1, 90))) for _ in range(300)] + [None, ""]
+    seen = Counter(w for t in texts for w in words(t))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 2000)
+    lexicon, net = lm.train(docs)
+    odd = spark.createDataFrame([(1000, "never seen " + texts[0]), (1000, texts[1])], docs.schema)
+    buckets, bucket_of = Counter(), {}
+    for w in [*seen, "never", "seen"]:
+        i = int(lexicon.ids(lm.words_of(pa.array([w]))[0])[0])
+        if i >= lm.FREQUENT:
+            buckets[i] += seen[w]
+            bucket_of[w] = i
+    assert len(seen) - lm.FREQUENT == len(bucket_of) - 2 > 500
+    shares = Counter()
+    for w, i in bucket_of.items():
+        shares[i] += seen[w] / (buckets[i] + 1)
+    assert all(abs(s + 1 / (buckets[i] + 1) - 1) < 1e-9 for i, s in shares.items())
+    for table in (docs, odd):
+        want = []
+        for r in table.collect():
+            n, total = lm.document_scores(lexicon, net, pa.array([r.text], pa.string()))
+            own = sum(np.log(max(seen[w], 1) / (buckets[bucket_of[w]] + 1)) for w in words(r.text) if w in bucket_of)
+            want.append((r.doc_id, int(n[0]), total[0] + own))
+        got = sorted(tuple(r)[:3] for r in lm.score(table, lexicon, net).collect())
+        for a, b in zip(got, sorted(want), strict=True):
+            assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-3

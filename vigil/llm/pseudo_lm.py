@@ -1,17 +1,20 @@
 """Masked pseudo-likelihood of documents.
 
 A token is a word (runs outside 0x20 and 0x09-0x0D, A-Z as a-z): the ``FREQUENT`` most frequent words of the
-corpus have ids of their own, all others share ``OTHERS`` ids by their hash. A network predicts every token
+corpus have ids of their own, all others share ``OTHERS`` ids (buckets) by their hash. A network predicts every token
 from the ``SIDE`` tokens on both sides of it, which it sees while the token itself is masked: embeddings by
 place, one tanh layer, then the token's class and the token within its class (two softmaxes, so a
-prediction costs 2 * 32 outputs, not 1024). A document's score is the sum of the logarithms of these
-conditional probabilities over all its tokens.
+prediction costs 2 * 32 outputs, not 1024). A word of a bucket then has its share of the bucket: its count over
+the bucket's count and one, where the one stands for all words that training didn't see. A document's score is
+the sum of the logarithms of these conditional probabilities over all its tokens, so over real words.
 
 Everything is gathered in Spark over all documents: word counts (combined in each task, then summed), and
 training windows (each place is drawn by a hash with chance ``rate``, so their number grows with the
 input). Training is data-parallel: in each round every partition trains a copy of the network on its
 windows in numpy (Adagrad), and the copies are averaged in two steps by slices of the parameters, weighted
-by windows. Only the averaged network, of a fixed size, comes to the driver. Scoring reads each text whole.
+by windows. Only the averaged network, of a fixed size, comes to the driver. Scoring reads each text whole. The
+counts of all words stay in Spark: a task keeps the words of some megabytes of texts (a block) that lie in buckets
+once, the blocks' words are joined with the counts, and the counts come back to their block.
 
 Rules: null or word-less texts have no tokens, log_prob 0 and null mean and perplexity. Beyond a text's ends
 stands a border token. Repeated rows score alike; ties in word counts go to the lower hash; other columns
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +45,7 @@ PLACES = [*range(-SIDE, 0), *range(1, SIDE + 1)]
 SHAPES = {"embed": (BORDER + 1, WIDTH), "w": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
           "wm": (CLASSES, HIDDEN, MEMBERS), "bm": (CLASSES, MEMBERS)}
 SLICE = 4096
+BLOCK_BYTES, BLOCK_WORDS = 1 << 22, 1 << 20  # of texts taken at once; a block is closed when it has so many words
 CHUNK = 1 << 16  # tokens that go through the network at once
 MINI = 1024      # windows of a training step
 
@@ -165,11 +170,20 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Lexicon:
-    """Ids of word hashes."""
+    """Ids of word hashes; the counts of the buckets and, on the driver, the stored table (word, n) of all words."""
 
-    def __init__(self, frequent: np.ndarray) -> None:
+    def __init__(self, frequent: np.ndarray, buckets: np.ndarray | None = None, counts: DataFrame | None = None) -> None:
         self.id_of = np.argsort(frequent)
         self.sorted = frequent[self.id_of]
+        self.buckets = np.zeros(OTHERS) if buckets is None else buckets
+        self.counts = counts
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "counts": None}
+
+    def log_shares(self, words: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Log of each bucket word's share of its bucket; ``n``: its count, 0 if training didn't see it."""
+        return np.log(np.maximum(n, 1)) - np.log(self.buckets[(words % np.uint64(OTHERS)).astype(np.int64)] + 1)
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         out = FREQUENT + (words % np.uint64(OTHERS)).astype(np.int64)
@@ -231,12 +245,12 @@ def train(docs: DataFrame, text_col: str = "text", chance: float = 0.02, rounds:
     counts = texts.mapInArrow(_count_batches, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "word_counts")
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
-    lexicon = Lexicon(top["word"].to_numpy().view(np.uint64))
     known = np.zeros(FREQUENT + OTHERS)
     known[:top.num_rows] = top["n"].to_numpy()
     rest = counts.join(F.broadcast(spark.createDataFrame(top.select(["word"]).to_pandas(), "word long")), "word", "left_anti")
     for r in rest.groupBy(F.expr(f"int(word & {OTHERS - 1})").alias("k")).agg(F.sum("n").alias("n")).collect():  # at most OTHERS rows
         known[FREQUENT + r["k"]] = r["n"]
+    lexicon = Lexicon(top["word"].to_numpy().view(np.uint64), known[FREQUENT:], counts)
     net = start_net(known)
     held = spark.sparkContext.broadcast(lexicon)
     windows = stored(texts.mapInArrow(_window_batches(held, chance), "windows binary, n long").filter("n > 0"), "windows")
@@ -251,32 +265,83 @@ def train(docs: DataFrame, text_col: str = "text", chance: float = 0.02, rounds:
 
 
 def document_scores(lexicon: Lexicon, net: Net, column) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, summed log-probability) of each text."""
+    """(tokens, summed log-probability of their ids) of each text."""
     ids, doc, offs = lexicon.tokens(column)
-    around, total = contexts(ids, doc), np.zeros(len(offs) - 1)
+    return np.diff(offs), _network_scores(net, ids, doc, len(offs) - 1)
+
+
+def _network_scores(net: Net, ids: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    around, total = contexts(ids, doc), np.zeros(n)
     for i in range(0, len(ids), CHUNK):
         lp = log_probs(net, ids[i:i + CHUNK], around[i:i + CHUNK])
-        total += np.bincount(doc[i:i + CHUNK], lp.astype(np.float64), len(total))
-    return np.diff(offs), total
+        total += np.bincount(doc[i:i + CHUNK], lp.astype(np.float64), n)
+    return total
 
 
-def _score_batches(model, keep: int):
+def _block_batches(model, keep: int):
+    """A row a block: its number, its rows as an Arrow stream (kept columns, tokens, bucket tokens, the network's score
+    with the buckets' part of the shares), the place in ``words`` of each bucket token, and its bucket words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, net = model.value
-        for b in small(batches, keep):
-            n, total = document_scores(lexicon, net, b.column(keep))
-            mean = np.divide(total, n, out=np.zeros(len(n)), where=n > 0)
-            empty = n == 0
-            yield pa.RecordBatch.from_arrays([*b.columns[:keep], pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=empty), pa.array(np.exp(-mean), mask=empty)],
-                                             [*b.schema.names[:keep], "n_tokens", "log_prob", "mean_log_prob", "perplexity"])
+        (lexicon, net), held, words, size, made = model.value, [], [], 0, 0
+
+        def block() -> pa.RecordBatch:
+            u, at = np.unique(np.concatenate(words), return_inverse=True)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as out:
+                for b in held:
+                    out.write_batch(b)
+            number = (TaskContext.get().partitionId() << 32) + made
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                                               pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([u.view(np.int64)], pa.list_(pa.int64()))],
+                                              ["block", "rows", "at", "words"])
+
+        for b in small(batches, keep, BLOCK_BYTES):
+            hashes, offs = words_of(b.column(keep))
+            ids, doc = lexicon.ids(hashes), np.repeat(np.arange(b.num_rows), np.diff(offs))
+            rare = ids >= FREQUENT
+            n_rare = np.bincount(doc[rare], minlength=b.num_rows)
+            total = _network_scores(net, ids, doc, b.num_rows)
+            total += np.bincount(doc[rare], lexicon.log_shares(hashes[rare], np.zeros(1)), b.num_rows)
+            held.append(pa.RecordBatch.from_arrays([*b.columns[:keep], pa.array(np.diff(offs), pa.int64()), pa.array(n_rare, pa.int64()), pa.array(total)],
+                                                   [*(f"c{i}" for i in range(keep)), "n", "rare", "total"]))
+            words.append(hashes[rare])
+            size += int(offs[-1])
+            if size >= BLOCK_WORDS:
+                yield block()
+                held, words, size, made = [], [], 0, made + 1
+        if held:
+            yield block()
+    return run
+
+
+def _finished(names: list[str]):
+    """(a block, the counts of its words) -> its rows with their scores."""
+    def run(block: pa.Table, counts: pa.Table) -> pa.Table:
+        parts = []
+        logs = np.zeros(counts.num_rows)
+        logs[counts["place"].to_numpy()] = np.log(counts["n"].to_numpy().astype(np.float64))
+        for rows, at in zip(block["rows"], block["at"]):
+            t = pa.ipc.open_stream(rows.as_buffer()).read_all()
+            n, total = t["n"].to_numpy(), t["total"].to_numpy()
+            doc = np.repeat(np.arange(len(n)), t["rare"].to_numpy())
+            total = total + np.bincount(doc, logs[np.frombuffer(at.as_buffer(), np.int32)], len(n))
+            mean, empty = np.divide(total, n, out=np.zeros(len(n)), where=n > 0), n == 0
+            parts.append(pa.table([*t.columns[:-3], pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=empty), pa.array(np.exp(-mean), mask=empty)], names))
+        return pa.concat_tables(parts)
     return run
 
 
 def score(docs: DataFrame, lexicon: Lexicon, net: Net, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all but the text and result names), n_tokens, log_prob, mean_log_prob, perplexity."""
-    python_ready(docs.sparkSession)
+    spark = docs.sparkSession
+    python_ready(spark)
     made = [T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ("log_prob", "mean_log_prob", "perplexity"))]
     keep = [c for c in docs.columns if c != text_col and c not in {f.name for f in made}] if keep is None else keep
     rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    model = docs.sparkSession.sparkContext.broadcast((lexicon, net))
-    return rows.mapInArrow(_score_batches(model, len(keep)), T.StructType([*(rows.schema[c] for c in keep), *made]))
+    model = spark.sparkContext.broadcast((lexicon, net))
+    blocks = stored(rows.mapInArrow(_block_batches(model, len(keep)), "block long, rows binary, at binary, words array<long>"), "blocks")
+    found = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
+    counts = spark.createDataFrame([], "word long, n long") if lexicon.counts is None else lexicon.counts
+    found = found.join(counts, "word", "left").select("of", "place", F.coalesce("n", F.lit(1)).alias("n"))
+    kind = T.StructType([*(rows.schema[c] for c in keep), *made])
+    return blocks.select("block", "rows", "at").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_finished(kind.names), kind)
