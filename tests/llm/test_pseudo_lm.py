@@ -114,3 +114,16 @@ def test_words_of_a_bucket_have_their_share(spark, monkeypatch):
         got = sorted(tuple(r)[:3] for r in lm.score(table, lexicon, net).collect())
         for a, b in zip(got, sorted(want), strict=True):
             assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-3
+
+
+def test_every_place_is_trained_on(spark, monkeypatch):
+    texts = ["a b c d e", "a b c d e", None, "", "f"] + ["g h " * 40] * 3
+    lexicon = lm.Lexicon(np.unique(lm.words_of(pa.array(["a b c"]))[0]))
+    got = lm.windows_of(lexicon, pa.array(texts), 1.0)
+    ids = [lexicon.ids(lm.words_of(pa.array([t], pa.string()))[0]).tolist() for t in texts]
+    want = [(t[i], *(t[i + d] if 0 <= i + d < len(t) else lm.BORDER for d in lm.PLACES)) for t in ids for i in range(len(t))]
+    assert Counter(map(tuple, got.tolist())) == Counter(want)
+    rounds = []
+    monkeypatch.setattr(lm, "_round_batches", lambda model, chance, rate, made=lm._round_batches: rounds.append(chance) or made(model, chance, rate))
+    lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert rounds == [1.0] * 3

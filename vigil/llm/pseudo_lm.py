@@ -9,10 +9,10 @@ the bucket's count and one, where the one stands for all words that training did
 the sum of the logarithms of these conditional probabilities over all its tokens, so over real words.
 
 Everything is gathered in Spark over all documents: word counts (combined in each task, then summed), and
-training windows (each place is drawn by a hash with chance ``rate``, so their number grows with the
-input). Training is data-parallel: in each round every partition trains a copy of the network on its
-windows in numpy (Adagrad), and the copies are averaged in two steps by slices of the parameters, weighted
-by windows. Only the averaged network, of a fixed size, comes to the driver. Scoring reads each text whole. The
+training windows, one for every token (a ``chance`` below 1 draws places by a hash), made in the training
+tasks from the texts. Training is data-parallel: in each round every partition trains a copy of the network on
+its windows in numpy (Adagrad, the windows of some megabytes of texts shuffled), and the copies are averaged
+in two steps by slices of the parameters, weighted by windows. Only the averaged network, of a fixed size, comes to the driver. Scoring reads each text whole. The
 counts of all words stay in Spark: a task keeps the words of some megabytes of texts (a block) that lie in buckets
 once, the blocks' words are joined with the counts, and the counts come back to their block.
 
@@ -107,38 +107,57 @@ def log_probs(net: Net, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     return out
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z = np.exp(z - z.max(1, keepdims=True))
+    return z / z.sum(1, keepdims=True)
+
+
 def gradients(net: Net, ids: np.ndarray, around: np.ndarray) -> Net:
     """Of the mean negative log-probability."""
     n = len(ids)
+    order = np.argsort((ids // MEMBERS).astype(np.uint16), kind="stable")  # so a class is a slice
+    ids, around = ids[order], around[order]
+    each, cls = np.arange(n), ids // MEMBERS
+    first = np.flatnonzero(np.diff(cls, prepend=-1))
+    parts = [(c, slice(i, j)) for c, i, j in zip(cls[first].tolist(), first.tolist(), [*first[1:].tolist(), n])]
     x = net["embed"][around].reshape(n, -1)
     h = np.tanh(x @ net["w"] + net["b"])
     g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    d = np.exp(_log_softmax(h @ net["wc"] + net["bc"]))
-    d[np.arange(n), ids // MEMBERS] -= 1
+    d = _softmax(h @ net["wc"] + net["bc"])
+    d[each, cls] -= 1
     d /= n
     g["wc"], g["bc"], dh = h.T @ d, d.sum(0), d @ net["wc"].T
-    for c, rows in _by_class(ids):
-        d = np.exp(_log_softmax(h[rows] @ net["wm"][c] + net["bm"][c]))
-        d[np.arange(len(rows)), ids[rows] % MEMBERS] -= 1
-        d /= n
-        g["wm"][c], g["bm"][c] = h[rows].T @ d, d.sum(0)
-        dh[rows] += d @ net["wm"][c].T
+    z = net["bm"][cls]
+    for c, rows in parts:
+        z[rows] += h[rows] @ net["wm"][c]
+    d = _softmax(z)
+    d[each, ids % MEMBERS] -= 1
+    d /= n
+    g["bm"][cls[first]] = np.add.reduceat(d, first)
+    for c, rows in parts:
+        g["wm"][c] = h[rows].T @ d[rows]
+        dh[rows] += d[rows] @ net["wm"][c].T
     dz = dh * (1 - h * h)
     g["w"], g["b"] = x.T @ dz, dz.sum(0)
-    np.add.at(g["embed"], around.ravel(), (dz @ net["w"].T).reshape(-1, WIDTH))
+    at = around.ravel()
+    order = np.argsort(at.astype(np.uint16), kind="stable")  # far quicker than np.add.at
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    g["embed"][at[order[first]]] = np.add.reduceat((dz @ net["w"].T).reshape(-1, WIDTH)[order], first)
     return g
 
 
-def train_on(net: Net, windows: np.ndarray, rate: float) -> Net:
-    """One pass of Adagrad over windows (tokens, 2 * SIDE + 1), the masked token first."""
-    net = {k: v.copy() for k, v in net.items()}
-    seen = {k: np.full(s, 1e-6, np.float32) for k, s in SHAPES.items()}
+def fresh() -> Net:
+    """Adagrad's sums at the start."""
+    return {k: np.full(s, 1e-6, np.float32) for k, s in SHAPES.items()}
+
+
+def train_on(net: Net, seen: Net, windows: np.ndarray, rate: float) -> None:
+    """One pass of Adagrad over windows (tokens, 2 * SIDE + 1), the masked token first; ``net`` and ``seen`` change."""
     for i in range(0, len(windows), MINI):
         part = windows[i:i + MINI].astype(np.int64)
         for k, g in gradients(net, part[:, 0], part[:, 1:]).items():
             seen[k] += g * g
             net[k] -= rate * g / np.sqrt(seen[k])
-    return net
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,29 +218,28 @@ class Lexicon:
         return self.ids(words), np.repeat(np.arange(len(offs) - 1), np.diff(offs)), offs
 
 
-def _window_batches(lexicon, chance: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 0):
-            words, offs = words_of(b.column(0))
-            if not len(words):
-                continue
-            ids, doc = lexicon.value.ids(words), np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-            full = np.flatnonzero(np.diff(offs))
-            seed = np.zeros(len(offs) - 1, np.uint64)
-            seed[full] = np.add.reduceat(mix(words), offs[:-1][full])  # by content, so it's drawn alike in any partition
-            place = (np.arange(len(ids)) - offs[doc]).astype(np.uint64)
-            drawn = mix(seed[doc] + place * np.uint64(0x9E3779B97F4A7C15)) < np.uint64(int(chance * 2**64))
-            rows = np.concatenate([ids[drawn, None], contexts(ids, doc)[drawn]], axis=1).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([len(rows)], pa.int64())], ["windows", "n"])
-    return run
+def windows_of(lexicon: Lexicon, column, chance: float) -> np.ndarray:
+    """The windows of the places of all texts, shuffled; ``chance`` below 1 draws some."""
+    words, offs = words_of(column)
+    ids, doc = lexicon.ids(words), np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    rows = np.concatenate([ids[:, None], contexts(ids, doc)], axis=1).astype(np.uint16)
+    if chance < 1 and len(ids):
+        full = np.flatnonzero(np.diff(offs))
+        seed = np.zeros(len(offs) - 1, np.uint64)
+        seed[full] = np.add.reduceat(mix(words), offs[:-1][full])  # by content, so it's drawn alike in any partition
+        place = (np.arange(len(ids)) - offs[doc]).astype(np.uint64)
+        rows = rows[mix(seed[doc] + place * np.uint64(0x9E3779B97F4A7C15)) < np.uint64(int(chance * 2**64))]
+    return rows[np.random.Generator(np.random.PCG64(len(rows))).permutation(len(rows))]
 
 
-def _round_batches(net, rate: float):
+def _round_batches(model, chance: float, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, n = net.value, 0
-        for b in batches:
-            w = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint16).reshape(-1, 2 * SIDE + 1)
-            own, n = train_on(own, w, rate), n + len(w)
+        (lexicon, net), n = model.value, 0
+        own, seen = {k: v.copy() for k, v in net.items()}, fresh()
+        for b in small(batches, 0, BLOCK_BYTES):
+            w = windows_of(lexicon, b.column(0), chance)
+            train_on(own, seen, w, rate)
+            n += len(w)
         if n:
             v = flat(own)
             parts = [v[i:i + SLICE].astype(np.float64).tobytes() for i in range(0, len(v), SLICE)]
@@ -237,8 +255,8 @@ def _averaged(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "v": [mean.tobytes()], "n": [total]})
 
 
-def train(docs: DataFrame, text_col: str = "text", chance: float = 0.02, rounds: int = 3, rate: float = 0.1) -> tuple[Lexicon, Net]:
-    """The lexicon and the network of a table of texts."""
+def train(docs: DataFrame, text_col: str = "text", chance: float = 1.0, rounds: int = 3, rate: float = 0.1) -> tuple[Lexicon, Net]:
+    """The lexicon and the network of a table of texts, trained ``rounds`` times over the places drawn (default: all)."""
     spark = docs.sparkSession
     python_ready(spark)
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -252,11 +270,9 @@ def train(docs: DataFrame, text_col: str = "text", chance: float = 0.02, rounds:
         known[FREQUENT + r["k"]] = r["n"]
     lexicon = Lexicon(top["word"].to_numpy().view(np.uint64), known[FREQUENT:], counts)
     net = start_net(known)
-    held = spark.sparkContext.broadcast(lexicon)
-    windows = stored(texts.mapInArrow(_window_batches(held, chance), "windows binary, n long").filter("n > 0"), "windows")
     kind = "slice int, v binary, n long"
     for i in range(rounds):
-        copies = windows.mapInArrow(_round_batches(spark.sparkContext.broadcast(net), rate / (1 + i)), kind)
+        copies = texts.mapInArrow(_round_batches(spark.sparkContext.broadcast((lexicon, net)), chance, rate / (1 + i)), kind)
         some = copies.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("slice", "group").applyInPandas(_averaged, kind)
         got = some.groupBy("slice").applyInPandas(_averaged, kind).orderBy("slice").toArrow()
         if got.num_rows:
