@@ -104,3 +104,17 @@ def test_odd_rows(spark):
     want = by_hand(rows, 2)
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got if r.doc_id is not None) == sorted((d, n, c) for d, _, n, c in want if d is not None)
     assert id_codec.encoded_digest(no_docs(spark), FILE, 2).collect() == []
+
+
+def test_added_tokens_within_texts(spark):
+    """As by the library's default: the string of an added token is that token; later starts follow."""
+    plain = Tokenizer.from_file(FILE)
+    texts = ["a <|endoftext|> b", "a <|endoftext|", "<|endoftext|><|endoftext|>", None, "it's  1 b", "Ünï 漢字 <|endoftext|>x"]
+    at, want = 0, []
+    for i, t in enumerate(texts):
+        ids = plain.encode(t or "", add_special_tokens=False).ids + [2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, id_codec.encoded_digest(docs, FILE, 2).collect())) == want

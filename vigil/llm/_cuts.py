@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow.compute as pc
 
 from vigil.llm._text import buffer, span_hashes
 
@@ -78,10 +79,10 @@ def pieces(raw: np.ndarray, kind: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 class PieceIds:
     """Ids of texts through remembered pieces. ``encode`` gives the ids of new pieces, ``whole`` those of texts
-    with far code points; both as lists of arrays."""
+    with far code points or one of the strings ``apart``; both as lists of arrays."""
 
-    def __init__(self, encode: Callable[[list[str]], list], whole: Callable[[list[str]], list], size: int) -> None:
-        self.encode, self.whole, self.size = encode, whole, size
+    def __init__(self, encode: Callable[[list[str]], list], whole: Callable[[list[str]], list], size: int, apart: list[str] | None = None) -> None:
+        self.encode, self.whole, self.size, self.apart = encode, whole, size, apart or []
         self.forget()
 
     def forget(self) -> None:
@@ -106,7 +107,10 @@ class PieceIds:
         raw, offs = buffer(column)
         n = len(offs) - 1
         kind = classes(raw)
-        far = np.flatnonzero(np.diff(np.searchsorted(np.flatnonzero(kind == FAR), offs)))
+        far = np.diff(np.searchsorted(np.flatnonzero(kind == FAR), offs)) > 0
+        for x in self.apart:
+            far |= np.asarray(pc.fill_null(pc.match_substring(column, x), False))
+        far = np.flatnonzero(far)
         start = pieces(raw, kind, offs)
         size = np.zeros(n, np.int64)
         flat = np.zeros(0, np.uint32)

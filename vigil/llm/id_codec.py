@@ -11,7 +11,8 @@ offsets (one more than blocks, 32-bit), the words, the escaped ids (64-bit). On
 ascending id order fill shards (one Parquet file each); a row is a chunk with its shard, its first id's
 place in the shard, its documents' ids and lengths, and its bytes.
 
-Rules: a null text is empty and has only the end id. Null document ids come first; equal ids are ordered
+Rules: a null text is empty and has only the end id. The string of an added token of the tokenizer file (such as
+``<|endoftext|>``) within a text becomes that token's id, as by the library's default. Null document ids come first; equal ids are ordered
 by text. A document is never split between chunks, so a very long text makes a chunk of its own. An empty
 table makes no rows.
 """
@@ -144,21 +145,22 @@ REMEMBERED = 1_000_000
 class LibraryCoder:
     """Ids of whole texts by a tokenizer file. Where the file cuts texts by the usual pattern, pieces of
     texts in code points up to U+024F are cut here and encoded by the library once; other texts are
-    encoded whole."""
+    encoded whole. With ``added``, the string of an added token within a text has that token's id, as by the
+    library's default, and a text with such a string is encoded whole; else it's text like any other."""
 
-    def __init__(self, raw: bytes) -> None:
+    def __init__(self, raw: bytes, added: bool = False) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(raw)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         file = json.loads(raw)
         cutter = file["pre_tokenizer"] or {}
         self.usual = (cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
                       and not file["normalizer"] and all(t["special"] for t in file["added_tokens"]))
-        self.pieces = PieceIds(self._ids, self._ids, REMEMBERED)
+        self.pieces = PieceIds(self._ids, self._ids, REMEMBERED, [t["content"] for t in file["added_tokens"]] if added else [])
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
@@ -171,13 +173,13 @@ class LibraryCoder:
         return np.array([i for ids in got for i in ids], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
 
 
-_CODERS: dict[bytes, LibraryCoder] = {}
+_CODERS: dict[tuple[bytes, bool], LibraryCoder] = {}
 
 
-def library_coder(raw: bytes) -> LibraryCoder:
-    key = hashlib.sha256(raw).digest()
+def library_coder(raw: bytes, added: bool = False) -> LibraryCoder:
+    key = hashlib.sha256(raw).digest(), added
     if key not in _CODERS:
-        _CODERS[key] = LibraryCoder(raw)
+        _CODERS[key] = LibraryCoder(raw, added)
     return _CODERS[key]
 
 
@@ -191,7 +193,7 @@ def with_end(flat: np.ndarray, cuts: np.ndarray, end_id: int) -> tuple[np.ndarra
 
 def _write_batches(raw: bytes, end_id: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, shard = library_coder(raw), TaskContext.get().partitionId()
+        coder, shard = library_coder(raw, added=True), TaskContext.get().partitionId()
         docs, lengths, held, seen = [], [], [], 0
 
         def chunk() -> pa.RecordBatch:
