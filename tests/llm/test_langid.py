@@ -81,3 +81,18 @@ def test_odd_rows(spark):
     assert langid.predict(no_docs(spark), m).collect() == []
     blank = langid.train(no_docs(spark))
     assert {(r.lang_pred, r.score, r.n_spans) for r in langid.predict(docs, blank).collect()} == {("und", 0.0, 0)}
+
+
+def test_scripts_of_no_training_language(spark):
+    """With any_script only texts without letters are und, and words beside a known script still don't vote."""
+    rng, m = random.Random(9), model(spark)
+    a = text(rng, "aa", 20)
+    texts = ["සිංහල භාෂාව", "ｆｕｌｌ ｗｉｄｔｈ", "漢字", "\u0301 漢字", a, f"{a} සිංහල 漢字", "12 !?", "\u0301", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.predict(docs, m, any_script=True).collect()}
+    old = {r.doc_id: r for r in langid.predict(docs, m).collect()}
+    for i in range(4):
+        assert got[i].lang_pred in PARTS and 0 < got[i].score <= 1 and got[i].n_spans > 0
+        assert old[i].lang_pred == "und"
+    assert all(got[i] == old[i] for i in range(4, 10)) and got[4].lang_pred == got[5].lang_pred == "aa"
+    assert [got[i].lang_pred for i in range(6, 10)] == ["und"] * 4

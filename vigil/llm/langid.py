@@ -14,7 +14,8 @@ All of it works on whole batches: texts as code points, words by differences of
 ``reduceat``, Viterbi over all texts of some batches at a time, one word further at each step.
 
 Rules: a null text or one without letters is ``und`` with score 0 and has no spans. Words in scripts that
-no training language uses get no vote. Ties go to the language that sorts first. Without any labelled text
+no training language uses get no vote; with ``any_script``, where all letters of a text are in such words, all
+languages are candidates and the words vote. Ties go to the language that sorts first. Without any labelled text
 all are ``und``. Repeated rows are predicted alike; other columns are kept; empty tables give empty results.
 """
 
@@ -121,15 +122,27 @@ class Model:
     weight: np.ndarray     # (3 * BUCKETS, languages) log-probabilities / 3
     candidate: np.ndarray  # (N_SCRIPTS, languages)
 
-    def scores(self, w: Words) -> np.ndarray:
-        """(words, languages): log-probabilities; UNLIKELY for no candidate; equal in unknown scripts."""
+    def voters(self, w: Words, any_script: bool = False) -> np.ndarray:
+        """Whether a word votes: those in scripts of training languages, and with ``any_script`` all words of texts
+        without letters in such ones."""
+        known = self.candidate[w.script].any(1)
+        if not any_script or not len(w.doc):
+            return known
+        open_ = np.zeros(int(w.doc[-1]) + 1, bool)
+        open_[w.doc[w.letters > 0]] = True
+        open_[w.doc[known & (w.letters > 0)]] = False
+        return known | open_[w.doc]
+
+    def scores(self, w: Words, voters: np.ndarray | None = None) -> np.ndarray:
+        """(words, languages): log-probabilities; UNLIKELY for no candidate; equal for words that don't vote."""
         if not len(w.doc):
             return np.zeros((0, len(self.langs)), np.float32)
         each = self.weight[w.feature[0]] + self.weight[w.feature[1]] + self.weight[w.feature[2]]
         out = np.add.reduceat(each, w.first, axis=0)
         can = self.candidate[w.script]
-        out[~can] = UNLIKELY * 4
-        out[~can.any(1)] = 0
+        known = can.any(1)
+        out[~can & known[:, None]] = UNLIKELY * 4
+        out[~(known if voters is None else voters)] = 0
         return out
 
 
@@ -205,20 +218,20 @@ GATHER = 1 << 20  # words from which on texts go through Viterbi together
 TEXT_BYTES = 1 << 21  # of texts whose n-grams are held at once
 
 
-def _predict(model, penalty: float, keep: int, spans: bool):
+def _predict(model, penalty: float, keep: int, spans: bool, any_script: bool):
     names = model.value.langs
 
-    def solved(held: list[tuple[pa.RecordBatch, Words, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def solved(held: list[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         offs, base = [np.zeros(1, np.int64)], 0
-        for b, w, _ in held:
+        for b, w, _, _ in held:
             offs.append(base + np.searchsorted(w.doc, np.arange(1, b.num_rows + 1)))
             base += len(w.doc)
-        label = viterbi(np.concatenate([s for _, _, s in held]), np.concatenate(offs), penalty)
+        label = viterbi(np.concatenate([s for _, _, s, _ in held]), np.concatenate(offs), penalty)
         at = 0
-        for b, w, _ in held:
+        for b, w, _, voters in held:
             own, n = label[at:at + len(w.doc)], b.num_rows
             at += len(w.doc)
-            votes = np.bincount(w.doc * len(names) + own, w.letters * model.value.candidate[w.script].any(1), n * len(names)).reshape(n, len(names))
+            votes = np.bincount(w.doc * len(names) + own, w.letters * voters, n * len(names)).reshape(n, len(names))
             letters = votes.sum(1)
             best = votes.argmax(1)
             share = votes[np.arange(n), best] / np.maximum(letters, 1)
@@ -236,13 +249,14 @@ def _predict(model, penalty: float, keep: int, spans: bool):
             yield pa.RecordBatch.from_arrays([*b.columns[:keep], *out], [*b.schema.names[:keep], "lang_pred", "score", "n_spans", *(["spans"] if spans else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[pa.RecordBatch, Words, np.ndarray]] = []
+        held: list[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray]] = []
         n = 0
         for b in small(batches, keep, TEXT_BYTES):
             w = words_of(b.column(keep).to_pylist())
-            score = model.value.scores(w)
+            voters = model.value.voters(w, any_script)
+            score = model.value.scores(w, voters)
             w.feature = w.feature[:, :0]
-            held.append((b, w, score))
+            held.append((b, w, score, voters))
             n += len(w.doc)
             if n >= GATHER:
                 yield from solved(held)
@@ -262,14 +276,15 @@ def _undetermined(keep: int, spans: bool):
     return run
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, penalty: float = 6.0, spans: bool = True) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, penalty: float = 6.0, spans: bool = True,
+            any_script: bool = False) -> DataFrame:
     """The columns ``keep`` (default: all but the text and result names), lang_pred, score, n_spans and, if
-    asked for, spans (start, end in code points, lang)."""
+    asked for, spans (start, end in code points, lang). With ``any_script`` only texts without letters are ``und``."""
     python_ready(docs.sparkSession)
     made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("n_spans", T.LongType())]
     if spans:
         made.append(T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())]))))
     keep = [c for c in docs.columns if c != text_col and c not in {f.name for f in made}] if keep is None else keep
     rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    run = _predict(docs.sparkSession.sparkContext.broadcast(model), penalty, len(keep), spans) if model.langs else _undetermined(len(keep), spans)
+    run = _predict(docs.sparkSession.sparkContext.broadcast(model), penalty, len(keep), spans, any_script) if model.langs else _undetermined(len(keep), spans)
     return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in keep), *made]))

@@ -53,7 +53,7 @@ def op3_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = langid.train(docs.filter(~held_out))
-    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"], spans=False)
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep=["doc_id", "held_out"], spans=False, any_script=True)
 
 
 @query()
