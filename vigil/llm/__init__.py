@@ -11,6 +11,9 @@
 ``containment``        size-partitioned MinHash containment search (op8)
 ``roles``              minimum-cost role repair of conversations (op9)
 ``prefix_bpe``         byte-pair encoding by a table of prefixes' last tokens (op10)
+``vector_codes``       codebook codes of vectors by active-entry Lloyd (op11)
+``hard_negatives``     hard negatives by score slots and suffix merges (op12)
+``packing``            documents packed into sequences by linear grouping (op13)
 ``queries``            the ``opN_*`` queries over the test tables and their DuckDB texts
 =====================  =====================================================================
 

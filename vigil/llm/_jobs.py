@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.session import scratch_path, ship_package
 
@@ -32,6 +36,27 @@ def fits(df: DataFrame, row_bytes: int) -> bool:
     return df.count() * row_bytes <= BROADCAST_BYTES
 
 
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("long"), F.lit(0).cast("long")) + F.lit(16)
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), lambda n, x: n + _bytes_of(x, kind.elementType)), F.lit(16).cast("long"))
+    if isinstance(kind, T.StructType):
+        return reduce(add, [_bytes_of(value[f.name], f.dataType) for f in kind.fields], F.lit(16).cast("long"))
+    return F.lit(16).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """The rows' bytes: of all texts, and 16 for every value. Reads ``df``, so give it a stored table."""
+    total = reduce(add, [_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+    return df.agg(F.sum(total)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``broadcast(df)`` if its measured bytes allow it, else ``df``."""
+    return F.broadcast(df) if measured_bytes(df) <= BROADCAST_BYTES else df
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): connected components of an undirected edge table, by the least node.
 
@@ -55,4 +80,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", "label")
 
 
-__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "components", "fits", "python_ready", "scratch_path", "stored"]
+__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "broadcast_if_small", "components", "fits", "measured_bytes", "python_ready", "scratch_path", "stored"]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import chosen_path, containment, id_codec, langid, line_quality, prefix_bpe, pseudo_lm, roles, site_lines, url_filter
+from vigil.llm import (chosen_path, containment, hard_negatives, id_codec, langid, line_quality, packing, prefix_bpe, pseudo_lm, roles, site_lines, url_filter,
+                       vector_codes)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -138,3 +139,53 @@ FROM b JOIN d USING (g) JOIN n USING (item_id) GROUP BY 1, 2, 3 HAVING 10 * coun
 def op8_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain at least 0.8 of a benchmark item's 5-word shingles."""
     return containment.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+_WHOLE = "list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT))"
+
+
+def _code_round(n: int) -> str:
+    """Assignment n, and from its sums the codebook n + 1 (codebook 0: the first vectors)."""
+    return f"""
+a{n} AS (SELECT i, p, any_value(x) AS x, arg_min(e, (d, e)) AS e, min(d) AS d FROM (SELECT t.i, t.p, t.x, c.e, list_sum(list_transform(range(1, len(t.x) + 1), lambda j: (t.x[j] - c.x[j]) * (t.x[j] - c.x[j])))::BIGINT AS d
+  FROM t JOIN c{n} c USING (p)) GROUP BY 1, 2),
+m{n} AS (SELECT p, e, list(s ORDER BY j) AS x FROM (SELECT p, e, j, floor(sum(x[j])::DECIMAL(38, 0) / count(*))::BIGINT AS s FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS j FROM a{n}) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+c{n + 1} AS (SELECT p, e, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN m{n} m USING (p, e))"""
+
+
+@query(f"""
+WITH v AS (SELECT vec_id, label, {_WHOLE} AS x, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS i FROM embeddings WHERE {_USABLE}),
+t AS (SELECT i, p, x[p * len(x) // 16 + 1:(p + 1) * len(x) // 16] AS x FROM (SELECT i, x, unnest(range(16)) AS p FROM v)),
+c0 AS (SELECT p, i - 1 AS e, x FROM t WHERE i <= 64),{_code_round(0)},{_code_round(1)},{_code_round(2)},
+r AS (SELECT i, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY 1)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256 FROM r JOIN v USING (i)
+""")
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as 16 entry numbers of codebooks of 64, trained in two rounds over all vectors."""
+    return vector_codes.coded_digest(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+@query(f"""
+WITH v AS (SELECT row_number() OVER () AS i, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS x FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+s AS (SELECT a.i AS a, a.vec_id AS anchor_id, b.i AS b, b.vec_id, a.label = b.label AS same, list_sum(list_transform(range(1, len(a.x) + 1), lambda j: a.x[j] * b.x[j]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.i <> b.i),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.vec_id) <= 5
+""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every anchor (vec_id divisible by 100) and each of its five positives the first five rows of other labels in the window."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
