@@ -7,14 +7,14 @@ Every call writes to a new folder under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.plans.catalog.base import oracle, register
 from vigil.plans.catalog.q_posts import MART_SQL, WINDOW_POSTS, posts_outputs
 from vigil.plans.catalog.q_text import BIGRAM_COUNTS, FILTERED, TRIGRAM_COUNTS
 from vigil.session import scratch_path
-from vigil.sinks.tables import export, write_daily, write_fact
+from vigil.sinks.tables import CSV_TEXT, export, read_exported_csv, write_daily, write_fact
 from vigil.sources.files import (read_cases, read_long_outbreak, read_vaccinations, read_wide_outbreak,
                                  read_wordlist)
 from vigil.sources.tables import Inputs
@@ -23,10 +23,19 @@ D = "CAST({0} AS DOUBLE) AS {0}".format
 
 
 def _write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8") -> None:
-    df.write.mode("overwrite").option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
+    """Texts with separators, quotes or line breaks in quotes, quotes doubled, as the source's files have them."""
+    df.write.mode("overwrite").options(header=True, sep=sep, encoding=encoding, **CSV_TEXT).csv(path)
 
 
-@register("src_cases_csv", oracle("SELECT id, date, country AS location, continent, "
+#: A text with doubled quotes, both separators, a line break and a backslash before the closing quote.
+def _hard(column: str) -> Column:
+    return F.concat(F.col(column), F.lit(' "the, best"; of\ntwo lines\\'))
+
+
+_HARD_SQL = "{0} || ' \"the, best\"; of' || chr(10) || 'two lines' || chr(92)"
+
+
+@register("src_cases_csv", oracle(f"SELECT id, date, {_HARD_SQL.format('country')} AS location, continent, "
                                   "CAST(tt_cases AS DOUBLE) AS new_cases, CAST(tt_deaths AS DOUBLE) AS new_deaths "
                                   "FROM v_cases", ["v_cases"]))
 def src_cases_csv(inp: Inputs) -> DataFrame:
@@ -34,7 +43,7 @@ def src_cases_csv(inp: Inputs) -> DataFrame:
     the reader ignores."""
     path = scratch_path(inp.spark, "cases-csv")
     c = inp.view("v_cases")
-    _write_csv(c.select(F.col("id").alias("iso_code"), "date", F.col("country").alias("location"), "continent",
+    _write_csv(c.select(F.col("id").alias("iso_code"), "date", _hard("country").alias("location"), "continent",
                         F.col("tt_cases").alias("new_cases"), F.col("tt_deaths").alias("new_deaths"),
                         F.lit("x").alias("tests_units")), path)
     return read_cases(inp.spark, path)
@@ -45,35 +54,45 @@ def src_cases_csv(inp: Inputs) -> DataFrame:
 def src_vaccinations_csv(inp: Inputs) -> DataFrame:
     path = scratch_path(inp.spark, "vacc-csv")
     s = inp.view("v_side")
-    _write_csv(s.select(F.concat(F.lit("place "), "iso_code").alias("location"), "iso_code", "date",
+    _write_csv(s.select(_hard("iso_code").alias("location"), "iso_code", "date",
                         F.lit(1).alias("total_vaccinations"), "people_fully_vaccinated"), path)
     return read_vaccinations(inp.spark, path)
 
 
-@register("src_long_csv", oracle(f"SELECT indicator, country, date, {D('value')} FROM v_long", ["v_long"]))
+@register("src_long_csv", oracle(f"SELECT indicator, {_HARD_SQL.format('country')} AS country, date, {D('value')} FROM v_long", ["v_long"]))
 def src_long_csv(inp: Inputs) -> DataFrame:
     path = scratch_path(inp.spark, "long-csv")
-    lg = inp.view("v_long").toDF("Indicator", "Country", "Date", "Value")
+    lg = inp.view("v_long").withColumn("country", _hard("country")).toDF("Indicator", "Country", "Date", "Value")
     _write_csv(lg, path, sep=";")
     return read_long_outbreak(inp.spark, path, sep=";")
 
 
-@register("src_encoded_csv", oracle("SELECT replace(country, 'NATION', 'NAÇÃO') AS country, "
+@register("src_encoded_csv", oracle("SELECT replace(country, 'NATION', 'NAÇÃO \"漢\"' || chr(10)) AS country, "
                                     f"{D('tt_cases')}, {D('tt_deaths')}, date FROM v_wide_a", ["v_wide_a"]))
 def src_encoded_csv(inp: Inputs) -> DataFrame:
-    """A Latin-1 file with accented names, decoded with the file's encoding."""
+    """A Latin-1 file with accented names, other characters and line breaks as backslash escapes, and quotes."""
+    path = scratch_path(inp.spark, "latin1-csv")
+    w = inp.view("v_wide_a").drop("source_ordinal").withColumn("country", F.replace("country", F.lit("NATION"), F.lit('NAÇ\\xC3O "\\u6f22"\\n')))
+    _write_csv(w, path, encoding="ISO-8859-1")
+    return read_wide_outbreak(inp.spark, path, ["country", "tt_cases", "tt_deaths", "date"], encoding="unicode_escape")
+
+
+@register("src_latin_csv", oracle("SELECT replace(country, 'NATION', 'NAÇÃO \"x\"' || chr(10)) AS country, "
+                                  f"{D('tt_cases')}, {D('tt_deaths')}, date FROM v_wide_a", ["v_wide_a"]))
+def src_latin_csv(inp: Inputs) -> DataFrame:
+    """A Latin-1 file whose accented names hold quotes and line breaks, decoded with the file's encoding."""
     path = scratch_path(inp.spark, "latin1-csv")
-    w = inp.view("v_wide_a").drop("source_ordinal").withColumn("country", F.replace("country", F.lit("NATION"), F.lit("NAÇÃO")))
+    w = inp.view("v_wide_a").drop("source_ordinal").withColumn("country", F.replace("country", F.lit("NATION"), F.lit('NAÇÃO "x"\n')))
     _write_csv(w, path, encoding="ISO-8859-1")
     return read_wide_outbreak(inp.spark, path, ["country", "tt_cases", "tt_deaths", "date"], encoding="ISO-8859-1")
 
 
-@register("src_positional_csv", oracle(f"SELECT date, country, {D('tt_cases')}, {D('tt_deaths')}, "
+@register("src_positional_csv", oracle(f"SELECT date, {_HARD_SQL.format('country')} AS country, {D('tt_cases')}, {D('tt_deaths')}, "
                                        f"{D('tt_recovery')} FROM v_wide_b", ["v_wide_b"]))
 def src_positional_csv(inp: Inputs) -> DataFrame:
     """Header names differ from ours; columns are taken by position."""
     path = scratch_path(inp.spark, "positional-csv")
-    _write_csv(inp.view("v_wide_b").drop("source_ordinal").toDF("Date", "Country/Region", "Cases", "Deaths", "Recovered"), path)
+    _write_csv(inp.view("v_wide_b").drop("source_ordinal").withColumn("country", _hard("country")).toDF("Date", "Country/Region", "Cases", "Deaths", "Recovered"), path)
     return read_wide_outbreak(inp.spark, path, ["date", "country", "tt_cases", "tt_deaths", "tt_recovery"])
 
 
@@ -128,12 +147,12 @@ def sink_trigrams_roundtrip(inp: Inputs) -> DataFrame:
     return inp.spark.read.parquet(path)
 
 
-@register("sink_csv_roundtrip", oracle("SELECT post_id, username FROM v_posts", ["v_posts"]))
+@register("sink_csv_roundtrip", oracle("SELECT post_id, username, tweet FROM v_posts", ["v_posts"]))
 def sink_csv_roundtrip(inp: Inputs) -> DataFrame:
+    """The exported posts with their texts (line breaks, quotes, separators), read back by the library."""
     path = scratch_path(inp.spark, "export-csv")
-    export(inp.view("v_posts"), path, "csv", ["post_id", "username"])
-    back = inp.spark.read.option("header", True).csv(path)
-    return back.select(F.col("post_id").cast("bigint").alias("post_id"), "username")
+    export(inp.view("v_posts"), path, "csv", ["post_id", "username", "tweet"])
+    return read_exported_csv(inp.spark, path, "post_id bigint, username string, tweet string")
 
 
 @register("sink_json_roundtrip", oracle("SELECT post_id, username FROM v_posts", ["v_posts"]))

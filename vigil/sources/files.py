@@ -1,8 +1,8 @@
 """File sources (S-1..S-5, S-8): outbreak CSVs and word lists.
 
-CSVs are read without schema inference (every column as text) and typed by name afterwards, so
-unknown extra columns cost nothing (the CSV parser prunes unread columns) and a bad value becomes
-null instead of failing the job (``try_cast`` under ANSI mode).
+CSVs are read by records that may span lines and file splits (``sources.records``), without schema inference (every
+column as text), and typed by name afterwards, so a bad value becomes null instead of failing the job (``try_cast``
+under ANSI mode).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.dates import to_date
+from vigil.sources.records import read_csv
 
 
 # Texts that stand for a missing value.
@@ -35,20 +36,19 @@ def decode_escapes(c: Column) -> Column:
 
 def _csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True, names: Sequence[str] | None = None) -> DataFrame:
     """Every column as text (missing values as null), and ``source_ordinal``: a struct that orders rows as
-    they stand in the files (file path, place of the split in the file, row in the split)."""
+    they stand in the files (file path, number of the record in the file)."""
     escaped = encoding == "unicode_escape"
-    raw = (spark.read.option("header", header).option("sep", sep).option("encoding", "ISO-8859-1" if escaped else encoding)
-           .option("mode", "PERMISSIVE").csv(path))
-    ordinal = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    raw = read_csv(spark, path, sep, encoding="ISO-8859-1" if escaped else encoding, header=header)
+    have = raw.schema["row"].dataType.names
+    names = list(names or have)
+    if len(names) != len(have):
+        raise ValueError(f"expected {len(names)} columns, got {len(have)}")
 
     def text(c: str) -> Column:
-        t = decode_escapes(F.col(f"`{c}`")) if escaped else F.col(f"`{c}`")
+        t = decode_escapes(F.col("row")[c]) if escaped else F.col("row")[c]
         return F.when(~t.isin(*MISSING), t)
 
-    names = list(names or raw.columns)
-    if len(names) != len(raw.columns):
-        raise ValueError(f"expected {len(names)} columns, got {len(raw.columns)}")
-    return raw.select(*(text(c).alias(n) for c, n in zip(raw.columns, names)), ordinal.alias(ORDINAL))
+    return raw.select(*(text(c).alias(n) for c, n in zip(have, names)), F.struct("file", F.col("number").alias("row")).alias(ORDINAL))
 
 
 def _num(col: str) -> Column:
