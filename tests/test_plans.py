@@ -6,7 +6,9 @@ from contextlib import redirect_stdout
 
 from conftest import SF_SMALL
 from vigil.operators.search import PostFilter, search_posts
+from vigil.operators.sentiment import score_polarity, score_sentiment, score_sentiment_rules
 from vigil.plans.catalog import REGISTRY
+from vigil.plans.catalog.q_text import all_posts, lexicon_df, polarity_df
 from vigil.sources.tables import Inputs
 
 
@@ -82,10 +84,12 @@ def test_day_counter_is_broadcast_not_shuffled_on_date(spark):
     assert not any("hashpartitioning(date" in line for line in p.splitlines())
 
 
-def test_sentiment_explode_carries_no_text(spark):
-    p = plan(REGISTRY["posts_mart"].build(Inputs(spark, SF_SMALL)))
-    gen = [line for line in p.splitlines() if line.strip().startswith(("Arguments: explode", "Arguments: posexplode"))]
-    assert gen
-    for line in gen:
-        carried = line.rsplit("], true, [", 1)[0].rsplit("[", 1)[-1]
-        assert "tweet" not in carried and "text" not in carried and "__ws" not in carried
+def test_scorers_stay_in_the_row(spark):
+    inp = Inputs(spark, SF_SMALL)
+    posts, lex, pol = all_posts(inp), lexicon_df(inp), polarity_df(inp)
+    frames = [score_sentiment(posts, "post_id", "text", lex, keep=["tweet"]), score_sentiment_rules(posts, "post_id", "text", lex, keep=["tweet"]),
+              score_polarity(posts, "post_id", "text", pol, intensity_col="intensity", modifier_col="modifier")]
+    for df in frames:
+        p = plan(df).split("===== Subqueries =====")[0]
+        assert not any(x in p for x in ("Exchange", "Generate", "Join", "Aggregate", "Python", "monotonically"))
+

@@ -42,8 +42,15 @@ FILTERED = ("filtered", f"SELECT post_id, {FILTERED_SQL.format('text')} AS f FRO
 # driver's documents, with valences that are exact binary fractions.
 LEXICON = [("best", 3.0), ("great", 3.0), ("good", 1.75), ("free", 1.5), ("with", 0.5), ("for", 0.25),
            ("this", -0.25), ("no", -1.0), ("worthless", -2.0), ("idiot", -2.5), ("stupid", -2.5)]
-POLARITY_LEXICON = [("best", 1.0, 0.25), ("great", 0.75, 0.75), ("with", 0.125, 0.25), ("this", 0.0, 0.5),
-                    ("no", -0.25, 0.5), ("worthless", -0.5, 0.75), ("idiot", -0.75, 1.0), ("stupid", -0.75, 1.0)]
+# (polarity, subjectivity, intensity, modifier)
+POLARITY_LEXICON = [("best", 1.0, 0.25, 1.0, False), ("great", 0.75, 0.75, 1.0, False), ("good", 0.625, 0.5, 1.0, False), ("with", 0.125, 0.25, 1.25, True),
+                    ("this", 0.0, 0.5, 1.0, False), ("so", 0.25, 0.25, 1.5, True), ("no", -0.25, 0.5, 1.0, False), ("really", 0.25, 0.25, 1.25, True),
+                    ("slow", -0.25, 0.5, 0.5, False), ("worthless", -0.5, 0.75, 1.0, False), ("idiot", -0.75, 1.0, 2.0, False), ("stupid", -0.75, 1.0, 1.0, False)]
+#: What every fifth text gets behind it, by its id: modifiers, negations and exclamations.
+POLAR_PHRASES = ["really good", "not good", "not a good day", "really not good", "it isn't really good", "not my good", "so so good!", "good! really", "never is so a great",
+                 "no really best !!", "really of good", "so not a slow good", "not slow good", "really idiot good", "!"]
+POLAR_SQL = ("text || CASE WHEN post_id % 5 = 0 THEN ' ' || [" + ", ".join("'" + x.replace("'", "''") + "'" for x in POLAR_PHRASES)
+             + f"][post_id // 5 % {len(POLAR_PHRASES)} + 1] ELSE '' END")
 
 
 def lexicon_df(inp: Inputs) -> DataFrame:
@@ -51,16 +58,48 @@ def lexicon_df(inp: Inputs) -> DataFrame:
 
 
 def polarity_df(inp: Inputs) -> DataFrame:
-    return inp.spark.createDataFrame(POLARITY_LEXICON, "token string, polarity double, subjectivity double")
+    return inp.spark.createDataFrame(POLARITY_LEXICON, "token string, polarity double, subjectivity double, intensity double, modifier boolean")
 
 
-# "so" is a booster: it scores 0 itself although the lexicon has it
-LEXICON.append(("so", 1.0))
+# "so" is a booster: it scores 0 itself although the lexicon has it; the others are words of the phrases below
+LEXICON += [("so", 1.0), ("death", -2.5), ("bomb", -1.5), ("right", 0.75), ("kind", 2.25)]
 LEX_CTE = ("lex", "SELECT token, CAST(valence AS DOUBLE) AS valence FROM (VALUES "
            + ", ".join(f"('{t}', {v})" for t, v in LEXICON) + ") t(token, valence)")
-POL_CTE = ("pol", "SELECT token, CAST(polarity AS DOUBLE) AS polarity, CAST(subjectivity AS DOUBLE) AS subjectivity "
-           "FROM (VALUES " + ", ".join(f"('{t}', {p}, {q})" for t, p, q in POLARITY_LEXICON)
-           + ") t(token, polarity, subjectivity)")
+POL_CTE = ("pol", "SELECT token, CAST(polarity AS DOUBLE) AS polarity, CAST(subjectivity AS DOUBLE) AS subjectivity, CAST(intensity AS DOUBLE) AS intensity, modifier "
+           "FROM (VALUES " + ", ".join(f"('{t}', {p}, {q}, {i}, {m})" for t, p, q, i, m in POLARITY_LEXICON)
+           + ") t(token, polarity, subjectivity, intensity, modifier)")
+# a text's tokens folded one by one: sp, ss, c: sums of closed assessments; p, s, i, neg: the open one; m, n: a modifier, a negation is held
+_CLIP = "greatest(-1.0, least(1.0, {}))"
+_CLOSE = "a.{0} + CASE WHEN a.has THEN {1} ELSE 0.0 END"
+_SUMS = {"sp": _CLOSE.format("sp", "a.p * CASE WHEN a.neg THEN -0.5 ELSE 1.0 END"), "ss": _CLOSE.format("ss", "a.s"), "c": _CLOSE.format("c", "1.0")}
+_UNKNOWN_N = "(x.isneg OR a.n AND x.size <= 1)"
+_KNOWN = {**{k: f"CASE WHEN a.m THEN a.{k} ELSE {v} END" for k, v in _SUMS.items()}, "p": f"CASE WHEN a.m THEN {_CLIP.format('x.vp * a.i')} ELSE x.vp END",
+          "s": f"CASE WHEN a.m THEN {_CLIP.format('x.vs * a.i')} ELSE x.vs END", "i": "CASE WHEN a.n THEN 1 / x.vi ELSE x.vi END",
+          "neg": "a.n OR a.m AND a.neg", "has": "true", "m": "x.vm", "n": "x.isneg"}
+_UNKNOWN = {"sp": "a.sp", "ss": "a.ss", "c": "a.c", "p": f"CASE WHEN x.excl THEN {_CLIP.format('a.p * 1.25')} ELSE a.p END", "s": "a.s", "i": "a.i",
+            "neg": f"a.neg OR {_UNKNOWN_N} AND a.m", "has": "a.has", "m": f"a.m AND ({_UNKNOWN_N} OR x.size <= 2)", "n": f"{_UNKNOWN_N} AND NOT a.m"}
+_TOKEN = {"known": "l.token IS NOT NULL", "vp": "COALESCE(l.polarity, 0.0)", "vs": "COALESCE(l.subjectivity, 0.0)", "vi": "COALESCE(l.intensity, 1.0)", "vm": "COALESCE(l.modifier, false)",
+          "isneg": "t.tok IN ('no', 'not', 'n''t', 'never')", "excl": "t.tok = '!'", "size": "length(trim(t.tok, chr(39)))"}
+_REST = {"known": "false", "vp": "CAST(0 AS DOUBLE)", "vs": "CAST(0 AS DOUBLE)", "vi": "CAST(1 AS DOUBLE)", "vm": "false", "isneg": "false", "excl": "false", "size": "CAST(0 AS BIGINT)"}
+_NONE = {**{c: "CAST(0 AS DOUBLE)" for c in ("sp", "ss", "c", "p", "s", "i")}, **{c: "false" for c in ("neg", "has", "m", "n")}}
+
+
+def _row(*parts: dict[str, str]) -> str:
+    return "{" + ", ".join(f"'{k}': {v}" for part in parts for k, v in part.items()) + "}"
+
+
+def _step(c: str) -> str:
+    return f"CASE WHEN x.known THEN {_KNOWN[c]} ELSE {_UNKNOWN[c]} END"
+
+
+POLARITY_CTES = [
+    POL_CTE,
+    ("ptok", r"""SELECT post_id, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos FROM (SELECT post_id,
+       regexp_extract_all(replace(lower(text), 'n''t', ' n''t'), 'n''t|[\p{L}\p{N}_]+(?:[''\-][\p{L}\p{N}_]+)*|!') AS toks FROM posts_in) z"""),
+    ("pcode", f"SELECT post_id, list({_row(_TOKEN, _NONE)} ORDER BY pos) AS xs FROM ptok t LEFT JOIN pol l ON t.tok = l.token GROUP BY post_id"),
+    ("pfold", f"SELECT post_id, list_reduce(xs, lambda a, x: {_row(_REST, {c: _step(c) for c in _NONE})}, {_row(_REST, _NONE)}) AS a FROM pcode"),
+    ("psum", "SELECT post_id, " + ", ".join(f"{v} AS {k}" for k, v in _SUMS.items()) + " FROM pfold"),
+]
 _PUNCT = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:\-''\"])"
 STRIP = f"regexp_replace(w0, '^{_PUNCT}([^[:punct:]]{{2,}})$|^([^[:punct:]]{{2,}}){_PUNCT}$', '\\1\\2')"
 WORDS_CTE = ("wds", f"""SELECT post_id, CASE WHEN length(w0) > 1 THEN {STRIP} ELSE w0 END AS tok
@@ -88,6 +127,20 @@ FROM sc"""),
 ]
 
 
+#: What every seventh text gets behind it, by its id: each multi-word rule stands in some posts.
+PHRASES = ["a slow kiss of death here", "it was the bomb today", "they said yeah right again", "and that was kind of good really", "one of the least good days",
+           "it is at least good now", "never so good as then", "we never had this good time", "Never did so great", "this is so good", "the very least great one", "a kind of", "it was kind good of them",
+           "the kiss of death good", "just enough food great"]
+PHRASED_SQL = ("text || CASE WHEN post_id % 7 = 0 THEN ' ' || [" + ", ".join(f"'{x}'" for x in PHRASES) + f"][post_id // 7 % {len(PHRASES)} + 1] ELSE '' END")
+POLAR_POSTS = ("posts_in", f"SELECT post_id, date, tweet, {POLAR_SQL} AS text FROM ({ALL_POSTS[1]}) p")
+PHRASED_POSTS = ("posts_in", f"SELECT post_id, date, tweet, {PHRASED_SQL} AS text FROM ({ALL_POSTS[1]}) p")
+
+
+def _with_phrases(posts: DataFrame, phrases: list[str], every: int) -> DataFrame:
+    of = F.get(F.array(*map(F.lit, phrases)), F.expr(f"int(post_id div {every} % {len(phrases)})"))
+    return posts.withColumn("text", F.concat("text", F.when(F.col("post_id") % every == 0, F.concat(F.lit(" "), of)).otherwise(F.lit(""))))
+
+
 def all_posts(inp: Inputs) -> DataFrame:
     return inp.view("v_posts").select("post_id", "date", "tweet", "language", clean_text("tweet").alias("text"))
 
@@ -194,13 +247,12 @@ def sentiment_label_q(inp: Inputs) -> DataFrame:
 
 
 @register("polarity", oracle("""
-SELECT p.post_id, round(COALESCE(a.pp, 0.0), 4) AS polarity, round(COALESCE(a.qq, 0.0), 4) AS subjectivity
-FROM posts_in p LEFT JOIN (SELECT w.post_id, AVG(l.polarity) AS pp, AVG(l.subjectivity) AS qq
-                           FROM wds w JOIN pol l ON lower(w.tok) = l.token WHERE length(w.tok) > 1
-                           GROUP BY w.post_id) a ON p.post_id = a.post_id""",
-                             ["v_posts"], [ALL_POSTS, WORDS_CTE, POL_CTE]))
+SELECT p.post_id, round(CASE WHEN c > 0 THEN sp / c ELSE 0.0 END, 4) AS polarity, round(CASE WHEN c > 0 THEN ss / c ELSE 0.0 END, 4) AS subjectivity
+FROM posts_in p LEFT JOIN psum a ON p.post_id = a.post_id""",
+                             ["v_posts"], [POLAR_POSTS, *POLARITY_CTES]))
 def polarity(inp: Inputs) -> DataFrame:
-    return score_polarity(all_posts(inp), "post_id", "text", polarity_df(inp))
+    """Averages over words with modifiers, negations and exclamations."""
+    return score_polarity(_with_phrases(all_posts(inp), POLAR_PHRASES, 5), "post_id", "text", polarity_df(inp), intensity_col="intensity", modifier_col="modifier")
 
 
 # ---- sentiment with the positional rules ----------------------------------------------------------
@@ -223,6 +275,7 @@ class S:
     C_INCR, B_INCR, B_DECR, N_SCALAR = 0.733, 0.293, -0.293, -0.74
     BOOSTER_DISTANCE_SCALE = (1.0, 0.95, 0.9)
     BUT_BEFORE, BUT_AFTER = 0.5, 1.5
+    IDIOMS = {"the shit": 3, "the bomb": 3, "bad ass": 1.5, "yeah right": -2, "cut the mustard": 2, "kiss of death": -1.5, "hand to mouth": -2}
     EXCLAMATION_MAX, EXCLAMATION_STEP, QUESTION_CAP, QUESTION_STEP = 4, 0.292, 0.96, 0.18
     NEGATIONS = ("aint arent cannot cant couldnt darent didnt doesnt ain't aren't can't couldn't daren't didn't doesn't dont hadnt hasnt havent isnt "
                  "mightnt mustnt neither don't hadn't hasn't haven't isn't mightn't mustn't neednt needn't never none nope nor not nothing nowhere "
@@ -239,6 +292,7 @@ class S:
 
 def _rules_ctes() -> list[tuple[str, str]]:
     strip = STRIP.replace("w0", "x")
+    lags = ", ".join(f"lag(w, {k}) OVER win AS p{k}" for k in (1, 2, 3)) + ", lead(w, 1) OVER win AS f1, lead(w, 2) OVER win AS f2"
     ctes = [
         ("rw", f"""SELECT post_id,
        list_transform(list_filter(regexp_extract_all(text, '\\S+'), lambda t: length(t) > 1), lambda x: {strip}) AS ws,
@@ -248,10 +302,10 @@ FROM posts_in"""),
        COALESCE(list_position(list_transform(ws, lambda w: lower(w)), 'but'), 0) AS bp FROM rw"""),
         ("ru", "SELECT post_id, excl, qm, (n_up > 0 AND n_up < n_w) AS cd, bp, unnest(ws) AS w, "
                "unnest(range(1, n_w + 1)) AS pos FROM rp"),
-        ("rl", "SELECT *, lag(w, 1) OVER win AS p1, lag(w, 2) OVER win AS p2, lag(w, 3) OVER win AS p3 FROM ru "
-               "WINDOW win AS (PARTITION BY post_id ORDER BY pos)"),
+        ("rl", f"SELECT *, {lags} FROM ru WINDOW win AS (PARTITION BY post_id ORDER BY pos)"),
         ("r0", f"""SELECT r.*, l1.token IS NULL AS out1, l2.token IS NULL AS out2, l3.token IS NULL AS out3,
-       CASE WHEN {_in_list('lower(r.w)', [*S.BOOST_UP, *S.BOOST_DOWN])} THEN NULL WHEN {_upper('r.w')} AND r.cd THEN (CASE WHEN l.valence > 0 THEN l.valence + {_dbl(S.C_INCR)}
+       CASE WHEN {_in_list('lower(r.w)', [*S.BOOST_UP, *S.BOOST_DOWN])} OR lower(r.w) = 'kind' AND lower(COALESCE(r.f1, '')) = 'of' THEN NULL
+            WHEN {_upper('r.w')} AND r.cd THEN (CASE WHEN l.valence > 0 THEN l.valence + {_dbl(S.C_INCR)}
             ELSE l.valence - {_dbl(S.C_INCR)} END) ELSE l.valence END AS v
 FROM rl r LEFT JOIN lex l ON lower(r.w) = l.token LEFT JOIN lex l1 ON lower(r.p1) = l1.token
 LEFT JOIN lex l2 ON lower(r.p2) = l2.token LEFT JOIN lex l3 ON lower(r.p3) = l3.token"""),
@@ -267,10 +321,24 @@ LEFT JOIN lex l2 ON lower(r.p2) = l2.token LEFT JOIN lex l3 ON lower(r.p3) = l3.
                   f"{_dbl(S.C_INCR)} ELSE {signed} - {_dbl(S.C_INCR)} END) ELSE {signed} END)")
         ctes.append((f"rb{k}", f"SELECT * REPLACE (CASE WHEN {applies} THEN v + {capped} * {_dbl(scale)} "
                                f"ELSE v END AS v) FROM {prev}"))
+        never = {1: "false", 2: "p2 = 'never' AND p1 IN ('so', 'this')", 3: "p3 = 'never' AND p2 IN ('so', 'this') OR p1 IN ('so', 'this')"}[k]
         negated = f"({_in_list(f'lower({p})', S.NEGATIONS)} OR contains(lower({p}), 'n''t'))"
-        ctes.append((f"rn{k}", f"SELECT * REPLACE (CASE WHEN {applies} AND {negated} THEN v * {_dbl(S.N_SCALAR)} "
-                               f"ELSE v END AS v) FROM rb{k}"))
+        ctes.append((f"rn{k}", f"SELECT * REPLACE (CASE WHEN {applies} AND ({never}) THEN v * {_dbl({1: 1.0, 2: 1.5, 3: 1.25}[k])} "
+                               f"WHEN {applies} AND {negated} THEN v * {_dbl(S.N_SCALAR)} ELSE v END AS v) FROM rb{k}"))
         prev = f"rn{k}"
+
+    def phrase(*words: str) -> str:
+        return "CASE " + " || ' ' || ".join(words) + " " + " ".join(f"WHEN '{k}' THEN {_dbl(v)}" for k, v in S.IDIOMS.items()) + " END"
+
+    found = ", ".join(phrase(*x) for x in (("w", "f1", "f2"), ("w", "f1"), ("p1", "w"), ("p2", "p1", "w"), ("p2", "p1"), ("p3", "p2", "p1"), ("p3", "p2")))
+    damp = " OR ".join(f"COALESCE({a} || ' ' || {b} IN ('kind of', 'sort of', 'just enough'), false)" for a, b in (("p3", "p2"), ("p2", "p1")))
+    ctes += [
+        ("ri", f"""SELECT * REPLACE (CASE WHEN p3 IS NOT NULL AND out3 AND v IS NOT NULL THEN COALESCE({found}, v)
+       + CASE WHEN {damp} THEN {_dbl(S.B_DECR)} ELSE 0.0 END ELSE v END AS v) FROM {prev}"""),
+        ("rt", f"""SELECT * REPLACE (CASE WHEN lower(p1) = 'least' AND out1 AND NOT COALESCE(lower(p2) IN ('at', 'very'), false)
+       THEN v * {_dbl(S.N_SCALAR)} ELSE v END AS v) FROM ri"""),
+    ]
+    prev = "rt"
     ctes += [
         ("rbut", f"""SELECT * REPLACE (CASE WHEN bp > 0 AND pos < bp THEN v * {_dbl(S.BUT_BEFORE)}
        WHEN bp > 0 AND pos > bp THEN v * {_dbl(S.BUT_AFTER)} ELSE v END AS v) FROM {prev}"""),
@@ -304,6 +372,6 @@ RULES_CTES = [LEX_CTE, *_rules_ctes()]
 
 
 @register("sentiment_rules", oracle("SELECT post_id, neg, neu, pos, compound, sentiment FROM rlabelled",
-                                    ["v_posts"], [ALL_POSTS, *RULES_CTES]))
+                                    ["v_posts"], [PHRASED_POSTS, *RULES_CTES]))
 def sentiment_rules(inp: Inputs) -> DataFrame:
-    return score_sentiment_rules(all_posts(inp), "post_id", "text", lexicon_df(inp))
+    return score_sentiment_rules(_with_phrases(all_posts(inp), PHRASES, 7), "post_id", "text", lexicon_df(inp))
