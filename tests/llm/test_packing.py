@@ -26,6 +26,8 @@ def ragged(flat, cuts):
 def test_words_alone_equal_whole_texts():
     rng = random.Random(1)
     texts = [None, "", " ", "a\x0bb\x0cc", "a\x85b\xa0c d", "A'LL we'Re 's '' x's12", "<|endoftext|>a <|startoftext|> x<|endoftext|>", "é ́x é\nÀ", "İSTANBUL ΑΣ ΑΣ.", "한국어 각 日本語", "́ ẛ̣", "x" * 5000]
+    texts += ["a<|ENDOFTEXT|>b A<|endoftext|>B", "İ, xİ.", "Größe,ÄÖÜ!½12ab", "ⱥȺ,Ⱥ ªº²"]
+    texts += ["".join(rng.choice("aB'İ,.Äß1²\xa0 Ⱥ<") for _ in range(rng.randrange(30))) for _ in range(3000)]
     texts += ["".join(rng.choice("ab'LsTRe \n\t\x0b\x1c\x85é́İß漢1½!?<|>Σ ") for _ in range(rng.randrange(60))) for _ in range(3000)]
     plain = Tokenizer.from_file(FILE)
     c = coder()

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.llm._cuts import FAR, classes
 from vigil.llm._jobs import python_ready, stored
 from vigil.llm._remember import Remembered
 from vigil.llm._text import buffer, small, word_spans
@@ -37,15 +39,43 @@ from vigil.llm.packing_plan import LargePlan, SmallPlan
 TEXT_BYTES = 1 << 22
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 1 << 19
+#: Words that are encoded as one text.
+JOINED = 1024
 #: The parts of a tokenizer file by which texts fall apart at white space.
 _BLANKS = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
 _PER_CHARACTER = ({"type": "NFC"}, _BLANKS, {"type": "Lowercase"})
+_LETTERS_ONLY = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 _NO_SPACE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+def pieces_of(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start, end) of pieces that are encoded on their own: words, cut where letters, numbers and other characters meet, with A-Z as a-z.
+    Words with an apostrophe (contractions), '<' (added tokens) or characters beyond U+024F or of a longer lower case stay as they are."""
+    start, end = word_spans(raw, offs)
+    if not len(start):
+        return raw, start, end
+    kind = classes(raw)
+    odd = (kind == FAR) | (raw == ord("'")) | (raw == ord("<"))
+    odd[1:] |= (raw[1:] == 0xB0) & (raw[:-1] == 0xC4)  # U+0130
+    whole = np.zeros(len(start), bool)
+    at = np.flatnonzero(odd)
+    word = np.searchsorted(start, at, "right") - 1
+    whole[word[(word >= 0) & (at < end[word])]] = True
+    folded = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint8)
+    for a, b in zip(start[whole].tolist(), end[whole].tolist()):
+        folded[a:b] = raw[a:b]
+    meet = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    word = np.searchsorted(start, meet, "right") - 1
+    inner = (word >= 0) & (meet > start[word]) & (meet < end[word])
+    meet, word = meet[inner], word[inner]
+    meet = meet[~whole[word]]
+    start = np.sort(np.concatenate([start, meet]))
+    return folded, start, np.sort(np.concatenate([end, meet]))
+
+
 class WordCoder:
     """Ids of whole texts by a tokenizer file. Where the file drops white space and lets nothing reach across it,
-    words are encoded by the library once and remembered; else texts are encoded whole."""
+    pieces of words are encoded by the library once and remembered; else texts are encoded whole."""
 
     def __init__(self, raw: bytes) -> None:
         import os
@@ -59,7 +89,28 @@ class WordCoder:
         self.by_word = ((file["normalizer"] or {}).get("normalizers") is not None and all(x in _PER_CHARACTER for x in file["normalizer"]["normalizers"])
                         and first == {"type": "Split", "pattern": {"Regex": _NO_SPACE}, "behavior": "Removed", "invert": True}
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in file["added_tokens"]))
-        self.words = Remembered(self._ids, REMEMBERED)
+        suffix = file["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for t, i in file["model"]["vocab"].items() if t.endswith(suffix)]] = True
+        self.words = Remembered(self._piece_ids, REMEMBERED)
+
+    def _piece_ids(self, texts: list[str]) -> list:
+        """Ids of pieces. Those of letters only are encoded many at a time, parted by blanks: each ends with the one token of it that ends a word."""
+        plain = [i for i, t in enumerate(texts) if _LETTERS_ONLY.fullmatch(t)] if self.ends.any() else []
+        joined = [" ".join(texts[i] for i in plain[k:k + JOINED]) for k in range(0, len(plain), JOINED)]
+        got = self._ids(joined)
+        flat = np.array([i for ids in got for i in ids], np.uint32)
+        cuts = np.flatnonzero(self.ends[flat]) + 1
+        if len(cuts) != len(plain):
+            return self._ids(texts)
+        out: list = [None] * len(texts)
+        for i, ids in zip(plain, np.split(flat, cuts[:-1]) if plain else []):
+            out[i] = ids
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._ids([texts[i] for i in rest])):
+            out[i] = ids
+        return out
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
@@ -70,7 +121,7 @@ class WordCoder:
             got = self._ids(column.to_pylist())
             return np.array([i for ids in got for i in ids], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int64)
         raw, offs = buffer(column)
-        start, end = word_spans(raw, offs)
+        raw, start, end = pieces_of(raw, offs)
         flat, count = self.words.of(raw, start, end)
         return flat, np.concatenate([[0], np.cumsum(count)])[np.searchsorted(start, offs)].astype(np.int64)
 
