@@ -3,7 +3,10 @@
 import datetime as dt
 import os
 
-from vigil.sinks.tables import export, jdbc_write_options, write_daily, write_fact
+import pytest
+from pyspark.sql import functions as F
+
+from vigil.sinks.tables import export, jdbc_write_options, read_exported_csv, write_daily, write_fact
 from vigil.sources.files import (read_cases, read_long_outbreak, read_vaccinations, read_wide_outbreak,
                                  read_wordlist)
 from vigil.sources.sql import jdbc_options, read_sql
@@ -59,6 +62,53 @@ def test_daily_write_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 2
 
 
+def _table(tmp_dir):
+    return "t_" + os.path.basename(tmp_dir).replace("-", "_")
+
+
+DAYS = [(dt.date(2021, 5, 9), "a b", 2), (dt.date(2021, 5, 10), "c d", 1), (dt.date(2021, 5, 10), "e", 5), (dt.date(2021, 5, 11), "f", 7)]
+
+
+@pytest.mark.parametrize("as_table", [True, False])
+def test_daily_load_keeps_other_days_and_empties_its_own(spark, tmp_dir, as_table):
+    df = spark.createDataFrame(DAYS, "date date, words string, total int")
+    path = f"{tmp_dir}/mart"
+    to = {"table": _table(tmp_dir)} if as_table else {"path": path}
+    write_daily(df, **({"path": path} | to))
+    write_daily(df.where("date = DATE'2021-05-10'").withColumn("total", F.lit(9)), **to)
+    rows = lambda: sorted((str(r.date), r.words, r.total) for r in spark.read.parquet(path).collect())
+    want = [("2021-05-09", "a b", 2), ("2021-05-10", "c d", 9), ("2021-05-10", "e", 9), ("2021-05-11", "f", 7)]
+    assert rows() == want
+    write_daily(df.where("date = DATE'2021-05-09'"), days=["2021-05-09", dt.date(2021, 5, 10)], **to)
+    assert rows() == [want[0], want[3]]
+    write_daily(df.limit(0), days=["2021-05-11", "2021-06-01"], **to)
+    assert rows() == want[:1]
+    if as_table:
+        assert spark.table(to["table"]).count() == 1
+
+
+def test_daily_load_refuses_other_tables(spark, tmp_dir):
+    df = spark.createDataFrame(DAYS, "date date, words string, total int")
+    for i, parts in enumerate(([], ["words"], ["date", "words"])):
+        table = _table(tmp_dir) + f"_{i}"
+        df.write.partitionBy(*parts).option("path", f"{tmp_dir}/{i}").saveAsTable(table)
+        with pytest.raises(ValueError, match="partitioned by"):
+            write_daily(df.where("date = DATE'2021-05-10'"), table=table)
+        assert spark.table(table).count() == 4
+    table = _table(tmp_dir) + "_ok"
+    write_daily(df, f"{tmp_dir}/ok", table=table)
+    with pytest.raises(ValueError, match="don't fit"):
+        write_daily(df.drop("total"), table=table)
+    with pytest.raises(ValueError, match="a path or a table"):
+        write_daily(df)
+
+
+def test_exported_texts_come_back(spark, tmp_dir):
+    rows = [(1, 'a "b", c\nd\\'), (2, ""), (3, None), (4, " x ")]
+    export(spark.createDataFrame(rows, "id long, t string"), f"{tmp_dir}/csv", "csv")
+    assert sorted(tuple(r) for r in read_exported_csv(spark, f"{tmp_dir}/csv", "id long, t string").collect()) == rows
+
+
 def test_fact_overwrite(spark, tmp_dir):
     df = spark.createDataFrame([(1,)], "x int")
     write_fact(df, f"{tmp_dir}/fact")

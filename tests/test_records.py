@@ -104,6 +104,11 @@ def test_stray_quotes_separators_and_encodings(spark, tmp_dir):
         records.read_records(spark, other, sep="||")
 
 
+def test_empty_and_quoted_empty_fields(spark, tmp_dir):
+    land(tmp_dir, 'a,b\n,""\n"",\n')
+    assert read(spark, tmp_dir) == [("a", "b"), (None, ""), ("", None)]
+
+
 def test_unended_text_and_empty_files(spark, tmp_dir):
     land(tmp_dir, 'a,b\n1,"never\nends\n')
     with pytest.raises(ValueError, match="no end"):

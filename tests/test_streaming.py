@@ -1,6 +1,7 @@
 """The incremental daily load equals the batch job and is idempotent on replay."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -46,3 +47,24 @@ def test_stream_matches_batch(spark, tmp_dir):
     assert spark.read.parquet(f"{out}/posts").count() == expected
     big = spark.read.parquet(f"{out}/bigrams")
     assert big.groupBy("date").count().where("count > 20").count() == 0
+
+
+def test_restart_goes_on_and_empties_days(spark, tmp_dir):
+    inp = Inputs(spark, SF_SMALL)
+    posts = inp.view("v_posts").select(*COLS)
+    days = [r["date"] for r in posts.where("language = 'en'").groupBy("date").count().orderBy("date").limit(2).collect()]
+    landing, out, lex = f"{tmp_dir}/landing", f"{tmp_dir}/marts", lexicon_df(inp)
+    posts.where(F.col("date") == days[0]).write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    start(spark, landing, schema, out, lex).awaitTermination(300)
+    kept = spark.read.parquet(f"{out}/posts").count()
+    # a mark in the first day's files: a restart without a folder of its own must not touch that day again
+    before = {f for f in os.listdir(f"{out}/posts/date={days[0]}")}
+    posts.where(F.col("date") == days[1]).write.mode("append").parquet(landing)
+    start(spark, landing, schema, out, lex).awaitTermination(300)
+    assert spark.read.parquet(f"{out}/posts").count() > kept and {f for f in os.listdir(f"{out}/posts/date={days[0]}")} == before
+    # a day that loses its posts is emptied, in all three marts
+    load_days(spark, landing, schema, out, lex, [days[0]], lang="no such language")
+    assert spark.read.parquet(f"{out}/posts").select("date").distinct().count() == 1
+    assert spark.read.parquet(f"{out}/bigrams").where(F.col("date") == days[0]).isEmpty()
+    assert spark.read.parquet(f"{out}/trigrams").where(F.col("date") == days[0] + dt.timedelta(days=1)).isEmpty()

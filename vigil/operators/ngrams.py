@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import ngrams_of_words, remove_stopwords, tokens
+from vigil.operators.heavy import top_values
+from vigil.session import materialize
 
 
 def content_tokens(text: Column | str, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> Column:
@@ -52,21 +54,33 @@ def explode_ngrams(df: DataFrame, column: str, out: str, position: str | None =
     return x.where(F.col(out).isNotNull())
 
 
-def top_ngrams_by(df: DataFrame, by: str, text: str, n: int, k: int = 20, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> DataFrame:
-    """(by, words, total): the k most frequent n-grams of each value of ``by``, ties by n-gram. Counts are
-    summed by (by, words); the rank filter keeps k rows of each value per task before they meet."""
-    grams = explode_ngrams(with_ngrams(df, text, n, "__g", [by], stopwords), "__g", "words")
-    counts = grams.groupBy(by, "words").agg(F.count(F.lit(1)).alias("total"))
-    place = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("total"), F.asc("words")))
-    return counts.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")
+def top_ngrams_of(df: DataFrame, by: str | None, text: str, sizes: Sequence[int], k: int = 20,
+                  stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> list[DataFrame]:
+    """For each of ``sizes`` (by, words, total): the k most frequent n-grams of each value of ``by`` (None: of all rows), ties by
+    n-gram. One scan and one tokenisation make the n-grams of all sizes: a text's tokens hold no blanks, so an n-gram's size is that
+    of its words, and all are counted together. The rank filter keeps k rows of each value and size per task before they meet; the
+    result, k rows of each, is stored once.
+    """
+    keep = [by] if by else []
+    toks = df.select(*keep, content_tokens(text, stopwords).alias("__toks"))
+    grams = toks.select(*keep, F.concat(*[ngrams_of_words(F.col("__toks"), n) for n in sizes]).alias("__g"))
+    counts = explode_ngrams(grams, "__g", "words").groupBy(*keep, "words").agg(F.count(F.lit(1)).alias("total"))
+    counts = counts.withColumn("__n", F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1)
+    place = F.row_number().over(Window.partitionBy(*keep, "__n").orderBy(F.desc("total"), F.asc("words")))
+    top = materialize(counts.withColumn("__place", place).where(F.col("__place") <= k).drop("__place"))
+    return [top.where(F.col("__n") == n).drop("__n") for n in sizes]
 
 
 def top_ngrams(df: DataFrame, text: str, n: int, k: int | None = 20,
-               stopwords: Iterable[str] = ENGLISH_STOPWORDS, stamp=None) -> DataFrame:
-    """The k most frequent n-grams (all when k is None), ties by n-gram; optional date stamp."""
-    counts = ngram_counts(df, text, n, stopwords)
-    ordered = counts.orderBy(F.desc("total"), F.asc("words"))
-    out = ordered.limit(k) if k is not None else ordered
+               stopwords: Iterable[str] = ENGLISH_STOPWORDS, stamp=None, heavy: bool = False) -> DataFrame:
+    """The k most frequent n-grams (all when k is None), ties by n-gram; optional date stamp. With ``heavy`` by heavy hitters
+    (``operators.heavy``) instead of a full count, for corpora whose distinct n-grams are too many to shuffle."""
+    if heavy and k is not None:
+        out = top_values(explode_ngrams(with_ngrams(df, text, n, "__g", (), stopwords), "__g", "words"), "words", k)
+    else:
+        counts = ngram_counts(df, text, n, stopwords)
+        ordered = counts.orderBy(F.desc("total"), F.asc("words"))
+        out = ordered.limit(k) if k is not None else ordered
     if stamp is not None:
         out = out.withColumn("date", F.lit(stamp).cast("date"))
     return out

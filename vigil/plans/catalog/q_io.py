@@ -7,13 +7,15 @@ Every call writes to a new folder under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.plans.catalog.base import oracle, register
 from vigil.plans.catalog.q_posts import MART_SQL, WINDOW_POSTS, posts_outputs
 from vigil.plans.catalog.q_text import BIGRAM_COUNTS, FILTERED, TRIGRAM_COUNTS
-from vigil.session import scratch_path
+from vigil.session import materialize, scratch_path
 from vigil.sinks.tables import CSV_TEXT, export, read_exported_csv, write_daily, write_fact
 from vigil.sources.files import (read_cases, read_long_outbreak, read_vaccinations, read_wide_outbreak,
                                  read_wordlist)
@@ -116,35 +118,46 @@ def sink_fact_roundtrip(inp: Inputs) -> DataFrame:
     return inp.spark.read.parquet(path)
 
 
+def _daily_loads(inp: Inputs, mart: DataFrame, name: str, stale: Column) -> DataFrame:
+    """A catalog table of several days, loaded day by day: all days with wrong rows and one day too many, then each day's own
+    rows, by which the others must stay, then a load for the day too many, which has no rows."""
+    path = scratch_path(inp.spark, name)
+    table = f"vigil_{os.path.basename(path).replace('-', '_')}"
+    mart = materialize(mart)
+    days = sorted(r[0] for r in mart.select("date").distinct().collect())
+    wrong = mart.withColumn(mart.columns[0], stale)
+    extra = mart.withColumn("date", F.lit("1999-12-31").cast("date"))
+    write_daily(wrong.unionByName(extra), path, table=table)
+    half = len(days) // 2
+    for some in (days[:half], days[half:]):
+        write_daily(mart.where(F.col("date").isin(some)), table=table, days=some)
+    write_daily(mart.limit(0), table=table, days=["1999-12-31"])
+    return inp.spark.read.parquet(path)
+
+
 @register("sink_posts_roundtrip", MART_SQL)
 def sink_posts_roundtrip(inp: Inputs) -> DataFrame:
-    """Daily mart written twice: dynamic partition overwrite keeps one copy of each day."""
-    path = scratch_path(inp.spark, "posts-mart")
-    mart = posts_outputs(inp)[0]
-    write_daily(mart, path, "date")
-    write_daily(mart, path, "date")
-    return inp.spark.read.parquet(path)
+    return _daily_loads(inp, posts_outputs(inp, ngrams=False)[0], "posts-mart", -F.col("post_id"))
+
 
+def _two_days(marts: DataFrame) -> DataFrame:
+    """The mart and, as the day before's, its first ten n-grams."""
+    return marts.unionByName(marts.orderBy(F.desc("total"), "words").limit(10).withColumn("date", F.date_sub("date", 1)))
 
-@register("sink_bigrams_roundtrip", oracle("SELECT words, total, DATE '2024-01-01' AS date FROM bigram_counts "
-                                           "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
-                                           [WINDOW_POSTS, FILTERED, BIGRAM_COUNTS]))
+
+def _two_days_sql(counts: str, day: str) -> str:
+    return (f"SELECT words, total, DATE '{day}' AS date FROM (SELECT * FROM {counts} ORDER BY total DESC, words LIMIT 20) x UNION ALL "
+            f"SELECT words, total, DATE '{day}' - 1 AS date FROM (SELECT * FROM {counts} ORDER BY total DESC, words LIMIT 10) y")
+
+
+@register("sink_bigrams_roundtrip", oracle(_two_days_sql("bigram_counts", "2024-01-01"), ["v_posts"], [WINDOW_POSTS, FILTERED, BIGRAM_COUNTS]))
 def sink_bigrams_roundtrip(inp: Inputs) -> DataFrame:
-    path = scratch_path(inp.spark, "bigrams")
-    bigrams = posts_outputs(inp)[1]
-    write_daily(bigrams, path, "date")
-    write_daily(bigrams, path, "date")
-    return inp.spark.read.parquet(path)
+    return _daily_loads(inp, _two_days(posts_outputs(inp)[1]), "bigrams", F.lit("wrong"))
 
 
-@register("sink_trigrams_roundtrip", oracle("SELECT words, total, DATE '2024-01-31' AS date FROM trigram_counts "
-                                            "ORDER BY total DESC, words LIMIT 20", ["v_posts"],
-                                            [WINDOW_POSTS, FILTERED, TRIGRAM_COUNTS]))
+@register("sink_trigrams_roundtrip", oracle(_two_days_sql("trigram_counts", "2024-01-31"), ["v_posts"], [WINDOW_POSTS, FILTERED, TRIGRAM_COUNTS]))
 def sink_trigrams_roundtrip(inp: Inputs) -> DataFrame:
-    path = scratch_path(inp.spark, "trigrams")
-    trigrams = posts_outputs(inp)[2]
-    write_daily(trigrams, path, "date")
-    return inp.spark.read.parquet(path)
+    return _daily_loads(inp, _two_days(posts_outputs(inp)[2]), "trigrams", F.lit("wrong"))
 
 
 @register("sink_csv_roundtrip", oracle("SELECT post_id, username, tweet FROM v_posts", ["v_posts"]))

@@ -128,10 +128,10 @@ MART_SQL = oracle("SELECT p.post_id, p.date, p.tweet, p.text, r.sentiment FROM p
                   "JOIN rlabelled r ON p.post_id = r.post_id", ["v_posts"], [WINDOW_POSTS, *RULES_CTES])
 
 
-def posts_outputs(inp: Inputs):
-    return build_posts(inp.view("v_posts"), PERIOD, lexicon_df(inp))
+def posts_outputs(inp: Inputs, ngrams: bool = True):
+    return build_posts(inp.view("v_posts"), PERIOD, lexicon_df(inp), ngrams=ngrams)
 
 
 @register("posts_mart", MART_SQL)
 def posts_mart(inp: Inputs) -> DataFrame:
-    return posts_outputs(inp)[0]
+    return posts_outputs(inp, ngrams=False)[0]

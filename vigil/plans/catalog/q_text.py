@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import (clean_text, remove_colon, remove_hash, remove_links, remove_mentions,
                                   remove_rt, remove_stopwords, sentiment_label, text_length, tokens, word_count)
-from vigil.operators.ngrams import explode_ngrams, ngram_counts, top_ngrams, with_ngrams
+from vigil.operators.ngrams import explode_ngrams, ngram_counts, top_ngrams, top_ngrams_of, with_ngrams
 from vigil.operators.sentiment import score_polarity, score_sentiment, score_sentiment_rules
 from vigil.plans.catalog.base import oracle, register
 from vigil.sources.tables import Inputs
@@ -230,6 +230,28 @@ def top_trigrams(inp: Inputs) -> DataFrame:
     return top_ngrams(en_posts(inp), "text", 3, 20, stamp="2024-01-31")
 
 
+def _heavy(name: str, n: int, counts: tuple[str, str]):
+    @register(name, oracle(f"SELECT words, total FROM {counts[0]} ORDER BY total DESC, words LIMIT 20", ["v_posts"], [EN_POSTS, FILTERED, counts]))
+    def q(inp: Inputs) -> DataFrame:
+        """The same by heavy hitters: candidates from summaries, then only these are counted."""
+        return top_ngrams(en_posts(inp), "text", n, 20, heavy=True)
+    return q
+
+
+_heavy("top_bigrams_heavy", 2, BIGRAM_COUNTS)
+_heavy("top_trigrams_heavy", 3, TRIGRAM_COUNTS)
+
+
+@register("top_ngrams_by_day", oracle("""SELECT n, date, words, total FROM (SELECT *, row_number() OVER (PARTITION BY n, date ORDER BY total DESC, words) AS place FROM (
+SELECT n, date, words, count(*) AS total FROM (
+    SELECT CAST(2 AS BIGINT) AS n, date, unnest(""" + ngrams_sql("f", 2) + """) AS words FROM dated UNION ALL SELECT CAST(3 AS BIGINT) AS n, date, unnest(""" + ngrams_sql("f", 3) + """) AS words FROM dated) x
+GROUP BY n, date, words) y) z WHERE place <= 5""", ["v_posts"], [EN_POSTS, ("dated", f"SELECT date, {FILTERED_SQL.format('text')} AS f FROM posts_in")]))
+def top_ngrams_by_day(inp: Inputs) -> DataFrame:
+    """Both marts of every day from one pass over the texts."""
+    by_size = top_ngrams_of(en_posts(inp), "date", "text", (2, 3), 5)
+    return by_size[0].withColumn("n", F.lit(2)).unionByName(by_size[1].withColumn("n", F.lit(3)))
+
+
 # ---- sentiment ----------------------------------------------------------------------------------
 
 @register("sentiment_scores", oracle("SELECT post_id, neg, neu, pos, compound, sentiment FROM labelled",

@@ -2,7 +2,7 @@
 
 One scan with pushed filters feeds two branches: the posts mart (sentiment label per post) and the
 two n-gram marts (top bigrams stamped with the first day of the period, top trigrams with the
-day after it, as in the daily run). ``build_posts(stage=True)`` checkpoints the cleaned posts once
+day after it, as in the daily run), which one pass over the texts makes. ``build_posts(stage=True)`` checkpoints the cleaned posts once
 when all three marts are written.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import clean_text, text_length, word_count
-from vigil.operators.ngrams import top_ngrams
+from vigil.operators.ngrams import top_ngrams_of
 from vigil.operators.search import PostFilter, search_posts
 from vigil.operators.sentiment import score_sentiment, score_sentiment_rules
 from vigil.session import materialize
@@ -61,20 +61,21 @@ def posts_mart(clean: DataFrame, lexicon: DataFrame, rules: bool = True) -> Data
 
 
 def ngram_marts(clean: DataFrame, run: PostsRun, stopwords=ENGLISH_STOPWORDS) -> tuple[DataFrame, DataFrame]:
-    bigrams = top_ngrams(clean, "text", 2, run.k, stopwords, stamp=run.since)
-    trigrams = top_ngrams(clean, "text", 3, run.k, stopwords, stamp=run.until)
-    return bigrams, trigrams
+    """The bigram and the trigram mart from one pass over the texts."""
+    bigrams, trigrams = top_ngrams_of(clean, None, "text", (2, 3), run.k, stopwords)
+    return tuple(g.select("words", "total", F.lit(stamp).cast("date").alias("date")) for g, stamp in ((bigrams, run.since), (trigrams, run.until)))
 
 
 def build_posts(posts: DataFrame, run: PostsRun, lexicon: DataFrame, stopwords=ENGLISH_STOPWORDS,
-                stage: bool = False):
-    """(posts mart, bigram mart, trigram mart) as lazy DataFrames.
+                stage: bool = False, ngrams: bool = True):
+    """(posts mart, bigram mart, trigram mart); the n-gram marts (k rows each) are made when this is called, unless
+    ``ngrams`` is False (then they are None).
 
     With ``stage`` the cleaned posts of the period are checkpointed once (reliably, in the shared
-    folder), so writing the three marts scans and cleans the texts once instead of three times.
+    folder), so writing all marts scans and cleans the texts once.
     """
     clean = cleaned_posts(posts, run)
     if stage:
         clean = materialize(clean.select("post_id", "date", "tweet", "text"))
-    bigrams, trigrams = ngram_marts(clean, run, stopwords)
+    bigrams, trigrams = ngram_marts(clean, run, stopwords) if ngrams else (None, None)
     return posts_mart(clean, lexicon), bigrams, trigrams

@@ -164,7 +164,7 @@ def read_records(spark: SparkSession, path: str | list[str], sep: str = ",", quo
 
 
 def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", quote: str = '"', encoding: str = "UTF-8", header: bool = True) -> DataFrame:
-    """(file, number, row): each record's fields as a struct of texts, named by the first record of the files (or _c0, _c1, ..). Files with different
+    """(file, number, row): each record's fields as a struct of texts (an empty field is null, an empty quoted one is empty), named by the first record of the files (or _c0, _c1, ..). Files with different
     first records are an error."""
     records = read_records(spark, path, sep, quote, encoding)
     heads = records.filter("number = 0").select("record").distinct().limit(2).collect()
@@ -172,7 +172,7 @@ def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", quote:
         raise ValueError(f"no records in {path}")
     if header and len(heads) > 1:
         raise ValueError(f"the files of {path} have different headers: {[r['record'] for r in heads]}")
-    options = {"sep": sep, "quote": quote, "escape": quote, "maxCharsPerColumn": "-1", "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    options = {"sep": sep, "quote": quote, "escape": quote, "maxCharsPerColumn": "-1", "mode": "PERMISSIVE", "nullValue": "\0", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     names = _fields(heads[0]["record"], sep, quote)
     if not header:
         names = [f"_c{i}" for i in range(len(names))]

@@ -4,13 +4,14 @@ New files landing in the posts folder trigger a micro-batch. A micro-batch only
 received posts; the touched days are then recomputed together from the landed table (one read, which
 prunes to their range where the table is partitioned by date) and written with dynamic partition
 overwrite. Top-k n-grams of a day are therefore always computed over the complete day, never over a fragment of it, and a replayed
-batch (after a failure) rewrites the same partitions: the sink is idempotent. The stream's
-progress lives in a checkpoint under the shared ``spark.checkpoint.dir``.
+batch (after a failure) rewrites the same partitions: the sink is idempotent. A recomputed day that is left without
+posts is emptied. The stream's progress lives in a checkpoint folder beside the marts (or a named one), so a
+restart goes on where the last run stopped.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,45 +20,45 @@ from pyspark.sql.types import StructType
 
 from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import clean_text
-from vigil.operators.ngrams import top_ngrams_by
+from vigil.operators.ngrams import top_ngrams_of
 from vigil.plans.posts import TOP_K, posts_mart
-from vigil.session import materialize, scratch_path
+from vigil.session import materialize
 from vigil.sinks.tables import write_daily
 
 
-def recompute(posts: DataFrame, out: str, lexicon: DataFrame, lang: str = "en", k: int = TOP_K, stopwords=ENGLISH_STOPWORDS) -> None:
-    """Write the marts of all days that ``posts`` holds, in one job for each mart. Bigrams carry the posts'
-    day, trigrams the day after it (the daily run's stamps)."""
+def recompute(posts: DataFrame, out: str, lexicon: DataFrame, days: list[date], lang: str = "en", k: int = TOP_K, stopwords=ENGLISH_STOPWORDS) -> None:
+    """Write the marts of ``days``, whose posts ``posts`` holds, in one job for each mart; a day without posts is emptied. Bigrams
+    carry the posts' day, trigrams the day after it (the daily run's stamps)."""
     clean = posts.where(F.col("language") == lang).withColumn("text", clean_text("tweet"))
     clean = materialize(clean.select("post_id", "date", "tweet", "text"))
-    write_daily(posts_mart(clean, lexicon), f"{out}/posts")
-    write_daily(top_ngrams_by(clean, "date", "text", 2, k, stopwords), f"{out}/bigrams")
-    write_daily(top_ngrams_by(clean, "date", "text", 3, k, stopwords).withColumn("date", F.date_add("date", 1)), f"{out}/trigrams")
+    write_daily(posts_mart(clean, lexicon), f"{out}/posts", days=days)
+    bigrams, trigrams = top_ngrams_of(clean, "date", "text", (2, 3), k, stopwords)
+    write_daily(bigrams, f"{out}/bigrams", days=days)
+    write_daily(trigrams.withColumn("date", F.date_add("date", 1)), f"{out}/trigrams", days=[d + timedelta(days=1) for d in days])
 
 
 def load_days(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame,
               days: list[date], lang: str = "en") -> None:
     """Recompute and replace the marts of the given posting days."""
     posts = spark.read.schema(schema).parquet(landing)
-    recompute(posts.where(F.col("date").isin(days)), out, lexicon, lang)
+    recompute(posts.where(F.col("date").isin(days)), out, lexicon, days, lang)
 
 
 def load_touched(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame, batch: DataFrame,
                  lang: str = "en") -> None:
-    """Recompute the days that a batch of posts touches, over everything that has landed for them. The days'
-    range, one row, prunes a landing table that is partitioned by date; the days themselves stay a table."""
-    days = batch.select(F.to_date("ts").alias("date")).where(F.col("date").isNotNull()).distinct()
-    span = days.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-    if span["first"] is not None:
-        posts = spark.read.schema(schema).parquet(landing).where(F.col("date").between(span["first"], span["last"]))
-        recompute(posts.join(days, "date", "left_semi"), out, lexicon, lang)
+    """Recompute the days that a batch of posts touches, over everything that has landed for them. The days (at most the calendar's)
+    prune a landing table that is partitioned by date."""
+    days = [r["date"] for r in batch.select(F.to_date("ts").alias("date")).where(F.col("date").isNotNull()).distinct().collect()]
+    if days:
+        load_days(spark, landing, schema, out, lexicon, days, lang)
 
 
 def start(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame,
           checkpoint: str | None = None, lang: str = "en", available_now: bool = True,
           processing_time: str = "1 hour") -> StreamingQuery:
-    """Start the incremental load; ``available_now`` processes what has landed and stops."""
-    checkpoint = checkpoint or scratch_path(spark, "posts-stream")
+    """Start the incremental load; ``available_now`` processes what has landed and stops. ``checkpoint`` (default: ``<out>/_progress``)
+    is the stream's own: a later start with the same folder takes only what has landed since."""
+    checkpoint = checkpoint or f"{out}/_progress"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         load_touched(spark, landing, schema, out, lexicon, batch, lang)
