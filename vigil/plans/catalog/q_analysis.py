@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.aggregate import group_sum, joined_values, unique_values
-from vigil.operators.forecast import (forecast_chart_data, forecast_changepoint, forecast_linear_weekly,
-                                      future_spine, to_series, z_value)
+from vigil.operators.forecast import (backtest_linear_weekly, forecast_chart_data, forecast_changepoint, forecast_linear_weekly,
+                                      forecast_sparse_changepoint, future_spine, to_series, z_value)
 from vigil.operators.lookup import attach_side_measure, semi_join_keys
 from vigil.operators.regress import ols, ols_fitted
 from vigil.plans.analysis import METRICS, analysis_series, top_countries, top_country_series
@@ -224,6 +224,30 @@ def forecast_changepoint_q(inp: Inputs) -> DataFrame:
     return forecast_changepoint(top5_long(inp), ["country", "metric"], "ds", "y", 60, 0.95)
 
 
+@register("forecast_sparse", note="per-series numpy fit in applyInPandas, seeded simulations; rows-only check")
+def forecast_sparse_q(inp: Inputs) -> DataFrame:
+    """The chosen change points' trend, season and simulated band of the top countries' series."""
+    return forecast_sparse_changepoint(top5_long(inp), ["country", "metric"], "ds", "y", 60, 0.95)
+
+
+BACKTEST_CTES = [
+    ("bt_span", "SELECT g, min(ds) AS first_ds, max(ds) AS last_ds FROM v_series GROUP BY g"),
+    ("bt_cuts", "SELECT g, CAST(last_ds - CAST(i.i * 5 AS INTEGER) AS DATE) AS cut FROM bt_span, range(1, 5) i(i) "
+                "WHERE date_diff('day', first_ds, CAST(last_ds - CAST(i.i * 5 AS INTEGER) AS DATE)) + 1 >= 14"),
+    ("bt_train", "SELECT s.g, c.cut, s.ds, s.y FROM v_series s JOIN bt_cuts c ON s.g = c.g AND s.ds <= c.cut"),
+]
+
+
+@register("forecast_backtest", oracle("""
+SELECT s.g, CAST(date_diff('day', c.cut, s.ds) AS BIGINT) AS horizon, count(*) AS n, round(avg(abs(s.y - f.yh)), 4) AS mae, round(sqrt(avg((s.y - f.yh) * (s.y - f.yh))), 4) AS rmse,
+       round(avg(CASE WHEN abs(s.y - f.yh) <= """ + Z95 + """ * f.sigma THEN 1.0 ELSE 0.0 END), 4) AS coverage
+FROM (SELECT g, ds, CAST(y AS DOUBLE) AS y FROM v_series) s JOIN bt_cuts c ON s.g = c.g JOIN b_yh f ON f.g = c.g AND f.cut = c.cut AND f.ds = s.ds
+WHERE s.ds > c.cut GROUP BY 1, 2""", ["v_series"], [*BACKTEST_CTES, *forecast_ctes("bt_train", ["g", "cut"], horizon=10, p="b")]))
+def forecast_backtest(inp: Inputs) -> DataFrame:
+    """Errors of the linear model by horizon, over four cut-off days of every series."""
+    return backtest_linear_weekly(v_series(inp), ["g"], "ds", "y", cutoffs=4, step=5, horizon=10, least_days=14)
+
+
 # ---- regressions (F-6, F-7, F-11) ----------------------------------------------------------------
 
 def _ols_sql(x: str) -> str:
