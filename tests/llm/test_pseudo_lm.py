@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from llm_data import BASE, no_docs, odd_docs, words
+from pyspark.sql import functions as F
 
 from vigil.llm import pseudo_lm as lm
 
@@ -63,11 +64,11 @@ def test_training_learns_the_order_of_words(spark):
         return " ".join(BASE[(at + i) % len(BASE)] if ordered else rng.choice(BASE) for i in range(150))
 
     docs = spark.createDataFrame([(i, text(True)) for i in range(200)], "doc_id long, text string").repartition(3)
-    lexicon, net = lm.train(docs, chance=0.5, rounds=4)
+    lexicon, net = lm.train(docs, passes=4)
     n, total = lm.document_scores(lexicon, net, pa.array([text(True), text(False)]))
     assert n.tolist() == [150, 150]
     assert total[0] / 150 > -1.0 > -2.5 > total[1] / 150
-    assert lm.BORDER == 1024 and len(lexicon.sorted) == len(BASE)
+    assert lm.BORDER == 4096 and len(lexicon.sorted) == len(BASE)
 
 
 def test_odd_rows(spark):
@@ -84,11 +85,11 @@ def test_odd_rows(spark):
 
 
 def test_words_of_a_bucket_have_their_share(spark, monkeypatch):
-    """Some 3,000 words in 512 buckets: rare words score below frequent ones of their bucket, and a bucket's words and
+    """Some 3,000 words beyond the frequent ones in 512 buckets: rare words score below frequent ones of their bucket, and a bucket's words and
     one unseen word share its probability."""
     rng = random.Random(7)
-    pool = [f"w{i}" for i in range(3000)]
-    texts = [" ".join(pool[min(int(rng.expovariate(0.002)), 2999)] for _ in range(rng.randrange(1, 90))) for _ in range(300)] + [None, ""]
+    pool = [f"w{i}" for i in range(9000)]
+    texts = [" ".join(pool[min(int(rng.expovariate(0.0003)), 8999)] for _ in range(rng.randrange(1, 90))) for _ in range(600)] + [None, ""]
     seen = Counter(w for t in texts for w in words(t))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     monkeypatch.setattr(lm, "BLOCK_WORDS", 2000)
@@ -123,7 +124,33 @@ def test_every_place_is_trained_on(spark, monkeypatch):
     ids = [lexicon.ids(lm.words_of(pa.array([t], pa.string()))[0]).tolist() for t in texts]
     want = [(t[i], *(t[i + d] if 0 <= i + d < len(t) else lm.BORDER for d in lm.PLACES)) for t in ids for i in range(len(t))]
     assert Counter(map(tuple, got.tolist())) == Counter(want)
+    seen = []
+    monkeypatch.setattr(lm, "windows_of", lambda lexicon, column, chance, made=lm.windows_of: seen.append(None) or made(lexicon, column, chance))
+    docs = spark.createDataFrame([(t,) for t in texts + [f"text {i} of many words" for i in range(300)]], "text string")
+    share = F.pmod(F.xxhash64("text"), F.lit(lm.SHARES))
+    sizes = [docs.filter(share == i).count() for i in range(lm.SHARES)]
+    assert sum(sizes) == docs.count() and min(sizes) > 40  # each text is in one share; a null text has no place
     rounds = []
     monkeypatch.setattr(lm, "_round_batches", lambda model, chance, rate, made=lm._round_batches: rounds.append(chance) or made(model, chance, rate))
-    lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    assert rounds == [1.0] * 3
+    lm.train(docs)
+    assert rounds == [1.0] * lm.SHARES
+    assert not seen  # windows are made in the tasks
+
+
+def test_real_text_scores_above_its_shuffled_words(spark):
+    """Trained on four fifths of the documents: held-out texts score above their shuffled words, copies of training texts above
+    them, and junk below; the network's ids are predicted better than by their own frequencies."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    lexicon, net = lm.train(docs.filter("doc_id % 5 <> 0"))
+    rng = random.Random(8)
+    held = [r.text for r in docs.filter("doc_id % 5 = 0 and length(text) > 300").collect()]
+    shuffled = [" ".join(rng.sample(words(t), len(words(t)))) for t in held]
+    n, total = lm.document_scores(lexicon, net, pa.array(held))
+    assert total.sum() / n.sum() > lm.document_scores(lexicon, net, pa.array(shuffled))[1].sum() / n.sum() + 0.1
+    ids = np.concatenate([lexicon.ids(lm.words_of(pa.array([t]))[0]) for t in held])
+    trained = [r.text for r in docs.filter("doc_id % 5 <> 0").collect()]
+    counts = np.bincount(np.concatenate([lexicon.ids(lm.words_of(pa.array([t], pa.string()))[0]) for t in trained]), minlength=lm.BORDER) + 1.0
+    assert total.sum() / n.sum() > np.log(counts / counts.sum())[ids].mean() + 0.2
+    junk = [" ".join("".join(rng.choice("bcdfghjk") for _ in range(7)) for _ in range(60)) for _ in range(20)]
+    got = {r.doc_id: r.mean_log_prob for r in lm.score(spark.createDataFrame([(0, " ".join(held))] + [(i + 1, t) for i, t in enumerate(junk)], "doc_id long, text string"), lexicon, net).collect()}
+    assert max(got[i + 1] for i in range(20)) < got[0] - 1

@@ -4,15 +4,17 @@ A token is a word (runs outside 0x20 and 0x09-0x0D, A-Z as a-z): the ``FREQUENT`
 corpus have ids of their own, all others share ``OTHERS`` ids (buckets) by their hash. A network predicts every token
 from the ``SIDE`` tokens on both sides of it, which it sees while the token itself is masked: embeddings by
 place, one tanh layer, then the token's class and the token within its class (two softmaxes, so a
-prediction costs 2 * 32 outputs, not 1024). A word of a bucket then has its share of the bucket: its count over
+prediction costs 2 * 64 outputs, not 4096). A word of a bucket then has its share of the bucket: its count over
 the bucket's count and one, where the one stands for all words that training didn't see. A document's score is
 the sum of the logarithms of these conditional probabilities over all its tokens, so over real words.
 
 Everything is gathered in Spark over all documents: word counts (combined in each task, then summed), and
 training windows, one for every token (a ``chance`` below 1 draws places by a hash), made in the training
-tasks from the texts. Training is data-parallel: in each round every partition trains a copy of the network on
-its windows in numpy (Adagrad, the windows of some megabytes of texts shuffled), and the copies are averaged
-in two steps by slices of the parameters, weighted by windows. Only the averaged network, of a fixed size, comes to the driver. Scoring reads each text whole. The
+tasks from the texts. Training is data-parallel: a round takes one of ``SHARES`` shares of the texts (by their hash), every
+partition trains a copy of the network on the windows of its texts in numpy (Adagrad, the windows of some megabytes of texts shuffled), and the
+copies and their Adagrad sums are averaged in two steps by slices of the parameters, weighted by windows; the next round goes on
+from there. After ``SHARES`` rounds every position was trained on once. (How the texts lie in partitions changes the network a little, as it decides what is averaged.)
+Only the averages, of a fixed size, come to the driver. Scoring reads each text whole. The
 counts of all words stay in Spark: a task keeps the words of some megabytes of texts (a block) that lie in buckets
 once, the blocks' words are joined with the counts, and the counts come back to their block.
 
@@ -36,8 +38,8 @@ from pyspark.sql import types as T
 from vigil.llm._jobs import python_ready, stored
 from vigil.llm._text import mix, small, words_of
 
-FREQUENT, OTHERS = 512, 512
-CLASSES = 32
+FREQUENT, OTHERS = 3584, 512
+CLASSES = 64
 MEMBERS = (FREQUENT + OTHERS) // CLASSES
 BORDER = FREQUENT + OTHERS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
@@ -45,9 +47,11 @@ PLACES = [*range(-SIDE, 0), *range(1, SIDE + 1)]
 SHAPES = {"embed": (BORDER + 1, WIDTH), "w": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
           "wm": (CLASSES, HIDDEN, MEMBERS), "bm": (CLASSES, MEMBERS)}
 SLICE = 4096
+SHARES = 4       # rounds in which the texts are trained on once
 BLOCK_BYTES, BLOCK_WORDS = 1 << 22, 1 << 20  # of texts taken at once; a block is closed when it has so many words
 CHUNK = 1 << 16  # tokens that go through the network at once
-MINI = 1024      # windows of a training step
+MINI = 2048      # windows of a training step
+LIMIT = 60       # logits count within this, so exponentials need no shift by each row's largest
 
 Net = dict[str, np.ndarray]
 
@@ -84,14 +88,21 @@ def contexts(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _powers(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials of the logits ``z``, which is changed, their sums)."""
+    np.exp(np.clip(z, -LIMIT, LIMIT, out=z), out=z)
+    return z, z @ np.ones(z.shape[1], z.dtype)
+
+
+def _chosen(z: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The log-probability of one outcome a row."""
+    p, total = _powers(z)
+    return np.log(p[np.arange(len(z)), which] / total)
 
 
 def _by_class(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     cls = ids // MEMBERS
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.uint16), kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
         if cuts[c] < cuts[c + 1]:
@@ -101,15 +112,17 @@ def _by_class(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def log_probs(net: Net, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
     h = np.tanh(net["embed"][around].reshape(len(ids), -1) @ net["w"] + net["b"])
-    out = _log_softmax(h @ net["wc"] + net["bc"])[np.arange(len(ids)), ids // MEMBERS]
+    out = _chosen(h @ net["wc"] + net["bc"], ids // MEMBERS)
     for c, rows in _by_class(ids):
-        out[rows] += _log_softmax(h[rows] @ net["wm"][c] + net["bm"][c])[np.arange(len(rows)), ids[rows] % MEMBERS]
+        out[rows] += _chosen(h[rows] @ net["wm"][c] + net["bm"][c], ids[rows] % MEMBERS)
     return out
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(1, keepdims=True))
-    return z / z.sum(1, keepdims=True)
+    """The probabilities of the logits ``z``, in their place."""
+    p, total = _powers(z)
+    p /= total[:, None]
+    return p
 
 
 def gradients(net: Net, ids: np.ndarray, around: np.ndarray) -> Net:
@@ -234,14 +247,14 @@ def windows_of(lexicon: Lexicon, column, chance: float) -> np.ndarray:
 
 def _round_batches(model, chance: float, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (lexicon, net), n = model.value, 0
-        own, seen = {k: v.copy() for k, v in net.items()}, fresh()
+        (lexicon, net, sums), n = model.value, 0
+        own, seen = ({k: v.copy() for k, v in x.items()} for x in (net, sums))
         for b in small(batches, 0, BLOCK_BYTES):
             w = windows_of(lexicon, b.column(0), chance)
             train_on(own, seen, w, rate)
             n += len(w)
         if n:
-            v = flat(own)
+            v = np.concatenate([flat(own), flat(seen)])
             parts = [v[i:i + SLICE].astype(np.float64).tobytes() for i in range(0, len(v), SLICE)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary()), pa.array([n] * len(parts), pa.int64())],
                                              ["slice", "v", "n"])
@@ -255,8 +268,8 @@ def _averaged(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "v": [mean.tobytes()], "n": [total]})
 
 
-def train(docs: DataFrame, text_col: str = "text", chance: float = 1.0, rounds: int = 3, rate: float = 0.1) -> tuple[Lexicon, Net]:
-    """The lexicon and the network of a table of texts, trained ``rounds`` times over the places drawn (default: all)."""
+def train(docs: DataFrame, text_col: str = "text", chance: float = 1.0, passes: int = 1, rate: float = 0.2) -> tuple[Lexicon, Net]:
+    """The lexicon and the network of a table of texts, trained ``passes`` times over the places drawn (default: all)."""
     spark = docs.sparkSession
     python_ready(spark)
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -269,14 +282,17 @@ def train(docs: DataFrame, text_col: str = "text", chance: float = 1.0, rounds:
     for r in rest.groupBy(F.expr(f"int(word & {OTHERS - 1})").alias("k")).agg(F.sum("n").alias("n")).collect():  # at most OTHERS rows
         known[FREQUENT + r["k"]] = r["n"]
     lexicon = Lexicon(top["word"].to_numpy().view(np.uint64), known[FREQUENT:], counts)
-    net = start_net(known)
+    net, sums = start_net(known), fresh()
     kind = "slice int, v binary, n long"
-    for i in range(rounds):
-        copies = texts.mapInArrow(_round_batches(spark.sparkContext.broadcast((lexicon, net)), chance, rate / (1 + i)), kind)
+    share = F.pmod(F.xxhash64("text"), F.lit(SHARES))
+    for i in range(passes * SHARES):
+        model = spark.sparkContext.broadcast((lexicon, net, sums))
+        copies = texts.filter(share == i % SHARES).mapInArrow(_round_batches(model, chance, rate), kind)
         some = copies.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("slice", "group").applyInPandas(_averaged, kind)
         got = some.groupBy("slice").applyInPandas(_averaged, kind).orderBy("slice").toArrow()
         if got.num_rows:
-            net = unflat(np.frombuffer(b"".join(got["v"].to_pylist()), np.float64))
+            v = np.frombuffer(b"".join(got["v"].to_pylist()), np.float64)
+            net, sums = unflat(v[:len(v) // 2]), unflat(v[len(v) // 2:])
     return lexicon, net
 
 
