@@ -42,15 +42,15 @@ FREQUENT, OTHERS = 3584, 512
 CLASSES = 64
 MEMBERS = (FREQUENT + OTHERS) // CLASSES
 BORDER = FREQUENT + OTHERS
-SIDE, WIDTH, HIDDEN = 2, 16, 32
+SIDE, WIDTH, HIDDEN = 2, 8, 16
 PLACES = [*range(-SIDE, 0), *range(1, SIDE + 1)]
 SHAPES = {"embed": (BORDER + 1, WIDTH), "w": (2 * SIDE * WIDTH, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
           "wm": (CLASSES, HIDDEN, MEMBERS), "bm": (CLASSES, MEMBERS)}
 SLICE = 4096
 SHARES = 4       # rounds in which the texts are trained on once
 BLOCK_BYTES, BLOCK_WORDS = 1 << 22, 1 << 20  # of texts taken at once; a block is closed when it has so many words
-CHUNK = 1 << 16  # tokens that go through the network at once
-MINI = 2048      # windows of a training step
+CHUNK = 1 << 13  # tokens that go through the network at once
+MINI = 4096      # windows of a training step
 LIMIT = 60       # logits count within this, so exponentials need no shift by each row's largest
 
 Net = dict[str, np.ndarray]
@@ -373,7 +373,7 @@ def score(docs: DataFrame, lexicon: Lexicon, net: Net, text_col: str = "text", k
     model = spark.sparkContext.broadcast((lexicon, net))
     blocks = stored(rows.mapInArrow(_block_batches(model, len(keep)), "block long, rows binary, at binary, words array<long>"), "blocks")
     found = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
-    counts = spark.createDataFrame([], "word long, n long") if lexicon.counts is None else lexicon.counts
+    counts = spark.createDataFrame([], "word long, n long") if lexicon.counts is None else lexicon.counts.filter("n > 1")  # 1 is what unseen words count
     found = found.join(counts, "word", "left").select("of", "place", F.coalesce("n", F.lit(1)).alias("n"))
     kind = T.StructType([*(rows.schema[c] for c in keep), *made])
     return blocks.select("block", "rows", "at").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_finished(kind.names), kind)
