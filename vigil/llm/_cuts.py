@@ -1,8 +1,7 @@
 """Whole Arrow batches of texts cut into the pieces that byte-level tokenizers merge within, with numpy.
 
 Cuts are those of the usual pattern (``USUAL``), for texts in code points up to U+024F; other texts are left
-to the caller. A piece is known by a 64-bit hash of its bytes; each worker remembers the ids of a bounded
-number of pieces, so an unseen piece is mistaken for one of n remembered ones with a chance of n / 2**64.
+to the caller. Each worker remembers the ids of a bounded number of pieces (``_remember``).
 """
 
 from __future__ import annotations
@@ -12,7 +11,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow.compute as pc
 
-from vigil.llm._text import buffer, span_hashes
+from vigil.llm._remember import Remembered
+from vigil.llm._text import buffer
 
 USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE, LETTER, NUMBER, OTHER, FAR = range(5)
@@ -82,25 +82,7 @@ class PieceIds:
     with far code points or one of the strings ``apart``; both as lists of arrays."""
 
     def __init__(self, encode: Callable[[list[str]], list], whole: Callable[[list[str]], list], size: int, apart: list[str] | None = None) -> None:
-        self.encode, self.whole, self.size, self.apart = encode, whole, size, apart or []
-        self.forget()
-
-    def forget(self) -> None:
-        self.hashes, self.at, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        got = [np.asarray(x, np.uint32) for x in self.encode(texts)]
-        count = np.array([len(x) for x in got], np.int64)
-        flat = np.concatenate(got)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        to = np.searchsorted(self.hashes, hashes)
-        self.at = np.insert(self.at, to, self.used + np.cumsum(count) - count)
-        self.count = np.insert(self.count, to, count)
-        self.hashes = np.insert(self.hashes, to, hashes)
-        self.used += len(flat)
+        self.known, self.whole, self.apart = Remembered(encode, size), whole, apart or []
 
     def of(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, n + 1 offsets of the texts in them)."""
@@ -121,19 +103,8 @@ class PieceIds:
                 near = ~np.isin(text, far)
                 start, end, text = start[near], end[near], text[near]
         if len(start):
-            unique, example, which = np.unique(span_hashes(raw, start, end, fold=False), return_index=True, return_inverse=True)
-            if len(self.hashes) >= self.size:
-                self.forget()
-            to = np.minimum(np.searchsorted(self.hashes, unique), max(len(self.hashes) - 1, 0))
-            new = self.hashes[to] != unique if len(self.hashes) else np.ones(len(unique), bool)
-            if new.any():
-                view = memoryview(raw)
-                self._learn(unique[new], [bytes(view[a:b]).decode() for a, b in zip(start[example[new]].tolist(), end[example[new]].tolist())])
-                to = np.searchsorted(self.hashes, unique)
-            count = self.count[to][which]
+            flat, count = self.known.of(raw, start, end)
             size = np.bincount(text, count, n).astype(np.int64)
-            ends = np.cumsum(count)
-            flat = self.ids[np.repeat(self.at[to][which] - (ends - count), count) + np.arange(int(ends[-1]))]
         cuts = np.concatenate([[0], np.cumsum(size)])
         if not len(far):
             return flat, cuts

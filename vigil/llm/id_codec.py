@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from vigil.llm._cuts import PieceIds
 from vigil.llm._jobs import python_ready, scratch_path
@@ -138,8 +139,8 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return out[first - b0 * BLOCK:last - b0 * BLOCK]
 
 
-#: Pieces whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Pieces in each of the two tables of ids that a Python worker remembers.
+REMEMBERED = 1 << 19
 
 
 class LibraryCoder:
@@ -237,7 +238,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_c
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("first", T.LongType()), T.StructField("n_ids", T.LongType()),
                            T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("lengths", T.ArrayType(T.LongType())),
                            T.StructField("words", T.BinaryType())])
-    arrow_kind = pa.int64() if isinstance(kind, T.LongType) else pa.int32() if isinstance(kind, T.IntegerType) else pa.string()
+    arrow_kind = to_arrow_type(kind)
     order = ["id", F.xxhash64("text")]
     (rows.repartitionByRange(*order).sortWithinPartitions("id", "text")
      .mapInArrow(_write_batches(raw, end_id, arrow_kind), schema).write.parquet(path))
