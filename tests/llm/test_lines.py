@@ -44,7 +44,7 @@ def normal(x):
 def verdicts_by_hand(rows, least, max_share, max_lost):
     docs, held = defaultdict(set), defaultdict(set)
     for r in rows:
-        doc = ("id", r[0]) if r[0] is not None else ("text", r[1])
+        doc = r[1] or ""
         docs[r[3]].add(doc)
         for x in {normal(x) for x in (r[1] or "").split("\n") if x.strip(BLANK)}:
             held[r[3], x].add(doc)
@@ -72,12 +72,15 @@ def test_quality_equals_plain_python(spark, monkeypatch):
     assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == sorted(w[0] for w in want if w[-1])
 
 
+def site_lines_by_hand(rows, least, ratio):
+    pages = Counter(s for s, _ in {(r[3], r[1] or "") for r in rows})
+    held = Counter((s, x) for s, t in {(r[3], r[1] or "") for r in rows} for x in {x.strip(BLANK) for x in t.split("\n")} if x)
+    return {k for k, n in held.items() if n >= least and n > ratio * pages[k[0]]}
+
+
 def test_site_lines_equal_plain_python(spark, monkeypatch):
     rows, docs = corpus(spark, 2)
-    pages, held = Counter(r[3] for r in rows), Counter()
-    for r in rows:
-        held.update((r[3], x) for x in {x.strip(BLANK) for x in (r[1] or "").split("\n")} if x)
-    bad = {k for k, n in held.items() if n >= 4 and n > 0.1 * pages[k[0]]}
+    bad = site_lines_by_hand(rows, 4, 0.1)
     assert bad
     want = []
     for r in rows:
@@ -110,6 +113,40 @@ def test_windows_of_a_long_repetitive_text(spark):
     assert _lines.BLANK == BLANK
 
 
+def test_copies_make_no_boilerplate(spark):
+    """1,000 copies of a text on a site of 60: its lines stay, and don't hide the footer that 10 different texts hold."""
+    rng = random.Random(9)
+
+    def line(n):
+        return " ".join(rng.choice(BASE) + str(rng.randrange(10**6)) for _ in range(n))
+
+    own, foot = "\n".join(line(30) for _ in range(4)), line(6)
+    rows = [(i, "\n".join([line(60), *([foot] if i < 12 else [])]), "a") for i in range(60)] + [(100 + i, own, "a") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in site_lines.drop_site_lines(docs, dropped_col="gone").collect()}
+    assert all(got[i].gone == (1 if i < 12 else 0) for i in got) and all(got[i].text == own for i in range(100, 1100))
+    judged = {r.doc_id: r for r in line_quality.judged(docs).collect()}
+    assert all(judged[i].kept and judged[i].words_lost == (6 if i < 12 else 0) for i in judged)
+
+
+def test_a_site_of_many_frequent_lines(spark, monkeypatch):
+    """A row of 3,000 hashes counts with its bytes: beyond the limit it isn't broadcast, and the result is the same."""
+    from vigil.llm import _jobs
+
+    lines = [f"line number {i} of this site" for i in range(3000)]
+    rows = [(i, "\n".join([*lines, f"text {i} of its own"]), "a") for i in range(6)] + [(9, "one\ntwo", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bad = _lines.frequent_lines(docs, _lines.site_key("source"), docs["text"], lambda x: _lines.F.xxhash64(x), 5, 0.5)
+    assert 24_000 < _jobs.measured_bytes(bad) < 80_000
+    plans = []
+    for limit in (1 << 20, 20_000):
+        monkeypatch.setattr("vigil.llm._jobs.BROADCAST_BYTES", limit)
+        got = site_lines.drop_site_lines(docs, max_ratio=0.5, dropped_col="gone")
+        plans.append("salt_" in got._jdf.queryExecution().logical().toString())
+        assert sorted((r.doc_id, r.gone) for r in got.collect()) == [*((i, 3000) for i in range(6)), (9, 0)]
+    assert plans == [False, True]
+
+
 def test_frequent_lines_leave_the_text(spark, monkeypatch):
     rows, docs = corpus(spark, 3)
     want, bad = verdicts_by_hand(rows, 5, 0.1, 0.2)

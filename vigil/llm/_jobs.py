@@ -31,11 +31,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, row_bytes: int) -> bool:
-    """Whether a stored table may be broadcast: its counted rows times ``row_bytes``."""
-    return df.count() * row_bytes <= BROADCAST_BYTES
-
-
 def _bytes_of(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(value).cast("long"), F.lit(0).cast("long")) + F.lit(16)
@@ -80,4 +75,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", "label")
 
 
-__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "broadcast_if_small", "components", "fits", "measured_bytes", "python_ready", "scratch_path", "stored"]
+__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "broadcast_if_small", "components", "measured_bytes", "python_ready", "scratch_path", "stored"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm._jobs import fits, stored
+from vigil.llm._jobs import broadcast_if_small, stored
 
 #: White space of the word definition: 0x20 and 0x09-0x0D.
 BLANK = " \t\n\x0b\x0c\r"
@@ -30,30 +30,26 @@ def site_key(column: str) -> Column:
     return F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), c))
 
 
-def look_up(big: DataFrame, small: DataFrame, key: str, spread: Column, row_bytes: int) -> DataFrame:
-    """Left join of a stored table with one row a key: a broadcast if its counted rows fit, else a shuffle in
+def look_up(big: DataFrame, small: DataFrame, key: str, spread: Column) -> DataFrame:
+    """Left join of a stored table with one row a key: a broadcast if its measured bytes allow it, else a shuffle in
     which each key is dealt to SALTS partitions by ``spread``."""
-    if fits(small, row_bytes):
-        return big.join(F.broadcast(small), key, "left")
+    sent = broadcast_if_small(small)
+    if sent is not small:
+        return big.join(sent, key, "left")
     salted = small.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return big.withColumn("salt_", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(salted, [key, "salt_"], "left").drop("salt_")
 
 
-def frequent_lines(docs: DataFrame, site: Column, text: Column, line_hash: Callable[[Column], Column], doc: Column | None,
-                   least: int, share: float) -> DataFrame:
-    """(site_, bad_): for each site the hashes of lines with text that more than ``share`` of its documents
-    and at least ``least`` hold. A document counts once for a line; with ``doc``, rows of equal ``doc`` are
-    one document. A site's array has at most (lines of its average document) / ``share`` entries."""
+def frequent_lines(docs: DataFrame, site: Column, text: Column, line_hash: Callable[[Column], Column], least: int, share: float) -> DataFrame:
+    """(site_, bad_): for each site the hashes of lines with text that more than ``share`` of its different texts
+    and at least ``least`` of them hold: copies of a text, however many, are one page in both counts (null and empty are the same
+    text), so copying makes no line boilerplate. A site's array has at most (lines of its average text) / ``share`` entries."""
     held = F.array_distinct(F.transform(F.filter(lines(text), lambda x: trimmed(x) != ""), line_hash))
-    rows = docs.select(site.alias("site_"), *([doc.alias("doc_")] if doc is not None else []), held.alias("held_"))
-    each = rows.select("site_", *([] if doc is None else ["doc_"]), F.explode("held_").alias("line_"))
-    if doc is not None:
-        each, rows = each.distinct(), rows.select("site_", "doc_").distinct()
+    doc = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    rows = docs.select(site.alias("site_"), doc.alias("doc_"), held.alias("held_"))
+    each = rows.select("site_", "doc_", F.explode("held_").alias("line_")).distinct()
     counts = each.groupBy("site_", "line_").agg(F.count("*").alias("n_")).filter(F.col("n_") >= least)
-    totals = stored(rows.groupBy("site_").agg(F.count("*").alias("total_")), "sites")
-    bad = look_up(counts, totals, "site_", F.col("line_"), 64).filter(F.col("n_") > F.col("total_") * share)
+    totals = stored(rows.select("site_", "doc_").distinct().groupBy("site_").agg(F.count("*").alias("total_")), "sites")
+    bad = look_up(counts, totals, "site_", F.col("line_")).filter(F.col("n_") > F.col("total_") * share)
     return stored(bad.groupBy("site_").agg(F.sort_array(F.collect_list("line_")).alias("bad_")), "frequent_lines")
 
-
-#: Bytes of a site's row in a size check: its name and some hundreds of line hashes.
-SITE_BYTES = 4096

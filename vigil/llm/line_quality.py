@@ -2,17 +2,17 @@
 
 Within a text: words, symbols, repeated lines, and words in repeated 3-word windows. Across documents:
 lines are normalised (A-Z as a-z, white space collapsed), hashed, and counted by distinct documents of
-their site. Lines that more than ``max_share`` of a site's documents (and at least ``least``) hold are
+their site (copies of a text are one document in all counts). Lines that more than ``max_share`` of a site's documents (and at least ``least``) hold are
 removed from the text, and a document that loses more than ``max_lost`` of its words that way is depleted
 and rejected. Measures and base rules are those of the text as it came.
 
 Everything within a text is computed in its row. Counts of lines are taken before the shuffle; what comes
 back is one bounded array of hashes a site, by a broadcast of checked size or a salted join. Repeated
 windows are found by sorting (hash, position) numbers and comparing neighbours, word by word where hashes
-agree, so time is n log n in a text's words.
+agree, so time is n log n in a text's words; texts whose windows' hashes all differ need no sorting.
 
-Rules: a null text has no words, so it fails the base rules. A null site is a site of its own. Rows of
-the same id (for null ids: the same text) are one document in counts; each row gets its own verdict.
+Rules: a null text has no words, so it fails the base rules. A null site is a site of its own. Repeated rows each get the
+same verdict.
 Lines without text stay; a text that loses no line stays as it is. Other columns are kept. An empty table
 gives an empty result.
 """
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm._lines import BLANK, BLANKS, SITE_BYTES, frequent_lines, lines, look_up, site_key, trimmed
+from vigil.llm._lines import BLANK, BLANKS, frequent_lines, lines, look_up, site_key, trimmed
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -48,13 +48,15 @@ def _counted(words: Column) -> Column:
     """(n, repeated): words, and words in 3-word windows that occur twice or more."""
     nothing = F.array().cast("array<bigint>")
 
-    def keys(w: Column, m: Column, bits: Column) -> Column:
-        """Each window's hash over its place: sorting puts equal windows side by side."""
-        def key(i: Column) -> Column:
-            h = F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-            high = F.call_function("shiftleft", F.call_function("shiftright", h, bits), bits)
-            return F.coalesce(high.bitwiseOR(i.cast("long")), F.lit(0).cast("long"))
-        return F.sort_array(F.when(m > 0, F.transform(F.sequence(F.lit(0), m - 1), key)).otherwise(nothing))
+    def hashes(w: Column, m: Column) -> Column:
+        """Each window's hash."""
+        each = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        return F.when(m > 0, each).otherwise(nothing)
+
+    def keys(h: Column, bits: Column) -> Column:
+        """Each hash over its place: sorting puts equal windows side by side."""
+        high = lambda x: F.call_function("shiftleft", F.call_function("shiftright", x, bits), bits)
+        return F.sort_array(F.transform(h, lambda x, i: high(x).bitwiseOR(i.cast("long"))))
 
     def places(w: Column, m: Column, bits: Column, mask: Column, s: Column) -> Column:
         def same(x: Column, y: Column) -> Column:
@@ -73,10 +75,13 @@ def _counted(words: Column) -> Column:
                            lambda a: a["n"])
 
     def repeated(w: Column) -> Column:
-        def with_bits(m: Column, bits: Column) -> Column:  # places 0 to m - 1 fit into so many bits
+        def with_bits(m: Column, h: Column, bits: Column) -> Column:  # places 0 to m - 1 fit into so many bits
             mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-            return _let(mask, lambda k: _let(keys(w, m, bits), lambda s: covered(places(w, m, bits, k, s))))
-        return _let(F.greatest(F.size(w) - 2, F.lit(0)), lambda m: _let(F.length(F.bin(m)), lambda bits: with_bits(m, bits)))
+            return _let(mask, lambda k: _let(keys(h, bits), lambda s: covered(places(w, m, bits, k, s))))
+
+        def with_hashes(m: Column, h: Column) -> Column:
+            return F.when(F.size(F.array_distinct(h)) == m, F.lit(0).cast("long")).otherwise(_let(F.length(F.bin(m)), lambda bits: with_bits(m, h, bits)))
+        return _let(F.greatest(F.size(w) - 2, F.lit(0)), lambda m: _let(hashes(w, m), lambda h: with_hashes(m, h)))
 
     return _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated(w).alias("repeated")))
 
@@ -86,9 +91,11 @@ def _judgement(text: Column, bad: Column, max_lost: float) -> Column:
     text = F.coalesce(text.cast("string"), F.lit(""))
 
     def lost(held: Column) -> Column:
-        removed = F.filter(held, lambda x: F.array_contains(bad, _normal(x)))
-        n = F.aggregate(removed, F.lit(0), lambda n, x: n + F.size(F.split(trimmed(x), BLANKS)))
-        return F.when(bad.isNull(), F.lit(0)).otherwise(n).cast("long")
+        def of(gone: Column) -> Column:
+            removed = F.filter(held, lambda x: F.array_contains(gone, _normal(x)))
+            n = F.aggregate(removed, F.lit(0), lambda n, x: n + F.size(F.split(trimmed(x), BLANKS)))
+            return F.when(F.coalesce(F.size(gone), F.lit(0)) <= 0, F.lit(0)).otherwise(n).cast("long")
+        return _let(_gone(held, bad), of)
 
     def of_lines(held: Column) -> Column:
         return F.struct((F.size(held) - F.size(F.array_distinct(held))).cast("long").alias("dup"), lost(held).alias("lost"))
@@ -107,20 +114,24 @@ def _judgement(text: Column, bad: Column, max_lost: float) -> Column:
     return _let(_let(_counted(_words(text)), lambda c: _let(_let(held, of_lines), lambda h: measures(c, h))), verdict)
 
 
+def _gone(held: Column, bad: Column) -> Column:
+    """The hashes of a text's lines that are above the limit, by hash sets; null where the site has none."""
+    return F.when(bad.isNotNull(), F.array_intersect(F.transform(held, _normal), bad))
+
+
 def _without(text: Column, bad: Column) -> Column:
-    return F.array_join(F.filter(lines(text), lambda x: (trimmed(x) == "") | ~F.array_contains(bad, _normal(x))), "\n")
+    return _let(_gone(lines(text), bad), lambda gone: F.array_join(F.filter(lines(text), lambda x: (trimmed(x) == "") | ~F.array_contains(gone, _normal(x))), "\n"))
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", least: int = 10,
-           max_share: float = 0.1, max_lost: float = 0.7, whole_rows: bool = False, lost_col: str | None = None) -> DataFrame:
+def judged(docs: DataFrame, text_col: str = "text", site_col: str = "source", least: int = 10,
+           max_share: float = 0.02, max_lost: float = 0.3, whole_rows: bool = False, lost_col: str | None = None) -> DataFrame:
     """``docs``, its texts without the removed lines, with MEASURES, words_lost (words in removed lines), base_failed
     and kept (columns of ``docs`` with these names are left out); with ``whole_rows`` only the kept rows, with the
     columns of ``docs`` and, if named, ``lost_col`` (words_lost)."""
-    doc = F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
-    bad = frequent_lines(docs, site_key(site_col), F.col(text_col), _normal, doc, least, max_share)
+    bad = frequent_lines(docs, site_key(site_col), F.col(text_col), _normal, least, max_share)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), site_key(site_col).alias("site_"))
     was, found = F.col("row_")[text_col], F.col("found_")
-    rows = look_up(rows, bad, "site_", was, SITE_BYTES)
+    rows = look_up(rows, bad, "site_", was)
     judgement = _judgement(was, F.col("bad_"), max_lost)
     text = F.when(found["words_lost"] > 0, _without(was, F.col("bad_"))).otherwise(was)
 

@@ -66,14 +66,14 @@ def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH l AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
-h AS (SELECT DISTINCT doc_id, source, trim(x, {_BLANK}) AS t FROM (SELECT doc_id, source, unnest(ls) AS x FROM l) WHERE trim(x, {_BLANK}) <> ''),
-n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
-bad AS (SELECT source, list(t) AS bad FROM (SELECT source, t, count(*) AS c FROM h GROUP BY 1, 2) JOIN n USING (source) WHERE c >= 5 AND c > 0.08 * n GROUP BY 1),
+h AS (SELECT DISTINCT source, text, trim(x, {_BLANK}) AS t FROM (SELECT source, text, unnest(ls) AS x FROM l) WHERE trim(x, {_BLANK}) <> ''),
+n AS (SELECT source, count(DISTINCT coalesce(text, '')) AS n FROM documents GROUP BY 1),
+bad AS (SELECT source, list(t) AS bad FROM (SELECT source, t, count(DISTINCT text) AS c FROM h GROUP BY 1, 2) JOIN n USING (source) WHERE c >= 5 AND 50 * c > n GROUP BY 1),
 k AS (SELECT doc_id, text, ls, list_filter(ls, lambda x: NOT list_contains(coalesce(bad, []), trim(x, {_BLANK}))) AS ks FROM l LEFT JOIN bad USING (source))
 SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(ks, chr(10)) END AS text, coalesce(len(ls) - len(ks), 0) AS n_dropped FROM k
 """)
 def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without their site's boilerplate: lines on more than 0.08 of the site's documents."""
+    """Documents without their site's boilerplate: lines on more than 0.02 of the site's different texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return site_lines.drop_site_lines(docs, dropped_col="n_dropped").select("doc_id", "text", "n_dropped")
 
@@ -82,15 +82,15 @@ def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 g AS (SELECT doc_id, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g) WHERE c > 1) GROUP BY 1),
-x AS (SELECT doc_id, source, x, regexp_replace({_LOW.replace("coalesce(text, '')", f"trim(x, {_BLANK})")}, '[\x20\x09-\x0D]+', ' ', 'g') AS t
-  FROM (SELECT doc_id, source, unnest(ls) AS x FROM d) WHERE trim(x, {_BLANK}) <> ''),
-n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
-bad AS (SELECT source, t FROM (SELECT source, t, count(DISTINCT doc_id) AS c FROM x GROUP BY 1, 2) JOIN n USING (source) WHERE c >= 10 AND c > 0.1 * n),
+x AS (SELECT doc_id, source, text, x, regexp_replace({_LOW.replace("coalesce(text, '')", f"trim(x, {_BLANK})")}, '[\x20\x09-\x0D]+', ' ', 'g') AS t
+  FROM (SELECT doc_id, source, text, unnest(ls) AS x FROM d) WHERE trim(x, {_BLANK}) <> ''),
+n AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY 1),
+bad AS (SELECT source, t FROM (SELECT source, t, count(DISTINCT text) AS c FROM x GROUP BY 1, 2) JOIN n USING (source) WHERE c >= 10 AND 50 * c > n),
 lost AS (SELECT doc_id, sum(len({_WORDS.format("x")})) AS n FROM x JOIN bad USING (source, t) GROUP BY 1),
 m AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
   len(list_filter(ls, lambda x: trim(x, {_BLANK}) <> '')) - len(list_distinct(list_filter(ls, lambda x: trim(x, {_BLANK}) <> ''))) AS n_dup_lines,
   coalesce(r.n, 0) AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS words_lost FROM d LEFT JOIN r USING (doc_id) LEFT JOIN lost USING (doc_id))
-SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND words_lost <= 0.7 * n_words AS kept FROM m
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 10 * words_lost <= 3 * n_words AS kept FROM m
 """)
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and a verdict for every text; documents of frequent lines of their site are rejected."""

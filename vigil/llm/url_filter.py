@@ -13,7 +13,7 @@
 5. Verdict of a page without a rule: block if its host's distrust is at least ``threshold`` and above its
    trust, else allow.
 
-A host's facts come back to its pages by a broadcast of checked size or a salted join. Links of a page are
+A host's facts come back to its pages by a broadcast of measured bytes or a salted join. Links of a page are
 counted before the shuffle.
 
 Rules for odd rows: a null url or one without ``://`` has an empty host and path, which no rule fits, and is
@@ -23,6 +23,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,6 @@ RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
-#: Bytes of a host's row in a size check: its name and the rules that fit it.
-HOST_BYTES = 1024
 
 
 def lower(c: Column) -> Column:
@@ -74,7 +74,14 @@ def host_edges(pages: DataFrame, hosts: DataFrame, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").cast("double").alias("w")))
 
 
-def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, most: int) -> DataFrame:
+def steps_for(damping: float, tolerance: float) -> int:
+    """Steps after which no score can move by ``tolerance``: a step's changes are at most ``damping`` times the last one's, in sum."""
+    if not 0 <= damping < 1:
+        raise ValueError("damping lies in [0, 1)")
+    return 1 + (math.ceil(math.log(tolerance * (1 - damping)) / math.log(damping)) if damping else 1)
+
+
+def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, most: int | None) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) and edges (src, dst, w)."""
     out = edges.groupBy("src").agg(F.sum("w").alias("all_out"))
     into = edges.groupBy("dst").agg(F.sum("w").alias("all_in"))
@@ -85,7 +92,8 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: fl
     nodes = both.select("host").distinct().join(seeds, "host", "full_outer").na.fill(0.0)
     nodes = stored(nodes, "seeds")
     state = nodes
-    for _ in range(most if not both.isEmpty() else 0):
+    steps = steps_for(damping, tolerance) if most is None else most
+    for _ in range(steps if not both.isEmpty() else 0):
         sent = both.join(state.select(F.col("host").alias("from"), "trust", "distrust"), "from")
         got = sent.groupBy("host").agg(F.sum(F.col("t") * F.col("trust")).alias("t"), F.sum(F.col("d") * F.col("distrust")).alias("d"))
         new = nodes.join(got, "host", "left").na.fill(0.0).select(
@@ -100,7 +108,7 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: fl
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame = RULES, url_col: str = "url", html_col: str = "html",
-               damping: float = 0.7, tolerance: float = 1e-3, most: int = 30, threshold: float = 0.5) -> DataFrame:
+               damping: float = 0.7, tolerance: float = 1e-3, most: int | None = None, threshold: float = 0.5) -> DataFrame:
     """``pages`` (without ``html_col``) with host, path, rule, verdict, trust and distrust."""
     if not isinstance(rules, DataFrame):
         rules = pages.sparkSession.createDataFrame(rules, "verdict string, rule string")
@@ -109,12 +117,12 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame = RULE
     placed = with_host_path(pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
     hosts = stored(placed.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
     fitting = stored(hosts.select("host").join(host_rules(hosts, rules), "host", "left"), "host_rules")
-    ruled = look_up(placed.select("host", "path"), fitting, "host", F.col("path"), HOST_BYTES).select("host", best_rule()["verdict"].alias("v"))
+    ruled = look_up(placed.select("host", "path"), fitting, "host", F.col("path")).select("host", best_rule()["verdict"].alias("v"))
     seeds = ruled.groupBy("host").agg(*(F.avg(F.when(F.col("v") == v, 1.0).otherwise(0.0)).alias(c) for v, c in (("allow", "trust"), ("block", "distrust"))))
     edges = stored(host_edges(placed, hosts, "html"), "host_edges")
     scores = propagated(stored(seeds, "host_seeds"), edges, damping, tolerance, most)
     facts = stored(fitting.join(scores, "host", "left"), "host_facts")
-    found = look_up(placed.select("row", "url", "host", "path"), facts, "host", F.col("url"), HOST_BYTES).withColumn("best", best_rule())
+    found = look_up(placed.select("row", "url", "host", "path"), facts, "host", F.col("url")).withColumn("best", best_rule())
     trust, distrust = F.round(F.coalesce("trust", F.lit(0.0)), 9), F.round(F.coalesce("distrust", F.lit(0.0)), 9)
     own = F.when((distrust >= threshold) & (distrust > trust), "block").otherwise("allow")
     return found.select(*(F.col("row")[c].alias(c) for c in keep), "host", "path", F.col("best")["rule"].alias("rule"),
