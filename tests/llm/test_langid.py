@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from llm_data import no_docs, odd_docs
@@ -45,6 +46,42 @@ def test_viterbi_equals_loops():
             assert abs(paid - value) < 1e-3
 
 
+def test_viterbi_with_hundreds_of_languages():
+    rng = np.random.default_rng(3)
+    for n in (127, 128, 129, 200, 256, 257, 300):
+        scores = rng.normal(0, 1, (40, n)).astype(np.float32)
+        scores[:20, n - 1] += 9
+        scores[20:, n // 2] += 9
+        label = langid.viterbi(scores, np.array([0, 40]), 4.0)
+        assert label[:20].tolist() == [n - 1] * 20 and label[20:].tolist() == [n // 2] * 20
+        assert label.tolist() == best_path(scores.tolist(), 4.0)[0]
+
+
+def test_word_scores_equal_plain_counts(spark):
+    """Log-probabilities of a word's 1-, 2- and 3-grams, from counts in a dictionary (no two grams of these texts share a bucket)."""
+    texts = {"aa": ["abba cab", "Bab ab"], "bb": ["dada abd", "add"]}
+    m = langid.train(spark.createDataFrame([(t, k) for k, ts in texts.items() for t in ts], "text string, lang string"), per_lang=10**6, smoothing=0.5)
+
+    def grams(word):
+        w = [0, *map(ord, word.lower()), 0]
+        return [[(w[i],) for i in range(1, len(w))], [(w[i - 1], w[i]) for i in range(1, len(w))],
+                [(w[i - 2] if i > 1 else 0, w[i - 1], w[i]) for i in range(1, len(w))]]
+
+    counts = {k: [Counter(), Counter(), Counter()] for k in texts}
+    for k, ts in texts.items():
+        for word in " ".join(ts).split():
+            for n, g in enumerate(grams(word)):
+                counts[k][n].update(g)
+    words = ["abba", "Dad", "xyz", "b"]
+    got = m.scores(langid.words_of([" ".join(words)]))
+    assert m.langs == ["aa", "bb"]
+    for word, row in zip(words, got):
+        for k, x in zip(m.langs, row):
+            total = [sum(c.values()) + 0.5 * langid.BUCKETS for c in counts[k]]
+            want = sum(np.log((counts[k][n][g] + 0.5) / total[n]) / 3 for n, gs in enumerate(grams(word)) for g in gs)
+            assert abs(x - want) < 1e-3, (word, k)
+
+
 def test_words_and_scripts():
     w = langid.words_of(["Ab c1d", None, "", "漢字 да! ñ"])
     assert list(zip(w.doc, w.start, w.end)) == [(0, 0, 2), (0, 3, 4), (0, 5, 6), (3, 0, 2), (3, 3, 5), (3, 7, 8)]

@@ -8,9 +8,10 @@ a chance p of about 0.88, so an item with q shingles is missed with (1 - p)**(th
 where the smallest item's chance is above ``miss``, further permutations are probed until it isn't.
 Any common minimum makes a candidate; its full sets then decide exactly.
 
-Documents are only scanned, never shuffled. Items are looked up from memory in blocks of at most
-``BLOCK_BYTES`` of shingles (one pass over the documents for each block), so the item side may have any
-size. Result: one row (id, item, n_item, n_shared, containment) for each containing document and item.
+Documents are only scanned, never shuffled. Items are looked up from memory in blocks of some
+``BLOCK_BYTES`` of shingles. A block is read, searched in one pass over the documents, and its results written before the next one
+is read, so the driver and a task hold one block, however many items there are; more items than one block
+cost a pass each. Result: one row (id, item, n_item, n_shared, containment) for each containing document and item.
 
 Rules: A-Z count as a-z. Null or word-less texts and items match nothing. Items or documents with fewer
 than k words have their whole word sequence as their only shingle. Repeated rows give repeated results; a
@@ -20,7 +21,7 @@ null id is kept. Empty tables give no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.llm._jobs import python_ready, stored
+from vigil.llm._jobs import python_ready, scratch_path, stored
 from vigil.llm._text import mix, small, text_sets
 
 BLOCK_BYTES = 16 << 20
@@ -134,15 +135,25 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("item", kind["item"].dataType),
                            T.StructField("n_item", T.LongType()), T.StructField("n_shared", T.LongType()),
                            T.StructField("containment", T.DoubleType())])
-    found = spark.createDataFrame([], schema)
-    for i in range(int(blocks)):
-        held = sets.filter(F.pmod(F.xxhash64("members"), F.lit(int(blocks))) == i).toArrow()  # some BLOCK_BYTES by construction
-        if held.num_rows:
-            found = found.unionByName(texts.mapInArrow(
-                _search(held["item"].to_pylist(), held["members"].to_pylist(), held.schema.field("item").type, k, threshold, miss), schema))
+    found = _by_blocks(sets, int(blocks), lambda held: texts.mapInArrow(
+        _search(held["item"].to_pylist(), held["members"].to_pylist(), held.schema.field("item").type, k, threshold, miss), schema))
+    found = spark.createDataFrame([], schema) if found is None else found
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_item", "n_shared", "containment")
 
 
+def _by_blocks(sets: DataFrame, blocks: int, search: Callable[[pa.Table], DataFrame]) -> DataFrame | None:
+    """What ``search`` finds for all blocks of the stored item sets; with more than one, each block's rows are stored first."""
+    paths = []
+    for i in range(blocks):
+        held = sets.filter(F.pmod(F.xxhash64("members"), F.lit(blocks)) == i).toArrow()  # some BLOCK_BYTES by construction
+        if held.num_rows and blocks == 1:
+            return search(held)
+        if held.num_rows:
+            paths.append(scratch_path(sets.sparkSession, "found"))
+            search(held).write.parquet(paths[-1])
+    return sets.sparkSession.read.parquet(*paths) if paths else None
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_text_col: str = "text",
                       k: int = 5, threshold: float = 0.8, miss: float = 1e-6) -> DataFrame:
     """The rows of ``docs``, all columns, whose text contains no item; the same search, but each row carries
@@ -152,12 +163,17 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     sets = stored(items.select(F.lit(0).alias("item"), F.col(item_text_col).cast("string").alias("text"))
                   .mapInArrow(_item_sets(k), "item int, members binary").filter("length(members) > 0"), "items")
     blocks = sets.agg(F.ceil(F.sum(F.length("members")) / BLOCK_BYTES).alias("n")).first()["n"] or 0
-    at, left = docs.columns.index(text_col), docs
-    for i in range(int(blocks)):
-        held = sets.filter(F.pmod(F.xxhash64("members"), F.lit(int(blocks))) == i).select("members").toArrow()
-        if held.num_rows:
-            left = left.mapInArrow(_clean(held["members"].to_pylist(), at, k, threshold, miss), docs.schema)
-    return left
+    if blocks <= 1:
+        at = docs.columns.index(text_col)
+        left = _by_blocks(sets, int(blocks), lambda held: docs.mapInArrow(_clean(held["members"].to_pylist(), at, k, threshold, miss), docs.schema))
+        return docs if left is None else left
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")), "documents")
+    texts = rows.select(F.col("key").alias("id"), F.col("row")[text_col].cast("string").alias("text"))
+    schema = "id long, item int, n_item long, n_shared long, containment double"
+    dirty = _by_blocks(sets, int(blocks), lambda held: texts.mapInArrow(
+        _search(held["item"].to_pylist(), held["members"].to_pylist(), pa.int32(), k, threshold, miss), schema))
+    left = rows.join(dirty.select(F.col("id").alias("key")).distinct(), "key", "left_anti")
+    return left.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def _clean(sets: list[bytes], at: int, k: int, threshold: float, miss: float):

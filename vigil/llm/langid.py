@@ -156,9 +156,10 @@ def viterbi(scores: np.ndarray, offs: np.ndarray, penalty: float) -> np.ndarray:
         return label
     at, size = offs[:-1][order], size[order]
     live = np.searchsorted(-size, -np.arange(size[0]), "left")  # texts longer than t
-    back = np.zeros(scores.shape, np.int8)
+    kind = np.min_scalar_type(max(scores.shape[1] - 1, 0))
+    back = np.zeros(scores.shape, kind)
     value = scores[at].copy()
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    own = np.arange(scores.shape[1], dtype=kind)
     for t in range(1, int(size[0])):
         k = live[t]
         v, here = value[:k], at[:k] + t
