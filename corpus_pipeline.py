@@ -15,19 +15,31 @@ from vigil.llm import chosen_path, containment, line_quality, prefix_bpe, site_l
 from vigil.llm._jobs import stored
 
 
-def _new_length(clean: DataFrame, docs: DataFrame) -> DataFrame:
-    """n_chars of the texts that lost something, which ``gone_`` counts."""
-    return clean.withColumn("n_chars", F.when(F.col("gone_") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).drop("gone_")
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have (whatever its case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _new_length(clean: DataFrame, docs: DataFrame, gone: str) -> DataFrame:
+    """n_chars, if ``docs`` has it, of the texts that lost something, which ``gone`` counts."""
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return clean.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are frequent on their source go, and documents that the quality rules reject; n_chars follows the text."""
-    return _new_length(line_quality.keep_good(docs, lost_col="gone_"), docs)
+    gone = _unused(docs, "gone_")
+    return _new_length(line_quality.keep_good(docs, lost_col=gone), docs, gone)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are boilerplate of their source go; n_chars follows the text."""
-    return _new_length(site_lines.drop_site_lines(docs, dropped_col="gone_"), docs)
+    gone = _unused(docs, "gone_")
+    return _new_length(site_lines.drop_site_lines(docs, dropped_col=gone), docs, gone)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
