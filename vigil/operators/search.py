@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from vigil.functions.dates import parse_param
-from vigil.functions.geo import within_km
+from vigil.functions.geo import in_circle
 from vigil.operators.joins import broadcast_if_bounded
 
 # Words searched by the e-mail and phone options.
@@ -36,6 +36,7 @@ class PostColumns:
     place: str = "place"
     lat: str = "lat"
     lon: str = "lon"
+    geo_cell: str = "geo_cell"  # the place's grid cell, if the table has it: ranges reach the scan
     n_images: str = "n_images"
     n_videos: str = "n_videos"
     n_urls: str = "n_urls"
@@ -124,8 +125,8 @@ def predicate(f: PostFilter, schema=None) -> Column | None:
     if f.username:
         parts.append(col(c.username) == f.username)
     if f.geo:
-        lat, lon, rad = _parse_geo(f.geo)
-        parts.append(within_km(col(c.lat), col(c.lon), lat, lon, rad))
+        cell = col(c.geo_cell) if schema is not None and c.geo_cell in schema.names else None
+        parts.append(in_circle(col(c.lat), col(c.lon), _parse_geo(f.geo), cell))
     if f.year:
         parts.append(col(c.ts) < _ts_lit(datetime(int(f.year), 1, 1), ts_type))
     if f.since:

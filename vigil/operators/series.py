@@ -62,14 +62,15 @@ def _number(df: DataFrame, c: str) -> Column:
 
 
 def repair_negatives(df: DataFrame, keys: Sequence[str], date: str, measures: Sequence[str],
-                     days: int = 7, how: str = "join") -> DataFrame:
+                     days: int = 7, how: str = "join", stage: bool = True) -> DataFrame:
     """Negative measure -> its original value ``days`` earlier (negative -> 0, missing -> 0);
     every other null or NaN -> 0. Not recursive: the earlier value is the unrepaired one. Each input row
     gives one row: where (keys, date) repeats, the largest of the earlier values counts. Keys and dates
     match null-safely (a null date has no earlier day).
 
     The join form shuffles only rows with a negative measure and the rows they look back to; all others
-    pass through a projection. The input is read up to three times, so stage it if it's costly.
+    pass through a projection. It reads its input three times, so with ``stage`` an input that isn't a plain scan (its plan
+    joins, groups, sorts or generates rows) is checkpointed first and computed once.
     """
     keys, measures = list(keys), list(measures)
     clean = df.withColumns({m: _number(df, m) for m in measures})
@@ -84,6 +85,8 @@ def repair_negatives(df: DataFrame, keys: Sequence[str], date: str, measures: Se
         return lagged.withColumns(fixed("__lag_")).drop(*["__lag_" + m for m in measures])
     if how != "join":
         raise ValueError(how)
+    if stage and is_costly(df):
+        clean = materialize(clean)
     negative = F.lit(False)
     for m in measures:
         negative = negative | F.coalesce(F.col(m) < 0, F.lit(False))
@@ -97,6 +100,12 @@ def repair_negatives(df: DataFrame, keys: Sequence[str], date: str, measures: Se
     return clean.where(~negative).withColumns(zeroed).select(*df.columns).unionByName(repaired.select(*df.columns))
 
 
+def is_costly(df: DataFrame) -> bool:
+    """Whether computing ``df`` takes more than a scan with filters and projections."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(x in plan for x in ("Join", "Aggregate", "Window", "Sort", "Generate", "Distinct", "Repartition", "Union"))
+
+
 def day_counter_table(df: DataFrame, date: str, order_by: Sequence[str] | None = None,
                       mode: str = "first_seen", name: str = "contador_dia") -> DataFrame:
     """(date, counter): 1..n over the distinct non-null dates.
@@ -129,7 +138,12 @@ def day_counter(df: DataFrame, date: str, order_by: Sequence[str] | None = None,
     its bytes are within the bound, broadcast: the data side is then never shuffled on the
     date, so a date holding a large share of the rows cannot skew a join partition.
     """
-    counter = day_counter_table(df, date, order_by, mode, name)
-    if stage:
-        counter = broadcast_if_bounded(materialize(counter), max_broadcast_bytes)
+    counter = counter_of(df, date, order_by, mode, name, max_broadcast_bytes) if stage else day_counter_table(df, date, order_by, mode, name)
     return df.join(counter, on=date, how="left")
+
+
+def counter_of(df: DataFrame, date: str, order_by: Sequence[str] | None = None, mode: str | None = None, name: str = "contador_dia",
+               max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The day counter table (``mode``: by first appearance where there is an order, else by date), checkpointed and, within the bound, broadcast."""
+    mode = mode or ("first_seen" if order_by else "chronological")
+    return broadcast_if_bounded(materialize(day_counter_table(df, date, order_by, mode, name)), max_broadcast_bytes)

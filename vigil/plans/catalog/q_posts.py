@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.dates import date_text, epoch_seconds
+from vigil.functions.geo import with_cell
+from vigil.operators.keyword_index import KeywordIndex
 from vigil.operators.search import PostFilter, search_posts
 from vigil.plans.catalog.base import oracle, register
 from vigil.plans.catalog.q_text import RULES_CTES, clean_sql, lexicon_df
@@ -121,6 +123,22 @@ def src_posts_window(inp: Inputs) -> DataFrame:
     return scan_posts(inp.spark, path, f).select(*OUT)
 
 
+@register("post_geo_cells", oracle(f"SELECT {OUT_SQL} FROM v_posts WHERE {HAVERSINE_SQL}", ["v_posts"]))
+def post_geo_cells(inp: Inputs) -> DataFrame:
+    """The circle over posts stored with their grid cells: ranges of cells reach the scan."""
+    path = scratch_path(inp.spark, "posts-cells")
+    with_cell(inp.view("v_posts").select(*OUT, "lat", "lon")).write.parquet(path)
+    return search_posts(inp.spark.read.parquet(path), PostFilter(geo="10, 20, 3000km")).select(*OUT)
+
+
+@register("post_keyword_index", oracle(f"SELECT {OUT_SQL} FROM v_posts WHERE contains(lower(tweet), 'worthless') AND contains(lower(tweet), 'phone')", ["v_posts"]))
+def post_keyword_index(inp: Inputs) -> DataFrame:
+    """Both terms, by the trigram index of stored posts: only files that hold all trigrams are read."""
+    index = KeywordIndex(inp.spark, scratch_path(inp.spark, "posts-index"))
+    index.write(inp.view("v_posts").select(*OUT, "tweet", "ts"), rows_a_block=50)
+    return index.search(PostFilter(keyword="Worthless PHONE")).select(*OUT)
+
+
 WINDOW_POSTS = ("posts_in", f"SELECT post_id, date, tweet, {clean_sql('tweet')} AS text FROM v_posts "
                             "WHERE language = 'en' AND ts >= TIMESTAMP '2024-01-01 00:00:00' "
                             "AND ts < TIMESTAMP '2024-01-31 00:00:00'")

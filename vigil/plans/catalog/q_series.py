@@ -11,6 +11,8 @@ from vigil.operators.series import day_counter, day_counter_table, lag_days, rep
 from vigil.plans.catalog.base import oracle, register
 from vigil.plans.catalog.q_analysis import COVID_FACT, covid_fact
 from vigil.plans.fact import FactParams, build_fact
+from vigil.plans.fact_load import FactLoad
+from vigil.session import scratch_path
 from vigil.sources.tables import Inputs
 
 D = "CAST({0} AS DOUBLE) AS {0}".format
@@ -219,10 +221,27 @@ FACT_VIEWS = ["v_cases", "v_side", "v_long", "v_wide_a", "v_wide_b"]
 
 
 def fixture_fact(inp: Inputs) -> DataFrame:
+    return build_fact(*_fixture_sources(inp), FactParams(**FIXTURE_PARAMS))
+
+
+def _fixture_sources(inp: Inputs) -> tuple[DataFrame, ...]:
     cases = inp.view("v_cases").select("id", "date", F.col("country").alias("location"), "continent",
                                        F.col("tt_cases").alias("new_cases"), F.col("tt_deaths").alias("new_deaths"))
-    return build_fact(cases, inp.view("v_side"), inp.view("v_long"), inp.view("v_wide_a"), inp.view("v_wide_b"),
-                      FactParams(**FIXTURE_PARAMS))
+    return cases, inp.view("v_side"), inp.view("v_long"), inp.view("v_wide_a"), inp.view("v_wide_b")
+
+
+@register("fact_incremental", oracle(FACT_BODY, FACT_VIEWS, FACT_CTES))
+def fact_incremental(inp: Inputs) -> DataFrame:
+    """The fact after two loads: first of sources in which days are missing, wrong or too many and other keys are bad, then of
+    the true ones."""
+    cases, side, long_df, wide_a, wide_b = _fixture_sources(inp)
+    early = F.dayofmonth("date") > 3
+    wrong = F.when(F.month("date") == 5, F.col("new_cases") - 7000).otherwise(F.col("new_cases"))
+    stale = cases.where(early).withColumn("new_cases", wrong).withColumn("continent", F.when(F.col("id") != "3", F.col("continent")))
+    load = FactLoad(inp.spark, scratch_path(inp.spark, "fact-load"), FactParams(**FIXTURE_PARAMS))
+    load.load(stale, side.where(F.month("date") != 2), long_df.where("indicator <> 'O' or month(date) <> 6"), wide_a.where(F.year("date") != 1995), wide_b)
+    load.load(cases, side, long_df, wide_a, wide_b)
+    return load.fact()
 
 
 @register("fact_unified", oracle(FACT_BODY, FACT_VIEWS, FACT_CTES))

@@ -7,15 +7,17 @@ wide outbreak A: name map -> prefix lookup -> drop 'Grand Total' -> day counter
 wide outbreak B: name map -> prefix lookup -> day counter
 then a union by column name (missing columns null). Dates are DATE everywhere.
 
-Each source is read once: cases and the other cleaned sources are checkpointed (into the shared
-``spark.checkpoint.dir``), and their counters, the dimension and the rows come from there. The day counters
-number distinct dates only (a calendar-sized window).
+Each source is read once, all four at the same time: its rows are checkpointed (into the shared
+``spark.checkpoint.dir``), and the bad keys, the dimension, the day counters (they number distinct dates only, a
+calendar-sized window) and the rows come from there; the four counters and the dimension are made at the same time too. The repair runs on
+the checkpointed rows before anything is joined to them, as it reads them three times.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +25,9 @@ from pyspark.sql import functions as F
 from vigil.operators.aggregate import group_sum, unify
 from vigil.operators.joins import broadcast_if_bounded
 from vigil.operators.lookup import attach_side_measure, prefix_dimension, prefix_lookup
-from vigil.operators.series import day_counter, repair_negatives
+from vigil.operators.series import counter_of, repair_negatives
 from vigil.operators.shape import (drop_keys_with_null, drop_value, indicator_columns, normalise_values, tag)
-from vigil.session import materialize
+from vigil.session import in_parallel, materialize
 from vigil.sources.files import ORDINAL
 
 # Fixed values (the reference's rules for its real datasets).
@@ -50,7 +52,6 @@ REPAIR_DAYS = 7
 
 FACT_COLUMNS = ["id", "category", "date", "country", "continent", "tt_cases", "tt_deaths", "contador_dia",
                 "iso_code", "people_fully_vaccinated"]
-OTHER_COLUMNS = ["category", "date", "country", "continent", "tt_cases", "tt_deaths"]
 
 
 @dataclass
@@ -76,57 +77,56 @@ def _staged(df: DataFrame, p: FactParams) -> DataFrame:
     return materialize(df) if p.materialize else df
 
 
-def _counter(df: DataFrame, order: Sequence[str] | None) -> DataFrame:
-    if order:
-        return day_counter(df, "date", list(order), mode="first_seen")
-    return day_counter(df, "date", mode="chronological")
+def cases_rows(cases: DataFrame) -> DataFrame:
+    """cases(id, date, location, continent, new_cases, new_deaths) as rows of the fact."""
+    return cases.select("id", F.lit("covid").alias("category"), "date", F.col("location").alias("country"),
+                        "continent", F.col("new_cases").alias("tt_cases"), F.col("new_deaths").alias("tt_deaths"))
 
 
-def covid_part(cases: DataFrame, vaccinations: DataFrame, p: FactParams) -> tuple[DataFrame, DataFrame]:
-    """cases(id, date, location, continent, new_cases, new_deaths) -> (covid rows, prefix dimension)."""
-    c = cases.select("id", F.lit("covid").alias("category"), "date", F.col("location").alias("country"),
-                     "continent", F.col("new_cases").alias("tt_cases"), F.col("new_deaths").alias("tt_deaths"))
-    # the cases feed the bad keys, the dimension (used by three other datasets), the counter, the repair
-    # and the vaccination join: the source is read once, and the anti-join is a broadcast of few keys
-    c = drop_keys_with_null(_staged(c, p), "id", "continent")
-    # distinct (prefix, continent) pairs: broadcast to the three lookups behind a size check
-    dim = broadcast_if_bounded(_staged(prefix_dimension(c, "country", "continent", p.prefix_length), p))
-    c = _counter(c, p.cases_order)
-    c = repair_negatives(c, ["country"], "date", ["tt_cases", "tt_deaths"], days=p.repair_days)
-    c = attach_side_measure(c, vaccinations, ["date", "id"], ["date", "iso_code"], ["people_fully_vaccinated"])
-    return c.select(*FACT_COLUMNS), dim
-
-
-def long_part(long_df: DataFrame, dim: DataFrame, p: FactParams, category: str = "ebola") -> DataFrame:
-    """long(indicator, country, date, value) -> group-summed measures with the looked-up continent."""
+def long_rows(long_df: DataFrame, p: FactParams, category: str = "ebola") -> DataFrame:
+    """long(indicator, country, date, value) -> group-summed measures of a day and country."""
     d = tag(long_df, category).withColumn("continent", F.lit("null"))
     d = indicator_columns(d, "indicator", "value", p.long_indicators)
     d = group_sum(d, ["category", "date", "country", "continent"], ["tt_cases", "tt_deaths"])
-    d = normalise_values(d, "country", p.long_renames)
-    d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi)
-    return _counter(_staged(d.select(*OTHER_COLUMNS), p), None)
+    return normalise_values(d, "country", p.long_renames).drop("continent")
+
+
+def wide_a_rows(wide: DataFrame, p: FactParams, category: str = "h1n1") -> DataFrame:
+    """wide(country, tt_cases, tt_deaths, date) -> the same rows, total rows dropped."""
+    d = normalise_values(tag(wide, category), "country", p.wide_a_renames)
+    return drop_value(d.select("category", "date", "country", "tt_cases", "tt_deaths", *(p.wide_a_order or ())), "country", p.total_label)
+
+
+def wide_b_rows(wide: DataFrame, p: FactParams, category: str = "sars") -> DataFrame:
+    """wide(date, country, tt_cases, tt_deaths, tt_recovery) -> the same rows."""
+    d = normalise_values(tag(wide, category), "country", p.wide_b_renames)
+    return d.select("category", "date", "country", "tt_cases", "tt_deaths", *(p.wide_b_order or ()))
 
 
-def wide_a_part(wide: DataFrame, dim: DataFrame, p: FactParams, category: str = "h1n1") -> DataFrame:
-    """wide(country, tt_cases, tt_deaths, date) -> measures with continent, total rows dropped."""
-    d = tag(wide, category)
-    d = normalise_values(d, "country", p.wide_a_renames)
-    d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi)
-    d = drop_value(d.select(*OTHER_COLUMNS, *(p.wide_a_order or ())), "country", p.total_label)
-    return _counter(_staged(d, p), p.wide_a_order)
+def orders(p: FactParams) -> list[Sequence[str] | None]:
+    """What the day counters of the four sources go by."""
+    return [p.cases_order, None, p.wide_a_order, p.wide_b_order]
 
 
-def wide_b_part(wide: DataFrame, dim: DataFrame, p: FactParams, category: str = "sars") -> DataFrame:
-    """wide(date, country, tt_cases, tt_deaths, tt_recovery) -> measures with continent."""
-    d = tag(wide, category)
-    d = normalise_values(d, "country", p.wide_b_renames)
-    d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi)
-    return _counter(_staged(d.select(*OTHER_COLUMNS, *(p.wide_b_order or ())), p), p.wide_b_order)
+def unified(covid: DataFrame, others: Sequence[DataFrame], vaccinations: DataFrame, dim: DataFrame, counters: Sequence[DataFrame], p: FactParams) -> DataFrame:
+    """The fact from clean covid rows and the rows of the other sources, with the dimension and each source's day counter."""
+    c = repair_negatives(covid, ["country"], "date", ["tt_cases", "tt_deaths"], days=p.repair_days, stage=False)
+    c = attach_side_measure(c.join(counters[0], "date", "left"), vaccinations, ["date", "id"], ["date", "iso_code"], ["people_fully_vaccinated"])
+    parts = [c.select(*FACT_COLUMNS)]
+    for d, counter in zip(others, counters[1:]):
+        d = prefix_lookup(d, dim, "country", "country", "continent", p.prefix_length, p.on_multi).join(counter, "date", "left")
+        parts.append(d.select(*[x for x in FACT_COLUMNS if x in d.columns]))
+    return unify(*parts).select(*FACT_COLUMNS)
 
 
 def build_fact(cases: DataFrame, vaccinations: DataFrame, long_df: DataFrame, wide_a: DataFrame,
                wide_b: DataFrame, params: FactParams | None = None) -> DataFrame:
     p = params or FactParams()
-    covid, dim = covid_part(cases, vaccinations, p)
-    parts = [covid, long_part(long_df, dim, p), wide_a_part(wide_a, dim, p), wide_b_part(wide_b, dim, p)]
-    return unify(*(d.select(*[c for c in FACT_COLUMNS if c in d.columns]) for d in parts)).select(*FACT_COLUMNS)
+    spark = cases.sparkSession
+    sources = [cases_rows(cases), long_rows(long_df, p), wide_a_rows(wide_a, p), wide_b_rows(wide_b, p)]
+    covid, *others = in_parallel(spark, *[partial(_staged, s, p) for s in sources])
+    covid = drop_keys_with_null(covid, "id", "continent")  # a broadcast anti-join with few keys
+    # the counter of each source's dates, and the distinct (prefix, continent) pairs: broadcast behind size checks
+    dim, *counters = in_parallel(spark, lambda: broadcast_if_bounded(_staged(prefix_dimension(covid, "country", "continent", p.prefix_length), p)),
+                                 *[partial(counter_of, d, "date", list(o) if o else None) for d, o in zip([covid, *others], orders(p))])
+    return unified(covid, others, vaccinations, dim, counters, p)

@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Settings every job relies on. AQE gives runtime partition coalescing, skew-join splitting and a
 # size-checked broadcast conversion; UTC keeps date arithmetic independent of the host.
 DEFAULT_CONF = {
@@ -76,6 +82,15 @@ def materialize(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def in_parallel(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """The results of independent pieces of driver code, each with its own Spark jobs, run at the same time: the
+    scheduler fills cores that one job leaves idle."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -71,7 +71,7 @@ def write_daily(df: DataFrame, path: str | None = None, date_col: str = "date",
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{date_col}` = '{date.fromisoformat(day)}')")
         where = path if table is None else _location(spark, table) if exists else None
         if where:  # an outside table's files stay when its partition goes
-            _delete(spark, f"{where}/{date_col}={day}")
+            delete_folder(spark, f"{where}/{date_col}={day}")
 
 
 def _check_daily(spark: SparkSession, table: str, date_col: str, columns: Sequence[str]) -> None:
@@ -88,7 +88,7 @@ def _location(spark: SparkSession, table: str) -> str:
     return found[0]
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
