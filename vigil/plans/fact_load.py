@@ -10,7 +10,7 @@ compares, and works out the touched days:
 * all days whose counter changed (a late row of a new day renumbers what follows; a new last day only adds a number).
 
 The months of these days are computed from their rows and the ``repair_days`` before them, and replace the stored ones;
-months left without rows are removed. The state is written last, into a new folder named in one small file, so a load that fails is simply
+months left without rows are removed. Measures keep the types of the first load. The state is written last, into a new folder named in one small file, so a load that fails is simply
 repeated: it sees the old state and does the same again. Without a state everything is computed.
 The result equals ``build_fact`` on the same sources.
 """
@@ -109,6 +109,8 @@ class FactLoad:
 
         others = [long_rows(of(grouped, "ebola"), p), of(wide_a, "h1n1"), of(wide_b, "sars")]
         fact = unified(of(covid, "covid", p.repair_days), others, vacc, dim, counters, p).withColumn("month", month_of(day_of(F.col("date"))))
+        if old["types"] is not None:  # months that stay have the first load's types
+            fact = fact.select(*[F.col(f.name).cast(f.dataType) for f in old["types"].schema.fields])
         fact = materialize(fact.join(touched, ["category", "month"], "left_semi"))
         (fact.hint("rebalance", "category", "month").write.mode("overwrite").partitionBy("category", "month")
          .option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/fact"))
