@@ -9,7 +9,8 @@
    pages), and both ways between a host and the page host that it is a subdomain of (weight 1).
 4. Propagation. Trust is a personalised PageRank from the trust seeds along edges; distrust runs from the
    distrust seeds against them: score = seed + damping * (weighted mean over edges of the neighbours'
-   scores), iterated until no score moves by ``tolerance``; scores are stored at each step.
+   scores), iterated until no score moves by ``tolerance``: all changes together shrink by ``damping`` at each step, so it
+   ends (``most`` ends it earlier, with a warning); scores are stored at each step.
 5. Verdict of a page without a rule: block if its host's distrust is at least ``threshold`` and above its
    trust, else allow.
 
@@ -23,7 +24,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,13 +75,6 @@ def host_edges(pages: DataFrame, hosts: DataFrame, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").cast("double").alias("w")))
 
 
-def steps_for(damping: float, tolerance: float) -> int:
-    """Steps after which no score can move by ``tolerance``: a step's changes are at most ``damping`` times the last one's, in sum."""
-    if not 0 <= damping < 1:
-        raise ValueError("damping lies in [0, 1)")
-    return 1 + (math.ceil(math.log(tolerance * (1 - damping)) / math.log(damping)) if damping else 1)
-
-
 def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, most: int | None) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) and edges (src, dst, w)."""
     out = edges.groupBy("src").agg(F.sum("w").alias("all_out"))
@@ -92,8 +86,10 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: fl
     nodes = both.select("host").distinct().join(seeds, "host", "full_outer").na.fill(0.0)
     nodes = stored(nodes, "seeds")
     state = nodes
-    steps = steps_for(damping, tolerance) if most is None else most
-    for _ in range(steps if not both.isEmpty() else 0):
+    if not 0 <= damping < 1:
+        raise ValueError("damping lies in [0, 1)")
+    steps, going = 0, not both.isEmpty()
+    while going:
         sent = both.join(state.select(F.col("host").alias("from"), "trust", "distrust"), "from")
         got = sent.groupBy("host").agg(F.sum(F.col("t") * F.col("trust")).alias("t"), F.sum(F.col("d") * F.col("distrust")).alias("d"))
         new = nodes.join(got, "host", "left").na.fill(0.0).select(
@@ -102,8 +98,12 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: fl
         state = stored(new.join(was, "host"), "scores")
         moved = state.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("t0")), F.abs(F.col("distrust") - F.col("d0")))).alias("m")).first()["m"]
         state = state.select("host", "trust", "distrust")
+        steps += 1
         if moved is None or moved < tolerance:
             break
+        if steps == most:
+            warnings.warn(f"scores still move by {moved} after {most} steps")
+            break
     return state
 
 
