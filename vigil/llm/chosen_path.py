@@ -376,7 +376,7 @@ def _keyed_batches(k: int):
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, with one row of each component: that of the least id (of
-    repeated rows with that id the one of the least text stays, of equal texts that whose columns sort first). Rows without words all stay."""
+    repeated rows with that id the one whose text, then whose columns have the least hash, so the same in every run). Rows without words all stay."""
     job = _Join(docs, id_col, text_col, **{"k": 5, "num": 80, "den": 100, "trees": 12, "depth": 4, "leaf": 32, **options})
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).cast("string").alias("text"))
     keyed = packed.mapInArrow(_keyed_batches(job.k), T.StructType([packed.schema["row"], T.StructField("cls", T.BinaryType())]))
@@ -384,6 +384,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     chosen = ids.join(job.labels(), "cls").filter(F.col("id").eqNullSafe(F.col("component_id")))
     chosen = chosen.select(F.col("cls").alias("of"), F.col("id").alias("least"), "label")
     found = keyed.filter("cls is not null").join(chosen, (F.col("cls") == F.col("of")) & F.col("row")[id_col].eqNullSafe(F.col("least")))
-    first = F.struct(F.col("row")[text_col], F.to_json("row"))
+    first = F.struct(F.xxhash64(F.col("row")[text_col]), F.xxhash64(F.to_json("row")))
     kept = found.groupBy("label").agg(F.min_by("row", first).alias("row")).select("row").unionByName(keyed.filter("cls is null").select("row"))
     return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
