@@ -56,6 +56,21 @@ def test_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(hard_negatives, "BLOCK_VALUES", 18)
     monkeypatch.setattr(hard_negatives, "CELLS", 64)
     assert run(spark, rows) == by_hand(rows)
+    monkeypatch.setattr(hard_negatives, "BUFFER", 3)
+    assert run(spark, rows) == by_hand(rows)
+
+
+def test_best_equals_a_full_sort(monkeypatch):
+    monkeypatch.setattr(hard_negatives, "BUFFER", 20)
+    rng = np.random.default_rng(5)
+    best, all_ = hard_negatives.Best(3, 7), []
+    for _ in range(60):
+        n = int(rng.integers(0, 30))
+        part = [rng.integers(0, 7, n), rng.integers(-9, 9, n), rng.integers(0, 2, n), rng.integers(0, 5, n), rng.integers(0, 10**6, n)]
+        best.add(*part)
+        all_ += list(zip(*(x.tolist() for x in part)))
+    want = [r for g in range(7) for r in sorted((r for r in all_ if r[0] == g), key=lambda r: (-r[1], *r[2:]))[:3]]
+    assert list(zip(*(x.tolist() for x in best.held))) == want
 
 
 def test_odd_rows(spark):
@@ -75,7 +90,7 @@ def test_large_numbers(spark):
 
 
 def test_best_keeps_ties_in_order():
-    best = hard_negatives.Best(2)
+    best = hard_negatives.Best(2, 3)
     one = np.ones(1, np.int64)
     for score, ident, key in ((5, 9, 1), (5, 3, 2), (7, 8, 3), (5, 1, 4), (5, 1, 0)):
         best.add(one, one * score, one * 0, one * ident, one * key)

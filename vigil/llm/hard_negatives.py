@@ -31,6 +31,8 @@ from vigil.llm._vectors import bound, matrix, packed, slices, unpacked, usable,
 #: Numbers of the anchors that travel with the tasks at a time, and scores that a task computes at a time.
 BLOCK_VALUES = 1 << 22
 CELLS = 1 << 21
+#: Candidates that are put aside before they are sorted in.
+BUFFER = 1 << 18
 _NONE = np.iinfo(np.int64).min
 
 
@@ -50,21 +52,43 @@ def products(x: np.ndarray, anchors: np.ndarray) -> np.ndarray:
 
 
 class Best:
-    """The first ``k`` candidates of every group: higher scores first, then smaller ids (null ids last), then row keys."""
+    """The first ``k`` candidates of every group: higher scores first, then smaller ids (null ids last), then row keys.
 
-    def __init__(self, k: int) -> None:
-        self.k = k
-        self.held = [np.zeros(0, np.int64) for _ in range(5)]
+    Candidates are put aside until there are as many as are held (``BUFFER`` at least), then sorted in; those below the last place
+    of a full group are dropped at once. So a candidate is sorted a few times, however many batches there are.
+    """
+
+    def __init__(self, k: int, groups: int) -> None:
+        self.k, self.n = k, 0
+        self.floor = np.full(groups, _NONE)
+        self._held = [np.zeros(0, np.int64) for _ in range(5)]
+        self.new: list[tuple[np.ndarray, ...]] = []
 
     def add(self, group: np.ndarray, score: np.ndarray, no_id: np.ndarray, ident: np.ndarray, key: np.ndarray) -> None:
-        all_ = [np.concatenate([a, b]) for a, b in zip(self.held, (group, score, no_id, ident, key))]
+        good = score >= self.floor[group]
+        self.new.append(tuple(x[good] for x in (group, score, no_id, ident, key)))
+        self.n += len(self.new[-1][0])
+        if self.n > max(BUFFER, len(self._held[0])):
+            self._sort()
+
+    def _sort(self) -> None:
+        all_ = [np.concatenate(x) for x in zip(self._held, *self.new)]
         order = np.lexsort((all_[4], all_[3], all_[2], -all_[1], all_[0]))
         group = all_[0][order]
         first = np.ones(len(group), bool)
         first[1:] = group[1:] != group[:-1]
         start = np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
-        order = order[np.arange(len(group)) - start < self.k]
-        self.held = [a[order] for a in all_]
+        place = np.arange(len(group)) - start
+        self._held = [a[order[place < self.k]] for a in all_]
+        last = order[place == self.k - 1]
+        self.floor[all_[0][last]] = all_[1][last]
+        self.new, self.n = [], 0
+
+    @property
+    def held(self) -> list[np.ndarray]:
+        """Group, score, whether the id is null, id and row key of what is kept, group by group."""
+        self._sort()
+        return self._held
 
 
 class Block:
@@ -92,7 +116,7 @@ def _search(block: Block, k: int, dim: int):
     slots = 1 if block.limits is None else block.limits.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, step = Best(k), max(1, CELLS // len(block.key))
+        best, step = Best(k, slots * len(block.key)), max(1, CELLS // len(block.key))
         for b in slices(batches, dim):
             key, no_id = b.column(0).to_numpy(), b.column(1).is_null().to_numpy(zero_copy_only=False)
             ident = b.column(1).fill_null(0).to_numpy()
