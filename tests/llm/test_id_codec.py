@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import regex
 from llm_data import no_docs, odd_docs
 from tokenizers import Tokenizer
@@ -118,3 +119,12 @@ def test_added_tokens_within_texts(spark):
     assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(map(tuple, id_codec.encoded_digest(docs, FILE, 2).collect())) == want
+
+
+@pytest.mark.parametrize("kind", ["date", "decimal(20,0)", "timestamp", "smallint", "string"])
+def test_ids_of_any_type(spark, kind):
+    docs = spark.range(30).selectExpr(("timestamp_seconds(id * 86400)" if kind in ("date", "timestamp") else "id") + " as n", "concat('text ', id) as text")
+    docs = docs.selectExpr(f"cast(n as {kind}) as doc_id", "text").unionByName(spark.createDataFrame([(None, "none")], "doc_id string, text string").selectExpr(f"cast(doc_id as {kind}) as doc_id", "text"))
+    got = id_codec.encoded_digest(docs.repartition(3), FILE, 2)
+    assert got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    assert sorted(map(str, (r.doc_id for r in got.collect()))) == sorted(map(str, (r.doc_id for r in docs.collect())))
