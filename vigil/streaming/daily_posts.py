@@ -22,19 +22,24 @@ from vigil.functions.stopwords import ENGLISH_STOPWORDS
 from vigil.functions.text import clean_text
 from vigil.operators.ngrams import top_ngrams_of
 from vigil.plans.posts import TOP_K, posts_mart
-from vigil.session import materialize
-from vigil.sinks.tables import write_daily
+from vigil.session import scratch_path
+from vigil.sinks.tables import delete_folder, write_daily
 
 
 def recompute(posts: DataFrame, out: str, lexicon: DataFrame, days: list[date], lang: str = "en", k: int = TOP_K, stopwords=ENGLISH_STOPWORDS) -> None:
     """Write the marts of ``days``, whose posts ``posts`` holds, in one job for each mart; a day without posts is emptied. Bigrams
     carry the posts' day, trigrams the day after it (the daily run's stamps)."""
     clean = posts.where(F.col("language") == lang).withColumn("text", clean_text("tweet"))
-    clean = materialize(clean.select("post_id", "date", "tweet", "text"))
-    write_daily(posts_mart(clean, lexicon), f"{out}/posts", days=days)
-    bigrams, trigrams = top_ngrams_of(clean, "date", "text", (2, 3), k, stopwords)
-    write_daily(bigrams, f"{out}/bigrams", days=days)
-    write_daily(trigrams.withColumn("date", F.date_add("date", 1)), f"{out}/trigrams", days=[d + timedelta(days=1) for d in days])
+    staged = scratch_path(posts.sparkSession, "posts-batch")  # read by both marts' jobs; goes with the batch
+    clean.select("post_id", "date", "tweet", "text").write.parquet(staged)
+    clean = posts.sparkSession.read.parquet(staged)
+    try:
+        write_daily(posts_mart(clean, lexicon), f"{out}/posts", days=days)
+        bigrams, trigrams = top_ngrams_of(clean, "date", "text", (2, 3), k, stopwords)
+        write_daily(bigrams, f"{out}/bigrams", days=days)
+        write_daily(trigrams.withColumn("date", F.date_add("date", 1)), f"{out}/trigrams", days=[d + timedelta(days=1) for d in days])
+    finally:
+        delete_folder(posts.sparkSession, staged)
 
 
 def load_days(spark: SparkSession, landing: str, schema: StructType, out: str, lexicon: DataFrame,
