@@ -22,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm._lines import BLANK, BLANKS, frequent_lines, lines, look_up, site_key, trimmed
+from vigil.llm._lines import BLANKS, frequent_lines, lines, look_up, site_key, trimmed
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -34,8 +34,11 @@ def _words(text: Column) -> Column:
 
 
 def _normal(line: Column) -> Column:
-    low = F.translate(trimmed(line), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.xxhash64(F.regexp_replace(low, BLANKS, " "))
+    def low(x: Column) -> Column:  # translate goes through a dictionary for every character; lower does the same where all are ASCII
+        letters = F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        return F.when(F.octet_length(x) == F.length(x), F.lower(x)).otherwise(letters)
+
+    return _let(trimmed(line), lambda x: F.xxhash64(F.regexp_replace(low(x), BLANKS, " ")))
 
 
 def _let(value: Column, body) -> Column:
@@ -45,7 +48,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _counted(words: Column) -> Column:
-    """(n, repeated): words, and words in 3-word windows that occur twice or more."""
+    """(n, chars, repeated): words, their characters, and words in 3-word windows that occur twice or more."""
     nothing = F.array().cast("array<bigint>")
 
     def hashes(w: Column, m: Column) -> Column:
@@ -83,7 +86,7 @@ def _counted(words: Column) -> Column:
             return F.when(F.size(F.array_distinct(h)) == m, F.lit(0).cast("long")).otherwise(_let(F.length(F.bin(m)), lambda bits: with_bits(m, h, bits)))
         return _let(F.greatest(F.size(w) - 2, F.lit(0)), lambda m: _let(hashes(w, m), lambda h: with_hashes(m, h)))
 
-    return _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated(w).alias("repeated")))
+    return _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeated(w).alias("repeated")))
 
 
 def _judgement(text: Column, bad: Column, max_lost: float) -> Column:
@@ -101,8 +104,7 @@ def _judgement(text: Column, bad: Column, max_lost: float) -> Column:
         return F.struct((F.size(held) - F.size(F.array_distinct(held))).cast("long").alias("dup"), lost(held).alias("lost"))
 
     def measures(counted: Column, held: Column) -> Column:
-        return F.struct(counted["n"].alias("n_words"), F.length(F.translate(text, BLANK, "")).cast("long").alias("word_chars"),
-                        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        return F.struct(counted["n"].alias("n_words"), counted["chars"].alias("word_chars"), (F.size(F.split(text, SYMBOLS, -1)) - 1).cast("long").alias("n_symbols"),
                         held["dup"].alias("n_dup_lines"), counted["repeated"].alias("n_repeat_words"), held["lost"].alias("words_lost"))
 
     def verdict(m: Column) -> Column:
