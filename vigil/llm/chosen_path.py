@@ -43,6 +43,7 @@ from vigil.llm._text import mix, small, text_sets
 SKETCH = 128
 BLOCK_ROWS = 256
 LEADERS = 6
+TEXT_BYTES = 1 << 22  # of texts whose sets a task holds at once
 _RNG = np.random.Generator(np.random.PCG64(7))
 _MULT = (_RNG.integers(0, 2**32, SKETCH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _RNG.integers(0, 2**32, SKETCH, dtype=np.uint64).astype(np.uint32)
@@ -83,7 +84,7 @@ def _rows(column: pa.Array, kind) -> np.ndarray:
 
 def _sketch_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 1):
+        for b in small(batches, 1, TEXT_BYTES):
             sets = text_sets(b.column(1), k)
             full = [i for i, s in enumerate(sets) if len(s)]
             sig: list[bytes | None] = [None] * len(sets)
@@ -229,7 +230,7 @@ def _block_links(least: int, num: int, den: int):
 
 def _set_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 0):
+        for b in small(batches, 0, TEXT_BYTES):
             sets = text_sets(b.column(0), k)
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "members"])
@@ -368,7 +369,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _keyed_batches(k: int):
     """(row, text) -> (row, cls)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 1):
+        for b in small(batches, 1, TEXT_BYTES):
             keys = pa.array([set_key(s) for s in text_sets(b.column(1), k)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), keys], ["row", "cls"])
     return run
