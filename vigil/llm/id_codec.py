@@ -140,7 +140,7 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
 
 
 #: Pieces in each of the two tables of ids that a Python worker remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 class LibraryCoder:

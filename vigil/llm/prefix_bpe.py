@@ -31,7 +31,7 @@ from vigil.llm._jobs import python_ready
 from vigil.llm._text import small
 
 #: Pieces and token pairs that a Python worker remembers.
-REMEMBERED, PAIRS = 1 << 19, 200_000
+REMEMBERED, PAIRS = 1 << 18, 200_000
 _NONE = 1 << 62
 
 
