@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from test_plans import plan
 from vigil.functions import geo
-from vigil.operators.keyword_index import KeywordIndex, keyword_trigrams, trigrams
+from vigil.operators.keyword_index import FEW_FILES, KeywordIndex, keyword_trigrams, trigram_number, trigrams
 from vigil.operators.search import PostFilter, search_posts
 
 CIRCLES = [(10, 20, 500), (0, 179.9, 300), (5, -179.5, 1500), (89.5, 10, 400), (-90, 0, 50), (0, 0, 0.0), (60, 0, 25000), (45.5, 7.25, 3), (-30, 180, 120), (70, -100, 2500)]
@@ -104,3 +104,20 @@ def test_index_of_no_posts(spark, tmp_dir):
     index = KeywordIndex(spark, tmp_dir)
     index.write(posts(spark).limit(0))
     assert index.search(PostFilter(keyword="alpha")).count() == 0
+
+
+def test_many_blocks_share_files(spark, tmp_dir):
+    """Files don't grow in number with the blocks, and a block has the trigrams of its texts."""
+    df = posts(spark)
+    index = KeywordIndex(spark, tmp_dir)
+    index.write(df, rows_a_block=2)
+    assert len(glob.glob(f"{tmp_dir}/posts/part-*")) <= FEW_FILES
+    stored = spark.read.parquet(f"{tmp_dir}/posts")
+    assert stored.groupBy("block__").count().agg(F.max("count"), F.count("*")).first()[0] == 2
+    want = {(r.block__, g) for r in stored.select("block__", trigrams(F.col("tweet")).alias("g")).collect() for g in r.g if " " not in g}
+    got = [(r.block, r.trigram) for r in spark.read.parquet(f"{tmp_dir}/trigrams").collect()]
+    assert set(got) == {(b, trigram_number(g)) for b, g in want}
+    for keyword in ("worthless phone", "needle", "漢字テスト"):
+        hits = search_posts(df, PostFilter(keyword=keyword)).collect()
+        assert sorted(map(str, index.search(PostFilter(keyword=keyword)).collect())) == sorted(map(str, hits))
+    assert index.posts().columns == df.columns
